@@ -39,16 +39,18 @@ def join_on(df: DataFrame, dim: DataFrame, left: str, right: str, how: str = "le
 
 def compare_detections(raw: DataFrame, filtered: DataFrame, keys: list[str],
                        how: str = "left") -> DataFrame:
-    """Natural join of raw and filtered detections on shared keys."""
+    """Natural join of raw and filtered detections on shared keys; filtered
+    columns that clash with raw ones get a ``_filtered`` suffix."""
+    r, f = raw.alias("r"), filtered.alias("f")
     cond = None
     for k in keys:
-        c = raw[k].eqNullSafe(filtered[k])
+        c = F.col(f"r.{k}").eqNullSafe(F.col(f"f.{k}"))
         cond = c if cond is None else cond & c
     other = [c for c in filtered.columns if c not in keys]
-    out = raw.join(filtered, cond, how)
-    sel = [F.coalesce(raw[k], filtered[k]).alias(k) for k in keys]
-    sel += [raw[c] for c in raw.columns if c not in keys]
-    sel += [filtered[c].alias(c if c not in raw.columns else f"{c}_filtered") for c in other]
+    out = r.join(f, cond, how)
+    sel = [F.coalesce(F.col(f"r.{k}"), F.col(f"f.{k}")).alias(k) for k in keys]
+    sel += [F.col(f"r.{c}").alias(c) for c in raw.columns if c not in keys]
+    sel += [F.col(f"f.{c}").alias(c if c not in raw.columns else f"{c}_filtered") for c in other]
     return out.select(*sel)
 
 

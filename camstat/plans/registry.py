@@ -54,3 +54,38 @@ def tidy(df: DataFrame) -> DataFrame:
 def ts_text(expr: str) -> str:
     """SQL twin of tidy() for a timestamp column."""
     return f"strftime({expr}, '%Y-%m-%d %H:%M:%S')"
+
+
+def _kind(t: T.DataType) -> str:
+    if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return "bigint"
+    if isinstance(t, (T.FloatType, T.DoubleType, T.DecimalType)):
+        return "double"
+    if isinstance(t, T.BooleanType):
+        return "boolean"
+    if isinstance(t, T.DateType):
+        return "date"
+    return "string"
+
+
+def output_kinds(df: DataFrame) -> list[list[str]]:
+    return [[f.name, _kind(f.dataType)] for f in df.schema.fields]
+
+
+def wrap_sql(sql: str, kinds: list[list[str]] | None) -> str:
+    """Give the oracle result the Spark plan's column order and types: integral
+    -> BIGINT, floating -> DOUBLE rounded to 6 places."""
+    if not kinds:
+        return sql
+    cols = []
+    for name, kind in kinds:
+        q = '"' + name.replace('"', '""') + '"'
+        if kind == "bigint":
+            cols.append(f"CAST({q} AS BIGINT) AS {q}")
+        elif kind == "double":
+            cols.append(f"round(CAST({q} AS DOUBLE), 6) AS {q}")
+        elif kind == "string":
+            cols.append(f"CAST({q} AS VARCHAR) AS {q}")
+        else:
+            cols.append(q)
+    return "SELECT " + ", ".join(cols) + " FROM (\n" + sql.strip() + "\n) AS oracle_q"

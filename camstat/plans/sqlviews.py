@@ -48,7 +48,7 @@ VIEWS = {
     "cells": """
   SELECT p_partkey AS cell_id, CASE WHEN p_partkey % 2 = 0 THEN 16 ELSE 17 END AS utm,
          -90.0 + (p_partkey % 70) / 10 AS cx, 50.0 + (CAST(floor(p_partkey / 70) AS BIGINT) % 56) / 10 AS cy,
-         p_size % 12 AS value, (p_retailprice % 100) / 100 AS coverage_fraction
+         p_size % 13 AS value, (p_retailprice % 100) / 100 AS coverage_fraction
   FROM part""",
 }
 

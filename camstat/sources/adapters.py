@@ -123,5 +123,5 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(k % 2 == 0, F.lit(16)).otherwise(F.lit(17)).alias("utm"),
                     (F.lit(-90.0) + (k % 70) / 10).alias("cx"),
                     (F.lit(50.0) + (F.floor(k / 70) % 56) / 10).alias("cy"),
-                    (F.col("p_size") % 12).alias("value"),
+                    (F.col("p_size") % 13).alias("value"),
                     ((F.col("p_retailprice") % 100) / 100).alias("coverage_fraction"))
