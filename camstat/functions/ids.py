@@ -146,13 +146,13 @@ def standard_sub_folder(rel_path: ColLike, new_name: ColLike, deployment: ColLik
 
 def network_root(c: ColLike) -> Column:
     """second ``\\``-separated part of a network path; null if unsplit."""
-    parts = F.split(_c(c), r"\\\\")
+    parts = F.split(_c(c), r"\\")
     return F.when(F.size(parts) <= 1, F.lit(None)).otherwise(F.try_element_at(parts, F.lit(2)))
 
 
 def network_path(c: ColLike) -> Column:
     """parts 3..5 joined by ``/``; null if unsplit."""
-    parts = F.split(_c(c), r"\\\\")
+    parts = F.split(_c(c), r"\\")
     return F.when(F.size(parts) <= 1, F.lit(None)).otherwise(F.array_join(F.slice(parts, 3, 3), "/"))
 
 

@@ -106,7 +106,10 @@ def suppress_repeats(boxes: DataFrame, min_count: int = 3, iou_t: float = 0.85,
                           F.col(w).cast("string"), F.col(h).cast("string"))
     members = cand.select(key, folder, x, y, w, h, node_of.alias("node"))
     nodes = members.groupBy("node", folder, x, y, w, h).agg(F.count("*").alias("_wt"))
-    pairs = repeat_pairs(nodes.withColumn(conf, F.lit(1.0)), iou_t, 0.0, folder, "node", x, y, w, h, conf)
+    checkpoint_dir(boxes.sparkSession)
+    nodes = nodes.checkpoint()
+    pairs = repeat_pairs(nodes.withColumn(conf, F.lit(1.0)), iou_t, 0.0, folder, "node", x, y, w, h,
+                         conf).checkpoint()
     # only nodes with at least one partner need propagation; the rest are
     # singleton groups whose size is their own weight
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))

@@ -41,9 +41,9 @@ VIEWS = {
     "annotation_ids": """
   SELECT 'P' || CAST(l_suppkey AS VARCHAR) || '-' || CAST(l_orderkey % 3 + 1 AS VARCHAR)
          || '_CAM-' || CAST(l_partkey % 4 + 1 AS VARCHAR) || '_DCIM_100RECNX_RCNX'
-         || CAST(l_orderkey AS VARCHAR) || '_'
+         || CAST(l_orderkey AS VARCHAR) || 'x' || CAST(l_partkey AS VARCHAR) || '_'
          || CASE WHEN l_linenumber = 7 THEN 'M1' ELSE CAST(l_linenumber AS VARCHAR) END AS id,
-         l_orderkey, l_linenumber, l_partkey, l_suppkey
+         l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus, l_shipdate
   FROM lineitem""",
     "cells": """
   SELECT p_partkey AS cell_id, CASE WHEN p_partkey % 2 = 0 THEN 16 ELSE 17 END AS utm,

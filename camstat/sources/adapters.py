@@ -105,15 +105,17 @@ def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def annotation_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids in the survey format built from lineitem keys:
-    ``P<supp>-<n>_CAM-<k>_DCIM_100RECNX_RCNX<order>_<box or M box>``."""
+    ``P<supp>-<n>_CAM-<k>_DCIM_100RECNX_RCNX<order>x<part>_<box or M1>`` (unique)."""
     li = table(spark, sf_dir, "lineitem")
     box = F.when(F.col("l_linenumber") == 7, F.lit("M1")).otherwise(F.col("l_linenumber").cast("string"))
     id_ = F.concat(F.lit("P"), F.col("l_suppkey").cast("string"), F.lit("-"),
                    (F.col("l_orderkey") % 3 + 1).cast("string"),
                    F.lit("_CAM-"), (F.col("l_partkey") % 4 + 1).cast("string"),
-                   F.lit("_DCIM_100RECNX_RCNX"), F.col("l_orderkey").cast("string"), F.lit("_"), box)
+                   F.lit("_DCIM_100RECNX_RCNX"), F.col("l_orderkey").cast("string"), F.lit("x"),
+                   F.col("l_partkey").cast("string"), F.lit("_"), box)
     return li.select(id_.alias("id"), F.col("l_orderkey"), F.col("l_linenumber"),
-                     F.col("l_partkey"), F.col("l_suppkey"))
+                     F.col("l_partkey"), F.col("l_suppkey"), F.col("l_returnflag"), F.col("l_linestatus"),
+                     F.col("l_shipdate"))
 
 
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
