@@ -128,6 +128,8 @@ def drop_position(df: DataFrame, order: list[str], pos: int) -> DataFrame:
     return seq_id(df, order, out="_pos").filter(F.col("_pos") != pos).drop("_pos")
 
 
-def sample_n(df: DataFrame, n: int, key: list[str], seed: int = 42) -> DataFrame:
-    """Seeded, stable sample of n rows (order by a seeded hash of the key)."""
-    return df.orderBy(F.xxhash64(*key, F.lit(seed)), *key).limit(n)
+def sample_n(df: DataFrame, n: int, key: list[str], seed: int = 42, hash_col=None) -> DataFrame:
+    """Seeded, stable sample of n rows: the n smallest seeded hashes of the
+    key (a bounded top-k, merged across partitions)."""
+    h = hash_col if hash_col is not None else F.xxhash64(*key, F.lit(seed))
+    return df.orderBy(h, *key).limit(n)
