@@ -116,6 +116,10 @@ def hellinger(long: DataFrame, unit: str, species: str, n: str, out: str = "hell
             .withColumn(out, F.sqrt(F.col(n) / F.col("_t"))).drop("_t"))
 
 
+def _shifted(c: Column, off: Column) -> Column:
+    return F.transform(off, lambda d: c + d)
+
+
 def pairs_within(points: DataFrame, r_km: float, key: str = "camera_id", lon: str = "lon",
                  lat: str = "lat") -> DataFrame:
     """Great-circle distance for every point pair (a < b) within ``r_km``.
@@ -130,7 +134,7 @@ def pairs_within(points: DataFrame, r_km: float, key: str = "camera_id", lon: st
     off = F.array(*[F.lit(i) for i in (-1, 0, 1)])
     a = base.withColumns(cells)
     for ax in "XYZ":
-        a = a.withColumn(f"_c{ax}", F.explode(F.transform(off, lambda d, ax=ax: F.col(f"_c{ax}") + d)))
+        a = a.withColumn(f"_c{ax}", F.explode(_shifted(F.col(f"_c{ax}"), off)))
     b = base.select(F.col(key).alias("b"), F.col(lon).alias("lon_b"), F.col(lat).alias("lat_b"),
                     *[v.alias(k) for k, v in cells.items()])
     j = a.join(b, ["_cX", "_cY", "_cZ"], "inner").filter(F.col(key) < F.col("b"))
