@@ -259,7 +259,7 @@ def epoch_loss(log: DataFrame, epoch: str = "epoch", loss: str = "loss",
 def split_balance(df: DataFrame, cls: str = "class", split: str = "split",
                   splits=("train", "eval")) -> DataFrame:
     """Class counts and within-split shares per split."""
-    g = df.groupBy(cls).pivot(split, list(splits)).agg(F.count("*")).fillna(0)
+    g = df.groupBy(cls).pivot(split, list(splits)).agg(F.count(F.lit(1))).fillna(0)
     w = Window.partitionBy()
     for s in splits:
         g = g.withColumn(f"{s}_share", F.col(s) / F.sum(s).over(w))
