@@ -45,9 +45,8 @@ def month_year_label(c: ColLike) -> Column:
 
 
 def deployment_group(deployed: ColLike, retrieved: ColLike) -> Column:
-    """F16: ``<Mon yyyy> - <Mon yyyy>`` with ``not retrieved`` for a missing end."""
-    return F.concat_ws(" - ", month_year_label(deployed),
-                       F.coalesce(month_year_label(retrieved), F.lit("not retrieved")))
+    """F16: ``<Mon yyyy> - <Mon yyyy>``; only the start label when not retrieved."""
+    return F.concat_ws(" - ", month_year_label(deployed), month_year_label(retrieved))
 
 
 def days_between(end: ColLike, start: ColLike) -> Column:

@@ -178,7 +178,7 @@ def event_time_of_day(spark, sf):
 SELECT camera_id, strftime(date_deployed, '%Y-%m-%d') AS date_deployed,
        strftime(date_retrieved, '%Y-%m-%d') AS date_retrieved, date_retrieved IS NOT NULL AS is_retrieved,
        CASE WHEN date_retrieved IS NOT NULL AND date_deployed < date_retrieved THEN 'valid' ELSE 'invalid' END AS status,
-       concat_ws(' - ', strftime(date_deployed, '%b %Y'), coalesce(strftime(date_retrieved, '%b %Y'), 'not retrieved')) AS deployment_group,
+       concat_ws(' - ', strftime(date_deployed, '%b %Y'), strftime(date_retrieved, '%b %Y')) AS deployment_group,
        datediff('day', date_deployed, date_retrieved) AS deploy_interval
 FROM deployments"""))
 def deployment_table(spark, sf):
