@@ -62,17 +62,19 @@ def greenness(pixels: DataFrame, key: list[str], r: str = "r", g: str = "g", b:
 
 
 def _stats_np(bgr: np.ndarray) -> list[float]:
+    """The 16 statistics in ``INDEX_COLUMNS`` order for one image (BGR pixels)."""
     b, g, r = (bgr[:, i].astype(np.float64) for i in range(3))
     s = r + g + b
     with np.errstate(divide="ignore", invalid="ignore"):
-        feats = [r, g, b, s, np.where(s != 0, g / s, np.nan), 2 * g - (r + b),
-                 np.where(s != 0, r / s, np.nan), np.where(s != 0, b / s, np.nan)]
-    out = []
-    for f in feats:
+        feats = {"r": r, "g": g, "b": b, "bri": s, "gi": np.where(s != 0, g / s, np.nan),
+                 "gei": 2 * g - (r + b), "ri": np.where(s != 0, r / s, np.nan),
+                 "bi": np.where(s != 0, b / s, np.nan)}
+    out = {}
+    for k, f in feats.items():
         f = f[~np.isnan(f)]
-        out += [float(f.mean()) if f.size else np.nan,
-                float(f.std(ddof=1)) if f.size > 1 else np.nan]
-    return out
+        out[f"{k}_av"] = float(f.mean()) if f.size else np.nan
+        out[f"{k}_sd"] = float(f.std(ddof=1)) if f.size > 1 else np.nan
+    return [out[c] for c in INDEX_COLUMNS]
 
 
 def image_indices(images: DataFrame) -> DataFrame:
