@@ -8,11 +8,12 @@ every box of a folder:
   boxes fall into size classes ``k = floor(log(max(w, h)) / log(1/t))`` and a pair
   spans at most two adjacent classes;
 * it also forces ``|dx1| <= (1-t) max(w)`` and ``|dy1| <= (1-t) max(h)``, so on a
-  grid of side ``(1-t) (1/t)^(k+1)`` a pair sits in neighbouring cells.
+  grid of side ``2 (1-t) (1/t)^(k+1)`` a partner lies in the box's own cell or
+  in the one neighbour on the side of the half-cell the box sits in.
 
 Each box is inserted once (own class, own cell) and probes its own and the next
-class over the 3 x 3 neighbour cells; an equi join on ``(folder, class, cell)``
-yields each candidate pair exactly once, then the exact IoU filters.
+class over 2 x 2 cells; an equi join on ``(folder, class, cell)`` yields each
+candidate pair exactly once, then the exact IoU filters.
 
 Repeat groups are the connected components of the pair graph, found by min-label
 propagation with pointer jumping; lineage is cut every round with a reliable
@@ -38,9 +39,20 @@ def _with_grid(df: DataFrame, t: float, x: str, y: str, w: str, h: str) -> DataF
     return df.withColumn("_k", k)
 
 
+def _cell_size(k, t: float):
+    return F.lit(2.0 * (1.0 - t)) * F.pow(F.lit(1.0 / t), k + 1)
+
+
 def _cell(col: str, k, t: float):
-    size = F.lit(1.0 - t) * F.pow(F.lit(1.0 / t), k + 1)
-    return F.floor(F.col(col) / size)
+    return F.floor(F.col(col) / _cell_size(k, t))
+
+
+def _near_cells(col: str, k, t: float):
+    """Own cell and the neighbour on the near side of the cell centre."""
+    pos = F.col(col) / _cell_size(k, t)
+    own = F.floor(pos)
+    side = F.when(pos - own >= 0.5, F.lit(1)).otherwise(F.lit(-1))
+    return F.array(own, own + side)
 
 
 def repeat_pairs(boxes: DataFrame, iou_t: float = 0.85, conf_t: float = 0.1,
@@ -55,10 +67,9 @@ def repeat_pairs(boxes: DataFrame, iou_t: float = 0.85, conf_t: float = 0.1,
                    _cell(x, F.col("_k"), iou_t).alias("_gx"), _cell(y, F.col("_k"), iou_t).alias("_gy"),
                    F.col(x).alias("bx"), F.col(y).alias("by"), F.col(w).alias("bw"), F.col(h).alias("bh"),
                    F.col("_k").alias("_kb"))
-    off = F.array(*[F.lit(i) for i in (-1, 0, 1)])
     pr = (b.withColumn("_kk", F.explode(F.array(F.col("_k"), F.col("_k") + 1)))
-          .withColumn("_gx", F.explode(F.transform(off, lambda d: _cell(x, F.col("_kk"), iou_t) + d)))
-          .withColumn("_gy", F.explode(F.transform(off, lambda d: _cell(y, F.col("_kk"), iou_t) + d)))
+          .withColumn("_gx", F.explode(_near_cells(x, F.col("_kk"), iou_t)))
+          .withColumn("_gy", F.explode(_near_cells(y, F.col("_kk"), iou_t)))
           .select(folder, F.col(key).alias("a_id"), "_kk", "_gx", "_gy", F.col("_k").alias("_ka"),
                   F.col(x).alias("ax"), F.col(y).alias("ay"), F.col(w).alias("aw"), F.col(h).alias("ah")))
     j = pr.join(ins, [folder, "_kk", "_gx", "_gy"], "inner")

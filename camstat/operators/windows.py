@@ -67,32 +67,34 @@ def sessionize(df: DataFrame, keys: list[str], ts: str, gap_seconds: float,
     it is the key's first row or its gap to the previous row is ``>= gap``.
     Runs are numbered 1, 2, ... per key in time order.
 
-    Two-level plan (hot-key safe): rows are partitioned by ``(keys, bucket)``
-    with ``bucket = floor(ts / bucket_seconds)``; a per-bucket summary (max ts,
-    number of run starts) is windowed per key to supply the previous bucket's
-    last timestamp and the running offset.  Result equals a single window over
-    each key."""
+    Two-level plan (hot-key safe): rows are windowed only within
+    ``(keys, bucket)`` partitions, ``bucket = floor(ts / bucket_seconds)``.  A
+    per-bucket summary (first / last time, run starts inside the bucket) is
+    windowed per key -- one small row per bucket -- to decide whether the
+    bucket's first row starts a run and to carry the running offset; one join
+    brings both back.  The result equals a single window over each key."""
     tiebreak = tiebreak or []
     us = int(bucket_seconds * 1_000_000)
     gap_us = F.lit(int(gap_seconds * 1_000_000))
     x = (df.withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")))
          .withColumn("_b", F.floor(F.col("_t") / F.lit(us))))
     w_in = Window.partitionBy(*keys, "_b").orderBy("_t", *tiebreak)
-    x = x.withColumn("_prev", F.lag("_t").over(w_in))
-    bt = x.groupBy(*keys, "_b").agg(F.max("_t").alias("_bmax"))
-    bt = bt.withColumn("_pb", F.lag("_bmax").over(Window.partitionBy(*keys).orderBy("_b")))
-    x = x.join(bt.select(*keys, "_b", "_pb"), [*keys, "_b"], "inner")
-    prev = F.coalesce(F.col("_prev"), F.col("_pb"))
-    x = x.withColumn("_new", F.when(prev.isNull() | ((F.col("_t") - prev) >= gap_us), 1).otherwise(0))
-    x = x.withColumn("_cs", F.sum("_new").over(w_in.rowsBetween(Window.unboundedPreceding, 0)))
-    bs = x.groupBy(*keys, "_b").agg(F.sum("_new").alias("_bs"))
-    bs = bs.withColumn("_off", F.coalesce(F.sum("_bs").over(
-        Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    x = x.join(bs.select(*keys, "_b", "_off"), [*keys, "_b"], "inner")
-    x = x.withColumn(out, (F.col("_cs") + F.col("_off")).cast("bigint"))
+    prev = F.lag("_t").over(w_in)
+    x = x.withColumn("_first", prev.isNull()).withColumn(
+        "_inew", F.when(prev.isNotNull() & ((F.col("_t") - prev) >= gap_us), 1).otherwise(0))
+    x = x.withColumn("_ics", F.sum("_inew").over(w_in.rowsBetween(Window.unboundedPreceding, 0)))
+    wb = Window.partitionBy(*keys).orderBy("_b")
+    bt = x.groupBy(*keys, "_b").agg(F.min("_t").alias("_bmin"), F.max("_t").alias("_bmax"),
+                                    F.sum("_inew").alias("_bn"))
+    pb = F.lag("_bmax").over(wb)
+    bt = bt.withColumn("_fnew", F.when(pb.isNull() | ((F.col("_bmin") - pb) >= gap_us), 1).otherwise(0))
+    bt = bt.withColumn("_off", F.coalesce(F.sum(F.col("_bn") + F.col("_fnew")).over(
+        wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    x = x.join(bt.select(*keys, "_b", "_off", "_fnew"), [*keys, "_b"], "inner")
+    x = x.withColumn(out, (F.col("_off") + F.col("_fnew") + F.col("_ics")).cast("bigint"))
     if flag_out:
-        x = x.withColumn(flag_out, F.col("_new") == 1)
-    return x.drop("_t", "_b", "_prev", "_pb", "_new", "_cs", "_off")
+        x = x.withColumn(flag_out, F.when(F.col("_first"), F.col("_fnew") == 1).otherwise(F.col("_inew") == 1))
+    return x.drop("_t", "_b", "_first", "_inew", "_ics", "_off", "_fnew")
 
 
 def independent_detections(obs: DataFrame, keys: list[str], ts: str, gap_seconds: float,

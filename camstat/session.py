@@ -17,6 +17,13 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast only on measured sizes: the static planner estimates from
+    # compressed file sizes (badly wrong after explode/generate), so static
+    # auto-broadcast is off and AQE converts a join to a broadcast only when the
+    # runtime-measured shuffle output of a side is under the threshold.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
