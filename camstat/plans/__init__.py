@@ -6,7 +6,7 @@ from camstat.plans.registry import ORACLES, QUERIES  # noqa: F401
 def load_all() -> None:
     """Import every plan module so its queries register."""
     from camstat.plans import (  # noqa: F401
-        ecology, detections, identity, windows_q, spatial_q, classify_q, learning_q, quality_q,
+        ecology, detections, identity, windows_q, spatial_q, classify_q, learning_q, quality_q, extras_q,
     )
 
 
