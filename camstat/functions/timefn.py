@@ -54,9 +54,20 @@ def days_between(end: ColLike, start: ColLike) -> Column:
     return F.datediff(F.to_date(_c(end)), F.to_date(_c(start)))
 
 
+def micros_between(start: ColLike, end: ColLike) -> Column:
+    """Elapsed microseconds.  On TIMESTAMP_NTZ values this is wall-clock
+    arithmetic, independent of the session time zone (no DST shifts)."""
+    return F.timestamp_diff("MICROSECOND", _c(start), _c(end))
+
+
+def epoch_micros(c: ColLike) -> Column:
+    """Microseconds since 1970-01-01 00:00:00 of a wall-clock (NTZ) or zoned time."""
+    return micros_between(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(c) if isinstance(c, str) else c)
+
+
 def fractional_days(end: ColLike, start: ColLike) -> Column:
     """exact elapsed days as a double."""
-    return (F.unix_timestamp(_c(end)) - F.unix_timestamp(_c(start))) / F.lit(86400.0)
+    return micros_between(start, end) / F.lit(86400e6)
 
 
 def seconds_of_day(c: ColLike) -> Column:
@@ -70,5 +81,5 @@ def dst_shift(c: ColLike, windows: list[tuple[str, str]], hours: int = 1) -> Col
     t = _c(c)
     cond = F.lit(False)
     for a, b in windows:
-        cond = cond | ((t >= F.lit(a).cast("timestamp")) & (t < F.lit(b).cast("timestamp")))
+        cond = cond | ((t >= F.lit(a).cast("timestamp_ntz")) & (t < F.lit(b).cast("timestamp_ntz")))
     return F.when(cond, t + F.make_interval(hours=F.lit(hours))).otherwise(t)

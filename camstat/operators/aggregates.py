@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from camstat.functions.timefn import parse_capture_time
+from camstat.functions.timefn import fractional_days, parse_capture_time
 
 
 def n_distinct(df: DataFrame, col: str, out: str = "n") -> DataFrame:
@@ -169,8 +169,7 @@ def detection_latency(obs: DataFrame, cams: DataFrame, zones: DataFrame | None =
     tot = g.groupBy(species).agg(F.sum("camera_events").alias("total_events"),
                                  F.count("*").alias("n_cameras"))
     out = g.join(tot, species, "inner").filter(F.col("n_cameras") > min_cameras)
-    diff = (F.unix_micros(F.col("first_day").cast("timestamp"))
-            - F.unix_micros(F.col("camera_first_day").cast("timestamp"))) / F.lit(86400e6)
+    diff = fractional_days("first_day", "camera_first_day")
     return out.withColumn("diff_days", diff).filter(F.col("diff_days") < max_days)
 
 

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from camstat.functions.timefn import epoch_micros
+
 
 def top1(df: DataFrame, key: list[str], score: str, position: str | None = None,
          payload: list[str] | None = None) -> DataFrame:
@@ -76,7 +78,7 @@ def sessionize(df: DataFrame, keys: list[str], ts: str, gap_seconds: float,
     tiebreak = tiebreak or []
     us = int(bucket_seconds * 1_000_000)
     gap_us = F.lit(int(gap_seconds * 1_000_000))
-    x = (df.withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")))
+    x = (df.withColumn("_t", epoch_micros(ts))
          .withColumn("_b", F.floor(F.col("_t") / F.lit(us))))
     w_in = Window.partitionBy(*keys, "_b").orderBy("_t", *tiebreak)
     prev = F.lag("_t").over(w_in)
@@ -109,8 +111,8 @@ def independent_detections(obs: DataFrame, keys: list[str], ts: str, gap_seconds
             .agg(F.min(ts).alias("start_time"), F.max(ts).alias("end_time"),
                  F.count("*").alias("n_images"), F.avg("n_individuals").alias("avg_animals"),
                  F.max("n_individuals").alias("max_animals"))
-            .withColumn("duration_s", F.unix_timestamp(F.col("end_time").cast("timestamp"))
-                        - F.unix_timestamp(F.col("start_time").cast("timestamp"))))
+            .withColumn("duration_s", F.floor(epoch_micros("end_time") / 1_000_000)
+                        - F.floor(epoch_micros("start_time") / 1_000_000)))
 
 
 def expand_bursts(dets: DataFrame, keys: list[str], ts: str, thr: float = 0.1,

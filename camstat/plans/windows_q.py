@@ -47,8 +47,8 @@ FROM s GROUP BY camera_id, sess"""))
 def visit_sessions(spark, sf):
     """T2 (batch twin): visit sessions per camera with a 30-minute gap via
     ``session_window``."""
-    o = S.observations(spark, sf).withColumn("ts", F.col("date_time").cast("timestamp"))
-    g = o.groupBy("camera_id", F.session_window("ts", f"{GAP_S} seconds").alias("s")).agg(
+    o = S.observations(spark, sf)
+    g = o.groupBy("camera_id", F.session_window("date_time", f"{GAP_S} seconds").alias("s")).agg(
         F.count("*").alias("n_images"))
     return g.select("camera_id", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"),
                     "n_images")
