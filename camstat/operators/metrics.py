@@ -7,7 +7,7 @@ proportional to the number of classes squared, not to the rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -56,17 +56,17 @@ def portable_hash(key: Column, seed: int) -> Column:
 def split_stratified(df: DataFrame, cls: str, key: str, frac: float = 0.25, seed: int = 42,
                      out: str = "split", hash_col: Column | None = None) -> DataFrame:
     """Per class, the ``round(frac * n)`` rows with the smallest seeded hash go
-    to ``eval``, the rest to ``train``.  Stable across runs.  Ranking is a
-    window per class; classes are bounded label sets, and a hot class is the
-    worst case only for this bookkeeping sort."""
+    to ``eval``, the rest to ``train``.  Stable across runs.  The within-class
+    rank comes from the range-partitioned sequence operator, so a class holding
+    most rows is still ranked by many tasks."""
+    from camstat.operators.windows import seq_id
     h = hash_col if hash_col is not None else (
         portable_hash(F.col(key), seed) if dict(df.dtypes)[key] in ("int", "bigint", "smallint")
         else F.xxhash64(F.col(key), F.lit(seed)))
     n = df.groupBy(cls).agg(F.count("*").alias("_n"))
-    w = Window.partitionBy(cls).orderBy(h, F.col(key))
-    r = df.withColumn("_rn", F.row_number().over(w)).join(n, cls, "inner")
-    return (r.withColumn(out, F.when(F.col("_rn") <= F.round(F.col("_n") * frac), F.lit("eval"))
-                         .otherwise(F.lit("train"))).drop("_rn", "_n"))
+    r = seq_id(df.withColumn("_h", h), ["_h", key], out="_rank", by=[cls]).join(n, cls, "inner")
+    return (r.withColumn(out, F.when(F.col("_rank") <= F.round(F.col("_n") * frac), F.lit("eval"))
+                         .otherwise(F.lit("train"))).drop("_rank", "_n", "_h"))
 
 
 def folds(df: DataFrame, key: str, k: int = 10, seed: int = 42, out: str = "fold") -> DataFrame:

@@ -46,19 +46,21 @@ def share_within(df: DataFrame, by: list[str], n: str = "n", out: str = "share")
     return with_totals(df, by, {"_tot": F.sum(n)}).withColumn(out, F.col(n) / F.col("_tot")).drop("_tot")
 
 
-def seq_id(df: DataFrame, order: list[str], out: str = "seq", partitions: int | None = None) -> DataFrame:
-    """Dense sequential row number 1..n in a total order, without funnelling
-    all rows into one task: range-partition on the order, number rows inside each
-    partition, and add the cumulative size of the preceding partitions (a table
-    with one row per partition)."""
+def seq_id(df: DataFrame, order: list, out: str = "seq", partitions: int | None = None,
+           by: list[str] | None = None) -> DataFrame:
+    """Dense sequential row number 1..n in a total order (within each ``by``
+    group when given), without funnelling a whole group into one task:
+    range-partition on ``(by, order)``, number rows inside each partition, and
+    add the number of same-group rows in the preceding partitions (a table with
+    one row per partition and group)."""
+    by = by or []
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
-    # materialise the partition assignment so counts and numbering agree on re-use
-    local = r.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
-    sizes = local.groupBy("_pid").agg(F.count("*").alias("_sz"))
+    r = df.repartitionByRange(n, *by, *order).withColumn("_pid", F.spark_partition_id())
+    local = r.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid", *by).orderBy(*order)))
+    sizes = local.groupBy("_pid", *by).agg(F.count("*").alias("_sz"))
     sizes = sizes.withColumn("_off", F.coalesce(F.sum("_sz").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return (local.join(sizes.select("_pid", "_off"), "_pid", "inner")
+        Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return (local.join(sizes.select("_pid", *by, "_off"), ["_pid", *by], "inner")
             .withColumn(out, F.col("_rn") + F.col("_off")).drop("_pid", "_rn", "_off"))
 
 

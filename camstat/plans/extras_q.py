@@ -122,3 +122,74 @@ def progress_formatted(spark, sf):
     b = S.boxes(spark, sf)
     t = A.progress_table(b, O.above(b, 0.1), 0.1).filter(F.col("status").isin("Total", "Filtered", "Processed"))
     return t.select("status", X.thousands("images").alias("images_fmt"))
+
+
+_OVERLAY_SQL = """
+WITH base AS (SELECT l_orderkey AS image, count(*) AS n FROM lineitem WHERE l_linestatus = 'F' GROUP BY l_orderkey),
+upd AS (SELECT l_orderkey AS image, count(*) FILTER (WHERE l_returnflag <> 'R') AS n FROM lineitem
+        WHERE l_linestatus = 'O' GROUP BY l_orderkey)
+SELECT coalesce(b.image, u.image) AS image, CASE WHEN u.image IS NOT NULL THEN u.n ELSE b.n END AS n_annotations,
+       u.image IS NOT NULL AS from_update
+FROM base b FULL OUTER JOIN upd u ON b.image = u.image
+WHERE b.image IS NOT NULL OR (u.image IS NOT NULL AND u.n > 0)"""
+
+
+@register("annotation_overlay", with_views([], _OVERLAY_SQL))
+def annotation_overlay(spark, sf):
+    """An update export replaces base annotations per image; images only in
+    the update are added when they carry annotations (R3 per-image lists)."""
+    li = S.table(spark, sf, "lineitem")
+    base = (li.filter(F.col("l_linestatus") == "F")
+            .groupBy(F.col("l_orderkey").alias("image")).agg(F.collect_list("l_linenumber").alias("annotations")))
+    upd = (li.filter(F.col("l_linestatus") == "O")
+           .groupBy(F.col("l_orderkey").alias("image"))
+           .agg(F.collect_list(F.when(F.col("l_returnflag") != "R", F.col("l_linenumber"))).alias("annotations")))
+    out = J.overlay_annotations(base, upd, "image", "annotations")
+    flag = upd.select("image", F.lit(True).alias("from_update"))
+    return (out.join(flag, "image", "left")
+            .select("image", F.size("annotations").alias("n_annotations"),
+                    F.coalesce("from_update", F.lit(False)).alias("from_update")))
+
+
+@register("conversation_bursts", with_views([], """
+WITH c AS (SELECT conv_id, turn, length(text) / 2000.0 AS confidence FROM conversations),
+b AS (SELECT conv_id, max(confidence) AS burst_max_conf FROM c GROUP BY conv_id HAVING max(confidence) > 0.5)
+SELECT c.conv_id, c.turn, c.confidence, b.burst_max_conf FROM c JOIN b ON c.conv_id = b.conv_id"""))
+def conversation_bursts(spark, sf):
+    """W7 with given burst ids: every turn (image) of a conversation (burst) whose
+    longest turn passes the threshold."""
+    from camstat.operators import windows as W
+    c = S.table(spark, sf, "conversations").select("conv_id", "turn", (F.length("text") / 2000.0).alias("confidence"))
+    return W.expand_bursts(c, [], "turn", 0.5, burst="conv_id").select("conv_id", "turn", "confidence", "burst_max_conf")
+
+
+@register("label_metrics", with_views([], """
+WITH cm AS (SELECT quality AS truth, toxic AS pred, count(*) AS n FROM labels GROUP BY quality, toxic),
+t AS (SELECT truth AS class, sum(n) AS n_true FROM cm GROUP BY truth),
+p AS (SELECT pred AS class, sum(n) AS n_pred FROM cm GROUP BY pred),
+tp AS (SELECT truth AS class, n AS tp FROM cm WHERE truth = pred),
+m AS (SELECT coalesce(t.class, p.class) AS class, coalesce(t.n_true, 0) AS n_true, coalesce(p.n_pred, 0) AS n_pred,
+             coalesce(tp.tp, 0) AS tp, (SELECT sum(n) FROM cm) AS nn
+      FROM t FULL OUTER JOIN p ON t.class = p.class LEFT JOIN tp ON tp.class = coalesce(t.class, p.class)),
+r AS (SELECT class, tp, n_pred - tp AS fp, n_true - tp AS fn, nn - n_pred - n_true + tp AS tn,
+             CASE WHEN n_pred > 0 THEN tp * 1.0 / n_pred END AS precision,
+             CASE WHEN n_true > 0 THEN tp * 1.0 / n_true END AS recall FROM m)
+SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) END AS f1 FROM r"""))
+def label_metrics(spark, sf):
+    """A28 on the label table (truth = quality, prediction = toxic)."""
+    from camstat.operators import metrics as M
+    lab = S.table(spark, sf, "labels").select(F.col("quality").alias("truth"), F.col("toxic").alias("pred"))
+    return M.class_metrics(lab)
+
+
+@register("prediction_correctness", with_views([], """
+SELECT truth, count(*) AS n, count(*) FILTER (WHERE correct) AS n_correct FROM (
+  SELECT label AS truth, list_position(embedding[1:10], list_max(embedding[1:10])) - 1 = label AS correct
+  FROM embeddings) e GROUP BY truth"""))
+def prediction_correctness(spark, sf):
+    """Correctness flag (true class equals predicted) counted per class."""
+    from camstat.functions.stats import argmax
+    e = S.table(spark, sf, "embeddings").select(F.col("label").alias("truth"),
+                                                argmax(F.slice("embedding", 1, 10)).alias("pred"))
+    e = O.flag_correct(e, "truth", "pred")
+    return e.groupBy("truth").agg(F.count("*").alias("n"), F.count_if("correct").alias("n_correct"))

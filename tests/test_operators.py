@@ -214,3 +214,11 @@ def test_gower_and_jaccard(spark):
     pa = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (3, "c")], "u int, s string")
     j = {(r.a, r.b): r.jaccard for r in SP.jaccard(pa, pairs, "u", "s").collect()}
     assert j == {(1, 2): 0.5, (1, 3): 1.0}
+
+
+def test_seq_id_within_groups(spark):
+    df = spark.range(0, 3000).withColumn("g", F.when(F.col("id") < 2000, 0).otherwise(F.col("id") % 3))
+    s = W.seq_id(df, ["id"], by=["g"], partitions=9)
+    ref = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy("id")))
+    j = s.join(ref, ["id", "g"])
+    assert j.count() == 3000 and j.filter(F.col("seq") != F.col("r")).count() == 0
