@@ -72,11 +72,17 @@ def is_manual(c: ColLike = "id", strict: bool = False) -> Column:
 
 
 def is_numeric_id(c: ColLike = "id", rule: str = "cast") -> Column:
-    """numeric id test.  ``cast``: parses as an integer; ``letters``: the
-    older rule "contains neither P nor Q"."""
+    """numeric id test.  ``cast``: an integer of up to 18 digits; ``letters``:
+    the older rule "contains neither P nor Q"."""
     if rule == "letters":
         return ~(_c(c).contains("P") | _c(c).contains("Q"))
-    return _c(c).try_cast("bigint").isNotNull()
+    # a digit pattern, not try_cast: failed casts are slow on mostly non-numeric ids
+    return _c(c).rlike(r"^[+-]?[0-9]{1,18}$")
+
+
+def numeric_value(c: ColLike = "id") -> Column:
+    """Integer value of a numeric id (null otherwise)."""
+    return F.when(is_numeric_id(c), _c(c).cast("bigint"))
 
 
 def basename(c: ColLike) -> Column:

@@ -59,7 +59,7 @@ def decide(rows: DataFrame, key: list[str], orig: str = "orig", id_col: str = "i
                     is_numeric_id(id_col, numeric_rule).alias("_num"))
     pair = (r.groupBy(*key, id_col, "_sp", "_num")
             .agg(F.count_if(F.col(orig) == 1).alias("_c1"), F.count_if(F.col(orig) == 2).alias("_c2")))
-    num_val = F.when(F.col("_num"), F.col(id_col).try_cast("bigint"))
+    num_val = F.when(F.col("_num"), F.col(id_col).cast("bigint"))
     f = pair.groupBy(*key).agg(
         F.sum("_c1").alias("n1"), F.sum("_c2").alias("n2"),
         F.count_if(F.col("_c1") != F.col("_c2")).alias("_mismatch"),
@@ -89,7 +89,7 @@ def reconcile(rows: DataFrame, key: list[str] | None = None, orig: str = "orig",
     j = rows.join(d, key, "inner")
     num = is_numeric_id(id_col, numeric_rule)
     keep = (F.when(F.col("rule").isin("D1", "D4", "D5"), F.col(orig) == F.col("keep_orig"))
-            .when(F.col("rule") == "D2", num & (F.col(id_col).try_cast("bigint") == F.col("min_numeric_id")))
+            .when(F.col("rule") == "D2", num & (F.when(num, F.col(id_col).cast("bigint")) == F.col("min_numeric_id")))
             .when(F.col("rule").isin("D3", "D6"), ~num)
             .otherwise(F.lit(False)))
     kept = (j.filter(keep)
