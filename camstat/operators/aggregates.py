@@ -55,10 +55,12 @@ def category_breakdown(df: DataFrame, t: float = 0.1, col: str = "category_id",
 
 
 def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row aggregate to every row (equi join on a
-    constant key; the one-row side is broadcast by AQE)."""
-    return (df.withColumn("_one", F.lit(0))
-            .join(one_row.withColumn("_one", F.lit(0)), "_one", "inner").drop("_one"))
+    """Attach the columns of a one-row aggregate to every row as an uncorrelated
+    scalar subquery: the aggregate runs once as its own job and its value is
+    substituted into the projection -- no join, no shuffle of ``df``."""
+    cols = one_row.columns
+    s = one_row.select(F.struct(*[F.col(c) for c in cols]).alias("_s")).scalar()
+    return df.withColumn("_scalar", s).select("*", *[F.col("_scalar")[c].alias(c) for c in cols]).drop("_scalar")
 
 
 def progress_table(dets: DataFrame, anns_noempty: DataFrame, t: float = 0.1,

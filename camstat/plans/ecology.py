@@ -17,7 +17,8 @@ PLOT_MIN_DAYS = 50
 
 
 def _names(spark):
-    return named_list(spark, S.SCIENTIFIC, "species", "scientific_name")
+    # literal table of known, fixed size: safe to broadcast
+    return F.broadcast(named_list(spark, S.SCIENTIFIC, "species", "scientific_name"))
 
 
 NAMES_SQL = ("SELECT * FROM (VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in S.SCIENTIFIC.items())

@@ -60,7 +60,8 @@ def _zone_edges(spark):
 
 
 def _legend(spark):
-    return spark.createDataFrame(LEGEND, "value long, category_code string, label string")
+    # literal table of known, fixed size: safe to broadcast
+    return F.broadcast(spark.createDataFrame(LEGEND, "value long, category_code string, label string"))
 
 
 @register("zone_of_camera", with_views(["cameras"], _ZONE_OF_SQL, {"verts": _VERTS_SQL, "edges": _EDGES_SQL}))
