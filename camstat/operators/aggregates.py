@@ -27,8 +27,10 @@ def with_share(df: DataFrame, n: str = "n", out: str = "pct", by: list[str] | No
                scale: float = 100.0) -> DataFrame:
     """Share of ``n`` within ``by`` (all rows when empty).  Applied to already
     aggregated frequency tables, whose size is the number of categories."""
-    w = Window.partitionBy(*(by or []))
-    return df.withColumn(out, F.col(n) * scale / F.sum(n).over(w))
+    if by:
+        return df.withColumn(out, F.col(n) * scale / F.sum(n).over(Window.partitionBy(*by)))
+    # grand total as a scalar subquery: no single-partition window
+    return df.withColumn(out, F.col(n) * scale / df.agg(F.sum(n)).scalar())
 
 
 def freq_pct(df: DataFrame, col: str, distinct_on: list[str] | None = None,
@@ -47,11 +49,11 @@ def category_breakdown(df: DataFrame, t: float = 0.1, col: str = "category_id",
          .groupBy(col)
          .agg(F.count("*").alias("n_all"),
               F.count_if(F.col(conf) > t).alias("n_filtered")))
-    w = Window.partitionBy()
-    return g.withColumns({
-        "pct_all": F.col("n_all") * 100.0 / F.sum("n_all").over(w),
-        "pct_filtered": F.col("n_filtered") * 100.0 / F.sum("n_filtered").over(w),
-    })
+    tot = g.agg(F.sum("n_all").alias("_ta"), F.sum("n_filtered").alias("_tf"))
+    return attach_scalar(g, tot).withColumns({
+        "pct_all": F.col("n_all") * 100.0 / F.col("_ta"),
+        "pct_filtered": F.col("n_filtered") * 100.0 / F.col("_tf"),
+    }).drop("_ta", "_tf")
 
 
 def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -261,7 +263,8 @@ def split_balance(df: DataFrame, cls: str = "class", split: str = "split",
                   splits=("train", "eval")) -> DataFrame:
     """Class counts and within-split shares per split."""
     g = df.groupBy(cls).pivot(split, list(splits)).agg(F.count(F.lit(1))).fillna(0)
-    w = Window.partitionBy()
+    tot = g.agg(*[F.sum(s).alias(f"_t_{s}") for s in splits])
+    g = attach_scalar(g, tot)
     for s in splits:
-        g = g.withColumn(f"{s}_share", F.col(s) / F.sum(s).over(w))
-    return g
+        g = g.withColumn(f"{s}_share", F.col(s) / F.col(f"_t_{s}"))
+    return g.drop(*[f"_t_{s}" for s in splits])

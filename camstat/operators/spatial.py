@@ -101,8 +101,7 @@ def cover_totals(pairs: DataFrame, legend: DataFrame, value: str = "value",
     grand total (which includes cells without a class), rounded half-even to 2;
     every legend class listed, 0 when absent."""
     tot = pairs.groupBy(value).agg(F.sum(weight).alias("total"))
-    w = Window.partitionBy()
-    tot = tot.withColumn("percentage", F.bround(F.col("total") / F.sum("total").over(w) * 100, 2))
+    tot = tot.withColumn("percentage", F.bround(F.col("total") / tot.agg(F.sum("total")).scalar() * 100, 2))
     out = legend.join(tot.filter(F.col(value).isNotNull()), value, "left")
     return (out.withColumn("percentage", F.coalesce("percentage", F.lit(0.0)))
             .filter(~F.col(code).isin(*exclude))
