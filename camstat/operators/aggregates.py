@@ -68,9 +68,9 @@ def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
 def progress_table(dets: DataFrame, anns_noempty: DataFrame, t: float = 0.1,
                    image: str = "image_id", conf: str = "confidence",
                    empty: str = "isempty", species: str = "species") -> DataFrame:
-    """A4: the five-row tagging progress table (images, detections, false
+    """A4 + U5: the five-row tagging progress table (images, detections, false
     positives): one aggregate pass over detections, one over annotations, then
-    the scalar rows are stacked."""
+    the scalar rows are stacked as literal rows."""
     img, c, e = F.col(image), F.col(conf), F.col(empty)
     d = dets.agg(
         F.count_distinct(img).alias("total_images"),
@@ -135,6 +135,13 @@ def one_hot(df: DataFrame, key: list[str], cls: str, values: list) -> DataFrame:
     return df.select(*key, *[(F.col(cls) == F.lit(v)).cast("int").alias(str(v)) for v in values])
 
 
+def one_hot_groups(df: DataFrame, groups: DataFrame, key: list[str], cls: str, group: str,
+                   values: list) -> DataFrame:
+    """J4 + A8: left-join each row's class to its class group, then one-hot the
+    group over an explicit list."""
+    return one_hot(df.join(groups.select(cls, group), cls, "left"), key, group, values)
+
+
 def day_events(obs: DataFrame, unit: str = "camera_id", species: str = "species",
                month: str = "month", day_key: str = "ymd", out: str = "day_count") -> DataFrame:
     """Distinct (unit, species, month, day) then a count per unit x species."""
@@ -163,11 +170,12 @@ def detection_latency(obs: DataFrame, cams: DataFrame, zones: DataFrame | None =
     """Per species x camera the first sighting, camera start and distinct
     days; species totals (sum of days, number of cameras); keep species seen at
     more than ``min_cameras`` cameras and latencies under ``max_days``."""
-    g = (obs.join(cams.select(camera, "camera_first_day"), camera, "left")
-         .groupBy(species, camera)
-         .agg(F.min(ts).alias("first_day"),
-              F.min("camera_first_day").alias("camera_first_day"),
-              F.count_distinct(day_key).alias("camera_events")))
+    # distinct days first (a plain aggregate), then per species x camera; the
+    # camera start is one value per camera, joined after the aggregation
+    per_day = obs.groupBy(species, camera, day_key).agg(F.min(ts).alias("_d"))
+    g = (per_day.groupBy(species, camera)
+         .agg(F.min("_d").alias("first_day"), F.count("*").alias("camera_events"))
+         .join(cams.select(camera, "camera_first_day"), camera, "left"))
     if zones is not None:
         g = g.join(zones, camera, "left")
     tot = g.groupBy(species).agg(F.sum("camera_events").alias("total_events"),

@@ -86,6 +86,11 @@ def union_tagged(parts: dict[str, DataFrame], tag: str = "source") -> DataFrame:
     return union_fill(*[d.withColumn(tag, F.lit(k)) for k, d in parts.items()])
 
 
+def add_rows(df: DataFrame, rows: list[tuple]) -> DataFrame:
+    """Append literal rows (a bounded list written in code) by name."""
+    return df.unionByName(df.sparkSession.createDataFrame(rows, df.schema))
+
+
 def conservation(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """One-row check: union count = a + b, distinct keys, keys in both."""
     ca = a.agg(F.count("*").alias("n_a"))

@@ -72,3 +72,13 @@ def test_crop_manifest_and_pixels(spark, tmp_path):
     assert len(crops) == 1 and (crops[0].crop_w, crops[0].crop_h) == (5, 4)
     px = np.frombuffer(crops[0].crop, dtype=np.uint8).reshape(4, 5, 3)
     assert (px[..., 2] == 10).all() and (px[..., 0] == 30).all()
+
+
+def test_one_hot_groups_and_add_rows(spark):
+    from camstat.operators import aggregates as A
+    df = spark.createDataFrame([(1, "Moose"), (2, "Red fox"), (3, "Lynx")], "id int, species string")
+    groups = spark.createDataFrame([("Moose", "ungulate"), ("Red fox", "carnivore")], "species string, grp string")
+    out = {r.id: (r.ungulate, r.carnivore) for r in A.one_hot_groups(df, groups, ["id"], "species", "grp",
+                                                                        ["ungulate", "carnivore"]).collect()}
+    assert out == {1: (1, 0), 2: (0, 1), 3: (None, None)}
+    assert R.add_rows(df, [(4, "Wolf")]).count() == 4
