@@ -131,8 +131,9 @@ def pivot_wide(long: DataFrame, row: str, col: str, val: str, values: list, fill
 
 
 def one_hot(df: DataFrame, key: list[str], cls: str, values: list) -> DataFrame:
-    """One-hot columns (1 / 0) for an explicit class list."""
-    return df.select(*key, *[(F.col(cls) == F.lit(v)).cast("int").alias(str(v)) for v in values])
+    """One-hot columns (1 / 0, a missing class is all 0) for an explicit class list."""
+    return df.select(*key, *[F.coalesce((F.col(cls) == F.lit(v)).cast("int"), F.lit(0)).alias(str(v))
+                             for v in values])
 
 
 def one_hot_groups(df: DataFrame, groups: DataFrame, key: list[str], cls: str, group: str,

@@ -80,5 +80,5 @@ def test_one_hot_groups_and_add_rows(spark):
     groups = spark.createDataFrame([("Moose", "ungulate"), ("Red fox", "carnivore")], "species string, grp string")
     out = {r.id: (r.ungulate, r.carnivore) for r in A.one_hot_groups(df, groups, ["id"], "species", "grp",
                                                                         ["ungulate", "carnivore"]).collect()}
-    assert out == {1: (1, 0), 2: (0, 1), 3: (None, None)}
+    assert out == {1: (1, 0), 2: (0, 1), 3: (0, 0)}
     assert R.add_rows(df, [(4, "Wolf")]).count() == 4
