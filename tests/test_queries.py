@@ -26,6 +26,12 @@ def test_query_runs(spark, sf, name):
     df.limit(5).collect()
     sql = E.oracle_sql().get(name)
     if sql:
+        import json
+        from camstat import plans
+        from camstat.plans.registry import output_kinds
+        with open(plans.KINDS_FILE) as fh:
+            kinds = json.load(fh)
+        assert kinds.get(name) == output_kinds(df), "oracle_kinds.json is stale: run tools/gen_oracle_kinds.py"
         con = duckdb.connect()
         for t in TABLES:
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
