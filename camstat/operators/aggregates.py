@@ -219,18 +219,44 @@ def histogram(df: DataFrame, col: str, bins: int, lo: float, hi: float,
                           "bin_hi": F.lit(lo) + F.col("bin") * F.lit((hi - lo) / bins)}))
 
 
+def quantiles(df: DataFrame, col: str, probs: list[float], by: list[str]) -> DataFrame:
+    """Exact linear-interpolation quantiles (the usual "type 7": position
+    ``(n - 1) p + 1``) per group, without buffering a group's values in one task:
+    values are ranked inside each group by the range-partitioned sequence
+    operator, only the two ranks around each position are kept, and the value
+    is interpolated between them.  Output: ``by + [q0, q1, ...]``."""
+    from camstat.operators.windows import seq_id
+    v = df.select(*by, F.col(col).alias("_v")).filter(F.col("_v").isNotNull())
+    n = v.groupBy(*by).agg(F.count("*").alias("_n"))
+    ranked = seq_id(v, ["_v"], out="_r", by=by)
+    pos = n.select(*by, "_n", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"))
+                                                   for i, p in enumerate(probs)])).alias("_q"))
+    pos = pos.select(*by, F.col("_q.i").alias("_i"), ((F.col("_n") - 1) * F.col("_q.p") + 1).alias("_h"))
+    pos = pos.withColumns({"_lo": F.floor("_h"), "_hi": F.ceil("_h")})
+    need = pos.select(*by, "_i", "_h", F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_r"))
+    vals = need.join(ranked, [*by, "_r"], "inner")
+    q = (vals.groupBy(*by, "_i", "_h")
+         .agg(F.min(F.when(F.col("_r") == F.floor("_h"), F.col("_v"))).alias("_vlo"),
+              F.min(F.when(F.col("_r") == F.ceil("_h"), F.col("_v"))).alias("_vhi"))
+         .select(*by, "_i", (F.col("_vlo") + (F.col("_h") - F.floor("_h")) * (F.col("_vhi") - F.col("_vlo"))).alias("_qv")))
+    return (q.groupBy(*by).pivot("_i", list(range(len(probs)))).agg(F.first("_qv"))
+            .select(*by, *[F.col(str(i)).alias(f"q{i}") for i in range(len(probs))]))
+
+
 def box_stats(df: DataFrame, col: str, by: list[str], approx: bool = False,
               accuracy: int = 10000) -> DataFrame:
     """Quartiles, IQR and Tukey whiskers (extreme values within 1.5 IQR).
-    ``approx`` switches to the bounded-memory sketch for very large groups."""
+    Exact quartiles come from the rank-based ``quantiles``; ``approx`` switches
+    to the bounded-memory sketch instead."""
     c = F.col(col)
+    cnt = df.groupBy(*by).agg(F.count(c).alias("n"))
     if approx:
-        q = F.percentile_approx(c, [0.25, 0.5, 0.75], accuracy)
+        q = df.groupBy(*by).agg(F.percentile_approx(c, [0.25, 0.5, 0.75], accuracy).alias("_q"))
+        q = q.select(*by, F.col("_q")[0].alias("q0"), F.col("_q")[1].alias("q1"), F.col("_q")[2].alias("q2"))
     else:
-        q = F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    qs = df.groupBy(*by).agg(q.alias("_q"), F.count(c).alias("n"))
-    qs = qs.select(*by, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                   F.col("_q")[2].alias("q3"))
+        q = quantiles(df, col, [0.25, 0.5, 0.75], by)
+    qs = (cnt.join(q, by, "inner")
+          .select(*by, "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3")))
     qs = qs.withColumn("iqr", F.col("q3") - F.col("q1"))
     j = df.select(*by, col).join(qs.select(*by, "q1", "q3", "iqr"), by, "inner")
     lo_f = F.col("q1") - 1.5 * F.col("iqr")

@@ -162,19 +162,36 @@ def _exif_datetime(buf: bytes) -> str | None:
     return None
 
 
+def _read_head(path: str, n: int) -> bytes | None:
+    """First ``n`` bytes of a file on any filesystem pyarrow knows (local, HDFS,
+    S3, GCS ...), without reading the rest."""
+    import pyarrow.fs as pafs
+    try:
+        fs, p = pafs.FileSystem.from_uri(path)
+    except Exception:  # noqa: BLE001 - plain local path
+        fs, p = pafs.LocalFileSystem(), path.replace("file:", "", 1)
+    try:
+        with fs.open_input_stream(p) as fh:
+            return fh.read(n)
+    except OSError:
+        return None
+
+
 def read_capture_times(spark: SparkSession, root: str, header_bytes: int = 65536,
                        pattern: str = "*.[jJ][pP]*[gG]") -> DataFrame:
-    """Capture time per image from the EXIF header.  Files are listed by the
-    ``binaryFile`` source; only the first ``header_bytes`` of each file are
-    parsed.  A missing tag gives null (and ``has_time = false``) instead of
-    failing the job."""
+    """Capture time per image from the EXIF header.  Files are listed by
+    the ``binaryFile`` source selecting the path only (contents are never
+    loaded); each task then reads just the first ``header_bytes`` of its files.
+    A missing tag gives null (``has_time = false``) instead of failing the job."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-             .option("pathGlobFilter", pattern).load(root)
-             .select("path", F.substring("content", 1, header_bytes).alias("head")))
+             .option("pathGlobFilter", pattern).load(root).select("path"))
 
     def run(batches):
         for pdf in batches:
-            ts = [(_exif_datetime(bytes(h)) if h is not None else None) for h in pdf["head"]]
+            ts = []
+            for p in pdf["path"]:
+                h = _read_head(p, header_bytes)
+                ts.append(_exif_datetime(h) if h else None)
             yield pd.DataFrame({"path": pdf["path"], "exif_date_time_original": ts})
 
     out = files.mapInPandas(run, "path string, exif_date_time_original string")

@@ -222,3 +222,15 @@ def test_seq_id_within_groups(spark):
     ref = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy("id")))
     j = s.join(ref, ["id", "g"])
     assert j.count() == 3000 and j.filter(F.col("seq") != F.col("r")).count() == 0
+
+
+def test_exact_quantiles_match_numpy(spark):
+    import numpy as np
+    rnd = random.Random(4)
+    rows = [(g, float(rnd.randint(0, 50))) for g in range(3) for _ in range(rnd.randint(5, 400))]
+    df = spark.createDataFrame(rows, "g int, v double")
+    got = {r.g: (r.q0, r.q1, r.q2) for r in A.quantiles(df, "v", [0.25, 0.5, 0.9], ["g"]).collect()}
+    for g in range(3):
+        vals = np.array([v for gg, v in rows if gg == g])
+        ref = np.quantile(vals, [0.25, 0.5, 0.9])
+        assert np.allclose(got[g], ref)
