@@ -83,3 +83,22 @@ def stream_visit_sessions(spark, sf):
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(base + "/out")
+
+
+@register("stream_ingest_detections", with_views(["boxes"], """
+SELECT category_id, count(*) AS n, count(DISTINCT image_id) AS n_images FROM boxes GROUP BY category_id"""))
+def stream_ingest_detections(spark, sf):
+    """T1 + S2 + S17: boxes exported as per-image COCO documents (JSON lines, one
+    folder per camera folder) under the cluster's checkpoint folder, ingested
+    by an exactly-once file stream (availableNow), counted from the sink."""
+    from camstat.streaming.ingest import coco_documents, ingest_detections
+    base = checkpoint_dir(spark).rstrip("/") + f"/stream-ingest-{uuid.uuid4().hex}"
+    docs = coco_documents(S.boxes(spark, sf))
+    # a few files per folder: cluster by folder, salted so a hot folder is
+    # written by several tasks
+    salt = F.pmod(F.xxhash64("value"), F.lit(4))
+    docs.repartition("folder", salt).write.partitionBy("folder").text(base + "/in")
+    ingest_detections(spark, base + "/in", base + "/out", base + "/ck", pattern="*.txt", multi_line=False,
+                      max_files=200)
+    out = spark.read.parquet(base + "/out")
+    return out.groupBy("category_id").agg(F.count("*").alias("n"), F.count_distinct("image_id").alias("n_images"))

@@ -17,18 +17,32 @@ from camstat.schemas import COCO_SCHEMA
 
 
 def detection_stream(spark: SparkSession, root: str, pattern: str = "*output_coco.json",
-                     max_files: int = 1000) -> DataFrame:
-    s = (spark.readStream.schema(COCO_SCHEMA).option("multiLine", True).option("pathGlobFilter", pattern)
+                     max_files: int = 1000, multi_line: bool = True) -> DataFrame:
+    """COCO documents as a stream: one document per file (``multi_line``) or one
+    per line (JSON lines, e.g. one image per line)."""
+    s = (spark.readStream.schema(COCO_SCHEMA).option("multiLine", multi_line).option("pathGlobFilter", pattern)
          .option("recursiveFileLookup", True).option("maxFilesPerTrigger", max_files).json(root))
     out = s.select(F.explode("annotations").alias("a"), F.col("_metadata.file_path").alias("file")).select("a.*", "file")
     return clean_names(out)
 
 
 def ingest_detections(spark: SparkSession, root: str, sink: str, checkpoint: str,
-                      pattern: str = "*output_coco.json"):
+                      pattern: str = "*output_coco.json", multi_line: bool = True, max_files: int = 1000):
     """Run once over all files not yet ingested; returns the finished query."""
-    q = (detection_stream(spark, root, pattern).writeStream.format("parquet")
+    q = (detection_stream(spark, root, pattern, max_files, multi_line).writeStream.format("parquet")
          .option("checkpointLocation", checkpoint).option("path", sink)
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     return q
+
+
+def coco_documents(boxes: DataFrame) -> DataFrame:
+    """Box rows -> one COCO document per image (JSON text) with its folder; an
+    image's boxes are a small group."""
+    ann = F.struct(F.col("box_id").alias("id"), F.col("image_id").cast("string").alias("image_id"),
+                   F.col("category_id").cast("int").alias("category_id"),
+                   F.array("x", "y", "w", "h").alias("bbox"), F.col("confidence").alias("confidence"))
+    g = boxes.groupBy("folder", "image_id").agg(F.collect_list(ann).alias("annotations"))
+    img = F.array(F.struct(F.col("image_id").cast("string").alias("id"),
+                           F.concat(F.col("image_id").cast("string"), F.lit(".JPG")).alias("file_name")))
+    return g.select("folder", F.to_json(F.struct(img.alias("images"), "annotations")).alias("value"))
