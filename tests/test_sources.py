@@ -165,3 +165,29 @@ def test_stream_sessions_close_with_watermark(spark, tmp_path):
     out = {(r.camera_id, r.n_images) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     # the last session of camera 1 is still open (watermark), the rest are closed
     assert out == {(1, 2), (1, 1), (2, 1)}
+
+
+def test_small_table_readers(spark, tmp_path):
+    exif = tmp_path / "exif.csv"
+    exif.write_text("SourceFile,DateTimeOriginal,MakerNotesUserLabel\n"
+                    "/data/store/P901/P901-1/CAM-1/DCIM/100RECNX/RCNX0001.JPG,2022:08:19 10:11:12,CAM-1\n")
+    e = RD.read_exif(spark, str(exif), roots=["/data/store/"]).first()
+    assert e.source_file == "P901/P901-1/CAM-1/DCIM/100RECNX/RCNX0001.JPG"
+    assert e.image_id == "P901-1_CAM-1_DCIM_100RECNX_RCNX0001"
+    assert e.maker_notes_user_label == "CAM-1"
+    dep = tmp_path / "dep.csv"
+    dep.write_text("Plot ID,Camera ID,Date Deployed,Date Retrieved,X,Y\nP901,CAM-1,2022-03-01,2022-10-05,-85.1,52.3\n"
+                   "P902,CAM-2,2022-03-02,,-85.2,52.4\n")
+    d = {r.camera_id: r for r in RD.read_deployments(spark, str(dep)).collect()}
+    assert str(d["CAM-1"].date_retrieved) == "2022-10-05" and d["CAM-2"].date_retrieved is None
+    assert d["CAM-1"].longitude == -85.1
+    leg = tmp_path / "legend.csv"
+    leg.write_text("Code,Category Code,Label\n1,WAT,Clear open water\n")
+    g = RD.read_legend(spark, str(leg)).first()
+    assert g.code == "1" and g.category_code == "WAT"
+    cells = spark.createDataFrame([(16, -85.0, 52.0, 3, 0.5)], "utm int, cx double, cy double, value int, coverage_fraction double")
+    cells.write.parquet(str(tmp_path / "cells"))
+    assert RD.read_cells(spark, str(tmp_path / "cells")).count() == 1
+    lab = tmp_path / "labels.csv"
+    lab.write_text("id,filepath,species,Moose,Caribou\n1,a.jpg,Moose,1,0\n")
+    assert RD.read_table_csv(spark, str(lab)).first().Moose == 1
