@@ -71,22 +71,26 @@ def progress_table(dets: DataFrame, anns_noempty: DataFrame, t: float = 0.1,
     """A4 + U5: the five-row tagging progress table (images, detections, false
     positives): one aggregate pass over detections, one over annotations, then
     the scalar rows are stacked as literal rows."""
-    img, c, e = F.col(image), F.col(conf), F.col(empty)
-    d = dets.agg(
-        F.count_distinct(img).alias("total_images"),
-        F.count_if(c > 0).alias("total_dets"),
-        F.count_distinct(F.when(~e, img)).alias("with_images"),
-        F.count_distinct(F.when(e, img)).alias("empty_images"),
-        F.count_distinct(F.when(c > t, img)).alias("filt_images"),
-        F.count_if(c > t).alias("filt_dets"))
+    c, e = F.col(conf), F.col(empty)
+    # per-image partial aggregate first (an image's boxes are a small group), so
+    # every distinct-image count below is a plain sum over images
+    per_img = dets.groupBy(image).agg(
+        F.count_if(c > 0).alias("_d0"), F.max((~e).cast("int")).alias("_ne"),
+        F.max(e.cast("int")).alias("_em"), F.count_if(c > t).alias("_dt"))
+    d = per_img.agg(
+        F.count("*").alias("total_images"), F.sum("_d0").alias("total_dets"),
+        F.sum("_ne").alias("with_images"), F.sum("_em").alias("empty_images"),
+        F.count_if(F.col("_dt") > 0).alias("filt_images"), F.sum("_dt").alias("filt_dets"))
     d = d.selectExpr(
         "stack(4, 1, 'Total', total_images, total_dets,"
         " 2, 'With detections', with_images, CAST(NULL AS BIGINT),"
         " 3, 'Empty', empty_images, CAST(NULL AS BIGINT),"
         " 4, 'Filtered', filt_images, filt_dets) AS (order, status, images, detections)")
     d = d.withColumn("false_positives", F.lit(None).cast("bigint"))
-    a = anns_noempty.agg(F.count_distinct(image).alias("images"), F.count("*").alias("detections"),
-                         F.count_if(F.col(species).isNull()).alias("false_positives"))
+    a_img = anns_noempty.groupBy(image).agg(F.count("*").alias("_n"),
+                                            F.count_if(F.col(species).isNull()).alias("_fp"))
+    a = a_img.agg(F.count("*").alias("images"), F.sum("_n").alias("detections"),
+                  F.sum("_fp").alias("false_positives"))
     a = a.select(F.lit(5).alias("order"), F.lit("Processed").alias("status"), "images",
                  "detections", "false_positives")
     return d.unionByName(a)
