@@ -76,7 +76,9 @@ def sessionize(df: DataFrame, keys: list[str], ts: str, gap_seconds: float,
     per-bucket summary (first / last time, run starts inside the bucket) is
     windowed per key -- one small row per bucket -- to decide whether the
     bucket's first row starts a run and to carry the running offset; one join
-    brings both back.  The result equals a single window over each key."""
+    brings both back.  The result equals a single window over each key.
+    The bucket-summary branch re-reads only the key and time columns (column
+    pruning), so the second pass is narrow even for wide rows."""
     tiebreak = tiebreak or []
     us = int(bucket_seconds * 1_000_000)
     gap_us = F.lit(int(gap_seconds * 1_000_000))
