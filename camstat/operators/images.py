@@ -92,6 +92,41 @@ def image_indices(images: DataFrame) -> DataFrame:
     return images.select("path", "height", "width", "data").mapInPandas(run, schema)
 
 
+def _hue_np(r: np.ndarray, g: np.ndarray, b: np.ndarray) -> np.ndarray:
+    mx = np.maximum(np.maximum(r, g), b)
+    mn = np.minimum(np.minimum(r, g), b)
+    d = mx - mn
+    with np.errstate(divide="ignore", invalid="ignore"):
+        h = np.where(d == 0, 0.0,
+                     np.where(mx == r, np.mod((g - b) / d, 6.0),
+                              np.where(mx == g, (b - r) / d + 2, (r - g) / d + 4)))
+    return h * 60.0
+
+
+def image_greenness(images: DataFrame, lo: float = 125.0, hi: float = 175.0) -> DataFrame:
+    """A30 on decoded images (``read_pixels`` output), numpy per image: mean hue,
+    share of hues in [lo, hi], green ratio as the source computes it and the
+    corrected one (same definitions as ``greenness``)."""
+    schema = ("path string, hue_mean double, hue_green_share double, green_ratio_as_source double, "
+              "green_ratio double")
+
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for p, h, w, data in zip(pdf["path"], pdf["height"], pdf["width"], pdf["data"]):
+                px = np.frombuffer(data, dtype=np.uint8).reshape(int(h) * int(w), 3).astype(np.float64)
+                b, g, r = px[:, 0], px[:, 1], px[:, 2]
+                hue = _hue_np(r, g, b)
+                sr, sg, sb = r.sum(), g.sum(), b.sum()
+                rows.append([p, float(hue.mean()), float(((hue >= lo) & (hue <= hi)).mean()),
+                             float(sr / (sg + sb)) if sg + sb else np.nan,
+                             float(sg / (sr + sb)) if sr + sb else np.nan])
+            yield pd.DataFrame(rows, columns=["path", "hue_mean", "hue_green_share",
+                                              "green_ratio_as_source", "green_ratio"])
+
+    return images.select("path", "height", "width", "data").mapInPandas(run, schema)
+
+
 def crop_manifest(anns: DataFrame, width: str = "original_width", height: str = "original_height",
                   root: str = "") -> DataFrame:
     """P3 manifest: pixel box from percent box (F20) and the crop file name (F8);

@@ -191,3 +191,15 @@ def test_small_table_readers(spark, tmp_path):
     lab = tmp_path / "labels.csv"
     lab.write_text("id,filepath,species,Moose,Caribou\n1,a.jpg,Moose,1,0\n")
     assert RD.read_table_csv(spark, str(lab)).first().Moose == 1
+
+
+def test_image_greenness_matches_pixel_rows(spark, tmp_path):
+    d = tmp_path / "g"
+    d.mkdir()
+    _png(d / "a.png", 3, 2, (40, 200, 60))
+    img = IM.read_pixels(spark, str(d))
+    r = IM.image_greenness(img).first()
+    px = spark.createDataFrame([(1, 40, 200, 60)] * 6, "k int, r int, g int, b int")
+    ref = IM.greenness(px, ["k"]).first()
+    assert abs(r.hue_mean - ref.hue_mean) < 1e-9 and r.hue_green_share == ref.hue_green_share == 1.0
+    assert abs(r.green_ratio - 200 / 100) < 1e-12 and abs(r.green_ratio_as_source - 40 / 260) < 1e-12
