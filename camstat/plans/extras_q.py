@@ -193,3 +193,72 @@ def prediction_correctness(spark, sf):
                                                 argmax(F.slice("embedding", 1, 10)).alias("pred"))
     e = O.flag_correct(e, "truth", "pred")
     return e.groupBy("truth").agg(F.count("*").alias("n"), F.count_if("correct").alias("n_correct"))
+
+
+@register("platform_comparison", with_views(["observations", "long_observations"], """
+WITH a AS (SELECT plot_id, species, count(*) AS n_a FROM observations GROUP BY plot_id, species),
+b AS (SELECT plot_id, species, count(*) AS n_b FROM long_observations GROUP BY plot_id, species)
+SELECT coalesce(a.plot_id, b.plot_id) AS plot_id, coalesce(a.species, b.species) AS species,
+       coalesce(a.n_a, 0) AS n_a, coalesce(b.n_b, 0) AS n_b, coalesce(a.n_a, 0) - coalesce(b.n_b, 0) AS diff
+FROM a FULL OUTER JOIN b ON a.plot_id = b.plot_id AND a.species = b.species"""))
+def platform_comparison(spark, sf):
+    """Per-plot species counts of two tagging systems, full outer joined."""
+    a = S.observations(spark, sf).select("plot_id", "species")
+    b = S.long_observations(spark, sf).select("plot_id", "species")
+    return J.compare_platforms(a, b, ["plot_id"])
+
+
+@register("wide_score_argmax", with_views([], """
+SELECT vec_id, 's' || CAST(list_position(embedding[1:10], list_max(embedding[1:10])) - 1 AS VARCHAR) AS pred
+FROM embeddings"""))
+def wide_score_argmax(spark, sf):
+    """R6 + R2: a wide score table (one column per class) to the name of its
+    best column, ties to the first column."""
+    from camstat.operators.reshape import rowwise_argmax
+    e = S.table(spark, sf, "embeddings")
+    wide = e.select("vec_id", *[F.col("embedding")[i].alias(f"s{i}") for i in range(10)])
+    return rowwise_argmax(wide, [f"s{i}" for i in range(10)]).select("vec_id", "pred")
+
+
+def _export_files(spark, sf):
+    from camstat.plans.identity import _exports
+    ex = _exports(spark, sf)
+    k = (F.regexp_extract("source_file", r"img_(\d+)", 1).cast("bigint") % 10)
+    f = F.when(k % 2 == 1, F.concat(F.lit("TrailCamStorage_P"), k.cast("string"), F.lit("_exp1_output.csv"))) \
+        .otherwise(F.concat(F.lit("TrailCamStorage_P"), k.cast("string"), F.lit("_exp"), F.col("orig").cast("string"),
+                            F.lit("_output.csv")))
+    return ex.withColumn("file", f).drop("orig")
+
+
+def _annotation_flow_sql():
+    from camstat.plans.identity import _DECIDE_SQL, _EXPORTS_SQL
+    files = f"""
+SELECT source_file, id, species, CASE WHEN k % 2 = 1 THEN 'TrailCamStorage_P' || CAST(k AS VARCHAR) || '_exp1_output.csv'
+       ELSE 'TrailCamStorage_P' || CAST(k AS VARCHAR) || '_exp' || CAST(orig AS VARCHAR) || '_output.csv' END AS file
+FROM (SELECT *, CAST(regexp_extract(source_file, 'img_(\\d+)', 1) AS BIGINT) % 10 AS k FROM ({_EXPORTS_SQL}) e) x"""
+    return with_views(["annotation_ids"], f"""
+WITH ex AS (SELECT *, array_to_string(string_split(replace(replace(file, 'TrailCamStorage_2', 'T2'),
+              'TrailCamStorage', 'T1'), '_')[1:2], '_') AS project FROM files),
+pf AS (SELECT project, count(DISTINCT file) AS nf, min(file) AS f1 FROM ex GROUP BY project),
+exports AS (SELECT ex.source_file, CASE WHEN ex.file = pf.f1 THEN 1 ELSE 2 END AS orig, ex.id, ex.species
+            FROM ex JOIN pf ON ex.project = pf.project WHERE pf.nf = 2),
+{_DECIDE_SQL}
+SELECT ex.project, ex.source_file, ex.id, nullif(ex.species, 'None') AS species
+FROM ex JOIN pf ON ex.project = pf.project WHERE pf.nf = 1
+UNION ALL
+SELECT e2.project, e.source_file, e.id, nullif(e.species, 'None') AS species
+FROM exports e JOIN d ON e.source_file = d.source_file
+JOIN (SELECT DISTINCT source_file, project FROM ex) e2 ON e.source_file = e2.source_file
+WHERE (d.rule IN ('D1', 'D4') AND e.orig = 1) OR (d.rule = 'D5' AND e.orig = 2)
+   OR (d.rule = 'D2' AND TRY_CAST(e.id AS BIGINT) = d.min_num)
+   OR (d.rule IN ('D3', 'D6') AND TRY_CAST(e.id AS BIGINT) IS NULL)""", {"files": files})
+
+
+@register("annotation_flow", _annotation_flow_sql())
+def annotation_flow(spark, sf):
+    """S3 + reconcile + U1 + O12: export files grouped into projects by name;
+    single-export projects pass through, projects exported twice are reconciled
+    per image (export 1 = first file name), then everything is unioned."""
+    from camstat.operators.reconcile import process_annotations
+    out, _ = process_annotations(_export_files(spark, sf), "file", ["project", "source_file"])
+    return out.select("project", "source_file", "id", "species")

@@ -82,3 +82,28 @@ def test_one_hot_groups_and_add_rows(spark):
                                                                         ["ungulate", "carnivore"]).collect()}
     assert out == {1: (1, 0), 2: (0, 1), 3: (0, 0)}
     assert R.add_rows(df, [(4, "Wolf")]).count() == 4
+
+
+def test_small_helpers(spark):
+    from camstat.functions import ids as I
+    from camstat.functions import textfn as X
+    from camstat.functions import timefn as Tm
+    from camstat.operators import aggregates as A
+    from camstat.operators import metrics as M
+    from camstat.operators import spatial as SP
+    a = spark.createDataFrame([(1, None), (2, "x")], "k int, s string")
+    d = spark.createDataFrame([(None, "N"), ("x", "X")], "t string, lab string")
+    assert sorted((r.k, r.lab) for r in J.join_on(a, d, "s", "t", null_safe=True).collect()) == [(1, "N"), (2, "X")]
+    assert J.semi(a, d.withColumnRenamed("t", "s"), "s").count() == 1
+    assert J.anti(a, d.withColumnRenamed("t", "s"), "s").count() == 1
+    assert R.union_strict(a, a).count() == 4
+    assert [r.s for r in R.sort_nulls_last(a, ["s"], [True]).collect()] == ["x", None]
+    g = SP.grid_points(spark.createDataFrame([(1,)], "camera_id int"), 0.0, 1.0, 0.0, 2.0, 0.5)
+    assert g.count() == 8 and g.agg(F.max("y")).first()[0] == 1.75
+    assert O.fill0(spark.createDataFrame([(None,)], "v int")).first().v == 0
+    assert A.n_distinct(a, "k").first().n == 2 and A.n_distinct_approx(a, "k").first().n == 2
+    f = M.folds(spark.range(100), "id", 10).groupBy("fold").count().collect()
+    assert len(f) == 10 and sum(r["count"] for r in f) == 100
+    r = spark.createDataFrame([("12", 1, 3, "2022-08-19")], "i string, n int, m int, t string").select(
+        I.numeric_value("i").alias("v"), X.pct2("n", "m").alias("p"), Tm.month_label(F.to_date("t")).alias("mo")).first()
+    assert (r.v, r.p, r.mo) == (12, 33.33, "Aug")
