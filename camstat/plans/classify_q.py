@@ -156,8 +156,7 @@ _HUE_SQL = """CASE WHEN greatest(r, g, b) - least(r, g, b) = 0 THEN 0.0
 @register("greenness", with_views([], f"""
 SELECT vec_id, avg(h) AS hue_mean, avg(CASE WHEN h >= 125 AND h <= 175 THEN 1.0 ELSE 0.0 END) AS hue_green_share,
        sum(r) / (sum(g) + sum(b)) AS green_ratio_as_source, sum(g) / (sum(r) + sum(b)) AS green_ratio
-FROM (SELECT vec_id, CAST(r AS DOUBLE) AS r, CAST(g AS DOUBLE) AS g, CAST(b AS DOUBLE) AS b,
-             {_HUE_SQL.replace('r,', 'CAST(r AS DOUBLE),') if False else _HUE_SQL} AS h
+FROM (SELECT vec_id, r, g, b, {_HUE_SQL} AS h
       FROM (SELECT vec_id, CAST(r AS DOUBLE) AS r, CAST(g AS DOUBLE) AS g, CAST(b AS DOUBLE) AS b FROM px) q) x
 GROUP BY vec_id""", {"px": _PIX_SQL}))
 def greenness(spark, sf):

@@ -238,7 +238,7 @@ FROM (SELECT id, source_file, value_text,
              max(tag) FILTER (WHERE variable = 'unique_markings') AS unique_markings,
              max(tag) FILTER (WHERE variable = 'comment') AS comment, max(tag) FILTER (WHERE variable = 'notes') AS notes
       FROM long_tags GROUP BY id, source_file, value_text) w
-WHERE value_text IS NULL""".replace("FROM long_tags", "FROM long_tags"), {"long_tags": _LONG_TAGS_SQL}))
+WHERE value_text IS NULL""", {"long_tags": _LONG_TAGS_SQL}))
 def annotations_wide(spark, sf):
     """R1 + R2 + O10 + O11: long tag rows pivoted to one row per box over the
     fixed variable list; comment rows dropped; catch-all species resolved."""
