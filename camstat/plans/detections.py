@@ -67,11 +67,11 @@ def review_outcome(spark, sf):
 
 @register("origin_breakdown", with_views(["boxes"], """
 SELECT origin, count(*) AS n, count(*) * 100.0 / sum(count(*)) OVER () AS pct
-FROM boxes WHERE species IS NOT NULL AND NOT manual AND origin IS NOT NULL GROUP BY origin"""))
+FROM boxes WHERE origin IS NOT NULL GROUP BY origin"""))
 def origin_breakdown(spark, sf):
-    """Adjusted-box origins among true positives."""
-    b = S.boxes(spark, sf).filter(F.col("species").isNotNull() & ~F.col("manual"))
-    return A.origin_breakdown(b)
+    """Frequency and share of box origins (prediction / adjusted / manual)
+    over all non-empty boxes."""
+    return A.origin_breakdown(S.boxes(spark, sf))
 
 
 @register("confidence_histogram", with_views(["boxes"], f"""
