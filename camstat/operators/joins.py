@@ -13,16 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def dedupe_right(dim: DataFrame, keys: list[str]) -> DataFrame:
-    """Guarantee at most one right row per key so a left join cannot fan out."""
-    return dim.dropDuplicates(keys)
-
-
 def join_exif(anns: DataFrame, exif: DataFrame, keys=("source_file", "image_id")) -> DataFrame:
-    """Left join on two keys; the right side is de-duplicated on the keys so
-    the row count is conserved (Q1)."""
+    """Left join on two keys.  Exact duplicate EXIF rows are dropped first
+    (deterministic); keys that still repeat with different values would fan
+    out, which the row-conservation check (Q1, ``expect_join_conserves``)
+    reports instead of silently picking one."""
     keys = list(keys)
-    return anns.join(dedupe_right(exif, keys), keys, "left")
+    return anns.join(exif.distinct(), keys, "left")
 
 
 def join_dim(df: DataFrame, dim: DataFrame, key: str | list[str], how: str = "left") -> DataFrame:
