@@ -18,11 +18,13 @@ def widen_tags(long: DataFrame, variables: list[str] = TAG_VARIABLES,
                drop: tuple[str, ...] = ("type",)) -> DataFrame:
     """Annotation long -> wide (one row per box).  Adds ``manual`` and
     ``image_id``; pivots the fixed variable list (static schema); keeps region
-    rows only; resolves "Other" species.  Duplicate tags take the first value."""
+    rows only; resolves "Other" species.  A repeated (box, variable) tag takes
+    the largest value -- deterministic, and equal to the only value when tags are
+    unique (the expected case; ``get_dupes`` finds the others)."""
     df = long.drop(*[c for c in drop if c in long.columns])
     keys = [c for c in df.columns if c not in (variable, tag)]
     wide = (df.groupBy(*keys).pivot(variable, variables)
-            .agg(F.first(tag, ignorenulls=True)))
+            .agg(F.max(tag)))
     wide = wide.withColumns({"manual": is_manual("id"), "image_id": drop_last_token("id")})
     wide = drop_comments(wide)
     return resolve_species(wide)
