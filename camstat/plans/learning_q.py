@@ -122,3 +122,15 @@ def head_classifier_scores(spark, sf):
     s = s.join(e.select("vec_id", "label"), "vec_id", "inner")
     return s.groupBy("label").agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"),
                                   F.count("*").alias("n"), F.avg(F.array_max("scores")).alias("mean_top_score"))
+
+
+@register("rda_presence_axes")
+def rda_presence_axes(spark, sf):
+    """X1 presence variant: RDA of the untransformed 0/1 presence table on land
+    cover (the presence ordination is fitted on the raw table)."""
+    pa = A.pivot_wide(A.presence_absence(S.observations(spark, sf)), "camera_id", "species", "present",
+                      S.OBS_SPECIES)
+    site = _site_table(spark, sf).drop(*S.OBS_SPECIES).join(pa, "camera_id", "inner")
+    axes, _, _ = L.rda(site.select("camera_id", *[F.col(c).cast("double") for c in S.OBS_SPECIES], *COVER_CLASSES),
+                       "camera_id", S.OBS_SPECIES, COVER_CLASSES)
+    return axes

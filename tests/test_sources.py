@@ -203,3 +203,22 @@ def test_image_greenness_matches_pixel_rows(spark, tmp_path):
     ref = IM.greenness(px, ["k"]).first()
     assert abs(r.hue_mean - ref.hue_mean) < 1e-9 and r.hue_green_share == ref.hue_green_share == 1.0
     assert abs(r.green_ratio - 200 / 100) < 1e-12 and abs(r.green_ratio_as_source - 40 / 260) < 1e-12
+
+
+def test_stream_sessions_drop_late_images(spark, tmp_path):
+    """Images later than the watermark allows are dropped; on-time ones counted."""
+    src = tmp_path / "obs2"
+    src.mkdir()
+    schema = "camera_id int, date_time timestamp"
+
+    def batch(name, rows):
+        df = spark.createDataFrame(rows, "camera_id int, t string").select("camera_id", F.to_timestamp("t").alias("date_time"))
+        df.coalesce(1).write.mode("overwrite").parquet(str(src / name))
+
+    batch("b1", [(1, "2024-01-01 00:00:00"), (1, "2024-01-01 05:00:00")])
+    run_sessions(spark, str(src) + "/*", schema, str(tmp_path / "out"), str(tmp_path / "ck"), max_files=1)
+    # 00:10 is more than one hour behind the latest time seen (05:00): too late
+    batch("b2", [(1, "2024-01-01 00:10:00"), (1, "2024-01-01 09:00:00")])
+    run_sessions(spark, str(src) + "/*", schema, str(tmp_path / "out"), str(tmp_path / "ck"), max_files=1)
+    out = sorted((r.session_start.strftime("%H:%M"), r.n_images) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert out == [("00:00", 1), ("05:00", 1)]
