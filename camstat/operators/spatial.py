@@ -70,10 +70,9 @@ def within_radius(points: DataFrame, cells: DataFrame, r_km: float, lat0: float
     bucket; equi join then exact distance."""
     pxk, pyk = planar_km(F.col(px), F.col(py), lat0)
     cxk, cyk = planar_km(F.col(cx), F.col(cy), lat0)
-    off = F.array(*[F.lit(i) for i in (-1, 0, 1)])
     p = (points.select(pkey, pxk.alias("_px"), pyk.alias("_py"))
-         .withColumn("_bx", F.explode(F.transform(off, lambda d: F.floor(F.col("_px") / r_km) + d)))
-         .withColumn("_by", F.explode(F.transform(off, lambda d: F.floor(F.col("_py") / r_km) + d))))
+         .withColumn("_bx", F.explode(_shifted(F.floor(F.col("_px") / r_km))))
+         .withColumn("_by", F.explode(_shifted(F.floor(F.col("_py") / r_km)))))
     c = cells.withColumns({"_cx": cxk, "_cy": cyk})
     c = c.withColumns({"_bx": F.floor(F.col("_cx") / r_km), "_by": F.floor(F.col("_cy") / r_km)})
     j = p.join(c, ["_bx", "_by"], "inner")
@@ -115,8 +114,9 @@ def hellinger(long: DataFrame, unit: str, species: str, n: str, out: str = "hell
             .withColumn(out, F.sqrt(F.col(n) / F.col("_t"))).drop("_t"))
 
 
-def _shifted(c: Column, off: Column) -> Column:
-    return F.transform(off, lambda d: c + d)
+def _shifted(c: Column, off=None) -> Column:
+    """``[c - 1, c, c + 1]`` as a plain array (no lambda, stays in codegen)."""
+    return F.array(c - 1, c, c + 1)
 
 
 def pairs_within(points: DataFrame, r_km: float, key: str = "camera_id", lon: str = "lon",
@@ -130,10 +130,9 @@ def pairs_within(points: DataFrame, r_km: float, key: str = "camera_id", lon: st
     xyz = {"_X": F.cos(la) * F.cos(lo), "_Y": F.cos(la) * F.sin(lo), "_Z": F.sin(la)}
     base = points.select(key, lon, lat).withColumns(xyz)
     cells = {f"_c{a}": F.floor(F.col(f"_{a}") / chord) for a in "XYZ"}
-    off = F.array(*[F.lit(i) for i in (-1, 0, 1)])
     a = base.withColumns(cells)
     for ax in "XYZ":
-        a = a.withColumn(f"_c{ax}", F.explode(_shifted(F.col(f"_c{ax}"), off)))
+        a = a.withColumn(f"_c{ax}", F.explode(_shifted(F.col(f"_c{ax}"))))
     b = base.select(F.col(key).alias("b"), F.col(lon).alias("lon_b"), F.col(lat).alias("lat_b"),
                     *[v.alias(k) for k, v in cells.items()])
     j = a.join(b, ["_cX", "_cY", "_cZ"], "inner").filter(F.col(key) < F.col("b"))
