@@ -259,19 +259,21 @@ FROM annotation_ids WHERE l_linestatus = 'O' OR l_linenumber <= 2"""
 
 
 def _exports(spark, sf):
+    """Two exports of the same images built from one scan: each row is tagged
+    export 1 and/or 2 by explode + filter (no union of two scans)."""
     a = S.annotation_ids(spark, sf)
     src = F.concat(F.lit("img_"), F.col("l_orderkey").cast("string"), F.lit(".JPG"))
     sp = F.when(F.col("l_returnflag") == "R", F.lit(None)).otherwise(_species())
     r1 = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1)
-    e1 = a.filter((F.col("l_linestatus") == "F") | (F.col("l_linenumber") <= 2)).select(
-        src.alias("source_file"), F.lit(1).alias("orig"),
-        F.when(r1 & (F.col("l_orderkey") % 2 == 0), (F.col("l_orderkey") * 10 + 1).cast("string"))
-        .otherwise(F.col("id")).alias("id"), sp.alias("species"))
-    e2 = a.filter((F.col("l_linestatus") == "O") | (F.col("l_linenumber") <= 2)).select(
-        src.alias("source_file"), F.lit(2).alias("orig"),
-        F.when(r1, (F.col("l_orderkey") * 10 + 2).cast("string")).otherwise(F.col("id")).alias("id"),
-        sp.alias("species"))
-    return e1.unionByName(e2)
+    e = a.withColumn("orig", F.explode(F.array(F.lit(1), F.lit(2))))
+    low = F.col("l_linenumber") <= 2
+    e = e.filter(((F.col("orig") == 1) & ((F.col("l_linestatus") == "F") | low))
+                 | ((F.col("orig") == 2) & ((F.col("l_linestatus") == "O") | low)))
+    id_ = (F.when((F.col("orig") == 1) & r1 & (F.col("l_orderkey") % 2 == 0),
+                  (F.col("l_orderkey") * 10 + 1).cast("string"))
+           .when((F.col("orig") == 2) & r1, (F.col("l_orderkey") * 10 + 2).cast("string"))
+           .otherwise(F.col("id")))
+    return e.select(src.alias("source_file"), F.col("orig"), id_.alias("id"), sp.alias("species"))
 
 
 _DECIDE_SQL = """
