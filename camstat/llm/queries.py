@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from camstat.llm import chat, sharding
+import functools
+
+from camstat.llm import bpe, chat, sharding
 from camstat.llm.common import table
 
 QUERIES: dict = {}
@@ -17,6 +19,31 @@ def query(fn):
     return fn
 
 
+@functools.cache
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def whole_text() -> Column:
+    return F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text")
+
+
+@query
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded with the word BPE file."""
+    path = tokenizer("word_bpe_49k.json")
+    encode, decode = bpe.encode(spark, path), bpe.decode(spark, path)
+    ids = table(spark, sf_dir, "documents").select("doc_id", encode(whole_text()).alias("ids"))
+    return ids.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(decode(F.col("ids")).cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations plus conversation -7, whose texts are control strings."""

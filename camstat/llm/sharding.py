@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 #: Rows aimed at in one cell.
 CELL_ROWS = 20_000
+#: Cells at least, so that a hot source is spread over many tasks in small tables too.
+MIN_CELLS = 256
 
 
 def _ranks_in_band(cells: int):
@@ -48,7 +50,7 @@ def interleave(df: DataFrame, n_shards: int, key: str = "doc_id", source: str =
         raise ValueError("n_shards must be positive")
     df = df.drop("shard", "slot")
     n = df.count()
-    cells = max(1, -(-n // cell_rows))
+    cells = max(MIN_CELLS, -(-n // cell_rows))
     top = float(2**63)
     rows = (
         df.withColumn("__src", F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("n")))
