@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import functools
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +14,9 @@ from camstat.session import checkpoint_dir
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, whole."""
+    # Python workers of a local session must find this package from any working folder; on a cluster
+    # the package is installed or shipped with --py-files.
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

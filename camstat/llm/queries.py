@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import functools
 
-from camstat.llm import bpe, chat, sharding
+from camstat.llm import ann, bpe, chat, mixing, secretscan, sharding, simhash, tokenfiles, toxicity, vecdedup
 from camstat.llm.common import table
 
 QUERIES: dict = {}
@@ -44,6 +44,79 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents: base patterns and zstandard novelty."""
+    docs = table(spark, sf_dir, "documents")
+    find = secretscan.scan(spark, secretscan.identifiers(docs))
+    found = docs.select("doc_id", find(F.coalesce(F.col("text"), F.lit(""))).alias("found"))
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = joined(F.filter("found", lambda s: s["kind"] != "novel"))
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"), F.sha2(base.cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("found")).alias("spans"), count("novel"))
+
+
+@query
+def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest of every vector whose id is divisible by 50, among all others."""
+    found = ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+#: Most passes over a source in the mixed stream.
+REPEAT = 2.0
+
+
+@query
+def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed by temperature: every document at least once, no source over twice."""
+    return mixing.mix(table(spark, sf_dir, "documents"), mixing.Target(repeat=REPEAT))
+
+
+ORACLES["op4_mix"] = r"""
+WITH RECURSIVE rows AS (
+  SELECT DISTINCT doc_id, source,
+    CAST(length(coalesce(text, '')) - length(translate(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(13), '')) + 1 AS BIGINT) AS n_tokens,
+    CASE WHEN source IS NULL THEN 'n' ELSE 's' || source END AS src
+  FROM documents
+), totals AS (SELECT src, CAST(sum(n_tokens) AS BIGINT) AS total FROM rows GROUP BY src
+), sources AS (SELECT src, total, total / CAST(sum(total) OVER () AS DOUBLE) AS share FROM totals
+), bisect(k, low, high) AS (
+  SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE
+  UNION ALL
+  SELECT k + 1,
+    CASE WHEN met THEN low ELSE (low + high) / 2 END,
+    CASE WHEN met THEN (low + high) / 2 ELSE high END
+  FROM (SELECT b.*, (SELECT max(pow(share, (b.low + b.high) / 2) / share) * max(share / pow(share, (b.low + b.high) / 2)) <= 2.0 FROM sources) AS met
+        FROM bisect b WHERE k < 24)
+), found AS (
+  SELECT CASE WHEN (SELECT max(1 / share) * max(share) <= 2.0 FROM sources) THEN 0.0 ELSE (SELECT high FROM bisect WHERE k = 24) END AS a
+), sized AS (
+  SELECT (SELECT sum(pow(share, a)) FROM sources, found) AS z, (SELECT max(total / pow(share, a)) FROM sources, found) AS longest
+), stream AS (SELECT z, longest * z AS tokens, greatest(1, -(-CAST(floor(longest * z) AS BIGINT) // 1000000)) AS blocks FROM sized
+), plan AS (
+  SELECT src, total, CAST(floor(pow(share, a) / z * tokens + 0.5) AS BIGINT) AS budget, blocks FROM sources, found, stream
+), used AS (
+  SELECT r.*, p.total, p.budget, greatest(1, (p.budget + p.blocks - 1) // p.blocks) AS share_of_block, e.epoch
+  FROM rows r JOIN plan p ON r.src = p.src, generate_series(0, greatest(0, (p.budget - 1) // p.total)) AS e(epoch)
+), hashed AS (SELECT *, md5('mix:' || epoch || ':' || coalesce(doc_id::VARCHAR, '')) AS hash FROM used
+), laid AS (
+  SELECT *, CAST(sum(n_tokens) OVER (PARTITION BY src, epoch ORDER BY hash, doc_id, n_tokens ROWS UNBOUNDED PRECEDING) - n_tokens + epoch * total AS BIGINT) AS pos
+  FROM hashed
+), cut AS (SELECT *, pos // share_of_block AS block FROM laid WHERE pos < budget)
+SELECT doc_id, source, n_tokens, CAST(epoch AS INTEGER) AS epoch, CAST(block AS BIGINT) AS block,
+  CAST(row_number() OVER (PARTITION BY block ORDER BY md5(hash || ':' || block), src, doc_id, epoch, n_tokens) - 1 AS BIGINT) AS slot
+FROM cut
+"""
+
+
 @query
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations plus conversation -7, whose texts are control strings."""
@@ -84,6 +157,39 @@ FROM e GROUP BY conv_id
 """
 
 
+@query
+def op6_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate links and components of all vectors at a cosine of 0.95."""
+    return vecdedup.near_duplicates(table(spark, sf_dir, "embeddings"), 0.95)
+
+
+@query
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of all documents in bit-packed files, read back."""
+    encode, vocabulary = tokenfiles.library_ids(spark, tokenizer("byte_bpe_50k.json"))
+    files = tokenfiles.write_files(table(spark, sf_dir, "documents"), encode, vocabulary, end_id=0)
+    return tokenfiles.read_files(files).select(
+        F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+#: Score from which a document counts as toxic.
+TOXIC = 0.3
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    """Fitted on the labelled rows that are not held out."""
+    return toxicity.fit(docs, labels.where(~toxicity.held_out(F.col("doc_id"))))
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    score = toxicity.scorer(spark, toxicity_model(docs, table(spark, sf_dir, "labels")))
+    return docs.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), score(F.col("text")).alias("score")).withColumn(
+        "predicted", (F.col("score") >= TOXIC).cast("int"))
+
+
 @query
 def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards by proportional stratified interleaving."""
@@ -93,3 +199,10 @@ def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleave(docs, 24).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "source")
+
+
+@query
+def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash components of all documents: 3-word shingles, at most 3 differing bits."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
