@@ -214,7 +214,7 @@ def _dense_counts(members: DataFrame, dim: int, kind: str, threshold: float) ->
     spread = sized.withColumn("dpart", F.pmod(F.xxhash64("id"), F.col("dparts")).cast("int")).withColumn(
         "qpart", F.explode(F.sequence(F.lit(0), F.col("qparts") - 1))).select(*fields)
     asked = sized.where(~F.col("core")).withColumn("qpart", F.pmod(F.xxhash64(F.lit(3), "id"), F.col("qparts")).cast("int")).withColumn(
-        "dpart", F.explode(F.sequence(F.lit(0), F.col("dparts") - 1))).select(*fields)
+        "dpart", F.explode(F.sequence(F.lit(0), F.col("dparts") - 1))).select(*fields).toDF(*fields)
 
     def meet(rows, outer):
         import pandas as pd
