@@ -28,8 +28,8 @@ import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql.functions import pandas_udf
 
-#: Entries after which a worker's memo is emptied and filled anew.
-MEMO = 400_000
+#: Entries in each half of a worker's memo of pieces, and of words.
+MEMO, WORD_MEMO = 250_000, 150_000
 WHITE = b" \t\n\r\x0b\x0c"
 #: Beyond Latin, or white space on which Python and the library may differ.
 _NOT_LATIN = re.compile("[^\x00-\u017f]|[\x1c-\x1f\x85\xa0]")
@@ -42,17 +42,30 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(64)]
+
+
+def packed(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Memo(dict):
-    """``memo[key]`` computes a missing value once; emptied when it holds ``MEMO`` entries."""
+    """``memo[key]`` computes a missing value once.  When it holds ``most`` entries they become the
+    older half, from which keys still in use are taken over; the rest is forgotten at the next turn."""
 
-    def __init__(self, make: Callable):
+    def __init__(self, make: Callable, most: int = MEMO):
         super().__init__()
-        self.make = make
+        self.make, self.most, self.older = make, most, {}
 
     def __missing__(self, key):
-        if len(self) >= MEMO:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.most:
+            self.older = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        self[key] = value
         return value
 
 
@@ -88,7 +101,7 @@ class Encoder:
             raise ValueError("this vocabulary has tokens across white space")
         self._specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self._latin = self._latin_rules(spec)
-        self.pieces, self.words = Memo(self._piece), Memo(self._word)
+        self.pieces, self.words = Memo(self._piece), Memo(self._word, WORD_MEMO)
 
     def _latin_rules(self, spec: dict):
         """The word pattern, if the file's rules are: NFC, white space to one blank, lower case, words
@@ -112,16 +125,20 @@ class Encoder:
             cut[b[:-1], b[1:]] = False
         return cut
 
+    def _spelt(self, data: bytes) -> str:
+        """Bytes in the byte alphabet, which leaves visible ASCII as it is."""
+        return data.decode() if data.isascii() and data.isalnum() else "".join([self.chars[b] for b in data])
+
     def _word(self, data: bytes) -> bytes:
         """One word (UTF-8): cut at the certain pairs, fragments encoded apart, ids concatenated."""
         cut, at = self.cut_rows, 0
         out = []
         for i, (a, b) in enumerate(zip(data, data[1:]), 1):
             if cut[a][b]:
-                out += [t.id for t in self.inner.tokenize(data[at:i].decode("latin-1").translate(self.chars))]
+                out += [t.id for t in self.inner.tokenize(self._spelt(data[at:i]))]
                 at = i
-        out += [t.id for t in self.ending.tokenize(data[at:].decode("latin-1").translate(self.chars))]
-        return struct.pack(f"<{len(out)}I", *out)
+        out += [t.id for t in self.ending.tokenize(self._spelt(data[at:]))]
+        return packed(out)
 
     def _split_words(self, text: str) -> list[bytes]:
         if self._latin and not _NOT_LATIN.search(text):

@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from camstat.llm.bpe import Memo, byte_alphabet
+from camstat.llm.bpe import WORD_MEMO, Memo, byte_alphabet, packed
 from camstat.llm.common import shared_path, written
 
 MAGIC = b"TOKBITS1"
@@ -142,8 +142,10 @@ class Reader:
 
 # ---------------------------------------------------------------- ids
 
-#: White space on which splitting at blanks would not be safe.
+#: White space on which splitting at blanks would not be safe, and the bytes that UTF-8 texts with
+#: such characters hold (a quick first test).
 _ODD_WHITE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_ODD_BYTES = b"\x0b\x0c\x1c\x1d\x1e\x1f\xc2\xe1\xe2\xe3"
 _NOT_LATIN = re.compile("[^\x00-\u017f]")
 #: Fixed value: the word pattern of byte-level BPE files with ``use_regex``.
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -165,37 +167,60 @@ class ByteLevel:
         self.library = Tokenizer.from_str(source)
         self.library.no_truncation()
         self.library.no_padding()
+        self.model = self.library.model
         pre = spec["pre_tokenizer"] or {}
         plain = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
         self.by_piece = bool(plain and not spec["normalizer"] and spec["model"]["type"] == "BPE")
         self.special = [t["content"].encode() for t in spec["added_tokens"]]
         self.vocabulary = self.library.get_vocab_size(with_added_tokens=True)
         self.chars = {b: c for c, b in byte_alphabet().items()}
-        self.words, self.first = Memo(self._word), Memo(self._piece)
-        self.after_blank = Memo(lambda piece: self._piece(b" " + piece))
+        self.words, self.first = Memo(self._word, WORD_MEMO), Memo(self._piece, WORD_MEMO)
+        self.after_blank = Memo(self._after_blank)
+        self.line_end = self._word("\n")
 
     def _word(self, word: str) -> bytes:
-        ids = [t.id for t in self.library.model.tokenize(word.encode().decode("latin-1").translate(self.chars))]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        if word.isascii() and word.isprintable():  # the byte alphabet leaves these as they are, but for blanks
+            own = word.replace(" ", self.chars[32])
+        else:
+            own = "".join([self.chars[b] for b in word.encode()])
+        return packed([t.id for t in self.model.tokenize(own)])
 
     def _whole(self, text: bytes) -> bytes:
         return np.array(self.library.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _after_blank(self, piece: bytes) -> bytes | None:
+        """Ids of a blank and a piece that starts with a non-blank; null for other pieces."""
+        return self._piece(b" " + piece) if _STARTS_WORD(piece) else None
+
     def _piece(self, piece: bytes) -> bytes:
+        if not piece:
+            return b""
+        if b"\n" in piece:  # single line ends between non-blanks are words of their own
+            parts = piece.split(b"\n")
+            if all(map(_WHOLE, parts)):
+                return self._piece(parts[0]) + b"".join([self.line_end + self.first[p] for p in parts[1:]])
         text = piece.decode()
-        if _NOT_LATIN.search(text):
+        if not text.isascii() and _NOT_LATIN.search(text):
             return self._whole(piece)
+        if text[1:].isalpha() and (text[0] == " " or text[0].isalpha()):  # one word by the pattern
+            return self._word(text)
+        if text[-1] in ".,;:!?" and text[1:-1].isalpha() and (text[0] == " " or text[0].isalpha()):
+            return self.words[text[:-1]] + self.words[text[-1]]
         return b"".join([self.words[w] for w in _WORDS.findall(text)])
 
     def encode(self, text: bytes | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        if not self.by_piece or any(s in text for s in self.special) or _ODD_WHITE.search(text.decode()):
+        if not self.by_piece or any(s in text for s in self.special):
+            return self._whole(text)
+        if len(text.translate(None, _ODD_BYTES)) != len(text) and _ODD_WHITE.search(text.decode()):
             return self._whole(text)
         pieces = text.split(b" ")
-        if all(map(_STARTS_WORD, pieces)):
+        try:
             return self.first[pieces[0]] + b"".join(map(self.after_blank.__getitem__, pieces[1:]))
+        except TypeError:  # a blank before white space or at the end, which starts no word
+            pass
         out, now = [], pieces[0]
         for p in pieces[1:]:
             if _STARTS_WORD(p):
@@ -207,6 +232,8 @@ class ByteLevel:
 
 
 _STARTS_WORD = re.compile(rb"[^ \t\n\r]").match
+#: A piece of a line that neither starts nor ends with white space, but for a blank before its word.
+_WHOLE = re.compile(rb" ?[^ \t\n\r](?:.*[^ \t\n\r])?$", re.S).match
 
 
 @functools.lru_cache(maxsize=4)

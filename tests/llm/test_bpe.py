@@ -54,8 +54,7 @@ def test_cuts_are_certain(encoder):
     assert encoder.cut.any() and not encoder.cut.all()
 
 
-def test_memo_is_bounded(monkeypatch):
-    monkeypatch.setattr(bpe, "MEMO", 10)
-    memo = bpe.Memo(str)
+def test_memo_is_bounded():
+    memo = bpe.Memo(str, 10)
     assert [memo[i] for i in range(35)] == [str(i) for i in range(35)]
     assert len(memo) <= 10
