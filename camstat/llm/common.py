@@ -14,12 +14,25 @@ from camstat.session import checkpoint_dir
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, whole."""
-    # Python workers of a local session must find this package from any working folder; on a cluster
-    # the package is installed or shipped with --py-files.
-    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows in an Arrow batch.  Texts are long: the default of 10,000 rows makes batches of tens to
+#: hundreds of MB, several of which a worker holds at once.
+BATCH_ROWS = 1000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Bound Arrow batches, unless the session sets them, and let the Python workers of a local
+    session find this package from any working folder (on a cluster the package is installed or
+    shipped with --py-files)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+
+
 @functools.cache
 def _session_folder(app_id: str, root: str) -> str:
     return f"{root.rstrip('/')}/llm-{app_id}"

@@ -160,11 +160,13 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     def features(batches):
         import pandas as pd
 
-        for b in batches:
-            texts = [t if isinstance(t, str) else "" for t in b["text"]]
-            yield pd.DataFrame({
-                "key": b["key"], "y": b["y"], "words": [sorted(words(t)) for t in texts],
-                "fired": [fired(t) for t in texts], "minima": [shingle_minima(t) for t in texts]})
+        for batch in batches:
+            for i in range(0, len(batch), 256):  # word lists are much larger than their texts
+                b = batch.iloc[i:i + 256]
+                texts = [t if isinstance(t, str) else "" for t in b["text"]]
+                yield pd.DataFrame({
+                    "key": b["key"].to_numpy(), "y": b["y"].to_numpy(), "words": [sorted(words(t)) for t in texts],
+                    "fired": [fired(t) for t in texts], "minima": [shingle_minima(t) for t in texts]})
 
     seen = written(rows.mapInPandas(features, kind), "toxicity-sample")
     alike = F.greatest(*[F.count("*").over(Window.partitionBy(F.col("minima")[i])) for i in range(4)])
