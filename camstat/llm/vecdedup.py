@@ -144,8 +144,8 @@ def _round(graph: DataFrame, vecs: DataFrame, dim: int, kind: str, threshold: fl
             ids, new, bar = g["m"].to_numpy(np.int64), g["new"].to_numpy(bool), g["bar"].to_numpy(float)
             ux = unit(x)
             s = ux @ ux.T
-            s[~(new[:, None] | new[None, :])] = -2
-            np.fill_diagonal(s, -2)
+            s[~(new[:, None] | new[None, :])] = -np.inf
+            np.fill_diagonal(s, -np.inf)
             a, b = np.nonzero(s > bar[:, None] - EPS)
             u.append(ids[a])
             v.append(ids[b])
