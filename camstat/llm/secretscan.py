@@ -60,7 +60,10 @@ def marginal(candidate: str, around: str, names: bytes) -> int:
     """Bytes that the candidate adds after a dictionary of names and surrounding code."""
     import zstandard
 
-    primed = names + around.replace(candidate, " ").encode("utf-8", "replace")
+    # The same key standing nearby again must not make itself look familiar; a longer name that
+    # holds the candidate may.
+    own = rf"(?<![A-Za-z0-9+/_.-]){re.escape(candidate)}(?![A-Za-z0-9+/_.=-])"
+    primed = names + re.sub(own, " ", around).encode("utf-8", "replace")
     given = zstandard.ZstdCompressionDict(primed, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if len(primed) >= 8 else None
     packer = zstandard.ZstdCompressor(level=9, dict_data=given, write_content_size=False, write_dict_id=False)
     return len(packer.compress(candidate.encode())) - len(packer.compress(b""))
