@@ -30,6 +30,8 @@ from camstat.llm.common import written
 
 #: Most labelled rows that voters, label model and classifier are fitted on.
 SAMPLE = 20_000
+#: Clean documents without any vote that are added to the sample: few labels alone condemn nothing.
+CLEAN = 10.0
 #: Most words in the lexicon, and least (weighted) toxic documents that a word must occur in.
 LEXICON, SUPPORT = 256, 3.0
 #: Words whose document sets overlap by this Jaccard share are one voter.
@@ -89,7 +91,7 @@ def label_model(votes: np.ndarray, weight: np.ndarray, start: np.ndarray, rounds
     trust = np.ones(n_voters)
     for _ in range(rounds):
         a, b = weight * post, weight * (1 - post)
-        prior = (a.sum() + 0.5) / (weight.sum() + 1)
+        prior = (a.sum() + 0.5) / (weight.sum() + CLEAN)
         p1 = (a @ votes + 0.05) / (a.sum() + 1)
         p0 = (b @ votes + 0.05) / (b.sum() + 1)
         # Correlation that the latent label does not explain: such voters share their evidence.
@@ -173,7 +175,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     train = written(seen.select("y", "words", "fired", (1 / alike).alias("weight")), "toxicity-weighted")
     n0, n1 = train.agg(F.sum(F.col("weight") * (1 - F.col("y"))), F.sum(F.col("weight") * F.col("y"))).first()
     if not n0 or not n1:
-        share = ((n1 or 0) + 0.5) / ((n0 or 0) + (n1 or 0) + 1) if n0 or n1 else 1e-9
+        share = ((n1 or 0) + 0.5) / ((n0 or 0) + (n1 or 0) + CLEAN) if n0 or n1 else 1e-9
         return Model(bias=float(np.log(share / (1 - share))))
     stats = (
         train.select("y", "weight", F.explode("words").alias("word")).groupBy("word")
@@ -192,7 +194,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     patterns = np.array(got["fired"].tolist(), float).reshape(len(got), len(PATTERNS))
     weight, y = got["weight"].to_numpy(float), got["y"].to_numpy(float)
     post, _, _ = label_model(np.hstack([patterns, _voters(hits)]), weight, np.where(y == 1, 0.9, 0.05))
-    w = _logistic(np.hstack([patterns, hits, np.ones((len(got), 1))]), post, weight)
+    x = np.hstack([patterns, hits, np.ones((len(got), 1))])
+    silent = np.append(np.zeros(x.shape[1] - 1), 1.0)
+    w = _logistic(np.vstack([x, silent]), np.append(post, 0.0), np.append(weight, CLEAN))
     return Model(lexicon, w[:-1], float(w[-1]))
 
 
