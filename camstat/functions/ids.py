@@ -72,17 +72,28 @@ def is_manual(c: ColLike = "id", strict: bool = False) -> Column:
 
 
 def is_numeric_id(c: ColLike = "id", rule: str = "cast") -> Column:
-    """numeric id test.  ``cast``: an integer of up to 18 digits; ``letters``:
-    the older rule "contains neither P nor Q"."""
+    """numeric id test.  ``cast``: an integer of any length; ``letters``: the older
+    rule "contains neither P nor Q"."""
     if rule == "letters":
         return ~(_c(c).contains("P") | _c(c).contains("Q"))
     # a digit pattern, not try_cast: failed casts are slow on mostly non-numeric ids
-    return _c(c).rlike(r"^[+-]?[0-9]{1,18}$")
+    return _c(c).rlike(r"^[+-]?[0-9]+$")
+
+
+def numeric_order(c: ColLike = "id") -> Column:
+    """A value that orders numeric ids of any length by size (undefined for other ids):
+    signed digit count without leading zeros, then the digits; equal for equal numbers."""
+    digits = F.regexp_replace(F.regexp_replace(_c(c), "^[+-]", ""), "^0+(?=[0-9])", "")
+    below = _c(c).startswith("-") & (digits != "0")
+    size = F.length(digits)
+    return F.struct(
+        F.when(below, -size).otherwise(size).alias("size"),
+        F.when(below, F.translate(digits, "0123456789", "9876543210")).otherwise(digits).alias("digits"))
 
 
 def numeric_value(c: ColLike = "id") -> Column:
-    """Integer value of a numeric id (null otherwise)."""
-    return F.when(is_numeric_id(c), _c(c).cast("bigint"))
+    """Integer value of a numeric id (null otherwise, and beyond 64 bits)."""
+    return F.when(is_numeric_id(c), _c(c).try_cast("bigint"))
 
 
 def basename(c: ColLike) -> Column:

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from camstat.functions.timefn import fractional_days, parse_capture_time
+from camstat.operators.joins import join_back
+from camstat.session import written
 
 
 def n_distinct(df: DataFrame, col: str, out: str = "n") -> DataFrame:
@@ -175,17 +177,16 @@ def detection_latency(obs: DataFrame, cams: DataFrame, zones: DataFrame | None =
     """Per species x camera the first sighting, camera start and distinct
     days; species totals (sum of days, number of cameras); keep species seen at
     more than ``min_cameras`` cameras and latencies under ``max_days``."""
-    # distinct days first (a plain aggregate), then per species x camera; the
-    # camera start is one value per camera, joined after the aggregation
+    # distinct days first (a plain aggregate), then per species x camera.  Species totals
+    # come from that table before the camera start and zone are attached.
     per_day = obs.groupBy(species, camera, day_key).agg(F.min(ts).alias("_d"))
-    g = (per_day.groupBy(species, camera)
-         .agg(F.min("_d").alias("first_day"), F.count("*").alias("camera_events"))
-         .join(cams.select(camera, "camera_first_day"), camera, "left"))
+    g = written(per_day.groupBy(species, camera).agg(F.min("_d").alias("first_day"), F.count("*").alias("camera_events")),
+                "latency")
+    tot = (g.groupBy(species).agg(F.sum("camera_events").alias("total_events"), F.count("*").alias("n_cameras"))
+           .filter(F.col("n_cameras") > min_cameras))
+    out = join_back(join_back(g, tot, [species], "inner"), cams.select(camera, "camera_first_day"), [camera])
     if zones is not None:
-        g = g.join(zones, camera, "left")
-    tot = g.groupBy(species).agg(F.sum("camera_events").alias("total_events"),
-                                 F.count("*").alias("n_cameras"))
-    out = g.join(tot, species, "inner").filter(F.col("n_cameras") > min_cameras)
+        out = join_back(out, zones, [camera])
     diff = fractional_days("first_day", "camera_first_day")
     return out.withColumn("diff_days", diff).filter(F.col("diff_days") < max_days)
 
@@ -223,53 +224,73 @@ def histogram(df: DataFrame, col: str, bins: int, lo: float, hi: float,
                           "bin_hi": F.lit(lo) + F.col("bin") * F.lit((hi - lo) / bins)}))
 
 
+def _counted(df: DataFrame, col: str, by: list[str]) -> DataFrame:
+    """One row per (group, value) with its count and ``_upto``, the rows of the group up to
+    and including the value.  Values are counted first (map-side combined), so a frequent
+    value is one row; the running sum is taken inside value ranges, and ranges are
+    chained through a table with one row per range and group."""
+    from camstat.operators.windows import ranged
+    v = df.select(*by, F.col(col).alias("_v")).filter(F.col("_v").isNotNull())
+    r = ranged(v.groupBy(*by, "_v").agg(F.count("*").alias("_c")), by, ["_v"])
+    inside = Window.partitionBy("_pid", *by).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    sums = r.groupBy("_pid", *by).agg(F.sum("_c").alias("_sum"))
+    sums = sums.withColumn("_off", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
+    r = r.withColumn("_in", F.sum("_c").over(inside))
+    return written(join_back(r, sums, ["_pid", *by], "inner")
+                   .select(*by, "_v", "_c", (F.col("_in") + F.col("_off")).alias("_upto")), "counted")
+
+
+def _quantiles(counted: DataFrame, probs: list[float], by: list[str]) -> DataFrame:
+    n = counted.groupBy(*by).agg(F.sum("_c").alias("n"))
+    c = join_back(counted, n, by, "inner") if by else attach_scalar(counted, n)
+
+    def at(rank):
+        """The value that holds a 1-based rank of its group."""
+        return F.max(F.when((F.col("_upto") - F.col("_c") < rank) & (rank <= F.col("_upto")), F.col("_v")))
+
+    aggs = []
+    for i, p in enumerate(probs):
+        h = (F.col("n") - 1) * F.lit(float(p)) + 1
+        aggs += [at(F.floor(h)).alias(f"_lo{i}"), at(F.ceil(h)).alias(f"_hi{i}")]
+    q = c.groupBy(*by, "n").agg(*aggs)
+    out = []
+    for i, p in enumerate(probs):
+        h = (F.col("n") - 1) * F.lit(float(p)) + 1
+        out.append((F.col(f"_lo{i}") + (h - F.floor(h)) * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(f"q{i}"))
+    return q.select(*by, "n", *out)
+
+
 def quantiles(df: DataFrame, col: str, probs: list[float], by: list[str]) -> DataFrame:
     """Exact linear-interpolation quantiles (the usual "type 7": position
-    ``(n - 1) p + 1``) per group, without buffering a group's values in one task:
-    values are ranked inside each group by the range-partitioned sequence
-    operator, only the two ranks around each position are kept, and the value
-    is interpolated between them.  Output: ``by + [q0, q1, ...]``."""
-    from camstat.operators.windows import seq_id
-    v = df.select(*by, F.col(col).alias("_v")).filter(F.col("_v").isNotNull())
-    n = v.groupBy(*by).agg(F.count("*").alias("_n"))
-    ranked = seq_id(v, ["_v"], out="_r", by=by)
-    pos = n.select(*by, "_n", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"))
-                                                   for i, p in enumerate(probs)])).alias("_q"))
-    pos = pos.select(*by, F.col("_q.i").alias("_i"), ((F.col("_n") - 1) * F.col("_q.p") + 1).alias("_h"))
-    pos = pos.withColumns({"_lo": F.floor("_h"), "_hi": F.ceil("_h")})
-    need = pos.select(*by, "_i", "_h", F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_r"))
-    vals = need.join(ranked, [*by, "_r"], "inner")
-    q = (vals.groupBy(*by, "_i", "_h")
-         .agg(F.min(F.when(F.col("_r") == F.floor("_h"), F.col("_v"))).alias("_vlo"),
-              F.min(F.when(F.col("_r") == F.ceil("_h"), F.col("_v"))).alias("_vhi"))
-         .select(*by, "_i", (F.col("_vlo") + (F.col("_h") - F.floor("_h")) * (F.col("_vhi") - F.col("_vlo"))).alias("_qv")))
-    return (q.groupBy(*by).pivot("_i", list(range(len(probs)))).agg(F.first("_qv"))
-            .select(*by, *[F.col(str(i)).alias(f"q{i}") for i in range(len(probs))]))
+    ``(n - 1) p + 1``) per group, null being a group, without buffering a group's values in
+    one task: values are counted, counts accumulated in value ranges, and the values at the
+    two ranks around each position interpolated.  Output: ``by + [q0, q1, ...]``."""
+    return _quantiles(_counted(df, col, by), probs, by).drop("n")
 
 
 def box_stats(df: DataFrame, col: str, by: list[str], approx: bool = False,
               accuracy: int = 10000) -> DataFrame:
-    """Quartiles, IQR and Tukey whiskers (extreme values within 1.5 IQR).
-    Exact quartiles come from the rank-based ``quantiles``; ``approx`` switches
-    to the bounded-memory sketch instead."""
-    c = F.col(col)
-    cnt = df.groupBy(*by).agg(F.count(c).alias("n"))
+    """Quartiles, IQR and Tukey whiskers (extreme values within 1.5 IQR), from one table
+    of value counts.  ``approx`` takes the quartiles from the bounded-memory sketch instead.
+    Null is a group; a group without values is left out."""
+    v = F.col("_v")
     if approx:
-        q = df.groupBy(*by).agg(F.percentile_approx(c, [0.25, 0.5, 0.75], accuracy).alias("_q"))
-        q = q.select(*by, F.col("_q")[0].alias("q0"), F.col("_q")[1].alias("q1"), F.col("_q")[2].alias("q2"))
+        counted = df.select(*by, F.col(col).alias("_v")).filter(v.isNotNull()).groupBy(*by, "_v").agg(F.count("*").alias("_c"))
+        q = df.groupBy(*by).agg(F.percentile_approx(F.col(col), [0.25, 0.5, 0.75], accuracy).alias("_q"), F.count(col).alias("n"))
+        q = q.filter("n > 0").select(*by, "n", *[F.col("_q")[i].alias(f"q{i}") for i in range(3)])
     else:
-        q = quantiles(df, col, [0.25, 0.5, 0.75], by)
-    qs = (cnt.join(q, by, "inner")
-          .select(*by, "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3")))
-    qs = qs.withColumn("iqr", F.col("q3") - F.col("q1"))
-    j = df.select(*by, col).join(qs.select(*by, "q1", "q3", "iqr"), by, "inner")
-    lo_f = F.col("q1") - 1.5 * F.col("iqr")
-    hi_f = F.col("q3") + 1.5 * F.col("iqr")
-    wh = j.groupBy(*by).agg(
-        F.min(F.when(c >= lo_f, c)).alias("whisker_lo"),
-        F.max(F.when(c <= hi_f, c)).alias("whisker_hi"),
-        F.count_if((c < lo_f) | (c > hi_f)).alias("n_outliers"))
-    return qs.join(wh, by, "inner")
+        counted = _counted(df, col, by)
+        q = _quantiles(counted, [0.25, 0.5, 0.75], by)
+    qs = q.select(*by, "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"),
+                  (F.col("q2") - F.col("q0")).alias("iqr"))
+    fences = qs.withColumns({"_lo": F.col("q1") - 1.5 * F.col("iqr"), "_hi": F.col("q3") + 1.5 * F.col("iqr")})
+    j = join_back(counted, fences, by, "inner") if by else attach_scalar(counted, fences)
+    keep = [*by, "n", "q1", "median", "q3", "iqr"]
+    return j.groupBy(*keep).agg(
+        F.min(F.when(v >= F.col("_lo"), v)).alias("whisker_lo"),
+        F.max(F.when(v <= F.col("_hi"), v)).alias("whisker_hi"),
+        F.sum(F.when((v < F.col("_lo")) | (v > F.col("_hi")), F.col("_c")).otherwise(0)).alias("n_outliers"))
 
 
 def hit_rate(obs: DataFrame, camera: str = "camera_id", species: str = "species") -> DataFrame:
@@ -286,10 +307,10 @@ def images_per_location(files: DataFrame, location: str = "location") -> DataFra
 
 
 def get_dupes(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose key occurs more than once, with the key count.  Counts come
-    from a partial aggregate joined back (no window over a hot key)."""
+    """Rows whose key occurs more than once, with the key count; null keys are keys.
+    Counts come from a partial aggregate joined back (no window over a hot key)."""
     c = df.groupBy(*keys).agg(F.count("*").alias("dupe_count")).filter(F.col("dupe_count") > 1)
-    return df.join(c, keys, "inner")
+    return join_back(df, c, keys, "inner")
 
 
 def epoch_loss(log: DataFrame, epoch: str = "epoch", loss: str = "loss",

@@ -144,22 +144,25 @@ def crop_manifest(anns: DataFrame, width: str = "original_width", height: str =
 
 def crop_pixels(images: DataFrame, manifest: DataFrame, key: str = "path") -> DataFrame:
     """P3 pixels: cut each manifest box out of its decoded image (BGR bytes) and
-    return it as a binary column with its size.  JPEG encoding is left to the
-    writer (no image codec library here)."""
-    j = images.join(manifest.select(key, "crop_name", "px_x", "px_y", "px_w", "px_h"), key, "inner")
+    return it as a binary column with its size.  The manifest is grouped per image first,
+    so every decoded image is moved once, however many boxes it has.  JPEG encoding is left
+    to the writer (no image codec library here)."""
+    box = F.struct("crop_name", "px_x", "px_y", "px_w", "px_h")
+    cuts = (manifest.filter(F.col("crop_name").isNotNull()).groupBy(F.col(key).alias("_key"))
+            .agg(F.collect_list(box).alias("cuts")))
+    j = images.join(cuts, F.col(key) == F.col("_key"), "inner").select("height", "width", "data", "cuts")
     schema = "crop_name string, crop_w int, crop_h int, crop binary"
 
     def run(batches):
         for pdf in batches:
-            out = []
-            for _, r in pdf.iterrows():
-                if r["crop_name"] is None:
-                    continue
-                img = np.frombuffer(r["data"], dtype=np.uint8).reshape(int(r["height"]), int(r["width"]), 3)
-                y0, x0 = max(0, int(r["px_y"])), max(0, int(r["px_x"]))
-                c = img[y0:y0 + int(r["px_h"]), x0:x0 + int(r["px_w"])]
-                out.append((r["crop_name"], c.shape[1], c.shape[0], c.tobytes()))
-            yield pd.DataFrame(out, columns=["crop_name", "crop_w", "crop_h", "crop"])
+            for h, w, data, boxes in zip(pdf["height"], pdf["width"], pdf["data"], pdf["cuts"]):
+                img = np.frombuffer(data, dtype=np.uint8).reshape(int(h), int(w), 3)
+                out = []
+                for c in boxes:
+                    y0, x0 = max(0, c["px_y"]), max(0, c["px_x"])
+                    part = img[y0:y0 + c["px_h"], x0:x0 + c["px_w"]]
+                    out.append((c["crop_name"], part.shape[1], part.shape[0], part.tobytes()))
+                yield pd.DataFrame(out, columns=["crop_name", "crop_w", "crop_h", "crop"])
 
     return j.mapInPandas(run, schema)
 
@@ -197,37 +200,59 @@ def _exif_datetime(buf: bytes) -> str | None:
     return None
 
 
-def _read_head(path: str, n: int) -> bytes | None:
-    """First ``n`` bytes of a file on any filesystem pyarrow knows (local, HDFS,
-    S3, GCS ...), without reading the rest."""
-    import pyarrow.fs as pafs
-    try:
-        fs, p = pafs.FileSystem.from_uri(path)
-    except Exception:  # noqa: BLE001 - plain local path
-        fs, p = pafs.LocalFileSystem(), path.replace("file:", "", 1)
-    try:
-        with fs.open_input_stream(p) as fh:
-            return fh.read(n)
-    except OSError:
-        return None
-
+def read_exif_segment(f) -> bytes:
+    """The EXIF segment of an open JPEG file, whole, or nothing: segment lengths are followed
+    from the start of the file, so it is found behind any other segments."""
+    if f.read(2) != b"\xff\xd8":
+        raise ValueError("not a JPEG file")
+    while True:
+        mark = f.read(1)
+        while mark and mark != b"\xff":
+            mark = f.read(1)
+        code = f.read(1)
+        while code == b"\xff":
+            code = f.read(1)
+        if not code or code in (b"\xd9", b"\xda"):  # end of image, or its data begins
+            return b""
+        if code == b"\x01" or b"\xd0" <= code <= b"\xd7":
+            continue
+        size = f.read(2)
+        if len(size) < 2:
+            return b""
+        n = struct.unpack(">H", size)[0] - 2
+        if code == b"\xe1":
+            data = f.read(n)
+            if data.startswith(b"Exif\x00\x00"):
+                return data
+        else:
+            f.seek(n, 1)
+
+
+def read_capture_times(spark: SparkSession, root: str, pattern: str = "*.[jJ][pP]*[gG]", strict: bool = False) -> DataFrame:
+    """Capture time per image from the EXIF header.  Files are listed by the
+    ``binaryFile`` source selecting the path only; each task then follows the segments of its
+    files.  ``exif_date_time_original`` is null when the tag is missing (``has_time`` false);
+    ``error`` tells why a file could not be read.  ``strict``: a file without a time, or
+    unreadable, fails the job."""
+    from camstat.sources.fileio import open_input
 
-def read_capture_times(spark: SparkSession, root: str, header_bytes: int = 65536,
-                       pattern: str = "*.[jJ][pP]*[gG]") -> DataFrame:
-    """Capture time per image from the EXIF header.  Files are listed by
-    the ``binaryFile`` source selecting the path only (contents are never
-    loaded); each task then reads just the first ``header_bytes`` of its files.
-    A missing tag gives null (``has_time = false``) instead of failing the job."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
              .option("pathGlobFilter", pattern).load(root).select("path"))
 
+    def one(path):
+        try:
+            with open_input(path) as f:
+                return _exif_datetime(read_exif_segment(f)), None
+        except (OSError, ValueError) as e:
+            return None, f"{type(e).__name__}: {e}"
+
     def run(batches):
         for pdf in batches:
-            ts = []
-            for p in pdf["path"]:
-                h = _read_head(p, header_bytes)
-                ts.append(_exif_datetime(h) if h else None)
-            yield pd.DataFrame({"path": pdf["path"], "exif_date_time_original": ts})
+            got = [one(p) for p in pdf["path"]]
+            for p, (t, e) in zip(pdf["path"], got):
+                if strict and t is None:
+                    raise ValueError(f"{p} has no capture time ({e or 'tag missing'})")
+            yield pd.DataFrame({"path": pdf["path"], "exif_date_time_original": [t for t, _ in got], "error": [e for _, e in got]})
 
-    out = files.mapInPandas(run, "path string, exif_date_time_original string")
+    out = files.mapInPandas(run, "path string, exif_date_time_original string, error string")
     return out.withColumn("has_time", F.col("exif_date_time_original").isNotNull())

@@ -9,8 +9,21 @@ broadcast hash join at runtime when the measured side is under
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def join_back(df: DataFrame, per_key: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join a table with one row per key back to rows on ``keys``, null keys included
+    (``<=>``); each key column appears once, from ``df``."""
+    if not keys:
+        raise ValueError("keys are needed; attach one-row tables with attach_scalar")
+    right = per_key.withColumnsRenamed({k: f"__{k}" for k in keys})
+    cond = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    return df.join(right, cond, how).drop(*[f"__{k}" for k in keys])
 
 
 def join_exif(anns: DataFrame, exif: DataFrame, keys=("source_file", "image_id")) -> DataFrame:
@@ -71,17 +84,22 @@ def pred_vs_real(pred: DataFrame, real: DataFrame, cls: str = "class") -> DataFr
 def overlay_annotations(base: DataFrame, upd: DataFrame, key: str = "image",
                         payload: str = "annotations") -> DataFrame:
     """The update replaces base annotations by key; keys present only in the
-    update are added only when they carry annotations."""
+    update are added only when they carry annotations.  ``payload`` is an array or a
+    count; ``from_update`` tells which side a row's payload came from."""
     b = base.alias("b")
     u = upd.alias("u")
     j = b.join(u, F.col(f"b.{key}") == F.col(f"u.{key}"), "full_outer")
     in_base = F.col(f"b.{key}").isNotNull()
     has_upd = F.col(f"u.{key}").isNotNull()
-    u_nonempty = F.coalesce(F.size(F.col(f"u.{payload}")), F.lit(-1)) > 0
+    has = F.col(f"u.{payload}")
+    if isinstance(upd.schema[payload].dataType, T.ArrayType):
+        has = F.size(has)
+    u_nonempty = F.coalesce(has, F.lit(-1)) > 0
     keep = in_base | (has_upd & u_nonempty)
     return (j.filter(keep)
             .select(F.coalesce(F.col(f"b.{key}"), F.col(f"u.{key}")).alias(key),
-                    F.when(has_upd, F.col(f"u.{payload}")).otherwise(F.col(f"b.{payload}")).alias(payload)))
+                    F.when(has_upd, F.col(f"u.{payload}")).otherwise(F.col(f"b.{payload}")).alias(payload),
+                    has_upd.alias("from_update")))
 
 
 def first_non_null(a: DataFrame, b: DataFrame, key: str, cols: list[str]) -> DataFrame:
@@ -98,25 +116,33 @@ def first_non_null(a: DataFrame, b: DataFrame, key: str, cols: list[str]) -> Dat
 
 
 def bind_by_key(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-    """Column-bind two frames on an explicit row key."""
-    return a.join(b, key, "inner")
+    """Column-bind two frames on an explicit row key.  Rows found on one side only
+    stay, with nulls for the other side's columns."""
+    return a.join(b, key, "full_outer")
 
 
 def in_deployment(obs: DataFrame, dep: DataFrame, key: str = "camera_id", ts: str = "date_time",
                   start: str = "date_deployed", end: str = "date_retrieved") -> DataFrame:
     """Flag each observation inside its camera's deployed-retrieved span
-    (open-ended when not retrieved).  Equi join on the camera, then a range test;
-    one deployment per camera (Q4) keeps this a plain left join."""
+    (open-ended when not retrieved).  Calendar days are compared, so the whole retrieval
+    day counts.  Equi join on the camera, then a range test; one deployment per camera
+    (Q4) keeps this a plain left join."""
     d = dep.select(key, start, end)
     j = obs.join(d, key, "left")
-    t = F.col(ts)
+    t = F.to_date(ts)
     inside = (t >= F.col(start)) & (F.col(end).isNull() | (t <= F.col(end)))
     return j.withColumn("in_deployment", F.coalesce(inside, F.lit(False)))
 
 
-def compare_platforms(a: DataFrame, b: DataFrame, keys: list[str], species: str = "species") -> DataFrame:
-    """Per-key species counts of two tagging systems, full outer joined."""
-    ca = a.groupBy(*keys, species).agg(F.count("*").alias("n_a"))
-    cb = b.groupBy(*keys, species).agg(F.count("*").alias("n_b"))
-    j = ca.join(cb, [*keys, species], "full_outer")
+def compare_platforms(a: DataFrame, b: DataFrame, keys: list[str], species: str = "species",
+                      image: str = "image_id") -> DataFrame:
+    """Per-key number of images with each species in two tagging systems, full outer
+    joined.  An image counts once per species, however many boxes it has."""
+    fields = [*keys, species]
+    ca = a.select(*fields, image).distinct().groupBy(*fields).agg(F.count("*").alias("n_a"))
+    cb = b.select(*fields, image).distinct().groupBy(*fields).agg(F.count("*").alias("n_b"))
+    right = cb.withColumnsRenamed({c: f"__{c}" for c in fields})
+    cond = functools.reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in fields])
+    j = ca.join(right, cond, "full_outer").select(
+        *[F.coalesce(c, f"__{c}").alias(c) for c in fields], "n_a", "n_b")
     return j.fillna(0, subset=["n_a", "n_b"]).withColumn("diff", F.col("n_a") - F.col("n_b"))

@@ -35,12 +35,14 @@ def _moments(df: DataFrame, cols: list[str]) -> tuple[int, np.ndarray, np.ndarra
 
 
 def rda(wide: DataFrame, key: str, y_cols: list[str], x_cols: list[str], n_axes: int = 2
-        ) -> tuple[DataFrame, DataFrame, DataFrame]:
+        ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Redundancy analysis of responses ``y_cols`` on predictors ``x_cols``
-    (one row per site).  Returns ``(axes, species_scores, site_scores)``:
-    eigenvalues with R^2 / adjusted R^2, species (response) loadings and
-    linear-combination site scores.  Moments come from one Spark pass; the
-    least-squares fit and eigen-decomposition run on the small matrices."""
+    (one row per site).  Returns ``(axes, species_scores, site_scores, predictor_scores)``:
+    eigenvalues with R^2 / adjusted R^2; species scores and linear-combination site scores in
+    scaling 2 (species scaled by the axis' share of the inertia); predictor (biplot) scores,
+    the correlation of a predictor with the site scores.  An axis points to the side of
+    its largest absolute species loading (ties: the first species).  Moments come from one
+    Spark pass; the least-squares fit and eigen-decomposition run on the small matrices."""
     cols = x_cols + y_cols
     n, s, P = _moments(wide, cols)
     mean = s / n
@@ -59,28 +61,40 @@ def rda(wide: DataFrame, key: str, y_cols: list[str], x_cols: list[str], n_axes:
     adj = 1 - (1 - r2) * (n - 1) / (n - rank - 1) if n - rank - 1 > 0 else float("nan")
     spark = wide.sparkSession
     m = min(n_axes, len(y_cols))
+    evecs = evecs[:, :m]
+    top = np.abs(evecs).round(9).argmax(axis=0)
+    evecs = evecs * np.where(evecs[top, np.arange(m)] < 0, -1.0, 1.0)
+    share = np.sqrt(evals[:m] / total) if total > 0 else np.zeros(m)
+    const = ((n - 1) * total) ** 0.25
     axes = spark.createDataFrame(
         [(i + 1, float(evals[i]), float(evals[i] / total) if total > 0 else 0.0, r2, adj) for i in range(m)],
         "axis int, eigenvalue double, prop_explained double, r2 double, adj_r2 double")
-    sp = spark.createDataFrame([(y, *[float(evecs[j, i]) for i in range(m)]) for j, y in enumerate(y_cols)],
-                               "species string, " + ", ".join(f"rda{i + 1} double" for i in range(m)))
-    # site scores: centred X times B times the axis vectors, as column arithmetic
-    W = B @ evecs[:, :m]                   # p x m
+    fields = ", ".join(f"rda{i + 1} double" for i in range(m))
+    sp = spark.createDataFrame([(y, *[float(evecs[j, i] * share[i] * const) for i in range(m)]) for j, y in enumerate(y_cols)],
+                               "species string, " + fields)
+    # site scores: centred X times B times the axis vectors, each axis to unit sum of squares
+    W = B @ evecs                           # p x m
+    norm = np.sqrt((n - 1) * evals[:m])
+    scale = np.divide(const, norm, out=np.zeros(m), where=norm > 0)
     site_cols = []
     for a in range(m):
         e = F.lit(0.0)
         for i, x in enumerate(x_cols):
-            e = e + (F.col(x) - F.lit(float(mean[i]))) * F.lit(float(W[i, a]))
+            e = e + (F.col(x) - F.lit(float(mean[i]))) * F.lit(float(W[i, a] * scale[a]))
         site_cols.append(e.alias(f"rda{a + 1}"))
     sites = wide.select(key, *site_cols)
-    return axes, sp, sites
+    spread = np.sqrt(np.outer(np.diag(Sxx), evals[:m]))
+    biplot = np.divide(Sxx @ W, spread, out=np.zeros((p, m)), where=spread > 0)
+    predictors = spark.createDataFrame([(x, *[float(v) for v in biplot[i]]) for i, x in enumerate(x_cols)], "predictor string, " + fields)
+    return axes, sp, sites, predictors
 
 
-def label_scores(scores: DataFrame, cols: list[str], threshold: float, name: str = "species") -> DataFrame:
-    """Keep labels for rows whose score on any axis exceeds ``threshold``."""
+def label_scores(scores: DataFrame, cols: list[str], threshold: float, name: str = "species", scale: float = 1.0) -> DataFrame:
+    """Keep labels for rows whose score times ``scale`` (the plotted score) exceeds
+    ``threshold`` on any axis."""
     cond = F.lit(False)
     for c in cols:
-        cond = cond | (F.abs(F.col(c)) > threshold)
+        cond = cond | (F.abs(F.col(c) * scale) > threshold)
     return scores.withColumn("label", F.when(cond, F.col(name)))
 
 
@@ -130,29 +144,31 @@ def poly_features(df: DataFrame, x: str, y: str, degree: int = 3) -> tuple[DataF
 
 
 def smooth_fit(train: DataFrame, grid: DataFrame, x: str, y: str, label: str, family: str = "poisson",
-               degree: int = 3) -> DataFrame:
+               degree: int = 3, weight: str | None = None) -> DataFrame:
     """Smooth surface of counts (or a binary outcome) over (x, y) by a GLM on
-    polynomial terms; predictions on ``grid``."""
+    polynomial terms; predictions on ``grid``.  ``weight``: rows a training row stands for."""
     t, names = poly_features(train, x, y, degree)
     g, _ = poly_features(grid, x, y, degree)
     link = "log" if family == "poisson" else "logit"
     glm = GeneralizedLinearRegression(family=family, link=link, labelCol=label, featuresCol="features",
                                       maxIter=50, regParam=1e-6)
+    if weight:
+        glm = glm.setWeightCol(weight)
     model = glm.fit(_assemble(t, names))
     return model.transform(_assemble(g, names)).drop("features", *names)
 
 
 def tune_forest(train: DataFrame, features: list[str], label: str, trees=(50,), min_nodes=(1, 5),
-                mtry=("sqrt", "onethird"), folds: int = 3, seed: int = 42):
+                mtry=("sqrt", "onethird"), fold: str = "fold", folds: int = 10, seed: int = 42):
     """Random forest tuned over features-per-split x minimum node size by
-    k-fold cross-validation, best by area under the ROC curve."""
+    cross-validation on the folds of column ``fold`` (X9), best by area under the ROC curve."""
     rf = RandomForestClassifier(labelCol=label, featuresCol="features", seed=seed)
     grid = (ParamGridBuilder().addGrid(rf.numTrees, list(trees)).addGrid(rf.minInstancesPerNode, list(min_nodes))
             .addGrid(rf.featureSubsetStrategy, list(mtry)).build())
     ev = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
     pipe = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"), rf])
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, numFolds=folds, seed=seed,
-                        parallelism=2)
+                        parallelism=4, foldCol=fold)
     return cv.fit(train)
 
 
@@ -167,21 +183,19 @@ def last_fit(model, test: DataFrame, label: str) -> tuple[DataFrame, dict]:
 
 def perm_importance(model, df: DataFrame, features: list[str], label: str, key: str, seed: int = 7
                     ) -> DataFrame:
-    """X11: drop in AUC when one feature is shuffled.  The shuffle pairs each row
-    with the value of another row via two seeded orderings numbered with the
-    range-partitioned sequence operator (no global single-task sort)."""
+    """X11: drop in AUC when one feature is shuffled.  Every row is paired once with another
+    row by two seeded orderings (range-partitioned sequence numbers, no single-task sort);
+    each feature in turn then takes the other row's value."""
     from camstat.operators.windows import seq_id
+    from camstat.session import written
     ev = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
-    base = ev.evaluate(model.transform(df))
-    spark = df.sparkSession
-    rows = []
     a = seq_id(df.withColumn("_h1", F.xxhash64(F.col(key), F.lit(seed))), ["_h1", key], out="_r")
-    for f in features:
-        b = seq_id(df.select(key, f).withColumn("_h2", F.xxhash64(F.col(key), F.lit(seed + 1))), ["_h2", key],
-                   out="_r").select("_r", F.col(f).alias("_perm"))
-        shuffled = a.join(b, "_r", "inner").drop(f, "_h1", "_r").withColumnRenamed("_perm", f)
-        rows.append((f, base, base - ev.evaluate(model.transform(shuffled))))
-    return spark.createDataFrame(rows, "feature string, auc double, importance double")
+    b = seq_id(df.select(key, *features).withColumn("_h2", F.xxhash64(F.col(key), F.lit(seed + 1))), ["_h2", key], out="_r2")
+    paired = written(a.join(b.select("_r2", *[F.col(f).alias(f"_perm_{f}") for f in features]), F.col("_r") == F.col("_r2"))
+                     .drop("_h1", "_r", "_r2"), "permuted")
+    base = ev.evaluate(model.transform(paired))
+    rows = [(f, base, base - ev.evaluate(model.transform(paired.withColumn(f, F.col(f"_perm_{f}"))))) for f in features]
+    return df.sparkSession.createDataFrame(rows, "feature string, auc double, importance double")
 
 
 def tree_fit(train: DataFrame, features: list[str], label: str, max_depth: int = 5, seed: int = 42):

@@ -56,19 +56,22 @@ def portable_hash(key: Column, seed: int) -> Column:
 def split_stratified(df: DataFrame, cls: str, key: str, frac: float = 0.25, seed: int = 42,
                      out: str = "split", hash_col: Column | None = None) -> DataFrame:
     """Per class, the ``round(frac * n)`` rows with the smallest seeded hash go
-    to ``eval``, the rest to ``train``.  Stable across runs.  The within-class
+    to ``eval``, the rest to ``train``.  Null is a class.  Stable across runs.  The within-class
     rank comes from the range-partitioned sequence operator, so a class holding
     most rows is still ranked by many tasks."""
+    from camstat.operators.joins import join_back
     from camstat.operators.windows import seq_id
     h = hash_col if hash_col is not None else (
         portable_hash(F.col(key), seed) if dict(df.dtypes)[key] in ("int", "bigint", "smallint")
         else F.xxhash64(F.col(key), F.lit(seed)))
     n = df.groupBy(cls).agg(F.count("*").alias("_n"))
-    r = seq_id(df.withColumn("_h", h), ["_h", key], out="_rank", by=[cls]).join(n, cls, "inner")
+    r = join_back(seq_id(df.withColumn("_h", h), ["_h", key], out="_rank", by=[cls]), n, [cls], "inner")
     return (r.withColumn(out, F.when(F.col("_rank") <= F.round(F.col("_n") * frac), F.lit("eval"))
                          .otherwise(F.lit("train"))).drop("_rank", "_n", "_h"))
 
 
-def folds(df: DataFrame, key: str, k: int = 10, seed: int = 42, out: str = "fold") -> DataFrame:
-    """K cross-validation folds from a seeded hash."""
-    return df.withColumn(out, F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(k)).cast("int"))
+def folds(df: DataFrame, key: str, k: int = 10, seed: int = 42, out: str = "fold",
+          hash_col: Column | None = None) -> DataFrame:
+    """K cross-validation folds from a seeded hash of the key."""
+    h = hash_col if hash_col is not None else F.xxhash64(F.col(key), F.lit(seed))
+    return df.withColumn(out, F.pmod(h, F.lit(k)).cast("int"))

@@ -27,7 +27,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from camstat.functions.ids import first_tokens, is_numeric_id
+from camstat.functions.ids import first_tokens, is_numeric_id, numeric_order
+from camstat.operators.joins import join_back
 
 # fixed values: storage names aliased in export file names
 STORAGE_ALIASES = [("TrailCamStorage_2", "T2"), ("TrailCamStorage", "T1")]
@@ -48,18 +49,19 @@ def tag_projects(files: DataFrame, file_col: str = "file") -> DataFrame:
     than one export file."""
     f = files.withColumn("project", project_key(file_col))
     n = f.groupBy("project").agg(F.count_distinct(file_col).alias("n_files"))
-    return f.join(n, "project", "inner").withColumn("duplicated", F.col("n_files") > 1)
+    return join_back(f, n, ["project"], "inner").withColumn("duplicated", F.col("n_files") > 1)
 
 
 def decide(rows: DataFrame, key: list[str], orig: str = "orig", id_col: str = "id",
            species: str = "species", numeric_rule: str = "cast") -> DataFrame:
-    """Per-file decision: ``key + [rule, keep_orig, min_numeric_id]``."""
+    """Per-file decision: ``key + [rule, keep_orig, min_numeric_id]``.  Rows without a
+    file are one file.  ``min_numeric_id`` is the smallest ``numeric_order`` of its ids."""
     sp = F.coalesce(F.col(species), F.lit(NONE))
     r = rows.select(*key, orig, id_col, sp.alias("_sp"),
                     is_numeric_id(id_col, numeric_rule).alias("_num"))
     pair = (r.groupBy(*key, id_col, "_sp", "_num")
             .agg(F.count_if(F.col(orig) == 1).alias("_c1"), F.count_if(F.col(orig) == 2).alias("_c2")))
-    num_val = F.when(F.col("_num"), F.col(id_col).cast("bigint"))
+    num_val = F.when(F.col("_num"), numeric_order(id_col))
     f = pair.groupBy(*key).agg(
         F.sum("_c1").alias("n1"), F.sum("_c2").alias("n2"),
         F.count_if(F.col("_c1") != F.col("_c2")).alias("_mismatch"),
@@ -86,10 +88,10 @@ def reconcile(rows: DataFrame, key: list[str] | None = None, orig: str = "orig",
     ``rule`` added) and the rows of files that match no rule."""
     key = key or ["source_file"]
     d = decide(rows, key, orig, id_col, species, numeric_rule)
-    j = rows.join(d, key, "inner")
+    j = join_back(rows, d, key, "inner")
     num = is_numeric_id(id_col, numeric_rule)
     keep = (F.when(F.col("rule").isin("D1", "D4", "D5"), F.col(orig) == F.col("keep_orig"))
-            .when(F.col("rule") == "D2", num & (F.when(num, F.col(id_col).cast("bigint")) == F.col("min_numeric_id")))
+            .when(F.col("rule") == "D2", num & (numeric_order(id_col) == F.col("min_numeric_id")))
             .when(F.col("rule").isin("D3", "D6"), ~num)
             .otherwise(F.lit(False)))
     kept = (j.filter(keep)
@@ -105,15 +107,14 @@ def process_annotations(wide: DataFrame, file_col: str = "file", key: list[str]
     one file pass through; projects with exactly two files are reconciled
     (export 1 = the first file name); projects with more go to conflicts (Q7)."""
     key = key or ["project", "source_file"]
-    t = tag_projects(wide, file_col)
-    single = t.filter(~F.col("duplicated")).drop("n_files", "duplicated")
+    # project facts come from the small table of files, so the rows are joined once
+    files = tag_projects(wide.select(file_col).distinct(), file_col)
+    per_file = join_back(files, files.groupBy("project").agg(F.min(file_col).alias("_first")), ["project"], "inner")
+    t = join_back(wide, per_file.withColumn(
+        "orig", F.when(F.col(file_col).eqNullSafe(F.col("_first")), 1).otherwise(2)).drop("_first", "duplicated"), [file_col], "inner")
+    single = t.filter(F.col("n_files") < 2).drop("n_files", "orig")
     single = single.withColumn("species", F.nullif(F.col("species"), F.lit(NONE)))
-    dup = t.filter(F.col("n_files") == 2)
-    first = dup.groupBy("project").agg(F.min(file_col).alias("_first"))
-    dup = (dup.join(first, "project", "inner")
-           .withColumn("orig", F.when(F.col(file_col) == F.col("_first"), 1).otherwise(2))
-           .drop("_first", "n_files", "duplicated"))
-    kept, conflicts = reconcile(dup, key, numeric_rule=numeric_rule)
-    too_many = t.filter(F.col("n_files") > 2).drop("duplicated")
+    kept, conflicts = reconcile(t.filter(F.col("n_files") == 2).drop("n_files"), key, numeric_rule=numeric_rule)
+    too_many = t.filter(F.col("n_files") > 2).drop("orig")
     out = single.unionByName(kept.drop("rule"), allowMissingColumns=True)
     return out, conflicts.unionByName(too_many, allowMissingColumns=True)

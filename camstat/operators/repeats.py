@@ -11,26 +11,33 @@ every box of a folder:
   grid of side ``2 (1-t) (1/t)^(k+1)`` a partner lies in the box's own cell or
   in the one neighbour on the side of the half-cell the box sits in.
 
-Each box is inserted once (own class, own cell) and probes its own and the next
-class over 2 x 2 cells; an equi join on ``(folder, class, cell)`` yields each
-candidate pair exactly once, then the exact IoU filters.
-
-Repeat groups are the connected components of the pair graph, found by min-label
-propagation with pointer jumping; lineage is cut every round with a reliable
-``checkpoint`` into the cluster's ``spark.checkpoint.dir``.  Exact duplicate
-boxes of a folder are collapsed to one weighted node first, so a hot static box
-does not multiply the pair count.
+Equal boxes of a folder are collapsed to one weighted node first, so a static box
+repeated n times is one row, not n^2 pairs.  Each node is inserted once (own class,
+own cell) and probes its own and the next class over 2 x 2 cells; an equi join on
+``(folder, class, cell)`` and a compact node number yields each candidate pair exactly
+once, then the exact IoU filters.
+
+A cell with more than ``BLOCK`` nodes is divided by node number and its probes likewise.
+Pairs come from the block join.  Repeat groups need no pair rows from such a cell: each
+pair of blocks returns a forest of its links (numpy, bounded block sizes), and the groups
+are the connected components of those forests and of the pairs of the other cells.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from camstat.functions.geometry import iou
-from camstat.session import checkpoint_dir
+from camstat.operators.components import components, forest
+from camstat.operators.joins import join_back
+from camstat.session import written
+
+#: Most nodes of a grid cell that are joined row by row, and most that meet in one block.
+BLOCK = 1024
 
 
 def _with_grid(df: DataFrame, t: float, x: str, y: str, w: str, h: str) -> DataFrame:
@@ -55,82 +62,131 @@ def _near_cells(col: str, k, t: float):
     return F.array(own, own + side)
 
 
-def repeat_pairs(boxes: DataFrame, iou_t: float = 0.85, conf_t: float = 0.1,
-                 folder: str = "folder", key: str = "box_id", x: str = "x", y: str = "y",
-                 w: str = "w", h: str = "h", conf: str = "confidence") -> DataFrame:
-    """All box pairs ``(a, b)`` of the same folder with IoU >= ``iou_t``, both
-    with confidence >= ``conf_t``; ``a < b`` is not implied -- each unordered
-    pair appears once."""
-    b = boxes.filter(F.col(conf) >= conf_t).select(folder, key, x, y, w, h)
-    b = _with_grid(b, iou_t, x, y, w, h)
-    ins = b.select(folder, F.col(key).alias("b_id"), F.col("_k").alias("_kk"),
-                   _cell(x, F.col("_k"), iou_t).alias("_gx"), _cell(y, F.col("_k"), iou_t).alias("_gy"),
-                   F.col(x).alias("bx"), F.col(y).alias("by"), F.col(w).alias("bw"), F.col(h).alias("bh"),
+def box_nodes(boxes: DataFrame, folder: str, key: str, x: str, y: str, w: str, h: str) -> DataFrame:
+    """One row per distinct box of a folder: ``node`` (a number), ``rep`` (its smallest key)
+    and ``n`` boxes; written once, so the numbers stay."""
+    g = boxes.groupBy(folder, x, y, w, h).agg(F.min(key).alias("rep"), F.count("*").alias("n"))
+    return written(g.withColumn("node", F.monotonically_increasing_id()), "box-nodes")
+
+
+def _sides(nodes: DataFrame, t: float, folder: str, x: str, y: str, w: str, h: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """(inserted nodes, probes, join keys), large cells divided into blocks."""
+    b = _with_grid(nodes.select("node", folder, x, y, w, h), t, x, y, w, h)
+    cell = [folder, "_kk", "_gx", "_gy"]
+    ins = b.select(folder, F.col("_k").alias("_kk"), _cell(x, F.col("_k"), t).alias("_gx"), _cell(y, F.col("_k"), t).alias("_gy"),
+                   F.col("node").alias("b"), F.col(x).alias("bx"), F.col(y).alias("by"), F.col(w).alias("bw"), F.col(h).alias("bh"),
                    F.col("_k").alias("_kb"))
     pr = (b.withColumn("_kk", F.explode(F.array(F.col("_k"), F.col("_k") + 1)))
-          .withColumn("_gx", F.explode(_near_cells(x, F.col("_kk"), iou_t)))
-          .withColumn("_gy", F.explode(_near_cells(y, F.col("_kk"), iou_t)))
-          .select(folder, F.col(key).alias("a_id"), "_kk", "_gx", "_gy", F.col("_k").alias("_ka"),
-                  F.col(x).alias("ax"), F.col(y).alias("ay"), F.col(w).alias("aw"), F.col(h).alias("ah")))
-    j = pr.join(ins, [folder, "_kk", "_gx", "_gy"], "inner")
-    once = (F.col("_ka") < F.col("_kb")) | ((F.col("_ka") == F.col("_kb")) & (F.col("a_id") < F.col("b_id")))
+          .withColumn("_gx", F.explode(_near_cells(x, F.col("_kk"), t)))
+          .withColumn("_gy", F.explode(_near_cells(y, F.col("_kk"), t)))
+          .select(*cell, F.col("node").alias("a"), F.col("_k").alias("_ka"), F.col(x).alias("ax"), F.col(y).alias("ay"),
+                  F.col(w).alias("aw"), F.col(h).alias("ah")))
+    big = ins.groupBy(*cell).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_parts")).filter("_parts > 1")
+    big = written(big, "big-cells")
+
+    def parts(side: DataFrame) -> DataFrame:
+        return join_back(side, big, cell).withColumn("_big", F.col("_parts").isNotNull()).withColumn("_parts", F.coalesce("_parts", F.lit(1)))
+
+    def number(c: str):
+        return F.pmod(F.xxhash64(c), F.col("_parts")).cast("int")
+
+    every = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
+    ins = parts(ins).withColumn("_bp", number("b")).withColumn("_ap", every).drop("_parts")
+    pr = parts(pr).withColumn("_ap", number("a")).withColumn("_bp", every).drop("_parts")
+    # fresh column ids: the two sides come from the same nodes
+    return ins.toDF(*ins.columns), pr.toDF(*pr.columns), [*cell, "_big", "_ap", "_bp"]
+
+
+def _overlapping(pr: DataFrame, ins: DataFrame, keys: list[str], t: float, folder: str) -> DataFrame:
+    j = pr.join(ins, keys, "inner")
+    once = (F.col("_ka") < F.col("_kb")) | ((F.col("_ka") == F.col("_kb")) & (F.col("a") < F.col("b")))
     v = iou("ax", "ay", "aw", "ah", "bx", "by", "bw", "bh")
-    return (j.filter(once).withColumn("iou", v).filter(F.col("iou") >= iou_t)
-            .select(folder, F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b"), "iou"))
-
-
-def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node",
-                         max_rounds: int = 10_000) -> DataFrame:
-    """Min-label propagation with pointer jumping until no label changes.
-    ``nodes(node)``, ``edges(a, b)`` -> ``(node, component)``; the component id is
-    the smallest node id in it.  Each round is checkpointed (reliable)."""
-    spark = nodes.sparkSession
-    checkpoint_dir(spark)
-    e = edges.select("a", "b")
-    e = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter(F.col("a") != F.col("b"))
-    e = e.checkpoint()
-    lab = nodes.select(F.col(node).alias("v"), F.col(node).alias("c")).distinct().checkpoint()
-    for _ in range(max_rounds):
-        # neighbours' labels
-        nb = e.join(lab.withColumnRenamed("v", "b"), "b", "inner").select(F.col("a").alias("v"), "c")
-        new = lab.unionByName(nb).groupBy("v").agg(F.min("c").alias("c"))
-        # pointer jumping: adopt the label of my label
-        jump = new.join(new.select(F.col("v").alias("c"), F.col("c").alias("cc")), "c", "left")
-        new = jump.select("v", F.least("c", F.coalesce("cc", "c")).alias("c")).checkpoint()
-        changed = (new.join(lab.withColumnRenamed("c", "old"), "v", "inner")
-                   .filter(F.col("c") != F.col("old")).limit(1).count())
-        lab = new
-        if changed == 0:
-            return lab.select(F.col("v").alias(node), F.col("c").alias("component"))
-    raise RuntimeError("connected components did not converge")
+    return j.filter(once).withColumn("iou", v).filter(F.col("iou") >= t).select(folder, "a", "b", "iou")
+
+
+def repeat_pairs(boxes: DataFrame, iou_t: float = 0.85, conf_t: float = 0.1,
+                 folder: str = "folder", key: str = "box_id", x: str = "x", y: str = "y",
+                 w: str = "w", h: str = "h", conf: str = "confidence") -> DataFrame:
+    """Pairs ``(a, b)`` of different boxes of one folder with IoU >= ``iou_t``, both
+    with confidence >= ``conf_t``.  Equal boxes are one: ``a < b`` are the smallest keys of the
+    two, ``n_a`` and ``n_b`` the number of boxes each stands for (all equal boxes pair at 1)."""
+    nodes = box_nodes(boxes.filter(F.col(conf) >= conf_t), folder, key, x, y, w, h)
+    ins, pr, keys = _sides(nodes, iou_t, folder, x, y, w, h)
+    p = _overlapping(pr, ins, keys, iou_t, folder)
+    a = nodes.select(F.col("node").alias("a"), F.col("rep").alias("rep_a"), F.col("n").alias("n1"))
+    b = nodes.select(F.col("node").alias("b"), F.col("rep").alias("rep_b"), F.col("n").alias("n2"))
+    swap = F.col("rep_a") > F.col("rep_b")
+    return p.join(a, "a").join(b, "b").select(
+        folder, F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b"), "iou",
+        F.when(swap, F.col("n2")).otherwise(F.col("n1")).alias("n_a"), F.when(swap, F.col("n1")).otherwise(F.col("n2")).alias("n_b"))
+
+
+def _overlaps(p, q, t: float) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers (i of p, j of q) of boxes with IoU >= t."""
+    ax, ay, aw, ah = (p[c].to_numpy(float)[:, None] for c in ("ax", "ay", "aw", "ah"))
+    bx, by, bw, bh = (q[c].to_numpy(float)[None, :] for c in ("bx", "by", "bw", "bh"))
+    inter = np.maximum(0.0, np.minimum(ax + aw, bx + bw) - np.maximum(ax, bx))
+    inter *= np.maximum(0.0, np.minimum(ay + ah, by + bh) - np.maximum(ay, by))
+    union = aw * ah + bw * bh - inter
+    return np.nonzero((union > 0) & (inter >= t * union))
+
+
+def repeat_links(nodes: DataFrame, iou_t: float = 0.85, folder: str = "folder", x: str = "x", y: str = "y",
+                 w: str = "w", h: str = "h") -> DataFrame:
+    """Links ``(a, b)`` of nodes whose connected components are those of all overlapping pairs:
+    each block of a large cell returns at most one link for each of its nodes."""
+    import pandas as pd
+
+    ins, pr, keys = _sides(nodes, iou_t, folder, x, y, w, h)
+
+    def meet(probes, inserted):
+        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        pa, pb = probes["a"].to_numpy(np.int64), inserted["b"].to_numpy(np.int64)
+        for i in range(0, len(probes), 512):
+            u, v = _overlaps(probes.iloc[i:i + 512], inserted, iou_t)
+            u, v = pa[i:i + 512][u], pb[v]
+            own = u != v
+            if own.any():
+                p, q = forest(u[own], v[own])
+                a.append(p)
+                b.append(q)
+        a, b = np.concatenate(a), np.concatenate(b)
+        if len(a):
+            a, b = forest(a, b)
+        return pd.DataFrame({"a": a, "b": b})
+
+    few = _overlapping(pr.filter(~F.col("_big")), ins.filter(~F.col("_big")), keys, iou_t, folder).select("a", "b")
+    many = (pr.filter("_big").groupBy(*keys).cogroup(ins.filter("_big").toDF(*ins.columns).groupBy(*keys))
+            .applyInPandas(meet, "a long, b long"))
+    return few.unionByName(many)
+
+
+def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node") -> DataFrame:
+    """``nodes(node)``, ``edges(a, b)`` -> ``(node, component)``; the component id is the smallest
+    node of it, a node without edges is its own."""
+    found = components(edges).withColumnRenamed("node", "_n")
+    return (nodes.select(node).distinct().join(found, F.col(node) == F.col("_n"), "left")
+            .select(node, F.coalesce("component", node).alias("component")))
 
 
 def suppress_repeats(boxes: DataFrame, min_count: int = 3, iou_t: float = 0.85, conf_t: float = 0.1,
                      folder: str = "folder", key: str = "box_id", x: str = "x", y: str = "y",
                      w: str = "w", h: str = "h", conf: str = "confidence") -> DataFrame:
     """Boxes in a repeat group of at least ``min_count`` boxes get a negative
-    confidence (``-abs``); adds ``repeat_group`` and ``group_size``.  Boxes below
-    ``conf_t`` are left as they are."""
+    confidence (``-abs``); adds ``repeat_group`` (the smallest key of the group) and
+    ``group_size``.  Boxes below ``conf_t`` are left as they are."""
     cand = boxes.filter(F.col(conf) >= conf_t)
-    # one node per distinct (folder, box) geometry; weight = number of boxes
-    node_of = F.concat_ws("|", F.col(folder).cast("string"), F.col(x).cast("string"), F.col(y).cast("string"),
-                          F.col(w).cast("string"), F.col(h).cast("string"))
-    members = cand.select(key, folder, x, y, w, h, node_of.alias("node"))
-    nodes = members.groupBy("node", folder, x, y, w, h).agg(F.count("*").alias("_wt"))
-    checkpoint_dir(boxes.sparkSession)
-    nodes = nodes.checkpoint()
-    pairs = repeat_pairs(nodes.withColumn(conf, F.lit(1.0)), iou_t, 0.0, folder, "node", x, y, w, h,
-                         conf).checkpoint()
-    # only nodes with at least one partner need propagation; the rest are
-    # singleton groups whose size is their own weight
-    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-    comp = connected_components(ends, pairs.select("a", "b"), "node")
-    comp = (nodes.select("node").join(comp, "node", "left")
-            .withColumn("component", F.coalesce("component", "node")))
-    sizes = (nodes.join(comp, "node", "inner").groupBy("component").agg(F.sum("_wt").alias("group_size")))
-    grp = comp.join(sizes, "component", "inner").filter(F.col("group_size") >= min_count)
-    tagged = members.select(key, "node").join(grp, "node", "inner").select(
-        key, F.col("component").alias("repeat_group"), "group_size")
-    out = boxes.join(tagged, key, "left")
-    return out.withColumn(conf, F.when(F.col("repeat_group").isNotNull(), -F.abs(F.col(conf)))
-                          .otherwise(F.col(conf)))
+    nodes = box_nodes(cand, folder, key, x, y, w, h)
+    comp = connected_components(nodes, repeat_links(nodes, iou_t, folder, x, y, w, h))
+    named = nodes.join(comp, "node")
+    groups = (named.groupBy(F.col("component").alias("_c"))
+              .agg(F.sum("n").alias("group_size"), F.min("rep").alias("repeat_group"))
+              .filter(F.col("group_size") >= min_count))
+    tagged = (named.join(groups, F.col("component") == F.col("_c"), "inner")
+              .select(folder, x, y, w, h, "repeat_group", "group_size"))
+    out = join_back(boxes, tagged, [folder, x, y, w, h], "left")
+    hit = F.col("repeat_group").isNotNull() & (F.col(conf) >= conf_t)
+    return (out.withColumn("_hit", F.coalesce(hit, F.lit(False)))
+            .withColumns({conf: F.when(F.col("_hit"), -F.abs(F.col(conf))).otherwise(F.col(conf)),
+                          "repeat_group": F.when(F.col("_hit"), F.col("repeat_group")),
+                          "group_size": F.when(F.col("_hit"), F.col("group_size"))}).drop("_hit"))

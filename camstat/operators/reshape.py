@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from camstat.functions.ids import drop_last_token, is_manual
 from camstat.operators.filters import drop_comments, resolve_species
+from camstat.operators.joins import join_back
 
+#: Rows aimed at in one nested array.
+NEST_ROWS = 10_000
 # fixed values: tag variables defined by the labelling interface, in order
 TAG_VARIABLES = ["species", "other_species", "sex", "age", "behavior",
                  "unique_markings", "comment", "notes"]
@@ -18,13 +21,13 @@ def widen_tags(long: DataFrame, variables: list[str] = TAG_VARIABLES,
                drop: tuple[str, ...] = ("type",)) -> DataFrame:
     """Annotation long -> wide (one row per box).  Adds ``manual`` and
     ``image_id``; pivots the fixed variable list (static schema); keeps region
-    rows only; resolves "Other" species.  A repeated (box, variable) tag takes
-    the largest value -- deterministic, and equal to the only value when tags are
-    unique (the expected case; ``get_dupes`` finds the others)."""
+    rows only; resolves "Other" species.  Several tags of one variable (multiple choice)
+    are all kept, sorted and joined by ``", "``."""
     df = long.drop(*[c for c in drop if c in long.columns])
     keys = [c for c in df.columns if c not in (variable, tag)]
     wide = (df.groupBy(*keys).pivot(variable, variables)
-            .agg(F.max(tag)))
+            .agg(F.collect_set(tag)))
+    wide = wide.withColumns({v: F.when(F.size(v) > 0, F.array_join(F.array_sort(F.col(v)), ", ")) for v in variables})
     wide = wide.withColumns({"manual": is_manual("id"), "image_id": drop_last_token("id")})
     wide = drop_comments(wide)
     return resolve_species(wide)
@@ -37,16 +40,19 @@ def unpivot(df: DataFrame, ids: list[str], values: list[str], name: str = "varia
 
 
 def nest(df: DataFrame, key: list[str], out: str = "data") -> DataFrame:
-    """One row per key with its rows as an array of structs and a row count.
-    Intended for bounded groups (rows of one file)."""
+    """Rows per key as arrays of structs with a row count.  A key's rows are divided by
+    hash into arrays of about ``NEST_ROWS``, numbered ``part``, so a key of any size fits;
+    ``nr`` is the key's whole row count."""
     rest = [c for c in df.columns if c not in key]
-    return (df.groupBy(*key).agg(F.collect_list(F.struct(*rest)).alias(out))
-            .withColumn("nr", F.size(out)))
+    sizes = df.groupBy(*key).agg(F.count("*").alias("nr"))
+    parts = F.ceil(F.col("nr") / NEST_ROWS)
+    split = join_back(df, sizes, key).withColumn("part", F.pmod(F.xxhash64(*rest), parts).cast("int"))
+    return split.groupBy(*key, "nr", "part").agg(F.sort_array(F.collect_list(F.struct(*rest))).alias(out))
 
 
 def unnest(df: DataFrame, col: str = "data") -> DataFrame:
     """R3 inverse."""
-    keep = [c for c in df.columns if c not in (col, "nr")]
+    keep = [c for c in df.columns if c not in (col, "nr", "part")]
     return df.select(*keep, F.inline(col))
 
 
@@ -124,6 +130,14 @@ def sort_nulls_last(df: DataFrame, cols: list[str], desc: list[bool] | None = No
                         for c, d in zip(cols, desc)])
 
 
+def label_order(df: DataFrame, label: str, by: str, out: str = "level", desc: bool = False) -> DataFrame:
+    """The order of a label by another column: ``(label, by_mean, level)``, level 1 for the
+    label with the smallest (largest) mean, ties by label; nulls last.  One row per label."""
+    m = df.groupBy(label).agg(F.avg(by).alias(f"{by}_mean"))
+    key = F.col(f"{by}_mean").desc_nulls_last() if desc else F.col(f"{by}_mean").asc_nulls_last()
+    return m.withColumn(out, F.row_number().over(Window.orderBy(key, F.col(label).asc_nulls_last())))
+
+
 def head(df: DataFrame, n: int, order: list[str]) -> DataFrame:
     """L3: first n rows after a total order (top-k per partition, then merge)."""
     return df.orderBy(*order).limit(n)

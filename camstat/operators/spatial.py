@@ -5,8 +5,9 @@ join is an *equi* join on a coarse bucket followed by an exact predicate:
 
 * point in polygon -- edges are exploded to the latitude bands they span and
   points meet only the edges of their own band; ray-crossing parity per zone.
-* within radius    -- points are exploded to the 3 x 3 neighbour buckets of
-  side ``r`` and meet cells of the same bucket; exact distance filter.
+* within radius    -- distinct positions lie on the unit sphere in a 3-D grid; one side
+  is exploded to its neighbour cells, the exact great-circle distance decides, and points
+  and cells are attached to their positions (or summed per position) afterwards.
 """
 
 from __future__ import annotations
@@ -17,8 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from camstat.functions.geometry import EARTH_RADIUS_KM, haversine_km
-
-KM_PER_DEG = math.pi / 180.0 * EARTH_RADIUS_KM  # 111.195 km
+from camstat.operators.joins import join_back
 
 
 def polygon_edges(vertices: DataFrame, zone: str = "zone", ring: str = "ring", seq: str = "seq",
@@ -38,18 +38,19 @@ def zone_of(points: DataFrame, edges: DataFrame, key: str = "camera_id", px: str
             py: str = "lat", band: float = 0.5, zone: str = "zone") -> DataFrame:
     """Left join each point to the polygon(s) containing it (null when none).
     An edge counts when ``min(y1,y2) <= py < max(y1,y2)`` and its crossing lies
-    right of the point; odd crossings per (point, zone) = inside.  Rings are
-    counted together, so holes come out right."""
+    right of the point; odd crossings per (position, zone) = inside.  Rings are
+    counted together, so holes come out right; points may share a key or a position."""
     e = edges.withColumn("_b", F.explode(F.sequence(F.floor(F.least("y1", "y2") / band),
                                                     F.floor(F.greatest("y1", "y2") / band))))
-    p = points.select(key, px, py).withColumn("_b", F.floor(F.col(py) / band))
+    # distinct positions: points that share one are located once
+    p = points.select(px, py).distinct().withColumn("_b", F.floor(F.col(py) / band))
     j = p.join(e, "_b", "inner")
     lo, hi = F.least("y1", "y2"), F.greatest("y1", "y2")
-    xc = F.col("x1") + (F.col(py) - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
-    cross = j.filter((F.col(py) >= lo) & (F.col(py) < hi) & (F.col(px) < xc))
-    inside = (cross.groupBy(key, zone).agg(F.count("*").alias("_n"))
-              .filter(F.col("_n") % 2 == 1).select(key, zone))
-    return points.join(inside, key, "left")
+    slope = F.try_divide(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
+    cross = j.filter((F.col(py) >= lo) & (F.col(py) < hi) & (F.col(px) < F.col("x1") + (F.col(py) - F.col("y1")) * slope))
+    inside = (cross.groupBy(px, py, zone).agg(F.count("*").alias("_n"))
+              .filter(F.col("_n") % 2 == 1).select(px, py, zone))
+    return join_back(points, inside, [px, py], "left")
 
 
 def zones_with_points(zones: DataFrame, located: DataFrame, zone: str = "zone") -> DataFrame:
@@ -57,50 +58,77 @@ def zones_with_points(zones: DataFrame, located: DataFrame, zone: str = "zone")
     return zones.join(located.filter(F.col(zone).isNotNull()).select(zone), zone, "left_semi")
 
 
-def planar_km(lon: Column, lat: Column, lat0: float) -> tuple[Column, Column]:
-    """Equirectangular projection around ``lat0`` (km)."""
-    return (lon * F.lit(KM_PER_DEG * math.cos(math.radians(lat0))), lat * F.lit(KM_PER_DEG))
-
-
-def within_radius(points: DataFrame, cells: DataFrame, r_km: float, lat0: float = 52.0,
-                  pkey: str = "camera_id", px: str = "lon", py: str = "lat",
-                  cx: str = "cx", cy: str = "cy") -> DataFrame:
-    """Every (point, cell) pair with planar distance <= ``r_km``.  Points are
-    exploded to their 3 x 3 neighbour buckets of side ``r_km``; cells sit in one
-    bucket; equi join then exact distance."""
-    pxk, pyk = planar_km(F.col(px), F.col(py), lat0)
-    cxk, cyk = planar_km(F.col(cx), F.col(cy), lat0)
-    p = (points.select(pkey, pxk.alias("_px"), pyk.alias("_py"))
-         .withColumn("_bx", F.explode(_shifted(F.floor(F.col("_px") / r_km))))
-         .withColumn("_by", F.explode(_shifted(F.floor(F.col("_py") / r_km)))))
-    c = cells.withColumns({"_cx": cxk, "_cy": cyk})
-    c = c.withColumns({"_bx": F.floor(F.col("_cx") / r_km), "_by": F.floor(F.col("_cy") / r_km)})
-    j = p.join(c, ["_bx", "_by"], "inner")
-    d2 = F.pow(F.col("_px") - F.col("_cx"), 2) + F.pow(F.col("_py") - F.col("_cy"), 2)
-    return j.filter(d2 <= r_km * r_km).drop("_bx", "_by", "_px", "_py", "_cx", "_cy")
-
-
-def cover_props(pairs: DataFrame, legend: DataFrame, pkey: str = "camera_id", value: str = "value",
-                code: str = "category_code") -> DataFrame:
-    """Per point, share of valued cells in each class (unweighted counts);
-    classes missing from the legend are dropped *after* the shares, so rows may
-    sum to less than 1."""
-    v = pairs.filter(F.col(value).isNotNull())
-    n = v.groupBy(pkey, value).agg(F.count("*").alias("_n"))
-    t = v.groupBy(pkey).agg(F.count("*").alias("_t"))
-    props = n.join(t, pkey, "inner").withColumn("props", F.col("_n") / F.col("_t"))
+def _on_sphere(lon: str, lat: str) -> dict:
+    la, lo = F.radians(F.col(lat)), F.radians(F.col(lon))
+    return {"_X": F.cos(la) * F.cos(lo), "_Y": F.cos(la) * F.sin(lo), "_Z": F.sin(la)}
+
+
+def positions_within(a: DataFrame, b: DataFrame, r_km: float, ax: str, ay: str, bx: str, by: str) -> DataFrame:
+    """Pairs of distinct positions of ``a`` and ``b`` within ``r_km`` great-circle distance:
+    ``(ax, ay, bx, by, dist_km)``.  Positions lie on the unit sphere in a 3-D grid whose side
+    is the chord of ``r_km`` (right at any latitude); ``a`` is exploded to its 27 neighbour
+    cells, an equi join finds candidates and the exact distance decides."""
+    chord = 2 * math.sin(r_km / (2 * EARTH_RADIUS_KM))
+    pa = a.select(F.col(ax).alias("_ax"), F.col(ay).alias("_ay")).distinct().withColumns(_on_sphere("_ax", "_ay"))
+    pb = b.select(F.col(bx).alias("_bx"), F.col(by).alias("_by")).distinct().withColumns(_on_sphere("_bx", "_by"))
+    for x in "XYZ":
+        pa = pa.withColumn(f"_c{x}", F.explode(_shifted(F.floor(F.col(f"_{x}") / chord))))
+        pb = pb.withColumn(f"_c{x}", F.floor(F.col(f"_{x}") / chord))
+    cells = ["_cX", "_cY", "_cZ"]
+    j = pa.select("_ax", "_ay", *cells).join(pb.select("_bx", "_by", *cells), cells, "inner")
+    return (j.select("_ax", "_ay", "_bx", "_by", haversine_km("_ax", "_ay", "_bx", "_by").alias("dist_km"))
+            .filter(F.col("dist_km") <= r_km))
+
+
+def within_radius(points: DataFrame, cells: DataFrame, r_km: float, pkey: str = "camera_id",
+                  px: str = "lon", py: str = "lat", cx: str = "cx", cy: str = "cy") -> DataFrame:
+    """Every (point, cell) pair within ``r_km`` great-circle distance, one row each."""
+    near = positions_within(points, cells, r_km, px, py, cx, cy).drop("dist_km")
+    rows = points.select(pkey, px, py).join(near, (F.col(px) == F.col("_ax")) & (F.col(py) == F.col("_ay")), "inner")
+    return rows.join(cells, (F.col("_bx") == F.col(cx)) & (F.col("_by") == F.col(cy)), "inner").drop(
+        "_ax", "_ay", "_bx", "_by", px, py)
+
+
+def padded_bbox(points: DataFrame, by: list[str], pad: float, x: str = "lon", y: str = "lat") -> DataFrame:
+    """bounding box of each group's points, widened by ``pad`` on every side."""
+    return points.groupBy(*by).agg((F.min(x) - pad).alias("xmin"), (F.max(x) + pad).alias("xmax"),
+                                   (F.min(y) - pad).alias("ymin"), (F.max(y) + pad).alias("ymax"))
+
+
+def cover_near(points: DataFrame, cells: DataFrame, r_km: float, aggs: dict[str, Column], by: list[str] | None = None,
+               pkey: str = "camera_id", px: str = "lon", py: str = "lat", cx: str = "cx", cy: str = "cy") -> DataFrame:
+    """J12 + A20/A21 without listing (point, cell) pairs: cells are summed per position and
+    ``by`` (class), near positions joined once per point position, their sums added, and the
+    result attached to the points.  ``aggs`` are sums or counts over cells."""
+    by = by or []
+    per = cells.groupBy(F.col(cx).alias("_cx"), F.col(cy).alias("_cy"), *by).agg(*[v.alias(k) for k, v in aggs.items()])
+    near = positions_within(points, cells, r_km, px, py, cx, cy)
+    summed = (near.join(per, (F.col("_bx") == F.col("_cx")) & (F.col("_by") == F.col("_cy")), "inner")
+              .groupBy("_ax", "_ay", *by).agg(*[F.sum(k).alias(k) for k in aggs]))
+    return (points.select(pkey, px, py)
+            .join(summed, (F.col(px) == F.col("_ax")) & (F.col(py) == F.col("_ay")), "inner")
+            .select(pkey, *by, *aggs))
+
+
+def cover_props(counts: DataFrame, legend: DataFrame, pkey: str = "camera_id", value: str = "value",
+                code: str = "category_code", n: str = "n") -> DataFrame:
+    """Per point, share of valued cells in each class (unweighted counts) from
+    ``counts(pkey, value, n)``; classes missing from the legend are dropped *after* the
+    shares, so rows may sum to less than 1."""
+    v = counts.filter(F.col(value).isNotNull())
+    t = v.groupBy(pkey).agg(F.sum(n).alias("_t"))
+    props = join_back(v, t, [pkey], "inner").withColumn("props", F.col(n) / F.col("_t"))
     return (props.join(legend.select(value, code), value, "left")
             .filter(F.col(code).isNotNull()).select(pkey, code, "props"))
 
 
-def cover_totals(pairs: DataFrame, legend: DataFrame, value: str = "value",
-                 weight: str = "coverage_fraction", code: str = "category_code",
-                 exclude: tuple[str, ...] = ("ND",)) -> DataFrame:
-    """Coverage-weighted totals per class over all buffers; percent of the
-    grand total (which includes cells without a class), rounded half-even to 2;
-    every legend class listed, 0 when absent."""
-    tot = pairs.groupBy(value).agg(F.sum(weight).alias("total"))
-    tot = tot.withColumn("percentage", F.bround(F.col("total") / tot.agg(F.sum("total")).scalar() * 100, 2))
+def cover_totals(totals: DataFrame, legend: DataFrame, value: str = "value", total: str = "total",
+                 code: str = "category_code", exclude: tuple[str, ...] = ("ND",)) -> DataFrame:
+    """Coverage-weighted totals per class over all buffers, from per-point totals
+    ``(value, total)``; percent of the grand total (which includes cells without a class),
+    rounded half-even to 2; every legend class listed, 0 when absent."""
+    tot = totals.groupBy(value).agg(F.sum(total).alias("_total"))
+    tot = tot.withColumn("percentage", F.bround(F.col("_total") / tot.agg(F.sum("_total")).scalar() * 100, 2))
     out = legend.join(tot.filter(F.col(value).isNotNull()), value, "left")
     return (out.withColumn("percentage", F.coalesce("percentage", F.lit(0.0)))
             .filter(~F.col(code).isin(*exclude))
@@ -110,7 +138,7 @@ def cover_totals(pairs: DataFrame, legend: DataFrame, value: str = "value",
 def hellinger(long: DataFrame, unit: str, species: str, n: str, out: str = "hellinger") -> DataFrame:
     """``sqrt(n / row total)`` on the long site x species table."""
     t = long.groupBy(unit).agg(F.sum(n).alias("_t"))
-    return (long.join(t, unit, "inner")
+    return (join_back(long, t, [unit], "inner")
             .withColumn(out, F.sqrt(F.col(n) / F.col("_t"))).drop("_t"))
 
 
@@ -121,24 +149,24 @@ def _shifted(c: Column, off=None) -> Column:
 
 def pairs_within(points: DataFrame, r_km: float, key: str = "camera_id", lon: str = "lon",
                  lat: str = "lat") -> DataFrame:
-    """Great-circle distance for every point pair (a < b) within ``r_km``.
-    Points are placed on the unit sphere and bucketed on a 3-D grid whose side is
-    the chord of ``r_km`` (valid at any latitude, poles included); one side is
-    exploded to its 27 neighbour cells, then the exact haversine filters."""
-    chord = 2 * math.sin(r_km / (2 * EARTH_RADIUS_KM))
-    la, lo = F.radians(F.col(lat)), F.radians(F.col(lon))
-    xyz = {"_X": F.cos(la) * F.cos(lo), "_Y": F.cos(la) * F.sin(lo), "_Z": F.sin(la)}
-    base = points.select(key, lon, lat).withColumns(xyz)
-    cells = {f"_c{a}": F.floor(F.col(f"_{a}") / chord) for a in "XYZ"}
-    a = base.withColumns(cells)
-    for ax in "XYZ":
-        a = a.withColumn(f"_c{ax}", F.explode(_shifted(F.col(f"_c{ax}"))))
-    b = base.select(F.col(key).alias("b"), F.col(lon).alias("lon_b"), F.col(lat).alias("lat_b"),
-                    *[v.alias(k) for k, v in cells.items()])
-    j = a.join(b, ["_cX", "_cY", "_cZ"], "inner").filter(F.col(key) < F.col("b"))
-    d = haversine_km(lon, lat, "lon_b", "lat_b")
-    return (j.select(F.col(key).alias("a"), "b", d.alias("dist_km"))
-            .filter(F.col("dist_km") <= r_km))
+    """Great-circle distance for every point pair (a < b) within ``r_km``.  Distinct
+    positions are matched first; points are attached to their positions afterwards."""
+    near = positions_within(points, points, r_km, lon, lat, lon, lat)
+    a = points.select(F.col(key).alias("a"), F.col(lon).alias("_lon"), F.col(lat).alias("_lat"))
+    b = points.select(F.col(key).alias("b"), F.col(lon).alias("_lon2"), F.col(lat).alias("_lat2"))
+    j = (near.join(a, (F.col("_ax") == F.col("_lon")) & (F.col("_ay") == F.col("_lat")), "inner")
+         .join(b, (F.col("_bx") == F.col("_lon2")) & (F.col("_by") == F.col("_lat2")), "inner"))
+    return j.filter(F.col("a") < F.col("b")).select("a", "b", "dist_km")
+
+
+def pairs_in_group(points: DataFrame, group: str, key: str = "camera_id", lon: str = "lon",
+                   lat: str = "lat") -> DataFrame:
+    """J15 inside a survey unit (the cameras of one plot, a handful each): every pair a < b of
+    a group with its great-circle distance; rows grow with the cameras, not their square."""
+    a = points.select(F.col(group).alias("_g"), F.col(key).alias("a"), F.col(lon).alias("lon_a"), F.col(lat).alias("lat_a"))
+    b = points.select(F.col(group).alias("_h"), F.col(key).alias("b"), F.col(lon).alias("lon_b"), F.col(lat).alias("lat_b"))
+    j = a.join(b, (F.col("_g") == F.col("_h")) & (F.col("a") < F.col("b")), "inner")
+    return j.select(F.col("_g").alias(group), "a", "b", haversine_km("lon_a", "lat_a", "lon_b", "lat_b").alias("dist_km"))
 
 
 def gower(long: DataFrame, pairs: DataFrame, unit: str, var: str, val: str) -> DataFrame:
@@ -187,24 +215,30 @@ def kernel_density(points: DataFrame, x0: float, x1: float, y0: float, y1: float
                    bandwidth: float, x: str = "lon", y: str = "lat", by: list[str] | None = None,
                    weight: str | None = None) -> DataFrame:
     """Gaussian kernel density of sightings on a regular grid (cell centres),
-    optionally per group.  Sightings are first summed per distinct location (a
-    map-side combined aggregate), then each location is expanded to the grid
-    nodes with ``sequence`` -- work per location is the grid size, a parameter."""
+    optionally per group.  The kernel is a product of an x and a y part, so the sum is taken
+    in two steps: locations are expanded over the grid's columns and summed per (y, column),
+    and only those sums are expanded over its rows.  Exact; no location meets every node."""
     by = by or []
     w = F.col(weight) if weight else F.lit(1.0)
-    loc = points.groupBy(*by, x, y).agg(F.sum(w).alias("_w"))
+    loc = points.groupBy(*by, F.col(x).alias("_px"), F.col(y).alias("_py")).agg(F.sum(w).alias("_w"))
     nx = int(round((x1 - x0) / step))
     ny = int(round((y1 - y0) / step))
-    g = (loc.withColumn("gx", F.explode(F.sequence(F.lit(0), F.lit(nx - 1))))
-         .withColumn("gy", F.explode(F.sequence(F.lit(0), F.lit(ny - 1)))))
     gxc = F.lit(x0) + (F.col("gx") + 0.5) * F.lit(step)
     gyc = F.lit(y0) + (F.col("gy") + 0.5) * F.lit(step)
-    k = F.exp(-(F.pow(F.col(x) - gxc, 2) + F.pow(F.col(y) - gyc, 2)) / F.lit(2 * bandwidth ** 2))
+
+    def part(at, centre):
+        return F.exp(-F.pow(at - centre, 2) / F.lit(2 * bandwidth ** 2))
+
+    columns = F.array(*[F.lit(i) for i in range(nx)])
+    rows = F.array(*[F.lit(i) for i in range(ny)])
+    per_column = (loc.withColumn("gx", F.explode(columns)).groupBy(*by, "_py", "gx")
+                  .agg(F.sum(F.col("_w") * part(F.col("_px"), gxc)).alias("_s")))
+    dens = (per_column.withColumn("gy", F.explode(rows)).groupBy(*by, "gx", "gy")
+            .agg(F.sum(F.col("_s") * part(F.col("_py"), gyc)).alias("_s")))
     norm = F.lit(1.0 / (2 * math.pi * bandwidth ** 2))
     tot = loc.groupBy(*by).agg(F.sum("_w").alias("_tw"))
-    dens = g.groupBy(*by, "gx", "gy").agg(F.sum(F.col("_w") * k).alias("_s"))
     if by:
-        dens = dens.join(tot, by, "inner")
+        dens = join_back(dens, tot, by, "inner")
     else:
         from camstat.operators.aggregates import attach_scalar
         dens = attach_scalar(dens, tot)
@@ -213,16 +247,17 @@ def kernel_density(points: DataFrame, x0: float, x1: float, y0: float, y1: float
 
 
 def grid_points(points: DataFrame, x0: float, x1: float, y0: float, y1: float, step: float,
-                key: str = "camera_id") -> DataFrame:
-    """Points x prediction grid -- each point paired with every grid node via
-    ``sequence`` + ``explode`` (bounded by the grid size)."""
-    nx = int(round((x1 - x0) / step))
-    ny = int(round((y1 - y0) / step))
-    return (points.select(key)
-            .withColumn("gx", F.explode(F.sequence(F.lit(0), F.lit(nx - 1))))
-            .withColumn("gy", F.explode(F.sequence(F.lit(0), F.lit(ny - 1))))
-            .withColumns({"x": F.lit(x0) + (F.col("gx") + 0.5) * F.lit(step),
-                          "y": F.lit(y0) + (F.col("gy") + 0.5) * F.lit(step)}))
+                x: str = "lon", y: str = "lat") -> DataFrame:
+    """The grid node (cell centre) that each point falls on, as ``gx, gy, x_node,
+    y_node``; points off the grid get nulls.  Surfaces over all nodes sum the points
+    first (``kernel_density``); points are never multiplied by the grid."""
+    nx, ny = int(round((x1 - x0) / step)), int(round((y1 - y0) / step))
+    gx, gy = F.floor((F.col(x) - x0) / step), F.floor((F.col(y) - y0) / step)
+    on = gx.between(0, nx - 1) & gy.between(0, ny - 1)
+    return points.withColumns({
+        "gx": F.when(on, gx), "gy": F.when(on, gy),
+        "x_node": F.when(on, F.lit(x0) + (gx + 0.5) * F.lit(step)),
+        "y_node": F.when(on, F.lit(y0) + (gy + 0.5) * F.lit(step))})
 
 
 def literal_polygons(spark: SparkSession, polys: dict[str, list[list[tuple[float, float]]]]) -> DataFrame:

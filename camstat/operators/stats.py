@@ -11,6 +11,8 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from camstat.operators.joins import join_back
+
 
 def correlations(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson correlation of every column pair, long form ``(a, b, r)``,
@@ -48,7 +50,7 @@ def anova(df: DataFrame, y: str, group: str, by: list[str] | None = None) -> Dat
     by = by or []
     g = df.groupBy(*by, group).agg(F.count(y).alias("n"), F.avg(y).alias("m"), F.var_samp(y).alias("v"))
     tot = g.groupBy(*by).agg((F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("_grand"))
-    j = g.join(tot, by, "inner") if by else _attach(g, tot)
+    j = join_back(g, tot, by, "inner") if by else _attach(g, tot)
     s = j.groupBy(*by).agg(
         F.sum(F.col("n") * F.pow(F.col("m") - F.col("_grand"), 2)).alias("ssb"),
         F.sum((F.col("n") - 1) * F.coalesce(F.col("v"), F.lit(0.0))).alias("ssw"),

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from camstat.functions.timefn import epoch_micros
+from camstat.operators.joins import join_back
+from camstat.session import written
 
 
 def top1(df: DataFrame, key: list[str], score: str, position: str | None = None,
@@ -31,9 +33,9 @@ def top1(df: DataFrame, key: list[str], score: str, position: str | None = None,
 
 def with_totals(df: DataFrame, by: list[str], aggs: dict[str, Column]) -> DataFrame:
     """Attach group aggregates (sum, n, mean ...) to every row.  The
-    aggregate is computed once per group and joined back on ``by``."""
+    aggregate is computed once per group and joined back on ``by``; null is a group."""
     g = df.groupBy(*by).agg(*[v.alias(k) for k, v in aggs.items()])
-    return df.join(g, by, "left")
+    return join_back(df, g, by, "left")
 
 
 def with_group_mean(df: DataFrame, by: list[str], col: str, out: str | None = None) -> DataFrame:
@@ -46,22 +48,34 @@ def share_within(df: DataFrame, by: list[str], n: str = "n", out: str = "share")
     return with_totals(df, by, {"_tot": F.sum(n)}).withColumn(out, F.col(n) / F.col("_tot")).drop("_tot")
 
 
+def ranged(df: DataFrame, by: list[str], order: list, partitions: int | None = None) -> DataFrame:
+    """``df`` range-partitioned and sorted by ``(by, order)`` once, with ``_pid`` (range
+    number) and ``_at`` (0-based place in the range), written to the shared folder.
+
+    Everything derived from it sees the same ranges: repeating the range partitioning in
+    another branch would sample other bounds.  One shuffle; the place comes from the
+    sorted order itself, so no range meets another in a task."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    m = F.monotonically_increasing_id()
+    r = (df.repartitionByRange(n, *by, *order).sortWithinPartitions(*by, *order).withColumn("_m", m)
+         .withColumn("_pid", F.shiftrightunsigned("_m", 33).cast("int"))
+         .withColumn("_at", F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))).drop("_m"))
+    return written(r, "ranged")
+
+
 def seq_id(df: DataFrame, order: list, out: str = "seq", partitions: int | None = None,
            by: list[str] | None = None) -> DataFrame:
     """Dense sequential row number 1..n in a total order (within each ``by``
-    group when given), without funnelling a whole group into one task:
-    range-partition on ``(by, order)``, number rows inside each partition, and
-    add the number of same-group rows in the preceding partitions (a table with
-    one row per partition and group)."""
+    group when given; null is a group), without funnelling a whole group into one task:
+    the rows are ``ranged`` once, and a table with one row per range and group says where
+    the group starts in the range and how many of its rows lie in earlier ranges."""
     by = by or []
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = df.repartitionByRange(n, *by, *order).withColumn("_pid", F.spark_partition_id())
-    local = r.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid", *by).orderBy(*order)))
-    sizes = local.groupBy("_pid", *by).agg(F.count("*").alias("_sz"))
-    sizes = sizes.withColumn("_off", F.coalesce(F.sum("_sz").over(
-        Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return (local.join(sizes.select("_pid", *by, "_off"), ["_pid", *by], "inner")
-            .withColumn(out, F.col("_rn") + F.col("_off")).drop("_pid", "_rn", "_off"))
+    r = ranged(df, by, order, partitions)
+    before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    starts = r.groupBy("_pid", *by).agg(F.count("*").alias("_sz"), F.min("_at").alias("_from"))
+    starts = starts.withColumn("_off", F.coalesce(F.sum("_sz").over(before), F.lit(0))).drop("_sz")
+    return (join_back(r, starts, ["_pid", *by], "inner")
+            .withColumn(out, F.col("_at") - F.col("_from") + 1 + F.col("_off")).drop("_pid", "_at", "_from", "_off"))
 
 
 def sessionize(df: DataFrame, keys: list[str], ts: str, gap_seconds: float,
@@ -96,7 +110,7 @@ def sessionize(df: DataFrame, keys: list[str], ts: str, gap_seconds: float,
     bt = bt.withColumn("_fnew", F.when(pb.isNull() | ((F.col("_bmin") - pb) >= gap_us), 1).otherwise(0))
     bt = bt.withColumn("_off", F.coalesce(F.sum(F.col("_bn") + F.col("_fnew")).over(
         wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    x = x.join(bt.select(*keys, "_b", "_off", "_fnew"), [*keys, "_b"], "inner")
+    x = join_back(x, bt.select(*keys, "_b", "_off", "_fnew"), [*keys, "_b"], "inner")
     x = x.withColumn(out, (F.col("_off") + F.col("_fnew") + F.col("_ics")).cast("bigint"))
     if flag_out:
         x = x.withColumn(flag_out, F.when(F.col("_first"), F.col("_fnew") == 1).otherwise(F.col("_inew") == 1))
@@ -119,6 +133,16 @@ def independent_detections(obs: DataFrame, keys: list[str], ts: str, gap_seconds
                         - F.floor(epoch_micros("start_time") / 1_000_000)))
 
 
+def visit_sessions(obs: DataFrame, keys: list[str], ts: str, gap_seconds: float) -> DataFrame:
+    """T2 in batch: gap-separated visits per key with start, end (last image plus the gap) and
+    image count.  Images of one instant are counted before sessionising."""
+    merged = obs.groupBy(*keys, ts).agg(F.count("*").alias("n"))
+    s = sessionize(merged, keys, ts, gap_seconds, out="session")
+    return (s.groupBy(*keys, "session")
+            .agg(F.min(ts).alias("session_start"), F.max(ts).alias("_last"), F.sum("n").alias("n_images"))
+            .select(*keys, "session_start", (F.col("_last") + F.expr(f"INTERVAL '{gap_seconds}' SECOND")).alias("session_end"), "n_images"))
+
+
 def expand_bursts(dets: DataFrame, keys: list[str], ts: str, thr: float = 0.1,
                   conf: str = "confidence", burst_gap_seconds: float = 2.0,
                   burst: str | None = None, tiebreak: list[str] | None = None) -> DataFrame:
@@ -132,7 +156,7 @@ def expand_bursts(dets: DataFrame, keys: list[str], ts: str, thr: float = 0.1,
         bkeys = [*keys, burst] if keys else [burst]
     passing = (dets.groupBy(*bkeys).agg(F.max(conf).alias("burst_max_conf"))
                .filter(F.col("burst_max_conf") > thr))
-    return dets.join(passing, bkeys, "inner")
+    return join_back(dets, passing, bkeys, "inner")
 
 
 def latest(df: DataFrame, key: list[str], ts: str, payload: list[str] | None = None) -> DataFrame:

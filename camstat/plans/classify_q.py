@@ -15,28 +15,50 @@ from camstat.plans.registry import register
 from camstat.plans.sqlviews import with_views
 from camstat.sources import adapters as S
 
-N_CLASSES = 10
-_SCORES_SQL = f"""
+N_CLASSES, DIM = 10, 64
+# class scores of a vector: inner product with the mean vector of each class
+_MEANS_SQL = """
+SELECT list(m ORDER BY label) AS means FROM (
+  SELECT label, list(v ORDER BY i) AS m FROM (
+    SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS v FROM embeddings, range(1, 65) AS t(i) WHERE label IS NOT NULL
+    GROUP BY label, i) x GROUP BY label) y"""
+_SCORES_SQL = """
 SELECT vec_id, label AS truth, list_position(s, list_max(s)) - 1 AS pred,
-       exp(list_max(s) - list_max(s)) / list_sum(list_transform(s, lambda x: exp(x - list_max(s)))) AS p_max
-FROM (SELECT vec_id, label, embedding[1:{N_CLASSES}] AS s FROM embeddings) e"""
+       1 / list_sum(list_transform(s, lambda x: exp(x - list_max(s)))) AS p_max
+FROM (SELECT vec_id, label, list_transform(means, lambda m: list_inner_product(CAST(embedding AS DOUBLE[]), m)) AS s
+      FROM embeddings, means) e"""
+
+
+def class_scores(e, vector: str = "embedding", label: str = "label"):
+    """Score array of every vector: inner products with the class means over the whole
+    vector.  The means are a small table (classes x dimensions) found in one aggregation."""
+    m = (e.filter(F.col(label).isNotNull()).select(label, F.posexplode(vector).alias("i", "v"))
+         .groupBy(label, "i").agg(F.avg(F.col("v").cast("double")).alias("m"))
+         .groupBy(label).agg(F.array_sort(F.collect_list(F.struct("i", "m"))).alias("m"))
+         .select(label, F.transform("m", lambda x: x["m"]).alias("m")))
+    means = [r["m"] for r in m.orderBy(label).collect()]  # classes x dimensions numbers
+
+    def product(row):
+        return F.aggregate(F.zip_with(vector, F.array(*[F.lit(x) for x in row]), lambda a, b: a * b),
+                           F.lit(0.0), lambda acc, x: acc + x)
+
+    return e.withColumn("s", F.array(*[product(row) for row in means]))
 
 
 def _scores(spark, sf):
-    e = S.table(spark, sf, "embeddings").select("vec_id", F.col("label").alias("truth"),
-                                                F.slice("embedding", 1, N_CLASSES).alias("s"))
-    return e.select("vec_id", "truth", argmax("s").alias("pred"), F.array_max(softmax("s")).alias("p_max"))
+    e = class_scores(S.table(spark, sf, "embeddings").select("vec_id", "label", "embedding"))
+    return e.select("vec_id", F.col("label").alias("truth"), argmax("s").alias("pred"), F.array_max(softmax("s")).alias("p_max"))
 
 
-@register("vector_predictions", with_views([], _SCORES_SQL))
+@register("vector_predictions", with_views([], "SELECT * FROM scores", {"means": _MEANS_SQL, "scores": _SCORES_SQL}))
 def vector_predictions(spark, sf):
-    """R6 + F24 + X15: class = arg-max of the first 10 scores (ties -> first),
-    softmax probability of the winner."""
+    """R6 + F24 + X15: class = arg-max of the class scores over the whole vector (ties ->
+    first), softmax probability of the winner."""
     return _scores(spark, sf)
 
 
 @register("confusion_matrix", with_views([], "SELECT truth, pred, count(*) AS n FROM scores GROUP BY truth, pred",
-                                         {"scores": _SCORES_SQL}))
+                                         {"means": _MEANS_SQL, "scores": _SCORES_SQL}))
 def confusion_matrix(spark, sf):
     """A26."""
     return M.confusion(_scores(spark, sf))
@@ -44,7 +66,7 @@ def confusion_matrix(spark, sf):
 
 @register("overall_accuracy", with_views([], """
 SELECT avg(CASE WHEN truth = pred THEN 1.0 ELSE 0.0 END) AS accuracy, count(*) AS n FROM scores""",
-    {"scores": _SCORES_SQL}))
+    {"means": _MEANS_SQL, "scores": _SCORES_SQL}))
 def overall_accuracy(spark, sf):
     """A27."""
     return M.accuracy(_scores(spark, sf))
@@ -62,7 +84,7 @@ r AS (SELECT class, tp, n_pred - tp AS fp, n_true - tp AS fn, nn - n_pred - n_tr
              CASE WHEN n_pred > 0 THEN tp * 1.0 / n_pred END AS precision,
              CASE WHEN n_true > 0 THEN tp * 1.0 / n_true END AS recall FROM m)
 SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) END AS f1 FROM r""",
-    {"scores": _SCORES_SQL}))
+    {"means": _MEANS_SQL, "scores": _SCORES_SQL}))
 def class_metrics(spark, sf):
     """Per-class TP/FP/FN/TN, precision, recall, F1 over all classes."""
     return M.class_metrics(_scores(spark, sf))
@@ -71,7 +93,7 @@ def class_metrics(spark, sf):
 @register("pred_vs_real", with_views([], """
 SELECT p.class, p.n_pred, r.n_true FROM (SELECT pred AS class, count(*) AS n_pred FROM scores GROUP BY pred) p
 JOIN (SELECT truth AS class, count(*) AS n_true FROM scores GROUP BY truth) r ON p.class = r.class""",
-    {"scores": _SCORES_SQL}))
+    {"means": _MEANS_SQL, "scores": _SCORES_SQL}))
 def pred_vs_real(spark, sf):
     """Predicted vs true counts per class (inner join)."""
     s = _scores(spark, sf)
@@ -110,23 +132,23 @@ def split_balance(spark, sf):
     return A.split_balance(M.split_stratified(e, "label", "vec_id"), "label", "split")
 
 
-N_PIXELS = 21
+N_PIXELS = 22  # of three values; the last one wraps around, so all 64 values are used
 _PIX_SQL = f"""
 SELECT vec_id, label, i AS pixel,
-       least(255, greatest(0, floor((CAST(embedding[3 * i + 1] AS DOUBLE) + 0.5) * 255))) AS r,
-       least(255, greatest(0, floor((CAST(embedding[3 * i + 2] AS DOUBLE) + 0.5) * 255))) AS g,
-       least(255, greatest(0, floor((CAST(embedding[3 * i + 3] AS DOUBLE) + 0.5) * 255))) AS b
+       least(255, greatest(0, floor((CAST(embedding[(3 * i + 0) % 64 + 1] AS DOUBLE) + 0.5) * 255))) AS r,
+       least(255, greatest(0, floor((CAST(embedding[(3 * i + 1) % 64 + 1] AS DOUBLE) + 0.5) * 255))) AS g,
+       least(255, greatest(0, floor((CAST(embedding[(3 * i + 2) % 64 + 1] AS DOUBLE) + 0.5) * 255))) AS b
 FROM embeddings, range(0, {N_PIXELS}) AS t(i)"""
 
 
 def _pixels(spark, sf):
-    """Pixel rows derived from the embedding vectors: 21 RGB pixels of 3 values
-    each, mapped from [-0.5, 0.5] to 0..255."""
+    """Pixel rows derived from the embedding vectors: 22 RGB pixels of 3 values
+    each (the last wraps around), mapped from [-0.5, 0.5] to 0..255."""
     e = S.table(spark, sf, "embeddings").select("vec_id", "label", "embedding")
     p = e.select("vec_id", "label", "embedding", F.explode(F.sequence(F.lit(0), F.lit(N_PIXELS - 1))).alias("pixel"))
 
     def ch(k):
-        v = F.element_at("embedding", F.col("pixel") * 3 + k).cast("double")
+        v = F.element_at("embedding", (F.col("pixel") * 3 + k - 1) % DIM + 1).cast("double")
         return F.least(F.lit(255), F.greatest(F.lit(0), F.floor((v + 0.5) * 255)))
     return p.select("vec_id", "label", "pixel", ch(1).alias("r"), ch(2).alias("g"), ch(3).alias("b"))
 
@@ -153,12 +175,15 @@ _HUE_SQL = """CASE WHEN greatest(r, g, b) - least(r, g, b) = 0 THEN 0.0
   ELSE (r - g) / (greatest(r, g, b) - least(r, g, b)) + 4 END * 60.0"""
 
 
-@register("greenness", with_views([], f"""
+GREENNESS_SQL = with_views([], f"""
 SELECT vec_id, avg(h) AS hue_mean, avg(CASE WHEN h >= 125 AND h <= 175 THEN 1.0 ELSE 0.0 END) AS hue_green_share,
        sum(r) / (sum(g) + sum(b)) AS green_ratio_as_source, sum(g) / (sum(r) + sum(b)) AS green_ratio
 FROM (SELECT vec_id, r, g, b, {_HUE_SQL} AS h
       FROM (SELECT vec_id, CAST(r AS DOUBLE) AS r, CAST(g AS DOUBLE) AS g, CAST(b AS DOUBLE) AS b FROM px) q) x
-GROUP BY vec_id""", {"px": _PIX_SQL}))
+GROUP BY vec_id""", {"px": _PIX_SQL})
+
+
+@register("greenness", GREENNESS_SQL)
 def greenness(spark, sf):
     """A30 + F27: mean hue, share of green hues, green ratio (as written and corrected)."""
     return IM.greenness(_pixels(spark, sf), ["vec_id"])

@@ -11,7 +11,7 @@ from camstat.operators import filters as O
 from camstat.operators import joins as J
 from camstat.operators.repeats import repeat_pairs, suppress_repeats
 from camstat.plans.registry import register
-from camstat.plans.sqlviews import with_views
+from camstat.plans.sqlviews import VIEWS, with_views
 from camstat.sources import adapters as S
 
 CONF_T = 0.1
@@ -136,24 +136,40 @@ def box_pixels(spark, sf):
                     G.box_area("w", "h").alias("area"))
 
 
+_NODES_SQL = f"""
+SELECT folder, x, y, w, h, min(box_id) AS rep, count(*) AS n FROM boxes WHERE confidence >= {CONF_T} GROUP BY folder, x, y, w, h"""
 _PAIRS_SQL = f"""
-SELECT a.folder, a.box_id AS a, b.box_id AS b,
-       greatest(0.0, least(a.x + a.w, b.x + b.w) - greatest(a.x, b.x))
-       * greatest(0.0, least(a.y + a.h, b.y + b.h) - greatest(a.y, b.y)) AS inter,
-       a.w * a.h + b.w * b.h AS sum_area
-FROM boxes a JOIN boxes b ON a.folder = b.folder AND a.box_id < b.box_id
-WHERE a.confidence >= {CONF_T} AND b.confidence >= {CONF_T}"""
+SELECT folder, a, b, inter / (sum_area - inter) AS iou, n_a, n_b FROM (
+  SELECT a.folder, a.rep AS a, b.rep AS b, a.n AS n_a, b.n AS n_b,
+         greatest(0.0, least(a.x + a.w, b.x + b.w) - greatest(a.x, b.x))
+         * greatest(0.0, least(a.y + a.h, b.y + b.h) - greatest(a.y, b.y)) AS inter,
+         a.w * a.h + b.w * b.h AS sum_area
+  FROM nodes a JOIN nodes b ON a.folder = b.folder AND a.rep < b.rep) p
+WHERE sum_area - inter > 0 AND inter / (sum_area - inter) >= {IOU_T}"""
 
 
-@register("repeat_pairs", with_views(["boxes"], f"""
-SELECT folder, a, b, inter / (sum_area - inter) AS iou FROM ({_PAIRS_SQL}) p
-WHERE sum_area - inter > 0 AND inter / (sum_area - inter) >= {IOU_T}"""))
+@register("repeat_pairs", with_views(["boxes"], _PAIRS_SQL, {"nodes": _NODES_SQL}))
 def repeat_pairs_q(spark, sf):
-    """J14 + F22: same-folder box pairs with IoU >= 0.85 (size-class grid join)."""
+    """J14 + F22: same-folder pairs of different boxes with IoU >= 0.85, with the number of
+    equal boxes each stands for (size-class grid join)."""
     return repeat_pairs(S.boxes(spark, sf), IOU_T, CONF_T)
 
 
-@register("repeat_suppression")
+# reachability over the pairs, in both directions
+_GROUPS_SQL = f"""
+WITH RECURSIVE boxes AS ({VIEWS["boxes"]}), nodes AS ({_NODES_SQL}), pairs AS ({_PAIRS_SQL}),
+e AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach(src, dst) AS (SELECT rep, rep FROM nodes UNION SELECT r.src, e.b FROM reach r JOIN e ON r.dst = e.a),
+comp AS (SELECT src AS rep, min(dst) AS repeat_group FROM reach GROUP BY src),
+sized AS (SELECT n.*, c.repeat_group, sum(n.n) OVER (PARTITION BY c.repeat_group) AS group_size FROM nodes n JOIN comp c ON n.rep = c.rep)"""
+
+
+@register("repeat_suppression", _GROUPS_SQL + f"""
+SELECT b.folder, count(*) FILTER (WHERE s.rep IS NOT NULL AND b.confidence > 0) AS n_suppressed,
+       count(DISTINCT s.repeat_group) AS n_groups, count(*) AS n_boxes
+FROM boxes b LEFT JOIN (SELECT * FROM sized WHERE group_size >= 3) s
+  ON b.folder = s.folder AND b.x = s.x AND b.y = s.y AND b.w = s.w AND b.h = s.h AND b.confidence >= {CONF_T}
+GROUP BY b.folder""")
 def repeat_suppression(spark, sf):
     """Connected repeat groups of >= 3 boxes get negative confidence; summary
     per folder of suppressed boxes."""
@@ -163,6 +179,16 @@ def repeat_suppression(spark, sf):
                                     F.count("*").alias("n_boxes")))
 
 
+@register("repeat_groups", _GROUPS_SQL + f"""
+SELECT b.box_id, s.repeat_group, s.group_size FROM boxes b JOIN sized s
+  ON b.folder = s.folder AND b.x = s.x AND b.y = s.y AND b.w = s.w AND b.h = s.h
+WHERE b.confidence >= {CONF_T} AND s.group_size >= 3""")
+def repeat_groups(spark, sf):
+    """The group and group size of every suppressed box."""
+    s = suppress_repeats(S.boxes(spark, sf), min_count=3, iou_t=IOU_T, conf_t=CONF_T)
+    return s.filter(F.col("repeat_group").isNotNull()).select("box_id", "repeat_group", "group_size")
+
+
 @register("filtered_vs_raw", with_views(["boxes"], f"""
 SELECT r.box_id, r.confidence, f.confidence AS confidence_filtered, f.confidence IS NOT NULL AS kept
 FROM boxes r LEFT JOIN (SELECT box_id, confidence FROM boxes WHERE confidence > {CONF_T} OR confidence < 0) f

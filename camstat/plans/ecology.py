@@ -95,7 +95,7 @@ def monthly_events(spark, sf):
 
 
 LATENCY_MIN_CAMERAS = 3
-LATENCY_MAX_DAYS = 5  # keeps ~90 % of camera x species pairs on the 30-day driver data
+LATENCY_MAX_DAYS = 200
 
 
 @register("detection_latency", with_views(["observations", "cameras"], f"""

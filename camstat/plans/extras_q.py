@@ -11,7 +11,7 @@ from camstat.functions import timefn as Tm
 from camstat.operators import aggregates as A
 from camstat.operators import filters as O
 from camstat.operators import joins as J
-from camstat.operators import spatial as SP
+from camstat.plans import classify_q as CQ
 from camstat.plans import spatial_q as SQ
 from camstat.plans.registry import register
 from camstat.plans.sqlviews import with_views
@@ -74,12 +74,9 @@ def camera_first_capture(spark, sf):
 
 
 def _utm_sql(z):
-    import math
-    kx = SQ.KM * math.cos(math.radians(SQ.LAT0))
     return f"""
-SELECT c.camera_id, count(*) AS n_cells, avg(l.coverage_fraction) AS mean_cover FROM cameras c JOIN cells l
-  ON l.utm = {z} AND power(c.lon * {kx!r} - l.cx * {kx!r}, 2) + power(c.lat * {SQ.KM!r} - l.cy * {SQ.KM!r}, 2) <= {SQ.RADIUS_KM ** 2!r}
-GROUP BY c.camera_id"""
+SELECT camera_id, count(*) AS n_cells, avg(coverage_fraction) AS mean_cover FROM ({SQ._pairs_sql(f"l.utm = {z}")}) p
+GROUP BY camera_id"""
 
 
 @register("cover_two_rasters", with_views(["cameras", "cells"], """
@@ -90,13 +87,11 @@ FROM z16 a FULL OUTER JOIN z17 b ON a.camera_id = b.camera_id""", {"z16": _utm_s
 def cover_two_rasters(spark, sf):
     """Per camera, the zone-16 raster summary, falling back to zone 17 where
     zone 16 has nothing."""
-    cams = S.cameras(spark, sf).select("camera_id", "lon", "lat")
-    cells = S.cells(spark, sf)
-
-    def summ(z):
-        p = SP.within_radius(cams, cells.filter(F.col("utm") == z), SQ.RADIUS_KM, SQ.LAT0)
-        return p.groupBy("camera_id").agg(F.count("*").alias("n_cells"), F.avg("coverage_fraction").alias("mean_cover"))
-    return J.first_non_null(summ(16), summ(17), "camera_id", ["n_cells", "mean_cover"])
+    # one radius join for both rasters: sums per camera and zone, then the fallback
+    per = SQ._cam_cells(spark, sf, {"n_cells": F.count("*"), "cover": F.sum("coverage_fraction")}, ["utm"])
+    per = per.select("camera_id", "utm", "n_cells", (F.col("cover") / F.col("n_cells")).alias("mean_cover"))
+    best = F.min_by(F.struct("n_cells", "mean_cover"), "utm")  # 16 where it has cells, else 17
+    return per.groupBy("camera_id").agg(best.alias("_b")).select("camera_id", "_b.n_cells", "_b.mean_cover")
 
 
 @register("event_props", with_views([], """
@@ -137,18 +132,13 @@ WHERE b.image IS NOT NULL OR (u.image IS NOT NULL AND u.n > 0)"""
 @register("annotation_overlay", with_views([], _OVERLAY_SQL))
 def annotation_overlay(spark, sf):
     """An update export replaces base annotations per image; images only in
-    the update are added when they carry annotations (R3 per-image lists)."""
+    the update are added when they carry annotations (as counts per image)."""
     li = S.table(spark, sf, "lineitem")
     base = (li.filter(F.col("l_linestatus") == "F")
-            .groupBy(F.col("l_orderkey").alias("image")).agg(F.collect_list("l_linenumber").alias("annotations")))
+            .groupBy(F.col("l_orderkey").alias("image")).agg(F.count("*").alias("n_annotations")))
     upd = (li.filter(F.col("l_linestatus") == "O")
-           .groupBy(F.col("l_orderkey").alias("image"))
-           .agg(F.collect_list(F.when(F.col("l_returnflag") != "R", F.col("l_linenumber"))).alias("annotations")))
-    out = J.overlay_annotations(base, upd, "image", "annotations")
-    flag = upd.select("image", F.lit(True).alias("from_update"))
-    return (out.join(flag, "image", "left")
-            .select("image", F.size("annotations").alias("n_annotations"),
-                    F.coalesce("from_update", F.lit(False)).alias("from_update")))
+           .groupBy(F.col("l_orderkey").alias("image")).agg(F.count_if(F.col("l_returnflag") != "R").alias("n_annotations")))
+    return J.overlay_annotations(base, upd, "image", "n_annotations")
 
 
 @register("conversation_bursts", with_views([], """
@@ -183,41 +173,49 @@ def label_metrics(spark, sf):
 
 
 @register("prediction_correctness", with_views([], """
-SELECT truth, count(*) AS n, count(*) FILTER (WHERE correct) AS n_correct FROM (
-  SELECT label AS truth, list_position(embedding[1:10], list_max(embedding[1:10])) - 1 = label AS correct
-  FROM embeddings) e GROUP BY truth"""))
+SELECT truth, count(*) AS n, count(*) FILTER (WHERE pred = truth) AS n_correct FROM scores GROUP BY truth""",
+    {"means": CQ._MEANS_SQL, "scores": CQ._SCORES_SQL}))
 def prediction_correctness(spark, sf):
     """Correctness flag (true class equals predicted) counted per class."""
-    from camstat.functions.stats import argmax
-    e = S.table(spark, sf, "embeddings").select(F.col("label").alias("truth"),
-                                                argmax(F.slice("embedding", 1, 10)).alias("pred"))
-    e = O.flag_correct(e, "truth", "pred")
+    e = O.flag_correct(CQ._scores(spark, sf), "truth", "pred")
     return e.groupBy("truth").agg(F.count("*").alias("n"), F.count_if("correct").alias("n_correct"))
 
 
-@register("platform_comparison", with_views(["observations", "long_observations"], """
-WITH a AS (SELECT plot_id, species, count(*) AS n_a FROM observations GROUP BY plot_id, species),
-b AS (SELECT plot_id, species, count(*) AS n_b FROM long_observations GROUP BY plot_id, species)
+# fixed values: one species vocabulary for the two tagging platforms
+PLATFORM_SPECIES = {"1-URGENT": "click", "2-HIGH": "error", "3-MEDIUM": "purchase", "4-NOT SPECIFIED": "signup", "5-LOW": "view"}
+_VOCAB_SQL = "CASE species " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in PLATFORM_SPECIES.items()) + " END"
+
+
+@register("platform_comparison", with_views(["observations", "long_observations", "deployments"], f"""
+WITH p1 AS (SELECT DISTINCT o.plot_id, o.species, o.image_id FROM observations o JOIN deployments d ON o.camera_id = d.camera_id),
+p2 AS (SELECT DISTINCT o.plot_id, {_VOCAB_SQL} AS species, o.obs_id AS image_id FROM long_observations o
+       JOIN deployments d ON o.camera_id = d.camera_id),
+a AS (SELECT plot_id, species, count(*) AS n_a FROM p1 GROUP BY plot_id, species),
+b AS (SELECT plot_id, species, count(*) AS n_b FROM p2 GROUP BY plot_id, species)
 SELECT coalesce(a.plot_id, b.plot_id) AS plot_id, coalesce(a.species, b.species) AS species,
        coalesce(a.n_a, 0) AS n_a, coalesce(b.n_b, 0) AS n_b, coalesce(a.n_a, 0) - coalesce(b.n_b, 0) AS diff
 FROM a FULL OUTER JOIN b ON a.plot_id = b.plot_id AND a.species = b.species"""))
 def platform_comparison(spark, sf):
-    """Per-plot species counts of two tagging systems, full outer joined."""
-    a = S.observations(spark, sf).select("plot_id", "species")
-    b = S.long_observations(spark, sf).select("plot_id", "species")
+    """Images per plot and species in two tagging systems with one vocabulary, at
+    cameras that have a deployment, full outer joined."""
+    names = F.create_map(*[F.lit(x) for kv in PLATFORM_SPECIES.items() for x in kv])
+    dep = S.deployments(spark, sf).select("camera_id")
+    a = J.semi(S.observations(spark, sf), dep, "camera_id")
+    b = J.semi(S.long_observations(spark, sf), dep, "camera_id").select(
+        "plot_id", names[F.col("species")].alias("species"), F.col("obs_id").cast("string").alias("image_id"))
     return J.compare_platforms(a, b, ["plot_id"])
 
 
 @register("wide_score_argmax", with_views([], """
-SELECT vec_id, 's' || CAST(list_position(embedding[1:10], list_max(embedding[1:10])) - 1 AS VARCHAR) AS pred
+SELECT vec_id, 's' || CAST(list_position(embedding, list_max(embedding)) - 1 AS VARCHAR) AS pred
 FROM embeddings"""))
 def wide_score_argmax(spark, sf):
-    """R6 + R2: a wide score table (one column per class) to the name of its
+    """R6 + R2: a wide score table (one column per dimension) to the name of its
     best column, ties to the first column."""
     from camstat.operators.reshape import rowwise_argmax
     e = S.table(spark, sf, "embeddings")
-    wide = e.select("vec_id", *[F.col("embedding")[i].alias(f"s{i}") for i in range(10)])
-    return rowwise_argmax(wide, [f"s{i}" for i in range(10)]).select("vec_id", "pred")
+    wide = e.select("vec_id", *[F.col("embedding")[i].alias(f"s{i}") for i in range(CQ.DIM)])
+    return rowwise_argmax(wide, [f"s{i}" for i in range(CQ.DIM)]).select("vec_id", "pred")
 
 
 def _export_files(spark, sf):

@@ -29,7 +29,7 @@ SELECT id, regexp_replace(id, '_[^_]*$', '') AS image_id, split_part(id, '_', 2)
        substr(id, 1, 4) AS plot_id, split_part(regexp_replace(id, '_[^_]*$', ''), '_', 1) AS site_id,
        len(string_split(id, '_')) AS n_tokens, contains(id, '_M') AS manual,
        starts_with(string_split(id, '_')[-1], 'M') AS manual_strict,
-       TRY_CAST(id AS BIGINT) IS NOT NULL AS numeric_id,
+       regexp_matches(id, '^[+-]?[0-9]+$') AS numeric_id,
        NOT (contains(id, 'P') OR contains(id, 'Q')) AS numeric_id_letters,
        array_to_string(string_split(id, '_')[1:5], '_') AS first5
 FROM annotation_ids"""))
@@ -192,7 +192,8 @@ def deployment_table(spark, sf):
 
 @register("observations_in_deployment", with_views(["long_observations", "deployments"], """
 SELECT o.camera_id, count(*) AS n_obs,
-       count(*) FILTER (WHERE o.date_time >= d.date_deployed AND (d.date_retrieved IS NULL OR o.date_time <= d.date_retrieved)) AS n_inside
+       count(*) FILTER (WHERE CAST(o.date_time AS DATE) >= d.date_deployed
+                          AND (d.date_retrieved IS NULL OR CAST(o.date_time AS DATE) <= d.date_retrieved)) AS n_inside
 FROM long_observations o LEFT JOIN deployments d ON o.camera_id = d.camera_id GROUP BY o.camera_id"""))
 def observations_in_deployment(spark, sf):
     """Observations inside their camera's deployed-retrieved span."""

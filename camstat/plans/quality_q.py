@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from camstat.operators import aggregates as A
 from camstat.operators import quality as Q
 from camstat.plans.registry import register
 from camstat.plans.sqlviews import with_views
-from camstat.session import checkpoint_dir
+from camstat.plans.windows_q import VISITS_SQL
+from camstat.session import shared_path
 from camstat.sources import adapters as S
-from camstat.streaming.sessions import session_counts
+from camstat.streaming.sessions import replay
 
 
 @register("quality_summary", with_views(["observations", "cameras", "deployments", "boxes"], """
@@ -48,41 +47,50 @@ def quality_summary(spark, sf):
     return out
 
 
-@register("project_file_check", with_views([], """
+# s_suppkey % 40 names the project, so projects get one, two, three or more export files as the table grows
+_FILE_SQL = """SELECT 'TrailCamStorage' || CASE WHEN s_suppkey % 3 = 0 THEN '_2' ELSE '' END || '_P' || CAST(s_suppkey % 13 AS VARCHAR)
+  || '_export' || CAST(s_suppkey AS VARCHAR) || '_output.csv' AS file FROM supplier WHERE s_suppkey % 13 <> 5 OR s_suppkey % 2 = 0"""
+
+
+@register("project_file_check", with_views([], f"""
 WITH p AS (SELECT file, array_to_string(string_split(replace(replace(file, 'TrailCamStorage_2', 'T2'),
-             'TrailCamStorage', 'T1'), '_')[1:2], '_') AS project
-           FROM (SELECT CASE WHEN s_suppkey % 3 = 0 THEN 'TrailCamStorage_2' ELSE 'TrailCamStorage' END || '_P'
-                        || CAST(s_suppkey % 40 AS VARCHAR) || '_export' || CAST(s_suppkey AS VARCHAR) || '_output.csv' AS file
-                 FROM supplier) f)
+             'TrailCamStorage', 'T1'), '_')[1:2], '_') AS project FROM ({_FILE_SQL}) f)
 SELECT project, count(DISTINCT file) AS n_files FROM p GROUP BY project HAVING count(DISTINCT file) > 1
   AND count(DISTINCT file) <> 2"""))
 def project_file_check(spark, sf):
     """Q7: duplicated projects that do not have exactly two export files."""
     from camstat.operators.reconcile import tag_projects
-    s = S.table(spark, sf, "supplier")
-    f = tag_projects(s.select(F.concat(F.when(F.col("s_suppkey") % 3 == 0, F.lit("TrailCamStorage_2"))
+    k = F.col("s_suppkey")
+    s = S.table(spark, sf, "supplier").filter((k % 13 != 5) | (k % 2 == 0))
+    f = tag_projects(s.select(F.concat(F.when(k % 3 == 0, F.lit("TrailCamStorage_2"))
                                        .otherwise(F.lit("TrailCamStorage")), F.lit("_P"),
-                                       (F.col("s_suppkey") % 40).cast("string"), F.lit("_export"),
-                                       F.col("s_suppkey").cast("string"), F.lit("_output.csv")).alias("file")))
+                                       (k % 13).cast("string"), F.lit("_export"),
+                                       k.cast("string"), F.lit("_output.csv")).alias("file")))
     return Q.expect_two_files(f)
 
 
-@register("stream_visit_sessions")
+@register("same_keys_check", with_views(["observations", "deployments"], """
+SELECT coalesce(o.camera_id, d.camera_id) AS camera_id FROM (SELECT DISTINCT camera_id FROM observations) o
+FULL OUTER JOIN deployments d ON o.camera_id = d.camera_id WHERE o.camera_id IS NULL OR d.camera_id IS NULL"""))
+def same_keys_check(spark, sf):
+    """Q3: cameras that are in only one of the observation and deployment tables."""
+    return Q.expect_same_keys(S.observations(spark, sf), S.deployments(spark, sf), "camera_id").select("camera_id")
+
+
+@register("rows_match_folders_check", with_views(["cameras", "boxes"], """
+SELECT camera_id AS folder FROM cameras WHERE camera_id NOT IN (SELECT DISTINCT folder FROM boxes)"""))
+def rows_match_folders_check(spark, sf):
+    """Q8: cameras of the camera table that have no image folder."""
+    cams = S.cameras(spark, sf).select(F.col("camera_id").alias("folder"))
+    return Q.expect_rows_match_folders(cams, S.boxes(spark, sf).select("folder").distinct(), "folder").select("folder")
+
+
+@register("stream_visit_sessions", with_views(["observations"], VISITS_SQL))
 def stream_visit_sessions(spark, sf):
-    """T2 as a Structured Streaming job: the events table is replayed as a file
-    stream (availableNow), sessions with a 30-minute gap are emitted once the
-    watermark (1 hour) closes them, into a Parquet sink under the cluster's
-    checkpoint folder; the sink is read back."""
-    base = checkpoint_dir(spark).rstrip("/") + f"/stream-sessions-{uuid.uuid4().hex}"
-    src = spark.read.parquet(f"{sf}/events.parquet").schema
-    stream = (spark.readStream.schema(src).option("maxFilesPerTrigger", 1)
-              .option("pathGlobFilter", "events.parquet").parquet(sf)
-              .select(F.col("user_id").alias("camera_id"), F.col("ts").alias("date_time")))
-    q = (session_counts(stream).writeStream.format("parquet").outputMode("append")
-         .option("path", base + "/out").option("checkpointLocation", base + "/ckpt")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(base + "/out")
+    """T2 as a Structured Streaming job: the observations are replayed in time order as a file
+    stream, sessions with a 30-minute gap are emitted once the watermark (1 hour) closes them, into
+    a Parquet sink under the cluster's checkpoint folder; the sink is read back."""
+    return replay(S.observations(spark, sf), shared_path(spark, "stream-sessions"))
 
 
 @register("stream_ingest_detections", with_views(["boxes"], """
@@ -92,13 +100,10 @@ def stream_ingest_detections(spark, sf):
     folder per camera folder) under the cluster's checkpoint folder, ingested
     by an exactly-once file stream (availableNow), counted from the sink."""
     from camstat.streaming.ingest import coco_documents, ingest_detections
-    base = checkpoint_dir(spark).rstrip("/") + f"/stream-ingest-{uuid.uuid4().hex}"
+    base = shared_path(spark, "stream-ingest")
     docs = coco_documents(S.boxes(spark, sf))
-    # a few files per folder: cluster by folder, salted so a hot folder is
-    # written by several tasks
-    salt = F.pmod(F.xxhash64("value"), F.lit(4))
-    docs.repartition("folder", salt).write.partitionBy("folder").text(base + "/in")
-    ingest_detections(spark, base + "/in", base + "/out", base + "/ck", pattern="*.txt", multi_line=False,
-                      max_files=200)
+    # one file per folder, more where a folder is large: sizes are measured at run time
+    docs.hint("rebalance", "folder").write.partitionBy("folder").text(base + "/in")
+    ingest_detections(spark, base + "/in", base + "/out", base + "/ck", pattern="*.txt", multi_line=False)
     out = spark.read.parquet(base + "/out")
     return out.groupBy("category_id").agg(F.count("*").alias("n"), F.count_distinct("image_id").alias("n_images"))

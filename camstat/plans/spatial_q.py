@@ -34,8 +34,7 @@ MERGES = {"WAT": ["WAT", "XWAT"], "MixTRE": ["MixTRE", "DecTRE"], "Dist": ["TrOr
           "SWA": ["ThSWA", "ConSWA"], "Anth": ["URB", "MIN", "BED"]}
 RADIUS_KM = 25.0
 PAIR_KM = 30.0
-LAT0 = 52.0
-KM = math.pi / 180.0 * 6371.0
+BBOX_PAD = 1.0
 
 _VERTS_SQL = "SELECT * FROM (VALUES " + ", ".join(
     f"('{z}', {r}, {s}, {x}, {y})" for z, rings in ZONES.items() for r, ring in enumerate(rings)
@@ -82,35 +81,48 @@ def zones_with_cameras(spark, sf):
     return SP.zones_with_points(zones, located)
 
 
-@register("zone_bbox", with_views([], """
-SELECT zone, min(x) - 1 AS xmin, max(x) + 1 AS xmax, min(y) - 1 AS ymin, max(y) + 1 AS ymax FROM verts GROUP BY zone""",
-    {"verts": _VERTS_SQL}))
+@register("zone_bbox", with_views(["cameras"], f"""
+SELECT z.zone, min(c.lon) - {BBOX_PAD} AS xmin, max(c.lon) + {BBOX_PAD} AS xmax, min(c.lat) - {BBOX_PAD} AS ymin, max(c.lat) + {BBOX_PAD} AS ymax
+FROM cameras c JOIN ({_ZONE_OF_SQL}) z ON c.camera_id = z.camera_id WHERE z.zone IS NOT NULL GROUP BY z.zone""",
+    {"verts": _VERTS_SQL, "edges": _EDGES_SQL}))
 def zone_bbox(spark, sf):
-    """bounding box of each zone padded by one degree."""
-    v = SP.literal_polygons(spark, ZONES)
-    return v.groupBy("zone").agg((F.min("x") - 1).alias("xmin"), (F.max("x") + 1).alias("xmax"),
-                                 (F.min("y") - 1).alias("ymin"), (F.max("y") + 1).alias("ymax"))
+    """bounding box of the cameras of each zone, padded by one degree."""
+    cams = S.cameras(spark, sf).select("camera_id", "lon", "lat")
+    return SP.padded_bbox(SP.zone_of(cams, F.broadcast(_zone_edges(spark))).filter(F.col("zone").isNotNull()), ["zone"], BBOX_PAD)
+
+
+@register("plot_bbox", with_views(["cameras"], f"""
+SELECT plot_id, min(lon) - {BBOX_PAD} AS xmin, max(lon) + {BBOX_PAD} AS xmax, min(lat) - {BBOX_PAD} AS ymin, max(lat) + {BBOX_PAD} AS ymax
+FROM cameras GROUP BY plot_id"""))
+def plot_bbox(spark, sf):
+    """padded bounding box of each plot's cameras."""
+    return SP.padded_bbox(S.cameras(spark, sf), ["plot_id"], BBOX_PAD)
 
 
-def _pairs_sql():
-    kx = KM * math.cos(math.radians(LAT0))
+def _hav_sql(a, b, bx="lon", by="lat"):
+    return (f"2 * 6371.0 * asin(least(1.0, sqrt(power(sin((radians({b}.{by}) - radians({a}.lat)) / 2), 2) + "
+            f"cos(radians({a}.lat)) * cos(radians({b}.{by})) * power(sin((radians({b}.{bx}) - radians({a}.lon)) / 2), 2))))")
+
+
+def _pairs_sql(where="TRUE"):
+    # the latitude test only spares the oracle distances that cannot be within the radius
     return f"""
 SELECT c.camera_id, l.cell_id, l.value, l.coverage_fraction, l.utm FROM cameras c JOIN cells l
-  ON power(c.lon * {kx!r} - l.cx * {kx!r}, 2) + power(c.lat * {KM!r} - l.cy * {KM!r}, 2) <= {RADIUS_KM * RADIUS_KM!r}"""
+  ON abs(c.lat - l.cy) <= {RADIUS_KM / 111.0 + 0.01!r} AND {where} AND {_hav_sql('c', 'l', 'cx', 'cy')} <= {RADIUS_KM!r}"""
 
 
-def _cam_cells(spark, sf):
+def _cam_cells(spark, sf, aggs, by=None, cells=None):
+    """Cells within 25 km of each camera, summed per camera (and class)."""
     cams = S.cameras(spark, sf).select("camera_id", "lon", "lat")
-    return SP.within_radius(cams, S.cells(spark, sf), RADIUS_KM, LAT0)
+    return SP.cover_near(cams, S.cells(spark, sf) if cells is None else cells, RADIUS_KM, aggs, by)
 
 
 @register("cells_near_cameras", with_views(["cameras", "cells"], """
 SELECT camera_id, count(*) AS n_cells, sum(coverage_fraction) AS coverage FROM pairs GROUP BY camera_id""",
     {"pairs": _pairs_sql()}))
 def cells_near_cameras(spark, sf):
-    """Raster cells within 25 km of each camera (grid-bucket equi join)."""
-    return _cam_cells(spark, sf).groupBy("camera_id").agg(F.count("*").alias("n_cells"),
-                                                          F.sum("coverage_fraction").alias("coverage"))
+    """Raster cells within 25 km of each camera (great-circle, position-first)."""
+    return _cam_cells(spark, sf, {"n_cells": F.count("*"), "coverage": F.sum("coverage_fraction")})
 
 
 @register("cover_props", with_views(["cameras", "cells"], """
@@ -125,7 +137,7 @@ SELECT camera_id, CASE WHEN category_code IN ('WAT', 'XWAT') THEN 'WAT' WHEN cat
 FROM p GROUP BY 1, 2""", {"pairs": _pairs_sql(), "legend": _LEGEND_SQL}))
 def cover_props(spark, sf):
     """A21 + O14: per-camera land-cover shares in a 25 km buffer, classes merged."""
-    p = SP.cover_props(_cam_cells(spark, sf), _legend(spark))
+    p = SP.cover_props(_cam_cells(spark, sf, {"n": F.count("*")}, ["value"]), _legend(spark))
     return O.merge_classes(p, MERGES, ["camera_id"], "category_code", "props")
 
 
@@ -137,7 +149,7 @@ FROM legend g LEFT JOIN pct p ON g.value = p.value WHERE g.category_code <> 'ND'
     {"pairs": _pairs_sql(), "legend": _LEGEND_SQL}))
 def cover_totals(spark, sf):
     """Coverage-weighted land-cover percentages over all buffers."""
-    return SP.cover_totals(_cam_cells(spark, sf), _legend(spark))
+    return SP.cover_totals(_cam_cells(spark, sf, {"total": F.sum("coverage_fraction")}, ["value"]), _legend(spark))
 
 
 _EV_SQL = """SELECT camera_id, species, count(*) AS day_count FROM (
@@ -152,31 +164,25 @@ def hellinger_events(spark, sf):
     return SP.hellinger(A.day_events(S.observations(spark, sf)), "camera_id", "species", "day_count")
 
 
-def _hav_sql(a, b):
-    return (f"2 * 6371.0 * asin(least(1.0, sqrt(power(sin((radians({b}.lat) - radians({a}.lat)) / 2), 2) + "
-            f"cos(radians({a}.lat)) * cos(radians({b}.lat)) * power(sin((radians({b}.lon) - radians({a}.lon)) / 2), 2))))")
-
-
 _CAM_PAIRS_SQL = f"""
-SELECT a.camera_id AS a, b.camera_id AS b, {_hav_sql('a', 'b')} AS dist_km
-FROM cameras a JOIN cameras b ON a.camera_id < b.camera_id WHERE {_hav_sql('a', 'b')} <= {PAIR_KM}"""
+SELECT a.plot_id, a.camera_id AS a, b.camera_id AS b, {_hav_sql('a', 'b')} AS dist_km
+FROM cameras a JOIN cameras b ON a.plot_id = b.plot_id AND a.camera_id < b.camera_id"""
 
 
 @register("camera_pairs_within", with_views(["cameras"], _CAM_PAIRS_SQL))
 def camera_pairs_within(spark, sf):
-    """J15 + F26: camera pairs within 30 km with great-circle distance."""
-    return SP.pairs_within(S.cameras(spark, sf), PAIR_KM)
+    """J15 + F26: great-circle distances between the cameras of each plot."""
+    return SP.pairs_in_group(S.cameras(spark, sf), "plot_id")
 
 
 def _obs_cam_pairs(spark, sf):
     cams = S.cameras(spark, sf).join(S.observations(spark, sf).select("camera_id").distinct(), "camera_id", "left_semi")
-    return SP.pairs_within(cams, PAIR_KM * 4)
+    return SP.pairs_in_group(cams, "plot_id")
 
 
-_OBS_PAIRS_SQL = f"""
-SELECT a.camera_id AS a, b.camera_id AS b FROM cameras a JOIN cameras b ON a.camera_id < b.camera_id
-WHERE a.camera_id IN (SELECT camera_id FROM observations) AND b.camera_id IN (SELECT camera_id FROM observations)
-  AND {_hav_sql('a', 'b')} <= {PAIR_KM * 4}"""
+_OBS_PAIRS_SQL = """
+SELECT a.camera_id AS a, b.camera_id AS b FROM cameras a JOIN cameras b ON a.plot_id = b.plot_id AND a.camera_id < b.camera_id
+WHERE a.camera_id IN (SELECT camera_id FROM observations) AND b.camera_id IN (SELECT camera_id FROM observations)"""
 
 
 @register("gower_pairs", with_views(["observations", "cameras"], """
@@ -192,7 +198,7 @@ diffs AS (SELECT p.a, p.b, rg.species, abs(coalesce(ea.day_count, 0) - coalesce(
 SELECT a, b, sum(d) / (SELECT nv FROM nv) AS gower FROM diffs GROUP BY a, b""",
     {"ev": _EV_SQL, "pairs": _OBS_PAIRS_SQL}))
 def gower_pairs(spark, sf):
-    """Gower dissimilarity of day-event profiles for neighbouring cameras."""
+    """Gower dissimilarity of day-event profiles for the cameras of a plot."""
     ev = A.day_events(S.observations(spark, sf))
     return SP.gower(ev.withColumn("day_count", F.col("day_count").cast("double")), _obs_cam_pairs(spark, sf),
                     "camera_id", "species", "day_count")
@@ -209,7 +215,7 @@ SELECT p.a, p.b, CASE WHEN coalesce(sa.n, 0) + coalesce(sb.n, 0) - coalesce(it.i
 FROM pairs p LEFT JOIN it ON it.a = p.a AND it.b = p.b LEFT JOIN sz sa ON sa.camera_id = p.a
 LEFT JOIN sz sb ON sb.camera_id = p.b""", {"pairs": _OBS_PAIRS_SQL}))
 def jaccard_pairs(spark, sf):
-    """Jaccard dissimilarity of species presence for neighbouring cameras."""
+    """Jaccard dissimilarity of species presence for the cameras of a plot."""
     pa = A.presence_absence(S.observations(spark, sf))
     return SP.jaccard(pa, _obs_cam_pairs(spark, sf), "camera_id", "species")
 

@@ -35,7 +35,7 @@ def independent_detections(spark, sf):
     return W.independent_detections(S.observations(spark, sf), ["camera_id", "species"], "date_time", GAP_S)
 
 
-@register("visit_sessions", with_views(["observations"], f"""
+VISITS_SQL = f"""
 WITH f AS (SELECT camera_id, date_time, CASE WHEN lag(date_time) OVER w IS NULL
                    OR epoch_us(date_time) - epoch_us(lag(date_time) OVER w) >= {GAP_S}000000 THEN 1 ELSE 0 END AS new
            FROM observations WINDOW w AS (PARTITION BY camera_id ORDER BY date_time)),
@@ -43,15 +43,13 @@ s AS (SELECT *, sum(new) OVER (PARTITION BY camera_id ORDER BY date_time
                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sess FROM f)
 SELECT camera_id, strftime(min(date_time), '%Y-%m-%d %H:%M:%S') AS session_start,
        strftime(max(date_time) + INTERVAL {GAP_S} SECOND, '%Y-%m-%d %H:%M:%S') AS session_end, count(*) AS n_images
-FROM s GROUP BY camera_id, sess"""))
+FROM s GROUP BY camera_id, sess"""
+
+
+@register("visit_sessions", with_views(["observations"], VISITS_SQL))
 def visit_sessions(spark, sf):
-    """T2 (batch twin): visit sessions per camera with a 30-minute gap via
-    ``session_window``."""
-    o = S.observations(spark, sf)
-    g = o.groupBy("camera_id", F.session_window("date_time", f"{GAP_S} seconds").alias("s")).agg(
-        F.count("*").alias("n_images"))
-    return g.select("camera_id", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"),
-                    "n_images")
+    """T2 (batch twin): visit sessions per camera with a 30-minute gap."""
+    return W.visit_sessions(S.observations(spark, sf), ["camera_id"], "date_time", GAP_S)
 
 
 @register("burst_expansion", with_views(["observations"], f"""
@@ -75,10 +73,10 @@ def burst_expansion(spark, sf):
 SELECT vec_id, dim, score FROM (
   SELECT vec_id, i - 1 AS dim, CAST(embedding[i] AS DOUBLE) AS score,
          row_number() OVER (PARTITION BY vec_id ORDER BY embedding[i] DESC, i) AS rn
-  FROM embeddings, range(1, 11) AS t(i)) x WHERE rn = 1"""))
+  FROM embeddings, range(1, 65) AS t(i)) x WHERE rn = 1"""))
 def top_dimension(spark, sf):
-    """Best-scoring of the first 10 dimensions per vector (ties -> first)."""
-    e = S.table(spark, sf, "embeddings").select("vec_id", F.posexplode(F.slice("embedding", 1, 10)).alias("dim", "score"))
+    """Best-scoring dimension per vector (ties -> first)."""
+    e = S.table(spark, sf, "embeddings").select("vec_id", F.posexplode("embedding").alias("dim", "score"))
     return W.top1(e, ["vec_id"], "score", position="dim", payload=["dim", "score"])
 
 
@@ -193,7 +191,8 @@ SELECT (SELECT count(*) FROM a) AS n_a, (SELECT count(*) FROM b) AS n_b,
        (SELECT count(*) FROM (SELECT box_id FROM a UNION ALL SELECT box_id FROM b) u) AS n_union,
        (SELECT count(DISTINCT box_id) FROM (SELECT box_id FROM a UNION ALL SELECT box_id FROM b) u) AS n_distinct,
        (SELECT count(*) FROM (SELECT box_id FROM a INTERSECT SELECT box_id FROM b) i) AS n_both,
-       TRUE AS conserved"""))
+       (SELECT count(*) FROM (SELECT box_id FROM a UNION ALL SELECT box_id FROM b) u) = (SELECT count(*) FROM a) + (SELECT count(*) FROM b)
+         AS conserved"""))
 def union_conservation(spark, sf):
     """U2 + U4 + U6: row conservation of a union, distinct keys, keys in both."""
     b = S.boxes(spark, sf)

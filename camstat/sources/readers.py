@@ -9,42 +9,79 @@ that grows a frame.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from camstat.functions.ids import drop_first_token
-from camstat.operators.filters import clean_names
+from camstat.operators.filters import category_label, clean_names
+from camstat.operators.joins import join_back
+from camstat.operators.reshape import union_fill
+from camstat.sources.fileio import first_line
 from camstat.schemas import ANNOTATION_FIELDS, COCO_SCHEMA, DETECTOR_SCHEMA, GEOJSON_SCHEMA, TASK_SCHEMA  # noqa: F401
 
 
-def read_annotations(spark: SparkSession, path: str, pattern: str = "*output.csv") -> DataFrame:
-    """Annotation export CSVs.  The 15 known columns get their fixed types;
-    any extra columns are kept as text; ``NA`` is null; the export file name is
-    kept in ``file``.  Files of one scan share a header (read groups with
-    different headers separately and union them with ``union_fill``)."""
-    df = (spark.read.option("header", True).option("nullValue", "NA").option("pathGlobFilter", pattern)
-          .option("recursiveFileLookup", True).csv(path))
-    known = dict(ANNOTATION_FIELDS)
-    cols = [F.col(f"`{c}`").cast(known[c]).alias(c) if c in known else F.col(f"`{c}`") for c in df.columns]
-    missing = [F.lit(None).cast(t).alias(c) for c, t in ANNOTATION_FIELDS if c not in df.columns]
-    return df.select(*cols, *missing, F.col("_metadata.file_name").alias("file"))
+def read_annotations(spark: SparkSession, path: str, pattern: str = "*output.csv",
+                     file: Column | None = None) -> DataFrame:
+    """Annotation export CSVs.  The 15 known columns get their fixed types; any extra
+    columns are kept as text; ``NA`` is null; the export file name is kept in ``file`` (or
+    what the given expression makes of ``_metadata``).
 
+    Files may differ in column order and in extra columns: they are grouped by their header
+    line (read from the file start in tasks), each group is scanned with its own schema, and
+    the groups are joined by name, missing columns null.  Fields may hold line breaks and
+    doubled quotes.  No files give an empty table of the known columns."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
+             .load(path).select("path"))
 
-def read_detections(spark: SparkSession, root: str, pattern: str = "*output_coco.json") -> DataFrame:
+    def heads(batches):
+        for b in batches:
+            yield b.assign(header=[first_line(p) for p in b["path"]])
+
+    groups = files.mapInPandas(heads, "path string, header string").groupBy("header").agg(F.collect_list("path").alias("paths"))
+    known = dict(ANNOTATION_FIELDS)
+    name = F.col("_metadata.file_name") if file is None else file
+    parts = []
+    for g in groups.orderBy("header").collect():  # one row per kind of header, with its file names
+        names = next(csv.reader([g["header"]]))
+        if not any(names):
+            continue
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+        df = (spark.read.schema(schema).option("header", True).option("nullValue", "NA").option("multiLine", True)
+              .option("quote", '"').option("escape", '"').csv(g["paths"]))
+        cols = [F.col(f"`{c}`").cast(known[c]).alias(c) if c in known else F.col(f"`{c}`") for c in names]
+        missing = [F.lit(None).cast(t).alias(c) for c, t in ANNOTATION_FIELDS if c not in names]
+        parts.append(df.select(*cols, *missing, name.alias("file")))
+    if not parts:
+        return spark.createDataFrame([], T.StructType(
+            [T.StructField(c, T._parse_datatype_string(t)) for c, t in [*ANNOTATION_FIELDS, ("file", "string")]]))
+    return union_fill(*parts)
+
+
+def strip_labels(df: DataFrame, col: str = "value_rectanglelabels") -> DataFrame:
+    """The export writes a label list as ``['animal']``; keep what stands between the brackets."""
+    return df.withColumn(col, F.regexp_replace(F.regexp_replace(F.col(col), r"\['", ""), r"'\]", ""))
+
+
+def read_detections(spark: SparkSession, root: str, pattern: str = "*output_coco.json",
+                    multi_line: bool = True) -> DataFrame:
     """COCO detection files anywhere under ``root``: the ``annotations`` array
-    flattened to one row per box, names snake-cased, source file kept."""
-    df = (spark.read.schema(COCO_SCHEMA).option("multiLine", True).option("recursiveFileLookup", True)
+    flattened to one row per box, names snake-cased, source file kept.  One document per
+    file, or (``multi_line=False``) one per line, which large files can be split by."""
+    df = (spark.read.schema(COCO_SCHEMA).option("multiLine", multi_line).option("recursiveFileLookup", True)
           .option("pathGlobFilter", pattern).json(root))
     out = df.select(F.explode("annotations").alias("a"), F.col("_metadata.file_path").alias("file")).select("a.*", "file")
     return clean_names(out)
 
 
 def read_exif(spark: SparkSession, path: str, roots: list[str] | None = None) -> DataFrame:
-    """EXIF table (CSV, header); snake-case names; ``source_file`` made
-    relative to the storage roots; ``image_id`` = path with ``/`` -> ``_``,
-    ``.JPG`` removed (a regex, as in the source) and the first token dropped."""
-    df = clean_names(spark.read.option("header", True).option("inferSchema", True).csv(path))
+    """EXIF table (CSV, header; values stay text, so no pass to infer types);
+    snake-case names; ``source_file`` made relative to the storage roots; ``image_id`` =
+    path with ``/`` -> ``_``, ``.JPG`` removed (a regex, as in the source) and the first
+    token dropped."""
+    df = clean_names(spark.read.option("header", True).csv(path))
     img = F.regexp_replace(F.replace(F.col("source_file"), F.lit("/"), F.lit("_")), ".JPG", "")
     src = F.col("source_file")
     for r in roots or []:
@@ -56,25 +93,33 @@ def read_exif(spark: SparkSession, path: str, roots: list[str] | None = None) ->
 def read_deployments(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """Deployment log exported to CSV / Parquet; names snake-cased, dates
     typed, ``x/y`` renamed to ``longitude/latitude``."""
-    r = spark.read.option("header", True).option("inferSchema", True) if fmt == "csv" else spark.read
+    r = spark.read.option("header", True) if fmt == "csv" else spark.read
     df = clean_names(r.format(fmt).load(path))
     df = df.withColumns({c: F.to_date(F.col(c)) for c in ("date_deployed", "date_retrieved") if c in df.columns})
-    return df.withColumnsRenamed({"x": "longitude", "y": "latitude"})
+    df = df.withColumnsRenamed({"x": "longitude", "y": "latitude"})
+    return df.withColumns({c: F.col(c).cast("double") for c in ("longitude", "latitude") if c in df.columns})
+
+
+def read_key_values(spark: SparkSession, path: str, skip: tuple[int, ...] = (3,)) -> DataFrame:
+    """The log's summary sheet (CSV without header) as ``key, value``; the rows numbered
+    ``skip`` (from 1) are no entries.  A sheet is one small file."""
+    rows = spark.read.schema("key string, value string").option("header", False).csv(path)
+    at = F.monotonically_increasing_id() + 1  # one unsplit file: row numbers
+    return rows.coalesce(1).withColumn("_at", at).filter(~F.col("_at").isin(*skip)).drop("_at")
 
 
 def read_legend(spark: SparkSession, path: str) -> DataFrame:
-    """Land-cover legend; the raster code is kept as text."""
-    df = clean_names(spark.read.option("header", True).option("inferSchema", True).csv(path))
-    return df.withColumn("code", F.col("code").cast("string")) if "code" in df.columns else df
+    """Land-cover legend; all columns, the raster code included, are text."""
+    return clean_names(spark.read.option("header", True).csv(path))
 
 
-def read_polygons(spark: SparkSession, path: str, name_prop: str = "name") -> DataFrame:
+def read_polygons(spark: SparkSession, path: str, name_prop: str = "name", multi_line: bool = True) -> DataFrame:
     """GeoJSON polygons (lon/lat) -> vertex rows ``(zone, ring, seq, x, y)``.
     Polygon and MultiPolygon are both read; the rings of a multi-polygon are
-    numbered across its parts."""
+    numbered across its parts.  One collection per file, or per line."""
     # coordinates are declared as text: the JSON source keeps the raw nested
     # array, parsed below for either geometry type
-    raw = spark.read.schema(GEOJSON_SCHEMA).option("multiLine", True).json(path)
+    raw = spark.read.schema(GEOJSON_SCHEMA).option("multiLine", multi_line).json(path)
     f = raw.select(F.explode("features").alias("f")).select(
         F.col("f.properties").getItem(name_prop).alias("zone"), F.col("f.geometry.type").alias("gtype"),
         F.col("f.geometry.coordinates").alias("coords"))
@@ -87,9 +132,12 @@ def read_polygons(spark: SparkSession, path: str, name_prop: str = "name") -> Da
     return p.select("zone", "ring", "seq", F.col("pt")[0].alias("x"), F.col("pt")[1].alias("y"))
 
 
-def read_cells(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Raster exported as a cell table ``(utm, cx, cy, value, coverage_fraction)``."""
-    r = spark.read.option("header", True).option("inferSchema", True) if fmt == "csv" else spark.read
+CELL_FIELDS = "cell_id bigint, utm int, cx double, cy double, value bigint, coverage_fraction double"
+
+
+def read_cells(spark: SparkSession, path: str, fmt: str = "parquet", schema: str = CELL_FIELDS) -> DataFrame:
+    """Raster exported as a cell table ``(cell_id, utm, cx, cy, value, coverage_fraction)``."""
+    r = spark.read.schema(schema).option("header", True) if fmt == "csv" else spark.read
     return r.format(fmt).load(path)
 
 
@@ -117,46 +165,64 @@ def list_images(spark: SparkSession, root: str, ext: str = IMAGE_EXT, subset: li
     return df
 
 
-def read_detector_json(spark: SparkSession, path: str) -> DataFrame:
-    """Detector batch output (images -> detections) as one row per detection;
-    images without detections keep one row with null detection fields."""
-    df = spark.read.schema(DETECTOR_SCHEMA).option("multiLine", True).json(path)
-    im = df.select(F.explode_outer("images").alias("im"))
+def read_detector_json(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Detector batch output (images -> detections) as one row per detection, numbered
+    in its image (``box``, from 0); images without detections keep one row with null
+    detection fields.  One document per file, or one per line."""
+    df = spark.read.schema(DETECTOR_SCHEMA).option("multiLine", multi_line).json(path)
+    im = df.select(F.explode_outer("images").alias("im")).filter(F.col("im").isNotNull())
     d = im.select(F.col("im.file").alias("file"), F.col("im.max_detection_conf").alias("max_detection_conf"),
-                  F.explode_outer("im.detections").alias("d"))
-    return d.select("file", "max_detection_conf", F.col("d.category").cast("int").alias("category"),
+                  F.posexplode_outer("im.detections").alias("box", "d"))
+    return d.select("file", "max_detection_conf", "box", F.col("d.category").cast("int").alias("category"),
                     F.col("d.conf").alias("conf"), F.col("d.bbox").alias("bbox"))
 
 
 def to_coco(dets: DataFrame, thr: float = 0.1) -> DataFrame:
-    """Detector rows -> COCO-style annotation rows above a confidence."""
-    d = dets.filter(F.col("conf") >= thr)
-    return d.select(F.concat_ws("_", F.col("file"), F.col("category")).alias("id"),
-                    F.col("file").alias("image_id"), F.col("category").alias("category_id"),
-                    F.col("bbox"), F.col("conf").alias("confidence"))
+    """Detector rows -> COCO annotation rows at or above a confidence, ids unique by box
+    number; an image without such a box keeps one row that says so (``isempty``)."""
+    strong = F.col("conf") >= thr
+    per_image = dets.groupBy("file").agg(F.max("max_detection_conf").alias("_max"), F.count_if(strong).alias("_n"))
+    boxes = dets.filter(strong).select(
+        F.concat_ws("_", "file", "box").alias("id"), F.col("file").alias("image_id"), F.col("category").alias("category_id"),
+        "bbox", F.col("conf").alias("confidence"), F.col("max_detection_conf").alias("max_confidence"), F.lit(False).alias("isempty"))
+    empty = per_image.filter("_n = 0").select(
+        F.concat(F.col("file"), F.lit("_empty")).alias("id"), F.col("file").alias("image_id"), F.lit(0).alias("category_id"),
+        F.lit(None).cast("array<double>").alias("bbox"), F.lit(None).cast("double").alias("confidence"),
+        F.col("_max").alias("max_confidence"), F.lit(True).alias("isempty"))
+    return boxes.unionByName(empty)
+
+
+def coco_collections(dets: DataFrame, thr: float = 0.1) -> DataFrame:
+    """One COCO document per image (JSON text in ``value``): ``images``, ``annotations``."""
+    rows = to_coco(dets, thr)
+    ann = F.struct("id", "image_id", "category_id", "bbox", "confidence", "max_confidence", "isempty")
+    img = F.array(F.struct(F.col("image_id").alias("id"), F.col("image_id").alias("file_name")))
+    g = rows.groupBy("image_id").agg(F.sort_array(F.collect_list(ann)).alias("annotations"))
+    return g.select("image_id", F.to_json(F.struct(img.alias("images"), "annotations")).alias("value"))
 
 
 def to_tasks(dets: DataFrame, root_url: str, thr: float = 0.1) -> DataFrame:
-    """One annotation task (JSON text) per image: image URL = root + path,
-    boxes above ``thr`` as predictions (percent coordinates).  Per-image box
-    lists are small (one image's detections)."""
-    d = dets.filter(F.col("conf").isNull() | (F.col("conf") >= thr))
-    res = F.struct(F.lit("rectanglelabels").alias("type"), F.lit("image").alias("to_name"),
+    """One annotation task (JSON text) per image, images without a box included: image
+    URL = root + path, boxes at or above ``thr`` as predictions (percent coordinates), each
+    labelled by its category.  Per-image box lists are small (one image's detections)."""
+    label = F.lower(category_label("category"))
+    res = F.struct(F.col("box"), F.lit("rectanglelabels").alias("type"), F.lit("image").alias("to_name"),
                    F.lit("label").alias("from_name"),
                    F.struct((F.col("bbox")[0] * 100).alias("x"), (F.col("bbox")[1] * 100).alias("y"),
                             (F.col("bbox")[2] * 100).alias("width"), (F.col("bbox")[3] * 100).alias("height"),
-                            F.array(F.lit("animal")).alias("rectanglelabels")).alias("value"),
+                            F.array(label).alias("rectanglelabels")).alias("value"),
                    F.col("conf").alias("score"))
-    g = d.groupBy("file").agg(F.collect_list(F.when(F.col("conf").isNotNull(), res)).alias("result"))
+    g = dets.groupBy("file").agg(F.sort_array(F.collect_list(F.when(F.col("conf") >= thr, res))).alias("_r"))
+    plain = F.transform("_r", lambda r: r.dropFields("box"))
     task = F.struct(F.struct(F.concat(F.lit(root_url), F.col("file")).alias("image")).alias("data"),
-                    F.array(F.struct(F.col("result").alias("result"))).alias("predictions"))
+                    F.array(F.struct(plain.alias("result"))).alias("predictions"))
     return g.select(F.col("file"), F.to_json(task).alias("task"))
 
 
 def tasks_to_long(tasks: DataFrame, source: str = "annotations") -> DataFrame:
-    """Nested annotation tasks -> long rows (one per region x variable) in
-    the export's 15-column shape.  Region geometry comes from the rectangle
-    result sharing the region id."""
+    """Nested annotation tasks -> long rows in the export's 15-column shape: one row per
+    region, variable and value (every choice of a multiple choice, every text entry).
+    Region geometry comes from the rectangle result sharing the region id."""
     t = tasks.select(F.col("data.image").alias("source_file"), F.explode(source).alias("ann"))
     r = t.select("source_file", F.explode("ann.result").alias("r")).select("source_file", "r.*")
     geo = (r.filter(F.col("value.x").isNotNull())
@@ -167,14 +233,16 @@ def tasks_to_long(tasks: DataFrame, source: str = "annotations") -> DataFrame:
                 F.first("value.width", True).alias("value_width"), F.first("value.height", True).alias("value_height"),
                 F.first(F.concat(F.lit("['"), F.array_join("value.rectanglelabels", "', '"), F.lit("']")), True)
                 .alias("value_rectanglelabels")))
-    tags = r.filter(F.col("value.choices").isNotNull() | F.col("value.text").isNotNull()).select(
-        "source_file", "id", "type", "origin", "to_name", F.col("from_name").alias("variable"),
-        F.col("value.choices")[0].alias("tag"), F.col("value.text")[0].alias("value_text"))
+    head = ["source_file", "id", "type", "origin", "to_name", F.col("from_name").alias("variable")]
+    none = F.lit(None).cast("string")
+    choices = r.select(*head, F.explode("value.choices").alias("tag"), none.alias("value_text"))
+    texts = r.select(*head, none.alias("tag"), F.explode("value.text").alias("value_text"))
+    tags = choices.unionByName(texts)
     boxes_only = (r.filter(F.col("value.x").isNotNull()).select("source_file", "id", "type", "origin", "to_name")
                   .join(tags.select("source_file", "id"), ["source_file", "id"], "left_anti")
-                  .select("source_file", "id", "type", "origin", "to_name", F.lit(None).cast("string").alias("variable"),
-                          F.lit(None).cast("string").alias("tag"), F.lit(None).cast("string").alias("value_text")))
-    long = tags.unionByName(boxes_only).join(geo, ["source_file", "id"], "left")
+                  .select("source_file", "id", "type", "origin", "to_name", none.alias("variable"),
+                          none.alias("tag"), none.alias("value_text")))
+    long = join_back(tags.unionByName(boxes_only), geo, ["source_file", "id"])
     return long.select(*[c for c, _ in ANNOTATION_FIELDS])
 
 

@@ -17,7 +17,7 @@ from camstat.schemas import COCO_SCHEMA
 
 
 def detection_stream(spark: SparkSession, root: str, pattern: str = "*output_coco.json",
-                     max_files: int = 1000, multi_line: bool = True) -> DataFrame:
+                     max_files: int = 10_000, multi_line: bool = True) -> DataFrame:
     """COCO documents as a stream: one document per file (``multi_line``) or one
     per line (JSON lines, e.g. one image per line)."""
     s = (spark.readStream.schema(COCO_SCHEMA).option("multiLine", multi_line).option("pathGlobFilter", pattern)
@@ -27,7 +27,7 @@ def detection_stream(spark: SparkSession, root: str, pattern: str = "*output_coc
 
 
 def ingest_detections(spark: SparkSession, root: str, sink: str, checkpoint: str,
-                      pattern: str = "*output_coco.json", multi_line: bool = True, max_files: int = 1000):
+                      pattern: str = "*output_coco.json", multi_line: bool = True, max_files: int = 10_000):
     """Run once over all files not yet ingested; returns the finished query."""
     q = (detection_stream(spark, root, pattern, max_files, multi_line).writeStream.format("parquet")
          .option("checkpointLocation", checkpoint).option("path", sink)

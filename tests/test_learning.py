@@ -14,7 +14,7 @@ def test_rda_matches_numpy(spark):
     Y = X @ np.array([[1.0, 0.5, 0.0], [0.0, 1.0, 2.0]]) + rng.normal(scale=0.3, size=(n, 3))
     rows = [(i, *map(float, X[i]), *map(float, Y[i])) for i in range(n)]
     df = spark.createDataFrame(rows, "k int, x1 double, x2 double, y1 double, y2 double, y3 double")
-    axes, sp, sites = L.rda(df, "k", ["y1", "y2", "y3"], ["x1", "x2"])
+    axes, sp, sites, predictors = L.rda(df, "k", ["y1", "y2", "y3"], ["x1", "x2"])
     Xc, Yc = X - X.mean(0), Y - Y.mean(0)
     B = np.linalg.lstsq(Xc, Yc, rcond=None)[0]
     F_ = Xc @ B
@@ -25,7 +25,45 @@ def test_rda_matches_numpy(spark):
     assert abs(a[0].adj_r2 - (1 - (1 - r2) * (n - 1) / (n - 2 - 1))) < 1e-9
     assert np.allclose([x.eigenvalue for x in a], ev)
     s = np.array([[r.rda1, r.rda2] for r in sites.orderBy("k").collect()])
-    assert np.allclose(np.abs(np.corrcoef(s[:, 0], (F_ @ np.linalg.eigh(F_.T @ F_)[1][:, -1]))[0, 1]), 1.0)
+    lam, vec = np.linalg.eigh(F_.T @ F_ / (n - 1))
+    lam, vec = lam[::-1][:2], vec[:, ::-1][:, :2]
+    vec = vec * np.sign(vec[np.abs(vec).argmax(axis=0), [0, 1]])  # largest loading positive
+    total = Yc.var(axis=0, ddof=1).sum()
+    const = ((n - 1) * total) ** 0.25
+    z = F_ @ vec
+    assert np.allclose(s, z / np.linalg.norm(z, axis=0) * const)
+    assert np.allclose([[r.rda1, r.rda2] for r in sp.collect()], vec * np.sqrt(lam / total) * const)
+    assert np.allclose([[r.rda1, r.rda2] for r in predictors.collect()],
+                       [[np.corrcoef(X[:, i], z[:, k])[0, 1] for k in range(2)] for i in range(2)])
+
+
+def test_held_out_models(spark):
+    """Forest, tree, importance and head on a separable table, scored on held-out rows."""
+    from camstat.operators import metrics as M
+    rng = np.random.default_rng(3)
+    rows = [(i, float(y), float(y + 0.3 * rng.normal()), float(rng.normal()), [float(y + 0.2 * rng.normal()), float(rng.normal())])
+            for i, y in enumerate(rng.integers(0, 2, 240))]
+    df = M.folds(spark.createDataFrame(rows, "k int, y double, a double, b double, v array<double>"), "k", 3)
+    t = M.split_stratified(df, "y", "k", 0.25)
+    train, test = t.filter("split = 'train'").cache(), t.filter("split = 'eval'").cache()
+    cv = L.tune_forest(train, ["a", "b"], "y", trees=(10,), min_nodes=(1,), mtry=("sqrt",), folds=3)
+    _, m = L.last_fit(cv.bestModel, test, "y")
+    assert m["auc"] > 0.95
+    imp = {r["feature"]: r["importance"] for r in L.perm_importance(cv.bestModel, df, ["a", "b"], "y", "k").collect()}
+    assert imp["a"] > 0.2 > abs(imp["b"])
+    tree = L.tree_fit(train, ["a", "b"], "y").transform(test)
+    assert tree.filter("prediction = y").count() / test.count() > 0.9
+    head = L.score(L.train_head(train, "v", "y", 2), test, "v", "k").join(test, "k")
+    assert head.filter("prediction = y").count() / test.count() > 0.9
+    train.unpersist()
+    test.unpersist()
+
+
+def test_binomial_surface(spark):
+    rows = [(float(x), float(y), float(x > y), 5.0) for x in range(-4, 5) for y in range(-4, 5)]
+    t = spark.createDataFrame(rows, "x double, y double, hit double, n double")
+    p = {(r.x, r.y): r.prediction for r in L.smooth_fit(t, t.select("x", "y"), "x", "y", "hit", "binomial", 1, weight="n").collect()}
+    assert p[(4.0, -4.0)] > 0.9 and p[(-4.0, 4.0)] < 0.1
 
 
 def test_anova_matches_numpy(spark):

@@ -98,8 +98,8 @@ def test_small_helpers(spark):
     assert J.anti(a, d.withColumnRenamed("t", "s"), "s").count() == 1
     assert R.union_strict(a, a).count() == 4
     assert [r.s for r in R.sort_nulls_last(a, ["s"], [True]).collect()] == ["x", None]
-    g = SP.grid_points(spark.createDataFrame([(1,)], "camera_id int"), 0.0, 1.0, 0.0, 2.0, 0.5)
-    assert g.count() == 8 and g.agg(F.max("y")).first()[0] == 1.75
+    g = SP.grid_points(spark.createDataFrame([(0.6, 1.9), (5.0, 1.0)], "lon double, lat double"), 0.0, 1.0, 0.0, 2.0, 0.5)
+    assert [(r.gx, r.gy, r.x_node, r.y_node) for r in g.collect()] == [(1, 3, 0.75, 1.75), (None,) * 4]
     assert O.fill0(spark.createDataFrame([(None,)], "v int")).first().v == 0
     assert A.n_distinct(a, "k").first().n == 2 and A.n_distinct_approx(a, "k").first().n == 2
     f = M.folds(spark.range(100), "id", 10).groupBy("fold").count().collect()

@@ -117,13 +117,16 @@ def test_within_radius_matches_brute_force(spark):
     cells = [(j, -90 + rnd.random() * 3, 50 + rnd.random() * 3) for j in range(300)]
     p = spark.createDataFrame(pts, "camera_id int, lon double, lat double")
     c = spark.createDataFrame(cells, "cell_id int, cx double, cy double")
-    got = {(r.camera_id, r.cell_id) for r in SP.within_radius(p, c, 20.0, 52.0).collect()}
+    got = {(r.camera_id, r.cell_id) for r in SP.within_radius(p, c, 20.0).collect()}
+    ref = {(i, j) for i, x, y in pts for j, cx, cy in cells if _hav(x, y, cx, cy) <= 20.0}
+    assert got == ref and ref
+
+
+def _hav(lon1, lat1, lon2, lat2):
     import math
-    kx = math.pi / 180 * 6371 * math.cos(math.radians(52.0))
-    ky = math.pi / 180 * 6371
-    ref = {(i, j) for i, x, y in pts for j, cx, cy in cells
-           if ((x - cx) * kx) ** 2 + ((y - cy) * ky) ** 2 <= 400.0}
-    assert got == ref
+    p1, p2, dl = math.radians(lat1), math.radians(lat2), math.radians(lon2 - lon1)
+    h = math.sin((p2 - p1) / 2) ** 2 + math.cos(p1) * math.cos(p2) * math.sin(dl / 2) ** 2
+    return 2 * 6371 * math.asin(min(1, math.sqrt(h)))
 
 
 def test_pairs_within_matches_brute_force(spark):
