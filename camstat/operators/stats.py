@@ -46,7 +46,8 @@ def prune_correlated(df: DataFrame, cols: list[str], cutoff: float = 0.9) -> lis
 def anova(df: DataFrame, y: str, group: str, by: list[str] | None = None) -> DataFrame:
     """One-way ANOVA of ``y`` across ``group`` (per ``by``): between / within
     sums of squares, degrees of freedom and F, from per-group n, mean and
-    variance (two aggregation passes, no row-level join)."""
+    variance (two aggregation passes, no row-level join).  F is null where a degree of
+    freedom or the variance within groups is 0."""
     by = by or []
     g = df.groupBy(*by, group).agg(F.count(y).alias("n"), F.avg(y).alias("m"), F.var_samp(y).alias("v"))
     tot = g.groupBy(*by).agg((F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("_grand"))
@@ -54,10 +55,11 @@ def anova(df: DataFrame, y: str, group: str, by: list[str] | None = None) -> Dat
     s = j.groupBy(*by).agg(
         F.sum(F.col("n") * F.pow(F.col("m") - F.col("_grand"), 2)).alias("ssb"),
         F.sum((F.col("n") - 1) * F.coalesce(F.col("v"), F.lit(0.0))).alias("ssw"),
-        F.count("*").alias("k"), F.sum("n").alias("n_total"))
-    return s.select(*by, "ssb", "ssw", (F.col("k") - 1).alias("df_between"),
-                    (F.col("n_total") - F.col("k")).alias("df_within"),
-                    ((F.col("ssb") / (F.col("k") - 1)) / (F.col("ssw") / (F.col("n_total") - F.col("k")))).alias("f"))
+        F.count("*").alias("_groups"), F.sum("n").alias("n_total"))
+    return s.select(*by, "ssb", "ssw", (F.col("_groups") - 1).alias("df_between"),
+                    (F.col("n_total") - F.col("_groups")).alias("df_within"),
+                    F.try_divide(F.try_divide(F.col("ssb"), F.col("_groups") - 1),
+                                 F.try_divide(F.col("ssw"), F.col("n_total") - F.col("_groups"))).alias("f"))
 
 
 def _attach(g: DataFrame, one_row: DataFrame) -> DataFrame:

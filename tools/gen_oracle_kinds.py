@@ -13,7 +13,7 @@ def main():
     from camstat import plans
     from camstat.plans.registry import output_kinds
     from camstat.session import get_spark
-    spark = get_spark("local[2]", 2)
+    spark = get_spark(os.environ.get("CAMSTAT_MASTER", "local[2]"), 2)
     plans.load_all()
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
     out = {}
