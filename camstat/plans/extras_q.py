@@ -228,10 +228,10 @@ def _export_files(spark, sf):
     return ex.withColumn("file", f).drop("orig")
 
 
-def _annotation_flow_sql():
+def _annotation_flow_sql(rows=""):
     from camstat.plans.identity import _DECIDE_SQL, _EXPORTS_SQL
     files = f"""
-SELECT source_file, id, species, CASE WHEN k % 2 = 1 THEN 'TrailCamStorage_P' || CAST(k AS VARCHAR) || '_exp1_output.csv'
+SELECT {rows} source_file, id, species, CASE WHEN k % 2 = 1 THEN 'TrailCamStorage_P' || CAST(k AS VARCHAR) || '_exp1_output.csv'
        ELSE 'TrailCamStorage_P' || CAST(k AS VARCHAR) || '_exp' || CAST(orig AS VARCHAR) || '_output.csv' END AS file
 FROM (SELECT *, CAST(regexp_extract(source_file, 'img_(\\d+)', 1) AS BIGINT) % 10 AS k FROM ({_EXPORTS_SQL}) e) x"""
     return with_views(["annotation_ids"], f"""

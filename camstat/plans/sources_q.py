@@ -52,12 +52,11 @@ def _export_rows(spark, sf):
 
 
 def _flow_sql():
-    inner = _annotation_flow_sql()
+    inner = _annotation_flow_sql("DISTINCT")  # a box that a file holds twice is one row once widened
     notes = f", CASE WHEN {_NOTED_SQL} THEN {_NOTE_SQL} END AS notes"
     label = "CASE WHEN regexp_matches(id, '^[+-]?[0-9]+$') THEN NULL ELSE 'animal' END AS value_rectanglelabels"
     species = f"CASE WHEN species = '{OTHER_SPECIES}' THEN '{S.OTHER_TEXT}' ELSE species END AS species"
-    # one row per box and file: a box that a file holds twice is one
-    return f"SELECT DISTINCT project, source_file, id, {species}, {label}{notes} FROM ({inner}) flow"
+    return f"SELECT project, source_file, id, {species}, {label}{notes} FROM ({inner}) flow"
 
 
 @register("annotations_from_files", _flow_sql())
