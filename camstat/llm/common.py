@@ -1,15 +1,15 @@
-"""Helpers shared by the operators: table access and tables written to the shared folder."""
+"""Helpers shared by the operators: table access, session bounds, tables in the shared folder."""
 
 from __future__ import annotations
 
-import atexit
-import functools
-import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from camstat.session import checkpoint_dir
+from camstat.session import drop_path as drop
+from camstat.session import shared_path, written, written_at
+
+__all__ = ["drop", "prepare", "shared_path", "table", "written", "written_at"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,44 +31,3 @@ def prepare(spark: SparkSession) -> None:
     if spark.conf.get(key) == "10000":
         spark.conf.set(key, str(BATCH_ROWS))
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
-
-
-@functools.cache
-def _session_folder(app_id: str, root: str) -> str:
-    return f"{root.rstrip('/')}/llm-{app_id}"
-
-
-def shared_path(spark: SparkSession, label: str) -> str:
-    """A new path under ``spark.checkpoint.dir``, which driver and executors share.
-
-    All paths of one application lie in one folder, removed when the driver ends."""
-    known = _session_folder.cache_info().currsize
-    top = _session_folder(spark.sparkContext.applicationId, checkpoint_dir(spark))
-    if _session_folder.cache_info().currsize > known:
-        atexit.register(_drop_at_exit, spark, top)
-    return f"{top}/{label}-{uuid.uuid4().hex}"
-
-
-def _drop_at_exit(spark: SparkSession, path: str) -> None:
-    if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
-        drop(spark, path)
-
-
-def drop(spark: SparkSession, path: str) -> None:
-    """Delete a path that this library wrote under the shared folder."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read back: later steps do
-    not repeat its work, and a lost executor costs no more than the reading task."""
-    return written_at(df, label)[0]
-
-
-def written_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
-    """As ``written``, with the path, for tables that a loop replaces and drops."""
-    spark = df.sparkSession
-    path = shared_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from camstat.llm.common import drop, written, written_at
-from camstat.llm.components import components
+from camstat.operators.components import components
 from camstat.llm.vectors import cosines, matrix, one_length, sample_vectors, unit, usable
 
 K, K_MAX = 8, 32
