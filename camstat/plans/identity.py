@@ -232,12 +232,14 @@ SELECT id, source_file, value_text, contains(id, '_M') AS manual, regexp_replace
        CASE WHEN species = 'Other [See more species]' THEN other_species ELSE species END AS species,
        other_species, sex, age, behavior, unique_markings, comment, notes
 FROM (SELECT id, source_file, value_text,
-             max(tag) FILTER (WHERE variable = 'species') AS species,
-             max(tag) FILTER (WHERE variable = 'other_species') AS other_species,
-             max(tag) FILTER (WHERE variable = 'sex') AS sex, max(tag) FILTER (WHERE variable = 'age') AS age,
-             max(tag) FILTER (WHERE variable = 'behavior') AS behavior,
-             max(tag) FILTER (WHERE variable = 'unique_markings') AS unique_markings,
-             max(tag) FILTER (WHERE variable = 'comment') AS comment, max(tag) FILTER (WHERE variable = 'notes') AS notes
+             string_agg(DISTINCT tag, ', ' ORDER BY tag) FILTER (WHERE variable = 'species') AS species,
+             string_agg(DISTINCT tag, ', ' ORDER BY tag) FILTER (WHERE variable = 'other_species') AS other_species,
+             string_agg(DISTINCT tag, ', ' ORDER BY tag) FILTER (WHERE variable = 'sex') AS sex,
+             string_agg(DISTINCT tag, ', ' ORDER BY tag) FILTER (WHERE variable = 'age') AS age,
+             string_agg(DISTINCT tag, ', ' ORDER BY tag) FILTER (WHERE variable = 'behavior') AS behavior,
+             string_agg(DISTINCT tag, ', ' ORDER BY tag) FILTER (WHERE variable = 'unique_markings') AS unique_markings,
+             string_agg(DISTINCT tag, ', ' ORDER BY tag) FILTER (WHERE variable = 'comment') AS comment,
+             string_agg(DISTINCT tag, ', ' ORDER BY tag) FILTER (WHERE variable = 'notes') AS notes
       FROM long_tags GROUP BY id, source_file, value_text) w
 WHERE value_text IS NULL""", {"long_tags": _LONG_TAGS_SQL}))
 def annotations_wide(spark, sf):
