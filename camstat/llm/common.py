@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from camstat.session import drop_path as drop
 from camstat.session import shared_path, written, written_at
 
-__all__ = ["drop", "prepare", "shared_path", "table", "written", "written_at"]
+__all__ = ["digest", "drop", "prepare", "shared_path", "table", "written", "written_at"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def digest(text: Column) -> Column:
+    """128 bits that tell texts apart where keys are null or repeated; null texts as empty ones."""
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+
+
 #: Rows in an Arrow batch.  Texts are long: the default of 10,000 rows makes batches of tens to
 #: hundreds of MB, several of which a worker holds at once.
 BATCH_ROWS = 1000

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from camstat.llm.common import written
+from camstat.llm.common import digest, written
 from camstat.operators.components import components, forest
 
 RADIUS = 3
@@ -186,11 +186,28 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     row each.  Rows with a null key take part; a component of null keys only has a null id.  Other
     columns of ``df`` are ignored; an empty table gives no rows."""
     prints = written(df.select(F.col(key).alias("key"), fingerprint(F.col(text), words).alias("fp")), "prints")
+    return prints.join(_components(prints), F.col("fp") == F.col("f")).select(F.col("key").alias(key), "fp", "component_id")
+
+
+def _components(prints: DataFrame) -> DataFrame:
+    """(f, component, component_id) of every fingerprint in prints(key, fp): the root fingerprint of
+    its component, and the smallest key there."""
     distinct = written(prints.groupBy("fp").agg(F.min("key").alias("least")), "distinct-prints")
     comps = components(links(distinct.select("fp")))
     named = distinct.join(comps, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("component"))
     ids = named.groupBy(F.col("component").alias("c")).agg(F.min("least").alias("component_id"))
-    of = written(
-        named.join(ids, F.col("component") == F.col("c")).select(F.col("fp").alias("f"), "component_id"), "print-components")
-    return prints.join(of, F.col("fp") == F.col("f")).select(F.col("key").alias(key), "fp", "component_id")
+    return written(
+        named.join(ids, F.col("component") == F.col("c")).select(F.col("fp").alias("f"), "component", "component_id"), "print-components")
+
+
+def survivors(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3) -> DataFrame:
+    """(key, digest): one row for each component, its smallest key (nulls last), then smallest
+    ``digest`` of the text.  Keys may be null or repeated: components are told apart by their
+    fingerprints, not by keys."""
+    prints = written(
+        df.select(F.col(key).alias("key"), digest(F.col(text)).alias("digest"), fingerprint(F.col(text), words).alias("fp")), "prints")
+    rank = F.struct(F.col("key").isNull().alias("none"), "key", "digest")
+    return (
+        prints.join(_components(prints), F.col("fp") == F.col("f")).groupBy("component").agg(F.min(rank).alias("first"))
+        .select(F.col("first.key").alias(key), F.col("first.digest").alias("digest")))

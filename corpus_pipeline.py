@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from camstat.llm import bpe, mixing, secretscan, simhash, toxicity
-from camstat.llm.common import table, written
+from camstat.llm.common import digest, table, written
 from camstat.llm.queries import REPEAT, TOXIC, tokenizer, toxicity_model
 
 
@@ -34,14 +34,19 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest doc_id.
-
-    Rows that repeat a doc_id are one document and leave one row.  A group in which every doc_id is
-    null leaves one row as well.  Null and empty texts have fingerprint 0 and form one group."""
-    found = written(simhash.near_duplicates(docs, words=3).select("doc_id", "component_id"), "stage-groups")
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__first")).distinct()
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("__first")), "left_semi")
-    return _one_row_each(kept, ["doc_id"], found.select("doc_id"))
+    """One document of each group of near-duplicates: the one with the smallest doc_id (nulls last),
+    then the smallest text digest.
+
+    Groups are told apart by their fingerprints: rows with a null or repeated doc_id whose texts are
+    no near-duplicates all stay.  Rows equal in doc_id and text are one document.  Null and empty
+    texts have fingerprint 0 and form one group."""
+    first = written(simhash.survivors(docs, words=3), "stage-groups").select(
+        F.col("doc_id").alias("__first"), F.col("digest").alias("__of"))
+    own = docs.withColumn("__digest", digest(F.col("text")))
+    same = F.col("doc_id").eqNullSafe(F.col("__first")) & (F.col("__digest") == F.col("__of"))
+    keys = ["doc_id", "__digest"]
+    kept = written(own.join(first, same, "left_semi"), "stage-kept")
+    return _one_row_each(kept, keys, kept.select(*keys)).select(*docs.columns)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

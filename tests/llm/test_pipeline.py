@@ -75,6 +75,16 @@ def test_group_of_null_ids(spark):
     assert sorted(str(r["doc_id"]) for r in got) == ["3", "None"]
 
 
+def test_null_and_repeated_ids_keep_their_groups(spark):
+    """Unrelated rows without an id, and an id with two texts of which one is a near copy, all stay once."""
+    words = [" ".join(f"w{k}x{i}" for i in range(40)) for k in range(6)]
+    rows = [(None, words[0], "a"), (None, words[1], "a"), (None, words[1], "b"), (None, words[2], None),
+            (5, words[3], "a"), (5, words[4], "a"), (2, words[3], "a"), (7, words[5], "a"), (7, words[5], "a")]
+    got = pipeline.simhash_stage(spark, docs(spark, rows), SF).collect()
+    want = [(None, words[0]), (None, words[1]), (None, words[2]), (2, words[3]), (5, words[4]), (7, words[5])]
+    assert sorted((str(r["doc_id"]), r["text"]) for r in got) == sorted((str(d), t) for d, t in want)
+
+
 @pytest.mark.parametrize("name", [n for n in sorted(queries.ORACLES)])
 def test_oracles_are_registered(name):
     assert name in entry.queries() and name in entry.oracle_sql()
