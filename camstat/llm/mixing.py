@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from camstat.llm.common import written
+from camstat.llm.common import digest, written
 
 #: Halvings in one pass over the sources, and passes: the exponent is exact to 2^-24 of its range.
 HALVINGS, PASSES = 6, 4
@@ -93,16 +93,19 @@ def _running(df: DataFrame, groups: list[str], cell: str, order: list, amount: s
 
 
 def mix(df: DataFrame, target: Target, key: str = "doc_id", source: str = "source", tokens: Column | None = None,
-        budget: int | None = None, block_tokens: int = 1_000_000, seed: str = "mix") -> DataFrame:
+        budget: int | None = None, block_tokens: int = 1_000_000, seed: str = "mix", told_by: str | None = None) -> DataFrame:
     """The mixed stream: (key, source, n_tokens, epoch, block, slot), one row for each use of a row.
 
     A row's tokens count at least 1; ``tokens`` defaults to ``words`` of column ``text``.  Rows equal
-    in key, source and tokens are one document and are used once an epoch.  Null sources are one
-    source; null keys are hashed as the empty string.  ``budget``: tokens of the whole stream; None:
+    in key, source, tokens and text are one document and are used once an epoch; where only the text
+    differs they are documents of their own (without a column ``text`` nothing tells them apart).
+    ``told_by`` names a further result column, the digest of the text.  Null sources are one source;
+    null keys are ordered by the digest.  ``budget``: tokens of the whole stream; None:
     the shortest stream with every row at least once.  An empty table gives an empty stream."""
     count = words(F.col("text")) if tokens is None else F.greatest(tokens.cast("long"), F.lit(1))
+    apart = digest(F.col("text")) if "text" in df.columns else F.lit("")
     rows = written(
-        df.select(F.col(key).alias("key"), F.col(source).alias("source"), count.alias("n_tokens")).distinct()
+        df.select(F.col(key).alias("key"), F.col(source).alias("source"), count.alias("n_tokens"), apart.alias("digest")).distinct()
         .withColumn("src", F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n"))), "mix-rows")
     totals = rows.groupBy("src").agg(F.sum("n_tokens").alias("total"), F.count("*").alias("n_rows"))
     whole, n_rows = totals.agg(F.sum("total"), F.sum("n_rows")).first()
@@ -124,15 +127,15 @@ def mix(df: DataFrame, target: Target, key: str = "doc_id", source: str = "sourc
     used = (
         rows.join(plan, F.col("src") == F.col("of"))
         .withColumn("epoch", F.explode(F.expr("sequence(0L, greatest(0L, (budget - 1) div total))")))
-        .withColumn("hash", F.md5(F.concat_ws(":", F.lit(seed), F.col("epoch"), F.coalesce(F.col("key").cast("string"), F.lit("")))))
+        .withColumn("hash", F.md5(F.concat_ws(":", F.lit(seed), F.col("epoch"), F.coalesce(F.col("key").cast("string"), F.col("digest")))))
         .withColumn("cell", F.expr(f"cast(conv(substr(hash, 1, 8), 16, 10) as bigint) * {cells} div 4294967296L")))
     laid = (
-        _running(used, ["src", "epoch"], "cell", ["hash", "key", "n_tokens"], "n_tokens", "at")
+        _running(used, ["src", "epoch"], "cell", ["hash", "key", "n_tokens", "digest"], "n_tokens", "at")
         .withColumn("at", F.col("at") + F.col("epoch") * F.col("total"))
         .where(F.col("at") < F.col("budget"))
         .withColumn("block", F.expr("at div share_of_block"))
         .withColumn("shuffled", F.md5(F.concat_ws(":", "hash", "block"))))
-    slot = F.row_number().over(Window.partitionBy("block").orderBy("shuffled", "src", "key", "epoch", "n_tokens")) - 1
+    slot = F.row_number().over(Window.partitionBy("block").orderBy("shuffled", "src", "key", "epoch", "n_tokens", "digest")) - 1
     return laid.select(
         F.col("key").alias(key), F.col("source").alias(source), "n_tokens", F.col("epoch").cast("int").alias("epoch"),
-        "block", slot.cast("long").alias("slot"))
+        "block", slot.cast("long").alias("slot"), *([F.col("digest").alias(told_by)] if told_by else []))

@@ -64,14 +64,13 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """The mixed stream: every document at least once, rows of lifted sources repeated, no source over
     ``REPEAT`` times.  Files hold whole blocks, blocks hold their rows in the mixed order.
 
-    Rows equal in doc_id, source and token count are one document (the row with the smallest text
-    hash stands for it).  Null sources are one source."""
-    plan = mixing.mix(docs, mixing.Target(repeat=REPEAT)).select(
-        *[F.col(c).alias(f"__{c}") for c in ("doc_id", "source", "n_tokens", "block", "slot")])
-    keyed = docs.withColumn("__tokens", mixing.words(F.col("text")))
-    keys = ["doc_id", "source", "__tokens"]
+    Rows equal in doc_id, source and text are one document.  Null sources are one source."""
+    plan = mixing.mix(docs, mixing.Target(repeat=REPEAT), told_by="told").select(
+        *[F.col(c).alias(f"__{c}") for c in ("doc_id", "source", "told", "block", "slot")])
+    keyed = docs.withColumn("__digest", digest(F.col("text")))
+    keys = ["doc_id", "source", "__digest"]
     keyed = _one_row_each(keyed, keys, keyed.select(*keys))
-    same = [F.col("doc_id").eqNullSafe(F.col("__doc_id")), F.col("source").eqNullSafe(F.col("__source")), F.col("__tokens") == F.col("__n_tokens")]
+    same = [F.col("doc_id").eqNullSafe(F.col("__doc_id")), F.col("source").eqNullSafe(F.col("__source")), F.col("__digest") == F.col("__told")]
     mixed = keyed.join(plan, same[0] & same[1] & same[2])
     return mixed.repartition("__block").sortWithinPartitions("__block", "__slot").select(*docs.columns)
 

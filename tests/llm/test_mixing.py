@@ -3,6 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline as pipeline
 from camstat.llm import mixing, queries
 from tests.llm.helpers import SF, docs, duck, same
 
@@ -66,3 +67,16 @@ def test_edge_cases(spark):
     assert (out.n_tokens >= 1).all()
     assert mixing.mix(docs(spark, []), mixing.Target(repeat=2.0)).count() == 0
     assert mixing.mix(docs(spark, []), mixing.Target(entropy=1.0)).count() == 0
+
+
+def test_texts_without_ids_all_count(spark):
+    """Rows of equal word counts without an id, or with a shared one, differ by their texts."""
+    rows = [(None, f"text number{i}", "hot") for i in range(90)] + [(4, f"other number{i}", "hot") for i in range(10)]
+    rows += [(i, f"cold text{i}", "cold") for i in range(100)] + [(None, "text number0", "hot")]
+    df = docs(spark, rows)
+    out = mixing.mix(df, mixing.Target(repeat=2.0)).toPandas()
+    first = out[out.epoch == 0].groupby("source").n_tokens.agg(["count", "sum"])
+    assert first.loc["hot"].tolist() == [100, 200] and first.loc["cold"].tolist() == [100, 200]
+    mixed = pipeline.mixing_stage(spark, df, SF)
+    assert {r["text"] for r in mixed.select("text").collect()} == {t for _, t, _ in rows}
+    assert mixed.count() == len(out)
