@@ -4,7 +4,9 @@ Base kinds are found by pattern (leftmost, non-overlapping, each kind on its own
 a candidate is a run of secret-like characters shortly after a sensitive word.  Its novelty is the
 number of bytes that zstandard needs for it once primed with (a) the identifiers of the corpus and
 (b) the code around it, per byte of the candidate.  Names, paths and repeated boilerplate compress
-against those; a random key does not, and is reported as kind ``novel``.
+against those; a random key does not, and is reported as kind ``novel``.  From about 64 bytes on
+zstandard also codes literals by frequency, so a long candidate is held against a shuffled copy of
+itself as well, if its characters are spread like those of a random string.
 
 The identifier dictionary is counted over all documents in one aggregation that combines before
 the shuffle; only its first ``IDENTIFIERS`` names are kept, a bounded list that is broadcast.
@@ -12,7 +14,11 @@ the shuffle; only its first ``IDENTIFIERS`` names are kept, a bounded list that
 
 from __future__ import annotations
 
+import math
+import random
 import re
+import string
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +39,10 @@ REACH = 48
 AROUND = 512
 #: Names in the identifier dictionary, and marginal bytes per byte from which a candidate is novel.
 IDENTIFIERS, NOVEL = 2048, 0.8
+#: Length from which zstandard codes literals, and the share of a shuffled copy's bytes and of a random
+#: string's entropy from which a longer candidate is novel as well.
+CODED, RANDOM = 48, 0.9
+_ALNUM = set(string.ascii_letters + string.digits)
 
 Span = tuple[int, int, int]  # start, kind's place in KINDS, end
 
@@ -69,6 +79,30 @@ def marginal(candidate: str, around: str, names: bytes) -> int:
     return len(packer.compress(candidate.encode())) - len(packer.compress(b""))
 
 
+def randomness(value: str) -> float:
+    """Entropy of the value's characters as a share of what a random string of its length and alphabet
+    has (less than the alphabet's by the characters that a short one misses): digits, letters of
+    either case (six where all are hexadecimal) and the signs that it holds."""
+    held = Counter(value)
+    alphabet = 10 * any(c in string.digits for c in held) + len(held.keys() - _ALNUM)
+    for letters, few in ((string.ascii_lowercase, "abcdef"), (string.ascii_uppercase, "ABCDEF")):
+        used = held.keys() & set(letters)
+        alphabet += (6 if used <= set(few) else 26) if used else 0
+    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in held.values())
+    return entropy / (math.log2(alphabet) - (alphabet - 1) / (2 * math.log(2) * len(value)))
+
+
+def novel(value: str, around: str, names: bytes) -> bool:
+    cost = marginal(value, around, names)
+    if cost >= NOVEL * len(value):
+        return True
+    if len(value) < CODED or randomness(value) < RANDOM:
+        return False
+    shuffled = list(value)
+    random.Random(len(value)).shuffle(shuffled)
+    return cost >= RANDOM * marginal("".join(shuffled), around, names)
+
+
 def novel_spans(text: str, names: bytes, base: list[Span]) -> list[Span]:
     """Incompressible runs in sensitive context that no base span overlaps."""
     low = text.lower()
@@ -92,7 +126,7 @@ def novel_spans(text: str, names: bytes, base: list[Span]) -> list[Span]:
         if taken and taken[0][0] < b:
             continue
         around = text[max(0, a - AROUND):a] + " " + text[b:b + AROUND]
-        if marginal(text[a:b], around, names) >= NOVEL * (b - a):
+        if novel(text[a:b], around, names):
             out.append((a, 3, b))
     return out
 

@@ -55,6 +55,21 @@ def test_novelty():
     assert [s[1] for s in secretscan.spans(f"auth {key} then auth {key}", names)] == [3, 3]
 
 
+def test_long_keys():
+    """Random keys are novel at any length and alphabet; long repeated or wordy values are not."""
+    rng = random.Random(4)
+    names = b" ".join(f"name_{i} get{i}Value".encode() for i in range(1000))
+    base32, base36 = string.ascii_uppercase + "234567", string.ascii_lowercase + string.digits
+    for alphabet in (string.digits + "ABCDEF", base32, base36, string.ascii_letters + string.digits + "+/"):
+        for size in (64, 128, 256, 1024, 6000):
+            for _ in range(5):
+                key = "".join(rng.choices(alphabet, k=size))
+                assert (7, 3, 7 + size) in secretscan.spans(f"bearer {key} end", names), (len(alphabet), size)
+    for value in ("z1" * 500, "012345678z" * 8 + "abc", "-" * 80 + "1a", " ".join(f"get{i}Value" for i in range(60)).replace(" ", "/"),
+                  "com/example/service2/client/authentication/factory/internal/implementation/resources/localization/messages/properties"):
+        assert secretscan.spans(f"bearer {value} end", names) == []
+
+
 def test_edge_cases(spark):
     df = docs(spark)
     find, clean = secretscan.scan(spark, []), secretscan.redact(spark, [])
