@@ -1,7 +1,8 @@
 """Secret scans: fixed patterns, plus dictionary-primed zstandard novelty.
 
 Base kinds are found by pattern (leftmost, non-overlapping, each kind on its own).  Beyond them,
-a candidate is a run of secret-like characters shortly after a sensitive word.  Its novelty is the
+a candidate is any run of secret-like characters shortly after a sensitive word, or alone on a line
+that follows a reported run (the lines of a PEM block).  Its novelty is the
 number of bytes that zstandard needs for it once primed with (a) the identifiers of the corpus and
 (b) the code around it, per byte of the candidate.  Names, paths and repeated boilerplate compress
 against those; a random key does not, and is reported as kind ``novel``.  From about 64 bytes on
@@ -33,6 +34,9 @@ _HEX = re.compile(r"[0-9a-f]{32,}")  # a run shorter than 32 fails whole, so thi
 SENSITIVE = ("password", "passwd", "pwd", "secret", "token", "key", "credential", "auth", "bearer", "private")
 _SENSITIVE = re.compile("(?i:" + "|".join(SENSITIVE) + ")", re.A)
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_.-])[A-Za-z0-9+/_.-]{16,}={0,2}")
+#: A line of its own after a run, quoted or indented at will; and the short last line of a PEM block.
+_NEXT = re.compile(r"""["'`\\,;+\x20\tn]{0,16}\r?\n[>#*+"'`\x20\t]{0,64}([A-Za-z0-9+/_.-]{16,}={0,2})(?=["'`\\,;+)\x20\tn]{0,16}(?:\r?\n|$))""")
+_TAIL = re.compile(r"""["'`\\,;+\x20\tn]{0,16}\r?\n[>#*+"'`\x20\t]{0,64}([A-Za-z0-9+/]{1,15}={0,2})(?=["'`\\,;+)\x20\tn]{0,16}\r?\n[^A-Za-z0-9\r\n]*-----END)""")
 #: A candidate starts at most so many characters after a sensitive word.
 REACH = 48
 #: Characters of surrounding code on either side.
@@ -103,6 +107,10 @@ def novel(value: str, around: str, names: bytes) -> bool:
     return cost >= RANDOM * marginal("".join(shuffled), around, names)
 
 
+def _mixed(value: str) -> bool:
+    return bool(re.search("[0-9]", value) and re.search("[A-Za-z]", value))
+
+
 def novel_spans(text: str, names: bytes, base: list[Span]) -> list[Span]:
     """Incompressible runs in sensitive context that no base span overlaps."""
     low = text.lower()
@@ -111,23 +119,39 @@ def novel_spans(text: str, names: bytes, base: list[Span]) -> list[Span]:
     taken = sorted((a, b) for a, _, b in base)
     found: dict[int, int] = {}
     for word in _SENSITIVE.finditer(text):
-        run = _RUN.search(text, word.end(), min(len(text), word.end() + REACH + 16))
-        if run is None or run.start() in found or run.start() - word.end() > REACH:
-            continue
-        whole = _RUN.match(text, run.start())
-        value = whole[0]
-        if not (re.search("[0-9]", value) and re.search("[A-Za-z]", value)):
-            continue
-        found[run.start()] = whole.end()
-    out = []
+        for run in _RUN.finditer(text, word.end(), min(len(text), word.end() + REACH + 16)):
+            if run.start() in found or run.start() - word.end() > REACH:
+                continue
+            whole = _RUN.match(text, run.start())
+            if _mixed(whole[0]):
+                found[run.start()] = whole.end()
+    out: list[Span] = []
+    held = 0
+
+    def measure(a: int, b: int) -> bool:
+        """Reports the run if it is novel and no base span overlaps it."""
+        nonlocal held
+        while held < len(taken) and taken[held][1] <= a:
+            held += 1
+        if held < len(taken) and taken[held][0] < b:
+            return False
+        if not novel(text[a:b], text[max(0, a - AROUND):a] + " " + text[b:b + AROUND], names):
+            return False
+        out.append((a, 3, b))
+        return True
+
+    followed = 0  # up to here the lines after a reported run have been measured
     for a, b in sorted(found.items()):
-        while taken and taken[0][1] <= a:
-            taken.pop(0)
-        if taken and taken[0][0] < b:
+        if a < followed or not measure(a, b):
             continue
-        around = text[max(0, a - AROUND):a] + " " + text[b:b + AROUND]
-        if novel(text[a:b], around, names):
-            out.append((a, 3, b))
+        # Lines that follow the run and hold nothing but a run are in its context.
+        while line := _NEXT.match(text, b):
+            a, b = line.span(1)
+            if _mixed(line[1]):
+                measure(a, b)
+        if out[-1][2] == b and (tail := _TAIL.match(text, b)):
+            out.append((tail.start(1), 3, tail.end(1)))
+        followed = b
     return out
 
 

@@ -70,6 +70,23 @@ def test_long_keys():
         assert secretscan.spans(f"bearer {value} end", names) == []
 
 
+def test_every_run_in_reach():
+    """A plain name before the key hides nothing; a PEM block is found line by line."""
+    rng = random.Random(6)
+    base64 = string.ascii_letters + string.digits + "+/"
+    key = "".join(rng.choices(base64, k=40))
+    names = b"production_environment internalservicename2 production_environment1"
+    for before in ("auth(production_environment, '", "Authorization: internalservicename2 ", "auth(production_environment1, '"):
+        assert secretscan.spans(f"{before}{key}'", names) == [(len(before), 3, len(before) + 40)]
+    lines = ["".join(rng.choices(base64, k=64)) for _ in range(25)] + ["aB3dE9="]
+    for head, tail in (("", ""), ('    "', '\\n"'), ("  ", "\r")):
+        pem = "\n".join(head + x + tail for x in ["-----BEGIN RSA PRIVATE KEY-----", *lines, "-----END RSA PRIVATE KEY-----", "def run(): return 1"])
+        assert [pem[a:b] for a, _, b in secretscan.spans(pem, names)] == lines
+    # Following lines are measured like any other, and other forms end the context.
+    text = f"bearer {key}\nproduction_environment1\nx = {key[::-1]}\n"
+    assert secretscan.spans(text, names) == [(7, 3, 47)]
+
+
 def test_edge_cases(spark):
     df = docs(spark)
     find, clean = secretscan.scan(spark, []), secretscan.redact(spark, [])
