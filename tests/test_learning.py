@@ -1,8 +1,10 @@
 """Learning operators against numpy references and invariants."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from camstat import plans
 from camstat.operators import learning as L
 from camstat.operators import stats as ST
 
@@ -95,3 +97,22 @@ def test_clusters_separate_groups(spark):
     assert len({c[i] for i in range(10)}) == 1 and c[0] != c[100]
     g = L.cluster_geo(df.withColumn("x", F.col("f1")).withColumn("y", F.lit(0.0)), "k", ["f1", "f2"], ["x", "y"], 0.1, 2)
     assert g.select("cluster").distinct().count() == 2
+
+
+@pytest.mark.parametrize("name", ["forest_status", "permutation_importance"])
+def test_registered_forests_are_tuned(spark, sf, monkeypatch, name):
+    """Features per split x minimum node size, at least 50 trees, ten folds."""
+    seen = []
+
+    def fit(cv, train):
+        seen.append((cv, train.select("fold").distinct().count()))
+        raise InterruptedError
+
+    monkeypatch.setattr(L.CrossValidator, "fit", fit)
+    plans.load_all()
+    with pytest.raises(InterruptedError):
+        plans.QUERIES[name](spark, sf)
+    (cv, folds), = seen
+    grid = [{p.name: v for p, v in point.items()} for point in cv.getEstimatorParamMaps()]
+    assert {(g["minInstancesPerNode"], g["featureSubsetStrategy"]) for g in grid} == {(m, f) for m in (1, 5) for f in ("sqrt", "onethird")}
+    assert min(g["numTrees"] for g in grid) >= 50 and cv.getNumFolds() == folds == 10
