@@ -13,7 +13,8 @@ in blocks) confirms the recall; a failed audit adds another random partition.
 Lists that are still saturated at ``K_MAX`` mark dense components; their links are counted exactly.
 Members whose angle to the component's pivot is at most half the threshold angle are all linked to
 each other (triangle inequality), so a large group of near copies needs no pairs; only the other
-members are compared with all, block by block, and blocks return counts.
+members are compared with all, block by block, and blocks return counts.  Full lists may also hide the
+links between two dense components: these are compared by pivots and radii, then block by block.
 
 Equal vectors are collapsed first and counted by weight.  A vector that is listed by very many
 others is met in parts.  Graph tables of past rounds are dropped.
@@ -39,6 +40,8 @@ LEAF, PART, BLOCK = 64, 256, 2048
 PARTITIONS, AUDIT, RECALL = 4, 1024, 0.99
 #: Matrix products may differ from the exact cosine by less than this.
 EPS = 1e-9
+#: Sums of angles may be off by less than this.
+SLACK = 1e-6
 
 EDGE = "u long, v long, sim double"
 
@@ -238,6 +241,89 @@ def _dense_counts(members: DataFrame, dim: int, kind: str, threshold: float) ->
     return among.unionByName(rest).groupBy("id").agg(F.sum("linked").cast("long").alias("linked"))
 
 
+def _dense_across(members: DataFrame, dim: int, kind: str, threshold: float) -> DataFrame:
+    """(id, linked, comp, other): weight of the vectors of component ``other`` linked to a member of
+    another component ``comp`` of members(comp, id, vec, w), exact.
+
+    Each component is its pivot with the radius of the core around it (half the threshold angle at
+    most), and its other members one by one.  Components meet only where two of these come close
+    enough for a link, and then block by block."""
+    half, reach = math.sqrt((1 + threshold) / 2), math.acos(max(-1.0, min(1.0, threshold))) + SLACK
+    pivot = members.groupBy(F.col("comp").alias("pc")).agg(F.min(F.struct("id", "vec")).alias("pivot"))
+
+    def angle(batches):
+        import pandas as pd
+
+        for b in batches:
+            if len(b):
+                c = cosines(matrix(b["vec"], dim, kind), matrix(b["pivot"], dim, kind))
+                yield pd.DataFrame({"comp": b["comp"], "id": b["id"], "vec": b["vec"], "pivot": b["pivot"],
+                                    "core": c >= half, "angle": np.arccos(c)})
+
+    placed = written(
+        members.join(pivot, F.col("comp") == F.col("pc")).select("comp", "id", "vec", F.col("pivot.vec").alias("pivot"))
+        .mapInPandas(angle, "comp long, id long, vec binary, pivot binary, core boolean, angle double"), "dense-balls")
+    balls = written(
+        placed.where("core").groupBy("comp").agg(F.min("id").alias("id"), F.first("pivot").alias("vec"), F.max("angle").alias("radius"))
+        .unionByName(placed.where(~F.col("core")).select("comp", "id", "vec", F.lit(0.0).alias("radius"))), "balls")
+    parts = max(1, -(-balls.count() // BLOCK))
+    dealt = balls.withColumn("part", F.pmod(F.xxhash64(F.lit(7), "id"), F.lit(parts)).cast("int"))
+    every = F.sequence(F.lit(0), F.lit(parts - 1))
+    left = dealt.withColumnRenamed("part", "p").withColumn("q", F.explode(every))
+    right = dealt.withColumnRenamed("part", "q").withColumn("p", F.explode(every))
+    right = right.toDF(*right.columns)  # fresh column ids for the second side
+
+    def near(a, b):
+        import pandas as pd
+
+        pairs = pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
+        if len(a) and len(b):
+            angles = np.arccos(np.clip(unit(matrix(a["vec"], dim, kind)) @ unit(matrix(b["vec"], dim, kind)).T, -1, 1))
+            ca, cb = a["comp"].to_numpy(np.int64), b["comp"].to_numpy(np.int64)
+            close = angles <= reach + a["radius"].to_numpy(float)[:, None] + b["radius"].to_numpy(float)[None, :]
+            i, j = np.nonzero(close & (ca[:, None] < cb[None, :]))
+            if len(i):
+                found = np.unique(np.stack([ca[i], cb[j]], 1), axis=0)
+                pairs = pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
+        return pairs
+
+    pairs = written(left.groupBy("p", "q").cogroup(right.groupBy("p", "q")).applyInPandas(near, "a long, b long").distinct(), "dense-pairs")
+    sizes = members.groupBy(F.col("comp").alias("sc")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    sized = (
+        pairs.join(sizes.toDF("sa", "aparts"), F.col("a") == F.col("sa")).join(sizes.toDF("sb", "bparts"), F.col("b") == F.col("sb"))
+        .select("a", "b", "aparts", "bparts"))
+
+    def side(own: str, other: str) -> DataFrame:
+        return (
+            members.join(sized, F.col("comp") == F.col(own))
+            .withColumn(f"{own}p", F.pmod(F.xxhash64(F.lit(9), "id"), F.col(f"{own}parts")).cast("int"))
+            .withColumn(f"{other}p", F.explode(F.sequence(F.lit(0), F.col(f"{other}parts") - 1)))
+            .select("a", "b", "ap", "bp", "id", "vec", "w"))
+
+    def meet(rows, others):
+        import pandas as pd
+
+        out = {"id": np.empty(0, np.int64), "linked": np.empty(0, np.int64), "comp": np.empty(0, np.int64), "other": np.empty(0, np.int64)}
+        if len(rows) and len(others):
+            x, y = matrix(rows["vec"], dim, kind), matrix(others["vec"], dim, kind)
+            s = unit(x) @ unit(y).T
+            linked = s >= threshold
+            i, j = np.nonzero(np.abs(s - threshold) < EPS)
+            linked[i, j] = cosines(x[i], y[j]) >= threshold
+            a, b = int(rows["a"].iat[0]), int(rows["b"].iat[0])
+            mine, theirs = linked @ others["w"].to_numpy(np.int64), rows["w"].to_numpy(np.int64) @ linked
+            ia, ib = np.flatnonzero(mine), np.flatnonzero(theirs)
+            out = {"id": np.concatenate([rows["id"].to_numpy(np.int64)[ia], others["id"].to_numpy(np.int64)[ib]]),
+                   "linked": np.concatenate([mine[ia], theirs[ib]]),
+                   "comp": np.repeat([a, b], [len(ia), len(ib)]), "other": np.repeat([b, a], [len(ia), len(ib)])}
+        return pd.DataFrame(out)
+
+    keys = ["a", "b", "ap", "bp"]
+    fields = [*keys, "id", "vec", "w"]  # fresh column ids for the second side
+    return side("a", "b").groupBy(*keys).cogroup(side("b", "a").toDF(*fields).groupBy(*keys)).applyInPandas(
+        meet, "id long, linked long, comp long, other long")
+
+
 def near_duplicates(df: DataFrame, threshold: float = 0.95, key: str = "vec_id", vector: str = "embedding",
                     seed: int = 5, max_rounds: int = 30) -> DataFrame:
     """(key, n_links, component_id, kept) for every id: links to other vectors at a cosine of
@@ -278,7 +364,14 @@ def near_duplicates(df: DataFrame, threshold: float = 0.95, key: str = "vec_id",
     members = (
         comps.join(dense, F.col("component") == F.col("dc")).join(vecs, F.col("node") == F.col("id"))
         .select(F.col("component").alias("comp"), "id", "vec", "w"))
-    counted = _dense_counts(members, dim, kind, threshold)
+    members = written(members, "dense-members")
+    across = written(_dense_across(members, dim, kind, threshold), "dense-links")
+    # Members of a component are connected, so one link joins two of them.
+    joined = written(components(across.where("comp < other").select("comp", "other").distinct(), "comp", "other"), "joined")
+    comps = comps.join(joined.toDF("was", "now"), F.col("component") == F.col("was"), "left").select(
+        "node", F.coalesce("now", "component").alias("component"))
+    counted = _dense_counts(members, dim, kind, threshold).unionByName(across.select("id", "linked")).groupBy("id").agg(
+        F.sum("linked").alias("linked"))
     weighed = (
         edges.join(vecs.select(F.col("id").alias("other"), F.col("w").alias("ow")), F.col("v") == F.col("other"))
         .groupBy(F.col("u").alias("e")).agg(F.sum("ow").alias("listed")))

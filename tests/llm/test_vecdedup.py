@@ -46,6 +46,19 @@ def test_groups_of_all_sizes(spark, monkeypatch):
     assert len(wrong) <= 0.01 * len(want), [(i, got[i], want[i]) for i in wrong[:5]]
 
 
+def test_tight_groups_that_link_across(spark, monkeypatch):
+    """Two groups whose lists are full of their own members, linked at about 0.96, and one out of reach."""
+    monkeypatch.setattr(vecdedup, "BLOCK", 16)
+    rng = np.random.default_rng(9)
+    a, b, c = np.linalg.qr(rng.standard_normal((32, 3)))[0].T
+    t = np.arccos(0.962)
+    x = np.vstack([p + 0.001 * rng.standard_normal((40, 32)) for p in (a, np.cos(t) * a + np.sin(t) * b, c)] + [rng.standard_normal((60, 32))])
+    ids = rng.permutation(len(x)) * 2 + 1
+    want = brute(ids, x)
+    assert sorted(n for n, _ in want.values())[-80:] == [79] * 80
+    assert result(frame(spark, ids, x, "double")) == want
+
+
 def test_edge_cases(spark):
     rows = [(4, [1.0, 2.0]), (2, [1.0, 2.0]), (3, None), (5, []), (6, [0.0, 0.0]), (7, [1.0, None]), (8, [float("nan"), 1.0]),
             (None, [1.0, 1.0]), (9, [2.0, 4.0]), (9, [2.0, 4.0]), (10, [1.0, 2.0, 3.0]), (11, [-1.0, 5.0])]
