@@ -7,8 +7,11 @@ that beat a list's worst entry enter that list.  A list holds the ``K`` nearest;
 pass the threshold (the list is saturated) it is enlarged and takes every entry above the
 threshold, up to ``K_MAX``.
 
-Rounds go on until a round finds no new link and an audit (a bounded sample against all vectors,
-in blocks) confirms the recall; a failed audit adds another random partition.
+The number of partitions grows with the table, so that a pair at the threshold without common
+neighbours shares a leaf at a chance of ``RECALL``.  Rounds go on until a round finds no new link and
+an audit (vectors with links, and random ones until enough links are seen, against all vectors, in
+blocks) confirms the recall; a failed audit adds another random partition.  A search that is not
+confirmed raises.
 
 Lists that are still saturated at ``K_MAX`` mark dense components; their links are counted exactly.
 Members whose angle to the component's pivot is at most half the threshold angle are all linked to
@@ -36,8 +39,10 @@ from camstat.llm.vectors import cosines, matrix, one_length, sample_vectors, uni
 K, K_MAX = 8, 32
 #: Vectors aimed at in a leaf, most in one part of a leaf or of a neighbourhood, and in one block.
 LEAF, PART, BLOCK = 64, 256, 2048
-#: Partitions that the graph starts from; vectors in the audit, and the recall it asks for.
+#: Fewest partitions that the graph starts from, and partitions made at once; vectors in the first
+#: audit, the recall it asks for, and the links it has to see (or so many sqrt(n) vectors).
 PARTITIONS, AUDIT, RECALL = 4, 1024, 0.99
+MIN_LINKS, AUDIT_ROOT = 200, 64
 #: Matrix products may differ from the exact cosine by less than this.
 EPS = 1e-9
 #: Sums of angles may be off by less than this.
@@ -82,9 +87,13 @@ def _merged(entries: DataFrame, threshold: float) -> DataFrame:
         (F.col("place") <= K) | ((F.col("place") <= K_MAX) & (F.col("sim") >= threshold)))
 
 
+def _bits(n: int) -> int:
+    return max(0, round(math.log2(max(n / LEAF, 1))))
+
+
 def _partition(vecs: DataFrame, dim: int, kind: str, n: int, numbers: list[int], seed: int) -> DataFrame:
     """Entries from the leaves of random-hyperplane partitions."""
-    bits = max(0, round(math.log2(max(n / LEAF, 1))))
+    bits = _bits(n)
     planes = {t: np.random.default_rng([seed, t, dim]).standard_normal((dim, bits)) for t in numbers}
 
     def code(batches):
@@ -165,11 +174,17 @@ def _round(graph: DataFrame, vecs: DataFrame, dim: int, kind: str, threshold: fl
         .mapInPandas(compare, EDGE).withColumn("new", F.lit(True)))
 
 
-def _audit(graph: DataFrame, vecs: DataFrame, dim: int, kind: str, threshold: float) -> float:
-    """Share of a sample's links that are in its lists; lists full at K_MAX are left to the exact count."""
-    ids, raw = sample_vectors(vecs, AUDIT)
+def _partitions(n: int, threshold: float) -> int:
+    """Partitions after which two vectors at the threshold have shared a leaf at a chance of RECALL."""
+    share = max(1e-12, 1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** _bits(n)
+    return PARTITIONS if share >= 1 else max(PARTITIONS, math.ceil(math.log(1 - RECALL) / math.log1p(-share)))
+
+
+def _seen(graph: DataFrame, vecs: DataFrame, sample: tuple[list[int], list[bytes]], dim: int, kind: str, threshold: float) -> tuple[int, int]:
+    """(links of the sample in its lists, all its links); lists full at K_MAX are left to the exact count."""
+    ids, raw = sample
     if not ids:
-        return 1.0
+        return 0, 0
     own, at = unit(matrix(raw, dim, kind)), np.array(ids, np.int64)
 
     def count(batches):
@@ -179,16 +194,35 @@ def _audit(graph: DataFrame, vecs: DataFrame, dim: int, kind: str, threshold: fl
         for batch in batches:
             x, other = matrix(batch["vec"], dim, kind), batch["id"].to_numpy(np.int64)
             for i in range(0, len(x), BLOCK):
-                s = own @ unit(x[i:i + BLOCK]).T
-                total += ((s >= threshold) & (at[:, None] != other[None, i:i + BLOCK])).sum(axis=1)
-        yield pd.DataFrame({"id": at, "links": total})
+                u = unit(x[i:i + BLOCK]).T
+                for j in range(0, len(at), BLOCK):
+                    linked = (own[j:j + BLOCK] @ u >= threshold) & (at[j:j + BLOCK, None] != other[None, i:i + BLOCK])
+                    total[j:j + BLOCK] += linked.sum(axis=1)
+        yield pd.DataFrame({"id": at, "links": total})[total > 0]
 
     true = vecs.select("id", "vec").mapInPandas(count, "id long, links long").groupBy("id").agg(F.sum("links").alias("links"))
     known = graph.where(F.col("sim") >= threshold).groupBy("u").agg(F.count("*").alias("found"))
     both = true.join(known, F.col("id") == F.col("u"), "left").select("links", F.coalesce("found", F.lit(0)).alias("found"))
-    found, links = both.where(F.col("found") < K_MAX).agg(
-        F.sum(F.least("found", "links")), F.sum("links")).first()
-    return found / links if links else 1.0
+    found, links = both.where(F.col("found") < K_MAX).agg(F.sum(F.least("found", "links")), F.sum("links")).first()
+    return found or 0, links or 0
+
+
+def _confirmed(graph: DataFrame, vecs: DataFrame, n: int, dim: int, kind: str, threshold: float) -> bool:
+    """Whether the recall holds among vectors with known links and among random ones.  The random
+    sample grows until it has seen MIN_LINKS links, up to the whole table or AUDIT_ROOT * sqrt(n)."""
+    linked = graph.where(F.col("sim") >= threshold).groupBy(F.col("u").alias("lu")).agg(F.count("*").alias("held")).where(F.col("held") < K_MAX)
+    found, links = _seen(graph, vecs, sample_vectors(vecs.join(linked, F.col("id") == F.col("lu")), AUDIT), dim, kind, threshold)
+    if found < RECALL * links:
+        return False
+    size, most = AUDIT, min(n, max(AUDIT, int(AUDIT_ROOT * math.sqrt(n))))
+    while True:
+        size = min(size, most)
+        found, links = _seen(graph, vecs, sample_vectors(vecs, size), dim, kind, threshold)
+        if found < RECALL * links:
+            return False
+        if links >= MIN_LINKS or size >= most:
+            return True
+        size *= 8
 
 
 def _dense_counts(members: DataFrame, dim: int, kind: str, threshold: float) -> DataFrame:
@@ -331,16 +365,23 @@ def near_duplicates(df: DataFrame, threshold: float = 0.95, key: str = "vec_id",
 
     Vectors that are null, empty, zero, of an odd length or hold null or non-finite components link
     with nothing.  Rows that repeat an id count once; rows without an id are left out.  Other columns
-    are ignored; an empty table gives no rows.  ``max_rounds`` only ends a search whose audit still
-    misses links after so many rounds; the graph found so far is then used."""
+    are ignored; an empty table gives no rows.  A search that no audit has confirmed after
+    ``max_rounds`` rounds raises RuntimeError."""
     packed, kind = usable(df, key, vector)
     rows, dim, _ = one_length(written(packed, "vectors"))
     rows = rows.select("id", "vec")
     vecs = written(rows.groupBy("vec").agg(F.min("id").alias("id"), F.count("*").alias("w")), "distinct-vectors")
     n = vecs.count()
     graph, path = written_at(_merged(_partition(vecs, dim, kind, n, list(range(PARTITIONS)), seed), threshold), "graph")
+    wanted = _partitions(n, threshold)
+    for first in range(PARTITIONS, wanted, PARTITIONS):
+        more = _partition(vecs, dim, kind, n, list(range(first, min(first + PARTITIONS, wanted))), seed)
+        after, new_path = written_at(_merged(more.unionByName(graph.drop("place")), threshold), "graph")
+        drop(after.sparkSession, path)
+        graph, path = after, new_path
     links = graph.where(F.col("sim") >= threshold).count()
-    for number in range(max_rounds if n > 1 else 0):
+    confirmed = n <= 1
+    for number in range(0 if confirmed else max_rounds):
         entries = graph.withColumn("new", F.lit(False)).drop("place").unionByName(_round(graph, vecs, dim, kind, threshold))
         after, new_path = written_at(_merged(entries, threshold), "graph")
         drop(after.sparkSession, path)
@@ -348,13 +389,16 @@ def near_duplicates(df: DataFrame, threshold: float = 0.95, key: str = "vec_id",
         links = graph.where(F.col("sim") >= threshold).count()
         if links > before:
             continue
-        if _audit(graph, vecs, dim, kind, threshold) >= RECALL:
+        confirmed = _confirmed(graph, vecs, n, dim, kind, threshold)
+        if confirmed:
             break
-        fresh = _partition(vecs, dim, kind, n, [PARTITIONS + number], seed).unionByName(graph.drop("place"))
+        fresh = _partition(vecs, dim, kind, n, [wanted + number], seed).unionByName(graph.drop("place"))
         after, new_path = written_at(_merged(fresh, threshold), "graph")
         drop(after.sparkSession, path)
         graph, path = after, new_path
         links = graph.where(F.col("sim") >= threshold).count()
+    if not confirmed:
+        raise RuntimeError(f"no audit has confirmed a recall of {RECALL} after {max_rounds} rounds")
     passed = graph.where(F.col("sim") >= threshold)
     edges = written(
         passed.select("u", "v").unionByName(passed.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "links")

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from camstat.llm import queries, vecdedup
 from tests.llm.helpers import SF
@@ -59,6 +60,31 @@ def test_tight_groups_that_link_across(spark, monkeypatch):
     assert result(frame(spark, ids, x, "double")) == want
 
 
+def test_partitions_grow_with_the_table():
+    """An isolated pair at the threshold misses all leaves in at most 1 % of cases."""
+    for n in (10**4, 10**5, 10**6, 10**7):
+        share = (1 - np.arccos(0.95) / np.pi) ** vecdedup._bits(n)
+        assert (1 - share) ** vecdedup._partitions(n, 0.95) <= 0.01 + 1e-12
+
+
+def test_audit_of_rare_links(spark, monkeypatch):
+    """The sample grows until links are seen, and a search that is not confirmed raises."""
+    monkeypatch.setattr(vecdedup, "AUDIT", 4)
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((200, 32))
+    x[7] = x[3] + 0.01
+    sizes = []
+
+    def seen(graph, vecs, sample, *rest):
+        sizes.append(len(sample[0]))
+        return (0, 2) if len(sample[0]) > 100 else (0, 0)
+
+    monkeypatch.setattr(vecdedup, "_seen", seen)
+    with pytest.raises(RuntimeError):
+        vecdedup.near_duplicates(frame(spark, np.arange(200), x, "double"), max_rounds=2)
+    assert sizes[:4] == [2, 4, 32, 200]
+
+
 def test_edge_cases(spark):
     rows = [(4, [1.0, 2.0]), (2, [1.0, 2.0]), (3, None), (5, []), (6, [0.0, 0.0]), (7, [1.0, None]), (8, [float("nan"), 1.0]),
             (None, [1.0, 1.0]), (9, [2.0, 4.0]), (9, [2.0, 4.0]), (10, [1.0, 2.0, 3.0]), (11, [-1.0, 5.0])]
