@@ -7,7 +7,21 @@ from pyspark.sql import functions as F
 
 import functools
 
-from camstat.llm import ann, bpe, chat, mixing, secretscan, sharding, simhash, tokenfiles, toxicity, vecdedup
+from camstat.llm import (
+    align,
+    ann,
+    bpe,
+    chat,
+    licenses,
+    mixing,
+    secretscan,
+    sharding,
+    simhash,
+    tokenfiles,
+    toxicity,
+    vecdedup,
+    vectorcodes,
+)
 from camstat.llm.common import table
 
 QUERIES: dict = {}
@@ -206,3 +220,102 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components of all documents: 3-word shingles, at most 3 differing bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents spelt by the byte-level and the sentencepiece file, cut at common token ends."""
+    docs = table(spark, sf_dir, "documents")
+    return align.alignment(spark, docs, tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"), ["doc_id"], digest_only=True)
+
+
+@query
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License labels of all documents."""
+    return licenses.summary(licenses.scan(table(spark, sf_dir, "documents"), ["doc_id"]), ["doc_id"])
+
+
+def _license_sql() -> str:
+    base = [licenses._words(p) for p in licenses.BASE]
+    rows = ",\n  ".join(f"({k}, '{r.label}', '{r.keyword}', '{r.pattern}', {r.priority}, {r.strength}, {str(r.pattern in base).lower()})"
+                        for k, r in enumerate(licenses.rules()))
+    return rf"""
+WITH rules(rule, label, keyword, pattern, priority, strength, base) AS (VALUES
+  {rows}
+), split AS (
+  SELECT row_number() OVER () AS id, doc_id, trim(regexp_replace(coalesce(text, ''), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+', '  ', 'g')) AS w FROM documents
+), words AS MATERIALIZED (
+  SELECT id, doc_id, translate(CASE WHEN w = '' THEN '' ELSE ' ' || w || ' ' END, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM split
+), tried AS (
+  SELECT id, w, r.*, regexp_extract_all(w, pattern) AS found FROM words JOIN rules r ON contains(w, keyword)
+), placed AS (
+  SELECT *, list_transform(regexp_split_to_array(w, pattern), lambda p: (length(p) - length(replace(p, ' ', ''))) // 2) AS before,
+    list_transform(found, lambda m: (length(m) - length(replace(m, ' ', ''))) // 2) AS own
+  FROM tried WHERE len(found) > 0
+), finds AS MATERIALIZED (
+  SELECT id, label, rule, priority, strength, base, CAST(list_sum(before[1:k]) + coalesce(list_sum(own[1:k - 1]), 0) AS BIGINT) AS s,
+    CAST(list_sum(before[1:k]) + list_sum(own[1:k]) AS BIGINT) AS e
+  FROM (SELECT *, unnest(range(1, len(found) + 1)) AS k FROM placed)
+), kept AS (
+  SELECT * FROM finds d WHERE base OR NOT EXISTS (
+    SELECT 1 FROM finds o WHERE o.id = d.id AND o.s <= d.s AND o.e >= d.e AND o.priority >= d.priority
+      AND (o.e - o.s > d.e - d.s OR o.rule < d.rule))
+), per AS (
+  SELECT id, count(*) FILTER (base) AS n_base, min(s) FILTER (base) AS first_word, max(s) FILTER (base) AS last_word,
+    coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base), '') AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(strength) AS score
+  FROM kept GROUP BY id
+)
+SELECT doc_id, CAST((length(w) - length(replace(w, ' ', ''))) // 2 AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+  first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM words LEFT JOIN per USING (id)
+"""
+
+
+ORACLES["op12_licenses"] = _license_sql()
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors as four code bytes, with the errors of vectors and labels."""
+    codes, books = vectorcodes.compress(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
+    rows = codes.select(F.col("key").alias("vec_id"), "label", F.lower(F.regexp_replace(F.hex("code"), "(..)00", "$1")).alias("code"), "error")
+    of_label = rows.groupBy(F.col("label").alias("__label")).agg(F.sum("error").alias("label_error"))
+    return rows.join(of_label, F.col("label").eqNullSafe(F.col("__label"))).select(
+        "vec_id", "code", "error", "label_error", F.lit(vectorcodes.codebook_digest(books)).alias("codebooks_sha256"))
+
+
+def _codes_sql(rounds: int = 4) -> str:
+    near = """SELECT rid, p, any_value(x) AS x, min({{'d': CAST(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT), 'e': entry}}) AS m
+  FROM parts JOIN b{t} USING (p) GROUP BY rid, p"""
+    steps = []
+    for t in range(rounds + 1):
+        steps.append(f"a{t} AS MATERIALIZED (\n  {near.format(t=t)}\n)")
+        if t < rounds:
+            steps.append(f"""b{t + 1} AS MATERIALIZED (
+  SELECT b.p, b.entry, coalesce(u.c, b.c) AS c FROM b{t} b LEFT JOIN (
+    SELECT p, entry, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY pos) AS c FROM (
+      SELECT p, m.e AS entry, pos, CAST(sum(x[pos]) AS BIGINT) AS s, count(*) AS n
+      FROM a{t}, (SELECT unnest(range(1, (SELECT max(len(x)) FROM parts) + 1)) AS pos) GROUP BY ALL)
+    GROUP BY p, entry) u ON b.p = u.p AND b.entry = u.entry
+)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS rid, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT rid, p, v[p * (len(v) // 4) + 1:(p + 1) * (len(v) // 4)] AS x FROM kept, range(4) t(p)
+), b0 AS (SELECT p, rid - 1 AS entry, x AS c FROM parts WHERE rid <= 256
+), {", ".join(steps)}
+, coded AS (
+  SELECT rid, string_agg(format('{{:02x}}', m.e), '' ORDER BY p) AS code, CAST(sum(m.d) AS BIGINT) AS error FROM a{rounds} GROUP BY rid
+), digest AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, entry)) AS codebooks_sha256 FROM b{rounds}
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (rid), digest
+"""
+
+
+ORACLES["op13_vector_codes"] = _codes_sql()
