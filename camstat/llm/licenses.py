@@ -38,35 +38,35 @@ class Rule(NamedTuple):
 #: Names of licenses: label, keyword, and the words of the name; ``L`` stands for "licence" in either spelling.
 #: The name of a version stands above the family's.
 NAMES = r"""
-agpl-3-or-later | affero | (gnu )?affero general public L (version |v)?3( 0)? or (any )?later( version)?
-agpl-3 | affero | (gnu )?affero general public L (version |v)?3( 0)?( only)?
-agpl-1 | affero | affero general public L (version |v)?1( 0)?
+agpl-3-or-later | affero | (gnu )?affero general public L (version |v ?)?3( 0)? or (any )?later( version)?
+agpl-3 | affero | (gnu )?affero general public L (version |v ?)?3( 0)?( only)?
+agpl-1 | affero | affero general public L (version |v ?)?1( 0)?
 agpl | affero | (gnu )?affero general public L
-lgpl-3-or-later | lesser | (gnu )?lesser general public L (version |v)?3( 0)? or (any )?later( version)?
-lgpl-2.1-or-later | lesser | (gnu )?lesser general public L (version |v)?2 1 or (any )?later( version)?
-lgpl-3 | lesser | (gnu )?lesser general public L (version |v)?3( 0)?( only)?
-lgpl-2.1 | lesser | (gnu )?lesser general public L (version |v)?2 1( only)?
+lgpl-3-or-later | lesser | (gnu )?lesser general public L (version |v ?)?3( 0)? or (any )?later( version)?
+lgpl-2.1-or-later | lesser | (gnu )?lesser general public L (version |v ?)?2 1 or (any )?later( version)?
+lgpl-3 | lesser | (gnu )?lesser general public L (version |v ?)?3( 0)?( only)?
+lgpl-2.1 | lesser | (gnu )?lesser general public L (version |v ?)?2 1( only)?
 lgpl | lesser | (gnu )?lesser general public L
-lgpl-2 | library | (gnu )?library general public L (version |v)?2( 0)?
+lgpl-2 | library | (gnu )?library general public L (version |v ?)?2( 0)?
 lgpl | library | (gnu )?library general public L
-gpl-3-or-later | general | (gnu )?general public L (version |v)?3( 0)? or (any )?later( version)?
-gpl-2-or-later | general | (gnu )?general public L (version |v)?2( 0)? or (any )?later( version)?
-gpl-1-or-later | general | (gnu )?general public L (version |v)?1( 0)? or (any )?later( version)?
-gpl-3 | general | (gnu )?general public L (version |v)?3( 0)?( only)?
-gpl-2 | general | (gnu )?general public L (version |v)?2( 0)?( only)?
-gpl-1 | general | (gnu )?general public L (version |v)?1( 0)?( only)?
+gpl-3-or-later | general | (gnu )?general public L (version |v ?)?3( 0)? or (any )?later( version)?
+gpl-2-or-later | general | (gnu )?general public L (version |v ?)?2( 0)? or (any )?later( version)?
+gpl-1-or-later | general | (gnu )?general public L (version |v ?)?1( 0)? or (any )?later( version)?
+gpl-3 | general | (gnu )?general public L (version |v ?)?3( 0)?( only)?
+gpl-2 | general | (gnu )?general public L (version |v ?)?2( 0)?( only)?
+gpl-1 | general | (gnu )?general public L (version |v ?)?1( 0)?( only)?
 gpl | general | gnu general public L
-gpl-2-classpath | classpath | (gnu )?general public L (version |v)?2( 0)? with (the )?(gnu )?classpath exception
-gfdl-1.3 | documentation | (gnu )?free documentation L (version |v)?1 3
-gfdl-1.2 | documentation | (gnu )?free documentation L (version |v)?1 2
-gfdl-1.1 | documentation | (gnu )?free documentation L (version |v)?1 1
+gpl-2-classpath | classpath | (gnu )?general public L (version |v ?)?2( 0)? with (the )?(gnu )?classpath exception
+gfdl-1.3 | documentation | (gnu )?free documentation L (version |v ?)?1 3
+gfdl-1.2 | documentation | (gnu )?free documentation L (version |v ?)?1 2
+gfdl-1.1 | documentation | (gnu )?free documentation L (version |v ?)?1 1
 gfdl | documentation | (gnu )?free documentation L
-apache-2 | apache | apache( software)? L (version |v)?2( 0)?
-apache-1.1 | apache | apache( software)? L (version |v)?1 1
-apache-1 | apache | apache( software)? L (version |v)?1 0
+apache-2 | apache | apache( software)? L (version |v ?)?2( 0)?
+apache-1.1 | apache | apache( software)? L (version |v ?)?1 1
+apache-1 | apache | apache( software)? L (version |v ?)?1 0
 apache | apache | apache( software)? L
 mit | mit | mit L
-mit-0 | mit | mit no attribution( L)?
+mit-0 | mit | mit no attribution L
 x11 | x11 | (mit )?x11 L
 expat | expat | expat L
 bsd-0 | bsd | (0|zero) clause bsd L
@@ -85,37 +85,37 @@ bsd | bsd | bsd( style)? L
 isc | isc | isc L
 zlib | zlib | zlib( libpng)? L
 libpng | libpng | libpng L( version 2)?
-bsl-1 | boost | boost software L (version |v)?1( 0)?
+bsl-1 | boost | boost software L (version |v ?)?1( 0)?
 bsl | boost | boost software L
-mpl-2 | mozilla | mozilla public L (version |v)?2( 0)?
-mpl-1.1 | mozilla | mozilla public L (version |v)?1 1
-mpl-1 | mozilla | mozilla public L (version |v)?1( 0)?
+mpl-2 | mozilla | mozilla public L (version |v ?)?2( 0)?
+mpl-1.1 | mozilla | mozilla public L (version |v ?)?1 1
+mpl-1 | mozilla | mozilla public L (version |v ?)?1( 0)?
 mpl | mozilla | mozilla public L
-epl-2 | eclipse | eclipse public L (version |v)?2( 0)?
-epl-1 | eclipse | eclipse public L (version |v)?1( 0)?
+epl-2 | eclipse | eclipse public L (version |v ?)?2( 0)?
+epl-1 | eclipse | eclipse public L (version |v ?)?1( 0)?
 epl | eclipse | eclipse public L
-edl-1 | eclipse | eclipse distribution L (version |v)?1( 0)?
-cddl-1.1 | distribution | common development and distribution L (version |v)?1 1
-cddl-1 | distribution | common development and distribution L (version |v)?1( 0)?
+edl-1 | eclipse | eclipse distribution L (version |v ?)?1( 0)?
+cddl-1.1 | distribution | common development and distribution L (version |v ?)?1 1
+cddl-1 | distribution | common development and distribution L (version |v ?)?1( 0)?
 cddl | distribution | common development and distribution L
-cpl-1 | common | common public L (version |v)?1( 0)?
-cpal-1 | attribution | common public attribution L (version |v)?1( 0)?
-eupl-1.2 | european | european union public L (version |v)?1 2
-eupl-1.1 | european | european union public L (version |v)?1 1
+cpl-1 | common | common public L (version |v ?)?1( 0)?
+cpal-1 | attribution | common public attribution L (version |v ?)?1( 0)?
+eupl-1.2 | european | european union public L (version |v ?)?1 2
+eupl-1.1 | european | european union public L (version |v ?)?1 1
 eupl | european | european union public L
-cecill-2.1 | cecill | cecill (free software )?L (version |v)?2 1
+cecill-2.1 | cecill | cecill (free software )?L (version |v ?)?2 1
 cecill-b | cecill | cecill b( free software)? L
 cecill-c | cecill | cecill c( free software)? L
 cecill | cecill | cecill( free software)? L
-artistic-2 | artistic | artistic L (version |v)?2( 0)?
-artistic-1 | artistic | artistic L (version |v)?1( 0)?
+artistic-2 | artistic | artistic L (version |v ?)?2( 0)?
+artistic-1 | artistic | artistic L (version |v ?)?1( 0)?
 artistic | artistic | artistic L
 perl | perl | same (terms as|L as) perl( itself)? L
-python-2 | python | (python software foundation|psf) L (version |v)?2
+python-2 | python | (python software foundation|psf) L (version |v ?)?2
 psf | python | python software foundation L
 python | python | python L
-php-3.01 | php | php L (version |v)?3 01
-php-3 | php | php L (version |v)?3( 0)?
+php-3.01 | php | php L (version |v ?)?3 01
+php-3 | php | php L (version |v ?)?3( 0)?
 php | php | php L
 ruby | ruby | ruby L
 postgresql | postgresql | postgresql L
@@ -125,61 +125,61 @@ wtfpl | fuck | do what the fuck you want to public L( version 2)?
 wtfpl | wtfpl | wtfpl( L)?( version 2)?
 cc0 | cc0 | cc0( 1 0)?( universal)? L
 beerware | beerware | beerware L( revision 42)?
-afl-3 | academic | academic free L (version |v)?3( 0)?
-afl-2.1 | academic | academic free L (version |v)?2 1
+afl-3 | academic | academic free L (version |v ?)?3( 0)?
+afl-2.1 | academic | academic free L (version |v ?)?2 1
 afl | academic | academic free L
-osl-3 | open | open software L (version |v)?3( 0)?
+osl-3 | open | open software L (version |v ?)?3( 0)?
 osl | open | open software L
-ecl-2 | educational | educational community L (version |v)?2( 0)?
-upl-1 | universal | universal permissive L (version |v)?1( 0)?
+ecl-2 | educational | educational community L (version |v ?)?2( 0)?
+upl-1 | universal | universal permissive L (version |v ?)?1( 0)?
 ms-pl | microsoft | microsoft public L
 ms-rl | microsoft | microsoft reciprocal L
-mulan-2 | mulan | mulan permissive software L (version |v)?2
-nasa-1.3 | nasa | nasa open source agreement L?( version)? 1 3
+mulan-2 | mulan | mulan permissive software L (version |v ?)?2
+nasa-1.3 | nasa | nasa open source agreement L( version)? 1 3
 ncsa | illinois | university of illinois( ncsa)? open source L
-lppl-1.3c | latex | latex project public L (version |v)?1 3c
+lppl-1.3c | latex | latex project public L (version |v ?)?1 3c
 lppl | latex | latex project public L
-ofl-1.1 | font | (sil )?open font L (version |v)?1 1
+ofl-1.1 | font | (sil )?open font L (version |v ?)?1 1
 ofl | font | (sil )?open font L
-qpl-1 | q  public | q public L (version |v)?1( 0)?
+qpl-1 | q  public | q public L (version |v ?)?1( 0)?
 sleepycat | sleepycat | sleepycat L
-sspl-1 | server | server side public L (version |v)?1
-busl-1.1 | business | business source L (version |v)?1 1
+sspl-1 | server | server side public L (version |v ?)?1
+busl-1.1 | business | business source L (version |v ?)?1 1
 busl | business | business source L
-elastic-2 | elastic | elastic L (version |v)?2( 0)?
-confluent-1 | confluent | confluent community L (version |v)?1( 0)?
+elastic-2 | elastic | elastic L (version |v ?)?2( 0)?
+confluent-1 | confluent | confluent community L (version |v ?)?1( 0)?
 commons-clause | commons | commons clause L condition
 polyform-nc | polyform | polyform noncommercial L( 1 0 0)?
 polyform | polyform | polyform [a-z]+ L
-ipl-1 | ibm | ibm public L (version |v)?1( 0)?
+ipl-1 | ibm | ibm public L (version |v ?)?1( 0)?
 intel | intel | intel open source L
 w3c | w3c | w3c software( notice and)? L
 vim | vim | vim L
-zpl-2.1 | zope | zope public L (version |v)?2 1
+zpl-2.1 | zope | zope public L (version |v ?)?2 1
 zpl | zope | zope public L
 watcom | watcom | sybase open watcom public L
-rpl-1.5 | reciprocal | reciprocal public L (version |v)?1 5
+rpl-1.5 | reciprocal | reciprocal public L (version |v ?)?1 5
 spl | sun | sun public L
 npl | netscape | netscape public L
-apsl-2 | apple | apple public source L (version |v)?2( 0)?
+apsl-2 | apple | apple public source L (version |v ?)?2( 0)?
 apsl | apple | apple public source L
 naist | naist | nara institute of science and technology L
-hpnd | historical | historical permission notice and disclaimer L?
+hpnd | historical | historical permission notice and disclaimer L
 curl | curl | curl L
 fair | fair | fair L
 mirosl | miros | miros L
 eiffel | eiffel | eiffel forum L( version 2)?
 entessa | entessa | entessa public L
 frameworx | frameworx | frameworx open L
-simple-2 | simple | simple public L (version |v)?2( 0)?
+simple-2 | simple | simple public L (version |v ?)?2( 0)?
 nosl | nethack | nethack general public L
-nposl-3 | profit | non profit open software L (version |v)?3( 0)?
-odbl-1 | database | (open data commons )?open database L( odbl)?( (version |v)?1 0)?
-odc-by-1 | attribution | open data commons attribution L( (version |v)?1 0)?
-pddl-1 | domain | (open data commons )?public domain dedication and L( (version |v)?1 0)?
-cdla-permissive | community | community data L agreement permissive( (version |v)?[12] 0)?
-cdla-sharing | community | community data L agreement sharing( (version |v)?1 0)?
-ogl-uk-3 | government | open government L (version |v)?3( 0)?
+nposl-3 | profit | non profit open software L (version |v ?)?3( 0)?
+odbl-1 | database | (open data commons )?open database L( odbl)?( (version |v ?)?1 0)?
+odc-by-1 | attribution | open data commons attribution L( (version |v ?)?1 0)?
+pddl-1 | domain | (open data commons )?public domain dedication and L( (version |v ?)?1 0)?
+cdla-permissive | community | community data L agreement permissive( (version |v ?)?[12] 0)?
+cdla-sharing | community | community data L agreement sharing( (version |v ?)?1 0)?
+ogl-uk-3 | government | open government L (version |v ?)?3( 0)?
 ogl-uk | government | open government L
 etalab-2 | ouverte | (L ouverte|open L) etalab 2 0
 openrail-m | rail | (bigscience )?(open rail|openrail)( m)? L
@@ -210,7 +210,7 @@ mit | hereby | permission is hereby granted free of charge to any person obtaini
 mit | hereby | permission is hereby granted free of charge to any person obtaining a copy
 isc | purpose | permission is hereby granted to use copy modify and or distribute this software for any purpose with or without fee
 isc | purpose | permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted( provided)?( that)? (the above copyright notice|licen[cs]e)
-hpnd | hereby | permission is granted to use copy modify and distribute this software and its documentation
+hpnd | granted | permission is granted to use copy modify and distribute this software and its documentation
 bsd | redistribution | redistribution and use in source and binary forms with or without modification are permitted
 bsd-4 | advertising | redistribution and use in source and binary forms( [a-z0-9]+){1,90}? all advertising materials mentioning features
 gpl | redistribute | (this program|this library|it) is free software you can redistribute it and or modify it
