@@ -20,7 +20,6 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
-from itertools import accumulate, count
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -70,8 +69,10 @@ class Spelling:
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=piece)
         size = self.pieces.get_piece_size()
         self.b = [self._piece_bytes(i) for i in range(size)]
-        self.length_a, self.length_b = [len(t) for t in self.a], [len(t) for t in self.b]
-        self.name = [str(i) for i in range(max(len(self.a), size))]
+        self.length_a, self.length_b = np.array([len(t) for t in self.a]), np.array([len(t) for t in self.b])
+        #: Ids in decimal, followed by a comma, a bar, or a semicolon.
+        self.names = max(len(self.a), size)
+        self.named = np.array([f"{i}{end}" for end in ",|;" for i in range(self.names)], object)
 
     def _ranks(self, spec: dict, vocab: dict[str, int]):
         """The same merges as ranks for tiktoken, if ids follow the order of the merges; else none."""
@@ -122,20 +123,26 @@ class Spelling:
             return [], []
         return a, b
 
-    def align(self, a: list[int], b: list[int]) -> tuple[str, list[int]]:
+    def align(self, a: list[int], b: list[int]) -> tuple[str, np.ndarray]:
         """(groups as ``a1,a2|b1;...``, links as id_a * len(b) + id_b)."""
-        at_a = dict(zip(accumulate(map(self.length_a.__getitem__, a)), count(1)))
-        at_b = dict(zip(accumulate(map(self.length_b.__getitem__, b)), count(1)))
+        ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
+        at_a = dict(zip(self.length_a[ids_a].cumsum().tolist(), range(1, len(a) + 1)))
+        at_b = dict(zip(self.length_b[ids_b].cumsum().tolist(), range(1, len(b) + 1)))
         common = sorted(at_a.keys() & at_b.keys())
-        name, size = self.name, len(self.b)
-        named_a, named_b = [name[i] for i in a], [name[i] for i in b]
-        groups, links, i, j = [], [], 0, 0
-        for end in common:
-            k, m = at_a[end], at_b[end]
-            groups.append((named_a[i] if k == i + 1 else ",".join(named_a[i:k])) + "|" + (named_b[j] if m == j + 1 else ",".join(named_b[j:m])))
-            links.append(a[k - 1] * size + b[m - 1])
-            i, j = k, m
-        return ";".join(groups), links
+        if not common:
+            return "", np.zeros(0, np.int64)
+        to_a = np.array([at_a[e] for e in common])
+        to_b = np.array([at_b[e] for e in common])
+        # Each slice is written as its A ids, then its B ids; every id has its separator behind it.
+        before_a, before_b = np.diff(to_a, prepend=0), np.diff(to_b, prepend=0)
+        size = len(self.b)
+        spelt = np.empty(len(a) + len(b), np.int64)
+        place_a = np.arange(len(a)) + np.repeat(to_b - before_b, before_a)
+        place_b = np.arange(len(b)) + np.repeat(to_a, before_b)
+        spelt[place_a], spelt[place_b] = ids_a, ids_b
+        spelt[place_a[to_a - 1]] += self.names
+        spelt[place_b[to_b - 1]] += 2 * self.names
+        return "".join(self.named[spelt].tolist())[:-1], ids_a[to_a - 1] * size + ids_b[to_b - 1]
 
 
 @functools.lru_cache(maxsize=2)
@@ -166,7 +173,7 @@ class Aligner:
             def one(t):
                 a, b = own.spell(t)
                 groups, links = own.align(a, b)
-                return len(a), len(b), groups, np.searchsorted(own.codes, np.array(links, np.int64)).astype("<u4").tobytes()
+                return len(a), len(b), groups, np.searchsorted(own.codes, links).astype("<u4").tobytes()
 
             return pd.DataFrame([one(t or "") for t in texts], columns=["n_a", "n_b", "groups", "links"])
 
