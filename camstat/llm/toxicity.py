@@ -1,41 +1,51 @@
 """Toxicity by weak supervision.
 
-1. Voters.  A bounded sample of labelled training rows gives words that lean to toxic texts; words
-   that occur in the same documents form one lexicon voter.  Fixed patterns (shouting, symbol runs
-   and the like) are voters too.  Near copies in the sample share one weight, so that a large group
-   of copies cannot become a lexicon.
-2. Label model.  A generative model of the votes (expectation maximisation over each voter's firing
-   rates in toxic and clean texts) estimates accuracies, and residual correlations between voters,
-   by which the evidence of voters that move together is discounted.  Its posterior for every
-   sample row replaces the noisy label.
-3. Classifier.  A logistic regression on word and pattern features is trained on the posteriors and
-   scores every document.
+1. Voters.  A bounded sample of labelled training rows gives units, words or beginnings of words, that
+   lean to toxic texts by more than chance allows among all units.  Each unit is a lexicon voter: it votes
+   where its density in a text passes a bound chosen on the labels, as single hits occur in clean texts
+   too.  Fixed patterns (shouting, symbol runs and the like) are voters as well, and so are the labels
+   themselves.  Near copies in the sample share one weight, so that a large group of copies cannot
+   become a lexicon.
+2. Label model.  A generative model of the votes: texts are clean or toxic in one of several ways (families of
+   voters that fire together, such as those of one language).  Expectation maximisation estimates each voter's
+   firing rate in each, the accuracy of the labels, and residual correlations between voters, by which the
+   evidence of voters that move together is discounted.  The posterior of the toxic ways replaces the
+   noisy label.
+3. Classifier.  A logistic regression on unit densities and patterns is trained on the posteriors and scores
+   every document.
 
 Scores depend on the text alone.  What is collected is the bounded sample's votes (``SAMPLE`` rows)
-and the lexicon (``LEXICON`` words); scoring is one pass over all documents without a shuffle.
+and the lexicon (``LEXICON`` units); scoring is one pass over all documents without a shuffle.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from camstat.llm.common import written
+from camstat.llm.common import digest, written
 
 #: Most labelled rows that voters, label model and classifier are fitted on.
 SAMPLE = 20_000
 #: Clean documents without any vote that are added to the sample: few labels alone condemn nothing.
 CLEAN = 10.0
-#: Most words in the lexicon, and least (weighted) toxic documents that a word must occur in.
-LEXICON, SUPPORT = 256, 3.0
-#: Words whose document sets overlap by this Jaccard share are one voter.
-SAME_VOTER = 0.8
+#: Most units in the lexicon, least log odds of a unit, and the chance that any unit passes without a reason.
+LEXICON, ODDS, CHANCE = 256, 1.5, 0.05
+#: Lengths of word beginnings that are units beside whole words.
+BEGINNINGS = (4, 5, 6, 7, 8)
+#: Bounds from which a unit's bound is chosen: hits over the root of hundreds of words.
+BOUNDS = (1e-9, 0.5, 1.0, 1.5, 2.0, 3.0)
+#: Correlation in toxic rows from which voters are one family.
+FAMILY = 0.1
+#: Entries in a worker's memo of words, and units that a task counts before it hands them on.
+MEMO, TALLY = 200_000, 200_000
 _WORD = re.compile(r"[^\W\d_]+")
 #: Pattern voters: name, pattern, least matches per 100 words.
 PATTERNS = (
@@ -47,8 +57,18 @@ PATTERNS = (
 )
 
 
-def words(text: str | None) -> set[str]:
-    return set(_WORD.findall(text.lower())) if text else set()
+def words(text: str | None) -> Counter:
+    return Counter(_WORD.findall(text.lower())) if text else Counter()
+
+
+def units(word: str) -> list[str]:
+    """A word and its beginnings (written with ``~``)."""
+    return [word, *[word[:k] + "~" for k in BEGINNINGS if len(word) > k]]
+
+
+def density(hits, n_words):
+    """Hits over the root of hundreds of words: one hit tells more in a short text, many tell in any."""
+    return hits / np.sqrt(n_words / 100 + 0.5)
 
 
 def fired(text: str | None) -> list[bool]:
@@ -71,57 +91,101 @@ def shingle_minima(text: str | None, salts=(0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB
 
 @dataclass
 class Model:
-    """A fitted scorer: pattern voters first, then the words of the lexicon."""
+    """A fitted scorer: pattern voters first, then the units of the lexicon, of which none begins another."""
 
     lexicon: dict[str, int] = field(default_factory=dict)
     weights: np.ndarray = field(default_factory=lambda: np.zeros(len(PATTERNS)))
     bias: float = -20.0
+    #: Words looked up before, in this process.
+    memo: dict = field(default_factory=dict, repr=False, compare=False)
+
+    def unit(self, word: str) -> int | None:
+        return next((self.lexicon[u] for u in units(word) if u in self.lexicon), None)
+
+    def hits(self, found: Counter) -> dict[int, int]:
+        """Unit -> hits."""
+        out: dict[int, int] = {}
+        memo = self.memo
+        if len(memo) > MEMO:
+            memo.clear()
+        for word, n in found.items():
+            u = memo.get(word, -1)
+            if u == -1:
+                u = self.unit(word)
+                if len(word) < 64:
+                    memo[word] = u
+            if u is not None:
+                out[u] = out.get(u, 0) + n
+        return out
 
     def score(self, text: str | None) -> float:
         z = self.bias + sum(w for w, on in zip(self.weights, fired(text)) if on)
-        z += sum(self.weights[len(PATTERNS) + self.lexicon[w]] for w in self.lexicon.keys() & words(text))
+        if self.lexicon:
+            found = words(text)
+            root = density(1.0, sum(found.values()))
+            z += sum(self.weights[len(PATTERNS) + u] * n * root for u, n in self.hits(found).items())
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def label_model(votes: np.ndarray, weight: np.ndarray, start: np.ndarray, rounds: int = 50):
-    """Posterior of every row and (rate in toxic, rate in clean) of every voter, from 0/1 votes.
-    ``start``: first guess of the posterior."""
-    post = start.astype(float)
-    n_voters = votes.shape[1]
-    trust = np.ones(n_voters)
+def families(votes: np.ndarray, label: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
+    """Voters that fire together in the rows labelled toxic, as lists of columns; voters that do not lean to those rows
+    belong to none."""
+    a, b = weight * label, weight * (1 - label)
+    leaning = np.flatnonzero((a @ votes + 0.5) / (a.sum() + 1) > 1.5 * (b @ votes + 0.5) / (b.sum() + 1))
+    on, w = votes[label == 1][:, leaning], weight[label == 1]
+    shifted = (on - np.average(on, axis=0, weights=w) if len(on) else on) * np.sqrt(w)[:, None]
+    scale = np.sqrt(np.maximum((shifted**2).sum(axis=0), 1e-9))
+    together = shifted.T @ shifted / np.outer(scale, scale) > FAMILY
+    of = np.arange(len(leaning))
+    for i, j in zip(*np.nonzero(np.tril(together, -1))):
+        of[of == of[i]] = of[j]
+    return [leaning[of == f] for f in np.unique(of)]
+
+
+def label_model(votes: np.ndarray, label: np.ndarray, weight: np.ndarray, rounds: int = 100):
+    """(posterior that a row is toxic, rates (way, voter), (rate of label 1 in clean, in toxic rows)) from 0/1
+    votes; way 0 is clean, every other is toxic in the manner of one family of voters."""
+    groups = families(votes, label, weight)
+    ways = max(len(groups), 1)
+    support = np.stack([votes[:, g].sum(axis=1) for g in groups], 1) if groups else np.zeros((len(label), 1))
+    share = (support + 0.02) / (support + 0.02).sum(axis=1, keepdims=True)
+    toxic = share * np.where(label == 1, 0.9, 0.05)[:, None]
+    post = np.hstack([1 - toxic.sum(axis=1, keepdims=True), toxic])
     for _ in range(rounds):
-        a, b = weight * post, weight * (1 - post)
-        prior = (a.sum() + 0.5) / (weight.sum() + CLEAN)
-        p1 = (a @ votes + 0.05) / (a.sum() + 1)
-        p0 = (b @ votes + 0.05) / (b.sum() + 1)
-        # Correlation that the latent label does not explain: such voters share their evidence.
-        residual = (votes - post[:, None] * p1 - (1 - post)[:, None] * p0) * np.sqrt(weight)[:, None]
+        w = weight[:, None] * post
+        mix = w.sum(axis=0) + np.array([CLEAN] + [0.5 / ways] * ways)
+        rates = (w.T @ votes + 0.05) / (w.sum(axis=0)[:, None] + 1)
+        right = ((w[:, 0] @ label + 0.05) / (w[:, 0].sum() + 1), max((w[:, 1:].sum(axis=1) @ label + 0.5) / (w[:, 1:].sum() + 1), 0.5))
+        # Correlation that the ways do not explain: such voters share their evidence.
+        residual = (votes - post @ rates) * np.sqrt(weight)[:, None]
         cov = residual.T @ residual
         scale = np.sqrt(np.maximum(np.diag(cov), 1e-9))
         shared = np.maximum(np.abs(cov / np.outer(scale, scale)) - 0.1, 0)
         np.fill_diagonal(shared, 0)
         trust = 1 / (1 + shared.sum(axis=1))
-        on, off = np.log(p1 / p0), np.log((1 - p1) / (1 - p0))
-        z = np.log(prior / (1 - prior)) + votes @ (trust * on) + (1 - votes) @ (trust * off)
-        new = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        q = np.array([right[0]] + [right[1]] * ways)
+        z = np.log(mix / mix.sum()) + (votes * trust) @ np.log(rates).T + ((1 - votes) * trust) @ np.log(1 - rates).T
+        z += label[:, None] * np.log(q) + (1 - label[:, None]) * np.log(1 - q)
+        new = np.exp(z - z.max(axis=1, keepdims=True))
+        new /= new.sum(axis=1, keepdims=True)
         done = np.abs(new - post).max() < 1e-6
         post = new
         if done:
             break
-    return post, p1, p0
+    return 1 - post[:, 0], rates, right
 
 
-def _voters(hits: np.ndarray) -> np.ndarray:
-    """Merge word columns that fire in the same documents."""
-    both = hits.T @ hits
-    each = np.diag(both)
-    same = both / np.maximum(each[:, None] + each[None, :] - both, 1) >= SAME_VOTER
-    left, groups = list(range(hits.shape[1])), []
-    while left:
-        mine = [j for j in left if same[left[0], j]]
-        groups.append(hits[:, mine].max(axis=1))
-        left = [j for j in left if j not in mine]
-    return np.stack(groups, 1) if groups else np.zeros((len(hits), 0))
+def voters(density_: np.ndarray, label: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Votes of every unit under the bound of its density that tells the labels apart best."""
+    a, b = weight * label, weight * (1 - label)
+    best, out = np.full(density_.shape[1], -np.inf), np.zeros_like(density_)
+    for bound in BOUNDS:
+        on = (density_ >= bound).astype(float)
+        p1, p0 = (a @ on + 0.5) / (a.sum() + 1), (b @ on + 0.5) / (b.sum() + 1)
+        told = p1 * np.log(p1 / p0) + (1 - p1) * np.log((1 - p1) / (1 - p0))
+        better = told > best
+        best[better], out[:, better] = told[better], on[:, better]
+    return out
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.1, rounds: int = 30) -> np.ndarray:
@@ -140,9 +204,71 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0
     return w
 
 
+def _near_copies(seen: DataFrame) -> DataFrame:
+    """(copy_key, alike): the most rows that share a min-hash with the row."""
+    of = seen.select("key", F.posexplode("minima").alias("salt", "minimum"))
+    sizes = of.groupBy(F.col("salt").alias("__salt"), F.col("minimum").alias("__minimum")).agg(F.count("*").alias("alike"))
+    met = of.join(sizes, (F.col("salt") == F.col("__salt")) & (F.col("minimum") == F.col("__minimum")))
+    return met.groupBy(F.col("key").alias("copy_key")).agg(F.max("alike").alias("alike"))
+
+
+def _tally(batches: Iterator) -> Iterator:
+    """Per task: unit, weighted hits and rows in toxic (a, rows_a) and clean rows (b, rows_b)."""
+    import pandas as pd
+
+    def handed(sums: dict):
+        return pd.DataFrame([(u, *v) for u, v in sums.items()], columns=["unit", "a", "b", "rows_a", "rows_b"])
+
+    sums: dict[str, list[float]] = {}
+    for batch in batches:
+        for y, weight, own, counts in zip(batch["y"], batch["weight"], batch["words"], batch["counts"]):
+            of_row: dict[str, int] = {}
+            for word, n in zip(own, counts):
+                for u in units(word):
+                    of_row[u] = of_row.get(u, 0) + int(n)
+            for u, n in of_row.items():
+                v = sums.setdefault(u, [0.0, 0.0, 0.0, 0.0])
+                v[1 - int(y)] += weight * n
+                v[3 - int(y)] += weight
+            if len(sums) > TALLY:
+                yield handed(sums)
+                sums = {}
+    yield handed(sums)
+
+
+def _lexicon(train: DataFrame, rows0: float, rows1: float, words0: float, words1: float) -> dict[str, int]:
+    """Units whose rows lean to toxic beyond chance (log-likelihood ratio, corrected for the number of units tried),
+    best first; of units that begin one another the best counts, of equal ones the longest."""
+    stats = written(
+        train.select("y", "weight", "words", "counts").mapInPandas(_tally, "unit string, a double, b double, rows_a double, rows_b double")
+        .groupBy("unit").agg(*[F.sum(c).alias(c) for c in ("a", "b", "rows_a", "rows_b")]), "toxicity-units")
+    tried = stats.count()
+    odds = F.log((F.col("a") + 0.5) / (words1 + 1)) - F.log((F.col("b") + 0.5) / (words0 + 1))
+    share = (F.col("rows_a") + F.col("rows_b")) / (rows0 + rows1)
+
+    def part(seen: Column, of: Column) -> Column:
+        return F.when(seen > 1e-9, seen * F.log(seen / of)).otherwise(0.0)
+
+    ratio = 2 * (part(F.col("rows_a"), rows1 * share) + part(F.col("rows_b"), rows0 * share)
+                 + part(rows1 - F.col("rows_a"), rows1 * (1 - share)) + part(rows0 - F.col("rows_b"), rows0 * (1 - share)))
+    leaning = (
+        stats.withColumn("odds", odds).where(F.col("odds") > ODDS).where(F.col("rows_a") / rows1 > F.col("rows_b") / rows0)
+        .where(ratio > 2 * np.log(max(tried, 1) / CHANCE)).withColumn("rank", F.round(F.col("odds") * F.sqrt("rows_a"), 6))
+        .orderBy(F.desc("rank"), F.desc(F.length(F.rtrim(F.col("unit"), F.lit("~")))), "unit").limit(16 * LEXICON).collect())
+    out: dict[str, int] = {}
+    bare: list[str] = []
+    for r in leaning:
+        own = r["unit"].rstrip("~")
+        if len(out) < LEXICON and not any(own.startswith(b) or b.startswith(own) for b in bare):
+            out[r["unit"]] = len(out)
+            bare.append(own)
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
         sample: int = SAMPLE) -> Model:
-    """Fit on at most ``sample`` labelled rows (smallest hashes of their keys).
+    """Fit on at most ``sample`` labelled rows (smallest hashes of their keys; of rows that repeat a key the one
+    with the smallest digest of its text).
 
     Rows with a null key or label are no training rows; repeated labels of a key count as their
     maximum.  If one class is missing, every score is the smoothed share of toxic labels."""
@@ -153,11 +279,11 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         .groupBy(F.col(key).alias("k")).agg(F.max(F.col(label)).cast("int").alias("y"))
         .orderBy(F.xxhash64("k"), "k").limit(sample))
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(
-        F.broadcast(chosen), F.col("key") == F.col("k")).select("key", "y", "text")
+        F.broadcast(chosen), F.col("key") == F.col("k")).groupBy("key", "y").agg(F.min_by("text", digest(F.col("text"))).alias("text"))
     kind = StructType([
-        StructField("key", rows.schema["key"].dataType), StructField("y", LongType()),
-        StructField("words", ArrayType(StringType())), StructField("fired", ArrayType(BooleanType())),
-        StructField("minima", ArrayType(LongType()))])
+        StructField("key", rows.schema["key"].dataType), StructField("y", LongType()), StructField("n", LongType()),
+        StructField("words", ArrayType(StringType())), StructField("counts", ArrayType(LongType())),
+        StructField("fired", ArrayType(BooleanType())), StructField("minima", ArrayType(LongType()))])
 
     def features(batches):
         import pandas as pd
@@ -166,35 +292,42 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
             for i in range(0, len(batch), 256):  # word lists are much larger than their texts
                 b = batch.iloc[i:i + 256]
                 texts = [t if isinstance(t, str) else "" for t in b["text"]]
+                found = [words(t) for t in texts]
                 yield pd.DataFrame({
-                    "key": b["key"].to_numpy(), "y": b["y"].to_numpy(), "words": [sorted(words(t)) for t in texts],
+                    "key": b["key"].to_numpy(), "y": b["y"].to_numpy(), "n": [sum(c.values()) for c in found],
+                    "words": [list(c) for c in found], "counts": [list(c.values()) for c in found],
                     "fired": [fired(t) for t in texts], "minima": [shingle_minima(t) for t in texts]})
 
     seen = written(rows.mapInPandas(features, kind), "toxicity-sample")
-    alike = F.greatest(*[F.count("*").over(Window.partitionBy(F.col("minima")[i])) for i in range(4)])
-    train = written(seen.select("y", "words", "fired", (1 / alike).alias("weight")), "toxicity-weighted")
-    n0, n1 = train.agg(F.sum(F.col("weight") * (1 - F.col("y"))), F.sum(F.col("weight") * F.col("y"))).first()
+    copies = _near_copies(seen)
+    train = written(seen.join(copies, F.col("key") == F.col("copy_key")).select(
+        "key", "y", "n", "words", "counts", "fired", (1 / F.col("alike")).alias("weight")), "toxicity-weighted")
+    one, none = F.col("weight") * F.col("y"), F.col("weight") * (1 - F.col("y"))
+    n0, n1, w0, w1 = train.agg(F.sum(none), F.sum(one), F.sum(none * F.col("n")), F.sum(one * F.col("n"))).first()
     if not n0 or not n1:
         share = ((n1 or 0) + 0.5) / ((n0 or 0) + (n1 or 0) + CLEAN) if n0 or n1 else 1e-9
         return Model(bias=float(np.log(share / (1 - share))))
-    stats = (
-        train.select("y", "weight", F.explode("words").alias("word")).groupBy("word")
-        .agg(F.sum(F.col("weight") * F.col("y")).alias("a"), F.sum(F.col("weight") * (1 - F.col("y"))).alias("b")))
-    odds = F.log((F.col("a") + 0.5) / (n1 + 1)) - F.log((F.col("b") + 0.5) / (n0 + 1))
-    top = (
-        stats.where(F.col("a") >= SUPPORT).withColumn("odds", odds).where("odds > 1.5")
-        .orderBy(F.desc(F.round(F.col("odds") * F.sqrt("a"), 6)), "word").limit(LEXICON).collect())
-    lexicon = {r["word"]: i for i, r in enumerate(top)}
-    known = F.array(*[F.lit(w) for w in lexicon]) if lexicon else F.array().cast("array<string>")
-    got = train.select("y", "weight", "fired", F.array_intersect("words", known).alias("hits")).toPandas()
-    got = got.sort_values(["y", "weight", "hits"], key=lambda c: c.map(str), ignore_index=True)  # one order on every run
+    lexicon = _lexicon(train, n0, n1, w0, w1)
+    own = Model(lexicon)
+
+    def found_units(batches):
+        import pandas as pd
+
+        for batch in batches:
+            hits = [own.hits(Counter(dict(zip(w, map(int, c))))) for w, c in zip(batch["words"], batch["counts"])]
+            yield pd.DataFrame({"key": batch["key"].astype(str), "y": batch["y"], "n": batch["n"], "weight": batch["weight"], "fired": batch["fired"],
+                                "unit": [list(h) for h in hits], "hits": [list(h.values()) for h in hits]})
+
+    got = train.mapInPandas(found_units, "key string, y long, n long, weight double, fired array<boolean>, unit array<long>, hits array<long>").toPandas()
+    got = got.sort_values("key", ignore_index=True)  # one order on every run
     hits = np.zeros((len(got), len(lexicon)))
-    for i, found in enumerate(got["hits"]):
-        hits[i, [lexicon[w] for w in found]] = 1
+    for i, (u, h) in enumerate(zip(got["unit"], got["hits"])):
+        hits[i, np.asarray(u, int)] = h
+    dense = density(hits, got["n"].to_numpy(float)[:, None])
     patterns = np.array(got["fired"].tolist(), float).reshape(len(got), len(PATTERNS))
     weight, y = got["weight"].to_numpy(float), got["y"].to_numpy(float)
-    post, _, _ = label_model(np.hstack([patterns, _voters(hits)]), weight, np.where(y == 1, 0.9, 0.05))
-    x = np.hstack([patterns, hits, np.ones((len(got), 1))])
+    post, _, _ = label_model(np.hstack([patterns, voters(dense, y, weight)]), y, weight)
+    x = np.hstack([patterns, dense, np.ones((len(got), 1))])
     silent = np.append(np.zeros(x.shape[1] - 1), 1.0)
     w = _logistic(np.vstack([x, silent]), np.append(post, 0.0), np.append(weight, CLEAN))
     return Model(lexicon, w[:-1], float(w[-1]))

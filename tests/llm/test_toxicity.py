@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from camstat.llm import queries, toxicity
@@ -13,25 +14,63 @@ def test_label_model_finds_accuracies():
     rates = np.array([[0.8, 0.02], [0.6, 0.05], [0.7, 0.01], [0.3, 0.3]])
     votes = (rng.random((5000, 4)) < np.where(y[:, None], rates[:, 0], rates[:, 1])).astype(float)
     votes = np.hstack([votes, votes[:, 3:], votes[:, 3:]])  # a useless voter, three times
-    noisy = np.where(rng.random(5000) < 0.15, ~y, y)
-    post, p1, p0 = toxicity.label_model(votes, np.ones(5000), np.where(noisy, 0.9, 0.05))
+    noisy = np.where(rng.random(5000) < 0.15, ~y, y).astype(float)
+    post, _, (clean, toxic) = toxicity.label_model(votes, noisy, np.ones(5000))
     assert ((post > 0.5) == y).mean() > 0.95 > (noisy == y).mean()
-    assert np.abs(p1[:3] - rates[:3, 0]).max() < 0.08 and np.abs(p0[:3] - rates[:3, 1]).max() < 0.03
+    assert abs(clean - 0.15) < 0.05 and abs(toxic - 0.85) < 0.1
 
 
-def test_held_out_accuracy(spark):
-    """Labels are noisy (about one in twenty is flipped), so planted toxic words decide what can be found."""
+def test_label_model_keeps_small_families():
+    """A family of voters that fires in few rows is not taken for clean because the large one is silent there."""
+    rng = np.random.default_rng(8)
+    kind = rng.choice(3, 4000, p=[0.88, 0.1, 0.02])
+    p = np.array([[0.002] * 6, [0.5] * 4 + [0.002] * 2, [0.002] * 4 + [0.8] * 2])
+    votes = (rng.random((4000, 6)) < p[kind]).astype(float)
+    label = np.where(rng.random(4000) < 0.05, kind == 0, kind > 0).astype(float)
+    assert len(toxicity.families(votes, label, np.ones(4000))) == 2
+    post, _, _ = toxicity.label_model(votes, label, np.ones(4000))
+    for k in (1, 2):
+        assert (post[kind == k] > 0.5).mean() > 0.9
+    assert (post[kind == 0] > 0.5).mean() < 0.02
+
+
+@pytest.fixture(scope="module")
+def scored(spark):
     got = queries.op8_toxicity(spark, SF01).join(
-        spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text"), "doc_id").join(
+        spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "lang"), "doc_id").join(
         spark.read.parquet(f"{SF01}/labels.parquet"), "doc_id", "left").toPandas()
     assert len(got) == 10_000 and got.score.between(0, 1).all()
     assert ((got.score >= 0.3) == got.predicted.astype(bool)).all()
-    held = got[got.held_out & got.toxic.notna()]
-    hit = held[held.predicted == 1]
-    assert (hit.toxic == 1).mean() > 0.95
-    assert (held[held.toxic == 0].predicted == 0).mean() > 0.99
-    # beyond the flipped labels, what is missed is about the noise rate
-    assert (held[held.predicted == 0].toxic == 1).mean() < 0.08
+    return got[got.held_out & got.toxic.notna()]
+
+
+@pytest.mark.parametrize("lang", ["en", "de", "es", "fr"])
+def test_held_out_recall_of_each_language(scored, lang):
+    own = scored[scored.lang == lang]
+    assert (own[own.toxic == 1].predicted == 1).mean() >= 0.9
+    assert (own[own.toxic == 0].predicted == 1).mean() <= 0.02
+
+
+def test_held_out_precision(scored):
+    assert (scored[scored.predicted == 1].toxic == 1).mean() > 0.95
+
+
+def test_score_against_plain_sums():
+    """The score is the stated sum over patterns and unit densities."""
+    model = toxicity.Model({"scum": 0, "achli~": 1}, np.array([1.0, 0, 0, 0, 0, 2.0, 3.0]), -4.0)
+    n = 8  # words
+    root = 1 / np.sqrt(n / 100 + 0.5)
+    z = -4 + 2 * 2 * root + 3 * 3 * root + 1.0
+    text = "SCUM scum achlich achliches! ACHLICHE scums ABC ok"
+    assert abs(model.score(text) - 1 / (1 + np.exp(-z))) < 1e-12
+    assert model.score(text) == model.score(text)
+
+
+def test_rows_are_bounded_by_keys(spark):
+    """A repeated id brings one row, whatever the number of its rows."""
+    df = spark.range(3000).selectExpr("7 AS doc_id", "concat('row ', id) AS text").union(train(spark).select("doc_id", "text"))
+    labels = train(spark).selectExpr("doc_id", "toxic")
+    assert toxicity.fit(df, labels).score("some moron and trash") > 0.5
 
 
 def test_scores_see_text_only(spark):
