@@ -24,7 +24,7 @@ BASE = {"under the mit license": "mit", "apache license version 2": "apache-2",
 
 #: Every rule's finds hold one of these (as words between blanks are written: two blanks between words).
 ROOTS = ["licen", "cc  by", "cc0", "gpl", "creative  commons", "public  domain", "permission  is", "redistribution  and  use",
-         "wtfpl", "free  software", "warranty  of  any  kind", "altered  source  versions"]
+         "wtfpl", "hereby  granted", "free  software", "warranty  of  any  kind", "altered  source  versions"]
 
 
 class Rule(NamedTuple):
@@ -76,9 +76,9 @@ bsd-3 | bsd | (3|three) clause bsd L
 bsd-4 | bsd | (4|four) clause bsd L
 bsd-2 | simplified | simplified bsd L
 bsd-2 | freebsd | freebsd L
-bsd-3 | revised | (new|revised|modified) bsd L
+bsd-3 | bsd | (new|revised|modified) bsd L
 bsd-3 | new | new bsd L
-bsd-4 | original | (original|old) bsd L
+bsd-4 | bsd | (original|old) bsd L
 bsd-3-clear | clear | (3 clause )?clear bsd L
 bsd-2-patent | patent | bsd (2 clause )?plus patent L
 bsd | bsd | bsd( style)? L
@@ -111,7 +111,7 @@ artistic-2 | artistic | artistic L (version |v ?)?2( 0)?
 artistic-1 | artistic | artistic L (version |v ?)?1( 0)?
 artistic | artistic | artistic L
 perl | perl | same (terms as|L as) perl( itself)? L
-python-2 | python | (python software foundation|psf) L (version |v ?)?2
+python-2 | licen | (python software foundation|psf) L (version |v ?)?2
 psf | python | python software foundation L
 python | python | python L
 php-3.01 | php | php L (version |v ?)?3 01
@@ -163,7 +163,7 @@ spl | sun | sun public L
 npl | netscape | netscape public L
 apsl-2 | apple | apple public source L (version |v ?)?2( 0)?
 apsl | apple | apple public source L
-naist | naist | nara institute of science and technology L
+naist | nara | nara institute of science and technology L
 hpnd | historical | historical permission notice and disclaimer L
 curl | curl | curl L
 fair | fair | fair L
@@ -181,9 +181,9 @@ cdla-permissive | community | community data L agreement permissive( (version |v
 cdla-sharing | community | community data L agreement sharing( (version |v ?)?1 0)?
 ogl-uk-3 | government | open government L (version |v ?)?3( 0)?
 ogl-uk | government | open government L
-etalab-2 | ouverte | (L ouverte|open L) etalab 2 0
-openrail-m | rail | (bigscience )?(open rail|openrail)( m)? L
-rail | rail | responsible ai L
+etalab-2 | etalab | L (ouverte )?etalab 2 0
+openrail-m | licen | (bigscience )?(open rail|openrail)( m)? L
+rail | responsible | responsible ai L
 llama-3 | llama | llama 3( [123])? community L
 llama-2 | llama | llama 2 community L
 gemma | gemma | gemma L
@@ -209,7 +209,7 @@ NOTICES = r"""
 mit | hereby | permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files
 mit | hereby | permission is hereby granted free of charge to any person obtaining a copy
 isc | purpose | permission is hereby granted to use copy modify and or distribute this software for any purpose with or without fee
-isc | purpose | permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted( provided)?( that)? (the above copyright notice|licen[cs]e)
+isc | purpose | permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice
 hpnd | granted | permission is granted to use copy modify and distribute this software and its documentation
 bsd | redistribution | redistribution and use in source and binary forms with or without modification are permitted
 bsd-4 | advertising | redistribution and use in source and binary forms( [a-z0-9]+){1,90}? all advertising materials mentioning features
@@ -234,7 +234,7 @@ mpl-2 | mozilla | this source code form is subject to the terms of the mozilla p
 mpl-2 | mozilla | mozilla org (en us )?mpl 2 0 licen[cs]e
 cc0 | creativecommons | creativecommons org publicdomain zero 1 0 licen[cs]e
 unlicense | unencumbered | this is free and unencumbered software released into the public domain
-unlicense | unlicense | unlicen[cs]e org
+unlicense | unlicen | unlicen[cs]e org
 public-domain | dedicated | dedicated to the public domain
 public-domain | domain | (released|placed|donated) (in|into|to) the public domain
 wtfpl | fuck | you just do what the fuck you want to licen[cs]e
