@@ -30,9 +30,8 @@ def join_exif(anns: DataFrame, exif: DataFrame, keys=("source_file", "image_id")
     """Left join on two keys.  Exact duplicate EXIF rows are dropped first
     (deterministic); keys that still repeat with different values would fan
     out, which the row-conservation check (Q1, ``expect_join_conserves``)
-    reports instead of silently picking one."""
-    keys = list(keys)
-    return anns.join(exif.distinct(), keys, "left")
+    reports instead of silently picking one.  Null keys match null keys."""
+    return join_back(anns, exif.distinct(), list(keys))
 
 
 def join_dim(df: DataFrame, dim: DataFrame, key: str | list[str], how: str = "left") -> DataFrame:
@@ -75,22 +74,22 @@ def anti(df: DataFrame, keys: DataFrame, on) -> DataFrame:
 
 
 def pred_vs_real(pred: DataFrame, real: DataFrame, cls: str = "class") -> DataFrame:
-    """Per-class predicted and true counts, inner-joined on class."""
+    """Per-class predicted and true counts, inner-joined on class (null is a class)."""
     p = pred.groupBy(cls).agg(F.count("*").alias("n_pred"))
     r = real.groupBy(cls).agg(F.count("*").alias("n_true"))
-    return p.join(r, cls, "inner")
+    return join_back(p, r, [cls], "inner")
 
 
 def overlay_annotations(base: DataFrame, upd: DataFrame, key: str = "image",
                         payload: str = "annotations") -> DataFrame:
     """The update replaces base annotations by key; keys present only in the
     update are added only when they carry annotations.  ``payload`` is an array or a
-    count; ``from_update`` tells which side a row's payload came from."""
-    b = base.alias("b")
-    u = upd.alias("u")
-    j = b.join(u, F.col(f"b.{key}") == F.col(f"u.{key}"), "full_outer")
-    in_base = F.col(f"b.{key}").isNotNull()
-    has_upd = F.col(f"u.{key}").isNotNull()
+    count; ``from_update`` tells which side a row's payload came from.  Null is a key."""
+    b = base.withColumn("_in_base", F.lit(True)).alias("b")
+    u = upd.withColumn("_in_update", F.lit(True)).alias("u")
+    j = b.join(u, F.col(f"b.{key}").eqNullSafe(F.col(f"u.{key}")), "full_outer")
+    in_base = F.coalesce("_in_base", F.lit(False))
+    has_upd = F.coalesce("_in_update", F.lit(False))
     has = F.col(f"u.{payload}")
     if isinstance(upd.schema[payload].dataType, T.ArrayType):
         has = F.size(has)
@@ -104,21 +103,23 @@ def overlay_annotations(base: DataFrame, upd: DataFrame, key: str = "image",
 
 def first_non_null(a: DataFrame, b: DataFrame, key: str, cols: list[str]) -> DataFrame:
     """Per key, take ``a``'s values unless all of ``cols`` are null there,
-    then ``b``'s."""
+    then ``b``'s.  Null is a key."""
     aa, bb = a.alias("a"), b.alias("b")
     a_null = None
     for c in cols:
         t = F.col(f"a.{c}").isNull()
         a_null = t if a_null is None else a_null & t
-    j = aa.join(bb, F.col(f"a.{key}") == F.col(f"b.{key}"), "full_outer")
+    j = aa.join(bb, F.col(f"a.{key}").eqNullSafe(F.col(f"b.{key}")), "full_outer")
     return j.select(F.coalesce(F.col(f"a.{key}"), F.col(f"b.{key}")).alias(key),
                     *[F.when(a_null, F.col(f"b.{c}")).otherwise(F.col(f"a.{c}")).alias(c) for c in cols])
 
 
 def bind_by_key(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """Column-bind two frames on an explicit row key.  Rows found on one side only
-    stay, with nulls for the other side's columns."""
-    return a.join(b, key, "full_outer")
+    stay, with nulls for the other side's columns.  Null is a key."""
+    right = b.withColumnRenamed(key, "__key")
+    j = a.join(right, F.col(key).eqNullSafe(F.col("__key")), "full_outer")
+    return j.withColumn(key, F.coalesce(key, "__key")).drop("__key")
 
 
 def in_deployment(obs: DataFrame, dep: DataFrame, key: str = "camera_id", ts: str = "date_time",

@@ -24,17 +24,16 @@ def accuracy(df: DataFrame, truth: str = "truth", pred: str = "pred") -> DataFra
 
 def class_metrics(df: DataFrame, truth: str = "truth", pred: str = "pred") -> DataFrame:
     """Per class TP, FP, FN, TN, precision, recall, F1 over *all* classes seen
-    as truth or prediction (undefined ratios are null)."""
+    as truth or prediction (undefined ratios are null; null is a class).  Every cell of
+    the confusion table is counted for its true and for its predicted class in one aggregate."""
     cm = confusion(df, truth, pred)
-    t = cm.groupBy(F.col(truth).alias("class")).agg(F.sum("n").alias("n_true"))
-    p = cm.groupBy(F.col(pred).alias("class")).agg(F.sum("n").alias("n_pred"))
-    tp = (cm.filter(F.col(truth) == F.col(pred))
-          .select(F.col(truth).alias("class"), F.col("n").alias("tp")))
-    tot = cm.agg(F.sum("n").alias("_N"))
+    n, same = F.col("n"), F.col(truth).eqNullSafe(F.col(pred))
+    both = cm.select(F.explode(F.array(
+        F.struct(F.col(truth).alias("class"), n.alias("t"), F.lit(0).cast("long").alias("p"), F.when(same, n).otherwise(0).alias("tp")),
+        F.struct(F.col(pred).alias("class"), F.lit(0).cast("long").alias("t"), n.alias("p"), F.lit(0).cast("long").alias("tp")))).alias("c")).select("c.*")
+    m = both.groupBy("class").agg(F.sum("t").alias("n_true"), F.sum("p").alias("n_pred"), F.sum("tp").alias("tp"))
     from camstat.operators.aggregates import attach_scalar
-    m = (t.join(p, "class", "full_outer").join(tp, "class", "left")
-         .fillna(0, subset=["n_true", "n_pred", "tp"]))
-    m = attach_scalar(m, tot)
+    m = attach_scalar(m, df.agg(F.count("*").alias("_N")))
     fp = F.col("n_pred") - F.col("tp")
     fn = F.col("n_true") - F.col("tp")
     prec = F.when(F.col("n_pred") > 0, F.col("tp") / F.col("n_pred"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from camstat.functions.ids import drop_last_token, is_manual
@@ -40,14 +40,17 @@ def unpivot(df: DataFrame, ids: list[str], values: list[str], name: str = "varia
 
 
 def nest(df: DataFrame, key: list[str], out: str = "data") -> DataFrame:
-    """Rows per key as arrays of structs with a row count.  A key's rows are divided by
-    hash into arrays of about ``NEST_ROWS``, numbered ``part``, so a key of any size fits;
-    ``nr`` is the key's whole row count."""
+    """Rows per key as arrays of structs with a row count.  A key's rows are numbered in
+    order and divided into arrays of ``NEST_ROWS``, numbered ``part``, so a key of any size
+    fits, equal rows included; ``nr`` is the key's whole row count.  Null is a key.  A table
+    of keys alone nests structs of the row number (``row``)."""
+    from camstat.operators.windows import seq_id
     rest = [c for c in df.columns if c not in key]
     sizes = df.groupBy(*key).agg(F.count("*").alias("nr"))
-    parts = F.ceil(F.col("nr") / NEST_ROWS)
-    split = join_back(df, sizes, key).withColumn("part", F.pmod(F.xxhash64(*rest), parts).cast("int"))
-    return split.groupBy(*key, "nr", "part").agg(F.sort_array(F.collect_list(F.struct(*rest))).alias(out))
+    split = seq_id(df, rest or key, out="_row", by=key).withColumn("part", F.floor((F.col("_row") - 1) / NEST_ROWS).cast("int"))
+    own = F.struct(*rest) if rest else F.struct(F.col("_row").alias("row"))
+    arrays = split.groupBy(*key, "part").agg(F.sort_array(F.collect_list(own)).alias(out))
+    return join_back(arrays, sizes, key, "inner").select(*key, "nr", "part", out)
 
 
 def unnest(df: DataFrame, col: str = "data") -> DataFrame:
@@ -133,9 +136,10 @@ def sort_nulls_last(df: DataFrame, cols: list[str], desc: list[bool] | None = No
 def label_order(df: DataFrame, label: str, by: str, out: str = "level", desc: bool = False) -> DataFrame:
     """The order of a label by another column: ``(label, by_mean, level)``, level 1 for the
     label with the smallest (largest) mean, ties by label; nulls last.  One row per label."""
+    from camstat.operators.windows import seq_id
     m = df.groupBy(label).agg(F.avg(by).alias(f"{by}_mean"))
     key = F.col(f"{by}_mean").desc_nulls_last() if desc else F.col(f"{by}_mean").asc_nulls_last()
-    return m.withColumn(out, F.row_number().over(Window.orderBy(key, F.col(label).asc_nulls_last())))
+    return seq_id(m, [key, F.col(label).asc_nulls_last()], out=out)
 
 
 def head(df: DataFrame, n: int, order: list[str]) -> DataFrame:

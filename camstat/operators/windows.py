@@ -147,9 +147,10 @@ def expand_bursts(dets: DataFrame, keys: list[str], ts: str, thr: float = 0.1,
                   conf: str = "confidence", burst_gap_seconds: float = 2.0,
                   burst: str | None = None, tiebreak: list[str] | None = None) -> DataFrame:
     """Keep every image of a burst in which any image passes ``thr``.  The
-    burst id is given (``burst``) or derived from capture gaps per camera."""
+    burst id is given (``burst``) or derived from capture gaps per camera; derived ids are
+    written once, as both the maxima and the rows need them."""
     if burst is None:
-        dets = sessionize(dets, keys, ts, burst_gap_seconds, tiebreak, out="burst")
+        dets = written(sessionize(dets, keys, ts, burst_gap_seconds, tiebreak, out="burst"), "bursts")
         burst = "burst"
         bkeys = [*keys, burst]
     else:

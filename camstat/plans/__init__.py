@@ -7,7 +7,7 @@ def load_all() -> None:
     """Import every plan module so its queries register."""
     from camstat.plans import (  # noqa: F401
         ecology, detections, identity, windows_q, spatial_q, classify_q, learning_q, quality_q, extras_q,
-        sources_q, helpers_q,
+        sources_q, helpers_q, gis_q,
     )
 
 

@@ -205,3 +205,54 @@ def reconcile_null_file(spark, sf):
     """Section 2.9: rows without a file name are one file and get a rule."""
     e = _exports(spark, sf).withColumn("source_file", F.when(~F.col("source_file").endswith("7.JPG"), F.col("source_file")))
     return decide(e, ["source_file"]).select("source_file", "rule", "n1", "n2")
+
+
+def _with_null(df, row: dict):
+    """``df`` and one more row, whose other columns (the key) are null."""
+    one = df.sparkSession.range(1).select(*[F.lit(row.get(c)).cast(t).alias(c) for c, t in df.dtypes])
+    return df.unionByName(one)
+
+
+@register("null_key_joins", with_views(["cameras", "boxes"], """
+WITH c AS (SELECT camera_id AS k, lon AS v FROM cameras UNION ALL SELECT NULL, 1.0),
+d AS (SELECT camera_id AS k, lat AS w FROM cameras WHERE camera_id % 3 <> 0 UNION ALL SELECT NULL, 2.0),
+p AS (SELECT species AS truth, CASE WHEN category_id = 0 THEN NULL ELSE species END AS pred FROM boxes)
+SELECT 'J1' AS operator, count(*) AS n, count(w) AS matched FROM c LEFT JOIN d ON c.k IS NOT DISTINCT FROM d.k
+UNION ALL SELECT 'J8', sum(t.n), sum(r.n) FROM (SELECT truth, count(*) AS n FROM p GROUP BY truth) t JOIN (SELECT pred, count(*) AS n FROM p GROUP BY pred) r ON t.truth IS NOT DISTINCT FROM r.pred
+UNION ALL SELECT 'J9', count(*), count(*) FILTER (WHERE b.k IS NOT DISTINCT FROM u.k AND u.x = 1) FROM c b LEFT JOIN (SELECT *, 1 AS x FROM d) u ON b.k IS NOT DISTINCT FROM u.k
+UNION ALL SELECT 'J13', count(*), count(*) FILTER (WHERE c.k IS NULL) FROM c FULL JOIN d ON c.k IS NOT DISTINCT FROM d.k
+UNION ALL SELECT 'J17', count(*), count(*) FILTER (WHERE w IS NOT NULL AND v IS NOT NULL) FROM c FULL JOIN d ON c.k IS NOT DISTINCT FROM d.k
+UNION ALL SELECT 'S18', count(*), 0 FROM c WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.k IS NOT DISTINCT FROM c.k)
+UNION ALL SELECT 'A28', count(*) FILTER (WHERE truth IS NULL), count(*) FILTER (WHERE truth IS NULL AND pred IS NULL) FROM p"""))
+def null_key_joins(spark, sf):
+    """J1, J8, J9, J13, J17, S18, A28 over whole tables with one more row whose key is null: rows and matches of each."""
+    from camstat.operators import metrics as M
+    from camstat.sources import readers as RD
+    cams = S.cameras(spark, sf)
+    c = _with_null(cams.select(F.col("camera_id").alias("k"), F.col("lon").alias("v")), {"v": 1.0})
+    d = _with_null(cams.filter(F.col("camera_id") % 3 != 0).select(F.col("camera_id").alias("k"), F.col("lat").alias("w")), {"w": 2.0})
+    p = S.boxes(spark, sf).select(F.col("species").alias("truth"), F.when(F.col("category_id") != 0, F.col("species")).alias("pred"))
+    n = F.count("*").alias("n")
+    rows = [
+        ("J1", J.join_exif(c, d, ["k"]).agg(n, F.count("w").alias("matched"))),
+        ("J8", J.pred_vs_real(p.select(F.col("pred").alias("class")), p.select(F.col("truth").alias("class"))).agg(F.sum("n_true").alias("n"), F.sum("n_pred").alias("matched"))),
+        ("J9", J.overlay_annotations(c.select("k", F.lit(1).alias("x")), d.select("k", F.lit(1).alias("x")), "k", "x").agg(n, F.count_if("from_update").alias("matched"))),
+        ("J13", J.first_non_null(c, d.withColumnRenamed("w", "v"), "k", ["v"]).agg(n, F.count_if(F.col("k").isNull()).alias("matched"))),
+        ("J17", J.bind_by_key(c, d, "k").agg(n, F.count_if(F.col("v").isNotNull() & F.col("w").isNotNull()).alias("matched"))),
+        ("S18", RD.pending(c, d, "k").agg(n, F.lit(0).cast("long").alias("matched"))),
+        ("A28", M.class_metrics(p).filter(F.col("class").isNull()).select((F.col("tp") + F.col("fn")).alias("n"), F.col("tp").alias("matched"))),
+    ]
+    out = None
+    for name, df in rows:
+        own = df.select(F.lit(name).alias("operator"), F.col("n").cast("long").alias("n"), F.col("matched").cast("long").alias("matched"))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+@register("split_by_species", with_views(["boxes"], "SELECT species, count(*) AS n, sum(w * h) AS area FROM boxes GROUP BY species"))
+def split_by_species(spark, sf):
+    """Boxes written as one folder per species (null is one) and read back."""
+    from camstat.session import shared_path
+    path = shared_path(spark, "split")
+    R.split_write(S.boxes(spark, sf).select("species", "w", "h"), ["species"], path)
+    return spark.read.parquet(path).groupBy("species").agg(F.count("*").alias("n"), F.sum(F.col("w") * F.col("h")).alias("area"))

@@ -293,7 +293,7 @@ def _detector_rows(spark, sf):
 _DET_SQL = """
 SELECT CAST(i.image_id AS VARCHAR) || '.JPG' AS file, i.m AS max_detection_conf, b.box, b.category, b.conf, b.x, b.y, b.w, b.h
 FROM (SELECT image_id, max(confidence) AS m FROM boxes GROUP BY image_id) i LEFT JOIN (
-  SELECT image_id, row_number() OVER (PARTITION BY image_id ORDER BY box_id) - 1 AS box, category_id % 3 + 1 AS category, confidence AS conf,
+  SELECT image_id, row_number() OVER (PARTITION BY image_id ORDER BY box_id, category_id % 3, confidence, x, y, w, h) - 1 AS box, category_id % 3 + 1 AS category, confidence AS conf,
          x / 100 AS x, y / 100 AS y, w / 100 AS w, h / 100 AS h FROM boxes WHERE image_id % 5 <> 0) b ON i.image_id = b.image_id"""
 
 

@@ -19,6 +19,7 @@ from camstat.functions.ids import drop_first_token
 from camstat.operators.filters import category_label, clean_names
 from camstat.operators.joins import join_back
 from camstat.operators.reshape import union_fill
+from camstat.session import written
 from camstat.sources.fileio import first_line
 from camstat.schemas import ANNOTATION_FIELDS, COCO_SCHEMA, DETECTOR_SCHEMA, GEOJSON_SCHEMA, TASK_SCHEMA  # noqa: F401
 
@@ -30,30 +31,36 @@ def read_annotations(spark: SparkSession, path: str, pattern: str = "*output.csv
     what the given expression makes of ``_metadata``).
 
     Files may differ in column order and in extra columns: they are grouped by their header
-    line (read from the file start in tasks), each group is scanned with its own schema, and
-    the groups are joined by name, missing columns null.  Fields may hold line breaks and
+    line (read from the file start in tasks), each kind of header is scanned with its own schema
+    and keeps the rows of its files (a table of paths, not a list), and the kinds are joined by
+    name, missing columns null.  Fields may hold line breaks and
     doubled quotes.  No files give an empty table of the known columns."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
-             .load(path).select("path"))
+             .load(path).select("path", F.col("_metadata.file_path").alias("uri")))
 
     def heads(batches):
         for b in batches:
             yield b.assign(header=[first_line(p) for p in b["path"]])
 
-    groups = files.mapInPandas(heads, "path string, header string").groupBy("header").agg(F.collect_list("path").alias("paths"))
+    headed = written(files.mapInPandas(heads, "path string, uri string, header string"), "headers")
+    kinds = [r["header"] for r in headed.select("header").distinct().orderBy("header").collect()]  # one row per kind of header
     known = dict(ANNOTATION_FIELDS)
     name = F.col("_metadata.file_name") if file is None else file
     parts = []
-    for g in groups.orderBy("header").collect():  # one row per kind of header, with its file names
-        names = next(csv.reader([g["header"]]))
+    for head in kinds:
+        names = next(csv.reader([head]))
         if not any(names):
             continue
         schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
         df = (spark.read.schema(schema).option("header", True).option("nullValue", "NA").option("multiLine", True)
-              .option("quote", '"').option("escape", '"').csv(g["paths"]))
+              .option("quote", '"').option("escape", '"').option("pathGlobFilter", pattern).option("recursiveFileLookup", True).csv(path))
+        df = df.select("*", name.alias("__name"), F.col("_metadata.file_path").alias("__uri"))
+        if len(kinds) > 1:
+            own = headed.where(F.col("header") == head).select(F.col("uri").alias("__own"))
+            df = df.join(own, F.col("__uri") == F.col("__own"), "left_semi")
         cols = [F.col(f"`{c}`").cast(known[c]).alias(c) if c in known else F.col(f"`{c}`") for c in names]
         missing = [F.lit(None).cast(t).alias(c) for c, t in ANNOTATION_FIELDS if c not in names]
-        parts.append(df.select(*cols, *missing, name.alias("file")))
+        parts.append(df.select(*cols, *missing, F.col("__name").alias("file")))
     if not parts:
         return spark.createDataFrame([], T.StructType(
             [T.StructField(c, T._parse_datatype_string(t)) for c, t in [*ANNOTATION_FIELDS, ("file", "string")]]))
@@ -264,8 +271,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
 
 def pending(work: DataFrame, done: DataFrame, key: str | list[str], overwrite: bool = False) -> DataFrame:
     """Work items whose output does not exist yet (all items when
-    ``overwrite``)."""
-    return work if overwrite else work.join(done, key, "left_anti")
+    ``overwrite``).  A null key is done where the other side holds one."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return work if overwrite else join_back(work, done.select(*keys).distinct(), keys, "left_anti")
 
 
 def _re(s: str) -> str:
