@@ -3,7 +3,9 @@
 A text is spelt twice, by a byte-level BPE file (A, a space put before the text) and by a
 sentencepiece file (B, which puts that space itself).  Both spell the same bytes, so the running
 byte ends of either side go into an end-to-index dictionary, the ends that both dictionaries hold
-are sorted, and consecutive common ends slice the two id lists into groups.  No token is empty, so
+are taken in order, and consecutive common ends slice the two id lists into groups.  Ends are byte offsets of
+the text, so the dictionaries are tables addressed by the offset itself: a hash without collisions,
+whose keys come out sorted.  No token is empty, so
 each slice links exactly its two last tokens: the ones that end together.
 
 Linked tokens end at the same byte, so one of them is a suffix of the other.  All pairs that can ever be
@@ -69,6 +71,7 @@ class Spelling:
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=piece)
         size = self.pieces.get_piece_size()
         self.b = [self._piece_bytes(i) for i in range(size)]
+        self.bytes_a, self.bytes_b = np.array(self.a, object), np.array(self.b, object)
         self.length_a, self.length_b = np.array([len(t) for t in self.a]), np.array([len(t) for t in self.b])
         #: Ids in decimal, followed by a comma, a bar, or a semicolon.
         self.names = max(len(self.a), size)
@@ -108,41 +111,40 @@ class Spelling:
                 found.update(i * len(self.b) + j for i in by_bytes[0].get(t[k:], ()) for j in ids)
         return np.array(sorted(found), np.int64)
 
-    def spell(self, text: str) -> tuple[list[int], list[int]]:
+    def spell(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of both sides; none where either does not spell the bytes of space and text."""
+        none = np.zeros(0, np.int64), np.zeros(0, np.int64)
         if not text:
-            return [], []
+            return none
         spaced = " " + text
-        if self.fast is not None and not _changing().search(text):
-            a = self.fast.encode_ordinary(spaced)
+        if self.fast is not None and not _changing().search(spaced):
+            a = self.fast.encode_to_numpy(spaced, disallowed_special=()).astype(np.int64)
         else:
-            a = self.library.encode(spaced, add_special_tokens=False).ids
-        b = self.pieces.encode(text)
+            a = np.array(self.library.encode(spaced, add_special_tokens=False).ids, np.int64)
+        b = np.array(self.pieces.encode(text), np.int64)
         want = spaced.encode()
-        if b"".join([self.a[i] for i in a]) != want or b"".join([self.b[i] for i in b]) != want:
-            return [], []
+        if b"".join(self.bytes_a[a].tolist()) != want or b"".join(self.bytes_b[b].tolist()) != want:
+            return none
         return a, b
 
-    def align(self, a: list[int], b: list[int]) -> tuple[str, np.ndarray]:
+    def align(self, a: np.ndarray, b: np.ndarray) -> tuple[str, np.ndarray]:
         """(groups as ``a1,a2|b1;...``, links as id_a * len(b) + id_b)."""
-        ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
-        at_a = dict(zip(self.length_a[ids_a].cumsum().tolist(), range(1, len(a) + 1)))
-        at_b = dict(zip(self.length_b[ids_b].cumsum().tolist(), range(1, len(b) + 1)))
-        common = sorted(at_a.keys() & at_b.keys())
-        if not common:
+        if not len(a) or not len(b):
             return "", np.zeros(0, np.int64)
-        to_a = np.array([at_a[e] for e in common])
-        to_b = np.array([at_b[e] for e in common])
+        ends_a, ends_b = self.length_a[a].cumsum(), self.length_b[b].cumsum()
+        at_a, at_b = (np.zeros(max(ends_a[-1], ends_b[-1]) + 1, np.int64) for _ in "ab")
+        at_a[ends_a], at_b[ends_b] = np.arange(1, len(a) + 1), np.arange(1, len(b) + 1)
+        common = np.flatnonzero(at_a * at_b)
+        to_a, to_b = at_a[common], at_b[common]
         # Each slice is written as its A ids, then its B ids; every id has its separator behind it.
         before_a, before_b = np.diff(to_a, prepend=0), np.diff(to_b, prepend=0)
-        size = len(self.b)
         spelt = np.empty(len(a) + len(b), np.int64)
         place_a = np.arange(len(a)) + np.repeat(to_b - before_b, before_a)
         place_b = np.arange(len(b)) + np.repeat(to_a, before_b)
-        spelt[place_a], spelt[place_b] = ids_a, ids_b
+        spelt[place_a], spelt[place_b] = a, b
         spelt[place_a[to_a - 1]] += self.names
         spelt[place_b[to_b - 1]] += 2 * self.names
-        return "".join(self.named[spelt].tolist())[:-1], ids_a[to_a - 1] * size + ids_b[to_b - 1]
+        return "".join(self.named[spelt].tolist())[:-1], a[to_a - 1] * len(self.b) + b[to_b - 1]
 
 
 @functools.lru_cache(maxsize=2)

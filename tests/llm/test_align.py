@@ -85,8 +85,8 @@ def test_empty_table(spark):
 @given(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from("ae  \n\t'1é　\xa0\x0b▁<s>")), max_size=40))
 def test_any_text(own, text):
     a, b = own.spell(text)
-    if a:
-        assert a == own.library.encode(" " + text, add_special_tokens=False).ids
+    if len(a):
+        assert a.tolist() == own.library.encode(" " + text, add_special_tokens=False).ids
         groups, links = own.align(a, b)
         assert b"".join(own.b[j] for j in b) == (" " + text).encode()
         assert len(groups.split(";")) == len(links) >= 1
