@@ -158,6 +158,10 @@ def smooth_fit(train: DataFrame, grid: DataFrame, x: str, y: str, label: str, fa
     return model.transform(_assemble(g, names)).drop("features", *names)
 
 
+#: Rows in a partition of a table that trees are grown on.
+TREE_ROWS = 50_000
+
+
 def tune_forest(train: DataFrame, features: list[str], label: str, trees=(50,), min_nodes=(1, 5),
                 mtry=("sqrt", "onethird"), fold: str = "fold", folds: int = 10, seed: int = 42):
     """Random forest tuned over features-per-split x minimum node size by
@@ -167,9 +171,11 @@ def tune_forest(train: DataFrame, features: list[str], label: str, trees=(50,),
             .addGrid(rf.featureSubsetStrategy, list(mtry)).build())
     ev = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
     pipe = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"), rf])
+    # Every level of every tree is a job over all partitions: their number follows the rows, not the files.
+    sized = train.coalesce(max(1, -(-train.count() // TREE_ROWS)))
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, numFolds=folds, seed=seed,
-                        parallelism=4, foldCol=fold)
-    return cv.fit(train)
+                        parallelism=8, foldCol=fold)
+    return cv.fit(sized)
 
 
 def last_fit(model, test: DataFrame, label: str) -> tuple[DataFrame, dict]:
