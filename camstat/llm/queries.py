@@ -96,7 +96,7 @@ def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op4_mix"] = r"""
 WITH RECURSIVE rows AS (
-  SELECT DISTINCT doc_id, source,
+  SELECT DISTINCT doc_id, source, md5(coalesce(text, '')) AS digest,
     CAST(length(coalesce(text, '')) - length(translate(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(13), '')) + 1 AS BIGINT) AS n_tokens,
     CASE WHEN source IS NULL THEN 'n' ELSE 's' || source END AS src
   FROM documents
@@ -120,13 +120,13 @@ WITH RECURSIVE rows AS (
 ), used AS (
   SELECT r.*, p.total, p.budget, greatest(1, (p.budget + p.blocks - 1) // p.blocks) AS share_of_block, e.epoch
   FROM rows r JOIN plan p ON r.src = p.src, generate_series(0, greatest(0, (p.budget - 1) // p.total)) AS e(epoch)
-), hashed AS (SELECT *, md5('mix:' || epoch || ':' || coalesce(doc_id::VARCHAR, '')) AS hash FROM used
+), hashed AS (SELECT *, md5('mix:' || epoch || ':' || coalesce(doc_id::VARCHAR, digest)) AS hash FROM used
 ), laid AS (
-  SELECT *, CAST(sum(n_tokens) OVER (PARTITION BY src, epoch ORDER BY hash, doc_id, n_tokens ROWS UNBOUNDED PRECEDING) - n_tokens + epoch * total AS BIGINT) AS pos
+  SELECT *, CAST(sum(n_tokens) OVER (PARTITION BY src, epoch ORDER BY hash, doc_id, n_tokens, digest ROWS UNBOUNDED PRECEDING) - n_tokens + epoch * total AS BIGINT) AS pos
   FROM hashed
 ), cut AS (SELECT *, pos // share_of_block AS block FROM laid WHERE pos < budget)
 SELECT doc_id, source, n_tokens, CAST(epoch AS INTEGER) AS epoch, CAST(block AS BIGINT) AS block,
-  CAST(row_number() OVER (PARTITION BY block ORDER BY md5(hash || ':' || block), src, doc_id, epoch, n_tokens) - 1 AS BIGINT) AS slot
+  CAST(row_number() OVER (PARTITION BY block ORDER BY md5(hash || ':' || block), src, doc_id, epoch, n_tokens, digest) - 1 AS BIGINT) AS slot
 FROM cut
 """
 
