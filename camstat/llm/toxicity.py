@@ -20,6 +20,7 @@ and the lexicon (``LEXICON`` units); scoring is one pass over all documents with
 
 from __future__ import annotations
 
+import functools
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -44,8 +45,8 @@ BEGINNINGS = (4, 5, 6, 7, 8)
 BOUNDS = (1e-9, 0.5, 1.0, 1.5, 2.0, 3.0)
 #: Correlation in toxic rows from which voters are one family.
 FAMILY = 0.1
-#: Entries in a worker's memo of words, and units that a task counts before it hands them on.
-MEMO, TALLY = 200_000, 200_000
+#: Units that a task counts before it hands them on.
+TALLY = 50_000
 _WORD = re.compile(r"[^\W\d_]+")
 #: Pattern voters: name, pattern, least matches per 100 words.
 PATTERNS = (
@@ -96,34 +97,36 @@ class Model:
     lexicon: dict[str, int] = field(default_factory=dict)
     weights: np.ndarray = field(default_factory=lambda: np.zeros(len(PATTERNS)))
     bias: float = -20.0
-    #: Words looked up before, in this process.
-    memo: dict = field(default_factory=dict, repr=False, compare=False)
-
     def unit(self, word: str) -> int | None:
         return next((self.lexicon[u] for u in units(word) if u in self.lexicon), None)
 
-    def hits(self, found: Counter) -> dict[int, int]:
-        """Unit -> hits."""
-        out: dict[int, int] = {}
-        memo = self.memo
-        if len(memo) > MEMO:
-            memo.clear()
-        for word, n in found.items():
-            u = memo.get(word, -1)
-            if u == -1:
-                u = self.unit(word)
-                if len(word) < 64:
-                    memo[word] = u
-            if u is not None:
-                out[u] = out.get(u, 0) + n
+    @functools.cached_property
+    def automaton(self):
+        import ahocorasick
+
+        found = ahocorasick.Automaton()
+        for u, i in self.lexicon.items():
+            found.add_word(u.rstrip("~"), (len(u.rstrip("~")), u.endswith("~"), i))
+        found.make_automaton()
+        return found
+
+    def hits(self, low: str) -> list[int]:
+        """The units of the words of a lower-cased text, one entry per hit, without looking at words that hold none."""
+        out = []
+        for end, (size, begins, i) in self.automaton.iter(low):
+            before, after = low[end - size:end - size + 1] if end >= size else "", low[end + 1:end + 2]
+            if not _WORD.match(before) and bool(_WORD.match(after)) == begins:
+                out.append(i)
         return out
 
     def score(self, text: str | None) -> float:
         z = self.bias + sum(w for w, on in zip(self.weights, fired(text)) if on)
-        if self.lexicon:
-            found = words(text)
-            root = density(1.0, sum(found.values()))
-            z += sum(self.weights[len(PATTERNS) + u] * n * root for u, n in self.hits(found).items())
+        if self.lexicon and text:
+            low = text.lower()
+            found = self.hits(low)
+            if found:
+                root = density(1.0, len(_WORD.findall(low)))
+                z += root * sum(self.weights[len(PATTERNS) + u] for u in found)
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
@@ -314,15 +317,15 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         import pandas as pd
 
         for batch in batches:
-            hits = [own.hits(Counter(dict(zip(w, map(int, c))))) for w, c in zip(batch["words"], batch["counts"])]
+            hits = [[(u, int(n)) for u, n in zip(map(own.unit, w), c) if u is not None] for w, c in zip(batch["words"], batch["counts"])]
             yield pd.DataFrame({"key": batch["key"].astype(str), "y": batch["y"], "n": batch["n"], "weight": batch["weight"], "fired": batch["fired"],
-                                "unit": [list(h) for h in hits], "hits": [list(h.values()) for h in hits]})
+                                "unit": [[u for u, _ in h] for h in hits], "hits": [[n for _, n in h] for h in hits]})
 
     got = train.mapInPandas(found_units, "key string, y long, n long, weight double, fired array<boolean>, unit array<long>, hits array<long>").toPandas()
     got = got.sort_values("key", ignore_index=True)  # one order on every run
     hits = np.zeros((len(got), len(lexicon)))
     for i, (u, h) in enumerate(zip(got["unit"], got["hits"])):
-        hits[i, np.asarray(u, int)] = h
+        np.add.at(hits[i], np.asarray(u, int), np.asarray(h, float))
     dense = density(hits, got["n"].to_numpy(float)[:, None])
     patterns = np.array(got["fired"].tolist(), float).reshape(len(got), len(PATTERNS))
     weight, y = got["weight"].to_numpy(float), got["y"].to_numpy(float)
