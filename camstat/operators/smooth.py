@@ -204,7 +204,7 @@ def _equations(rows: DataFrame, model: Model, first: bool) -> tuple[np.ndarray,
 def _solve(a: np.ndarray, b: np.ndarray, zz: float, n: float, penalties: list[np.ndarray], smoothing) -> tuple[np.ndarray, float, float]:
     """(coefficients, effective degrees of freedom, GCV score) for given smoothing parameters."""
     whole = a + sum(s * p for s, p in zip(smoothing, penalties))
-    whole = whole + np.eye(len(a)) * (1e-12 * np.trace(whole) / len(a) + 1e-300)
+    whole = whole + np.eye(len(a)) * (1e-12 * np.trace(a) / len(a) + 1e-300)
     both = np.linalg.solve(whole, np.column_stack([b, a]))
     gamma, edf = both[:, 0], float(np.trace(both[:, 1:]))
     rss = max(zz - 2 * gamma @ b + gamma @ a @ gamma, 0.0)
@@ -217,9 +217,21 @@ def choose_smoothing(a, b, zz, n, penalties, start=None, span=(-6.0, 8.0)) -> li
     unit = [np.trace(a) / max(np.trace(p), 1e-300) for p in penalties]
     power = [0.0] * len(penalties) if start is None else [float(np.log10(s / u)) for s, u in zip(start, unit)]
 
-    def score(k, value):
-        own = [u * 10 ** (value if j == k else power[j]) for j, u in enumerate(unit)]
-        return _solve(a, b, zz, n, penalties, own)[2]
+    if len(penalties) == 1:
+        # One parameter: both matrices are made diagonal together, after which a score costs no solve.
+        root = np.linalg.cholesky(a + np.eye(len(a)) * (1e-10 * np.trace(a) / len(a) + 1e-300))
+        half = np.linalg.solve(root, np.column_stack([penalties[0], b]))
+        values, turned = np.linalg.eigh(np.linalg.solve(root, half[:, :-1].T))
+        along, values = turned.T @ half[:, -1], np.maximum(values, 0.0)
+
+        def score(k, value):
+            kept = 1 / (1 + unit[0] * 10**value * values)
+            rss = max(zz - (along * along * kept * (2 - kept)).sum(), 1e-12 * zz)  # below that it is rounding
+            return n * rss / max(n - kept.sum(), 1e-9) ** 2
+    else:
+        def score(k, value):
+            own = [u * 10 ** (value if j == k else power[j]) for j, u in enumerate(unit)]
+            return _solve(a, b, zz, n, penalties, own)[2]
 
     for _ in range(1 if len(penalties) == 1 else 4):
         for k in range(len(penalties)):
