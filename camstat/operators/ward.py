@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from camstat.operators.components import components
-from camstat.operators.joins import join_back
 from camstat.session import drop_path, written, written_at
 
 #: Clusters in a block; two blocks meet in a task.

@@ -265,8 +265,8 @@ _CORRECTED = 7
 SELECT CASE WHEN folder % {_CORRECTED} = 0 THEN category_id + 10 ELSE category_id END AS category_id, count(*) AS n, count(DISTINCT image_id) AS n_images
 FROM boxes GROUP BY 1"""))
 def ingest_replaced_files(spark, sf):
-    """T1 + S18: detector files ingested, some folders' files replaced by corrected ones under their old names, ingested again;
-    each file's rows are there once, as last written."""
+    """T1 + S18: detector files ingested, some folders' files replaced by corrected ones, ingested again; each
+    detection is there once, as last written."""
     from camstat.streaming.ingest import coco_documents
     base = shared_path(spark, "ingest-replace")
     boxes = S.boxes(spark, sf)
