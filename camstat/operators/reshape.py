@@ -11,6 +11,8 @@ from camstat.operators.joins import join_back
 
 #: Rows aimed at in one nested array.
 NEST_ROWS = 10_000
+#: Rows of tags aimed at in a partition that makes them wide.
+WIDEN_ROWS = 1_000_000
 # fixed values: tag variables defined by the labelling interface, in order
 TAG_VARIABLES = ["species", "other_species", "sex", "age", "behavior",
                  "unique_markings", "comment", "notes"]
@@ -18,13 +20,19 @@ TAG_VARIABLES = ["species", "other_species", "sex", "age", "behavior",
 
 def widen_tags(long: DataFrame, variables: list[str] = TAG_VARIABLES,
                variable: str = "variable", tag: str = "tag",
-               drop: tuple[str, ...] = ("type",)) -> DataFrame:
+               drop: tuple[str, ...] = ("type",), rows: int | None = None) -> DataFrame:
     """Annotation long -> wide (one row per box).  Adds ``manual`` and
     ``image_id``; pivots the fixed variable list (static schema); keeps region
     rows only; resolves "Other" species.  Several tags of one variable (multiple choice)
-    are all kept, sorted and joined by ``", "``."""
+    are all kept, sorted and joined by ``", "``.
+
+    ``rows``: about how many rows ``long`` has, where that is known; they are then dealt to
+    partitions of ``WIDEN_ROWS`` as they come and combined there, in memory: a box has few rows to
+    combine before they move, and sorting all rows of a task for that spills."""
     df = long.drop(*[c for c in drop if c in long.columns])
     keys = [c for c in df.columns if c not in (variable, tag)]
+    if rows is not None:
+        df = df.repartition(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // WIDEN_ROWS)), *keys)
     wide = (df.groupBy(*keys).pivot(variable, variables)
             .agg(F.collect_set(tag)))
     wide = wide.withColumns({v: F.when(F.size(v) > 0, F.array_join(F.array_sort(F.col(v)), ", ")) for v in variables})

@@ -245,7 +245,7 @@ WHERE value_text IS NULL""", {"long_tags": _LONG_TAGS_SQL}))
 def annotations_wide(spark, sf):
     """R1 + R2 + O10 + O11: long tag rows pivoted to one row per box over the
     fixed variable list; comment rows dropped; catch-all species resolved."""
-    return widen_tags(_long_tags(spark, sf), drop=())
+    return widen_tags(_long_tags(spark, sf), drop=(), rows=4 * S.table(spark, sf, "lineitem").count())
 
 
 _EXPORTS_SQL = f"""

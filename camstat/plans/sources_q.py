@@ -19,7 +19,7 @@ from camstat.plans.extras_q import _EXIF_SQL, _annotation_flow_sql, _exif, _expo
 from camstat.plans.registry import register
 from camstat.plans.sqlviews import with_views
 from camstat.schemas import ANNOTATION_FIELDS, TASK_SCHEMA
-from camstat.session import shared_path
+from camstat.session import shared_path, written
 from camstat.sources import adapters as S
 from camstat.sources import readers as RD
 from camstat.sources.fileio import write_bytes
@@ -31,10 +31,10 @@ _NOTE_SQL = "'first line' || chr(10) || 'second \"quoted\" line, with a comma'"
 _NOTED_SQL = "length(id) % 5 = 0"
 
 
-def _csv(df, path, folder=None):
+def _csv(df, path, folder=None, compression="none"):
     """CSV as the export tool writes it; ``folder``: one folder per value of that column."""
     w = (df.hint("rebalance", folder).write.partitionBy(folder) if folder else df.write)
-    w.options(header=True, quote='"', escape='"', nullValue="NA").csv(path)
+    w.options(header=True, quote='"', escape='"', nullValue="NA", compression=compression).csv(path)
 
 
 def _export_rows(spark, sf):
@@ -67,11 +67,13 @@ def annotations_from_files(spark, sf):
     rows = _export_rows(spark, sf)
     odd = F.regexp_extract("file", r"_P(\d+)_", 1).cast("int") % 2 == 1
     cols = [c for c, _ in ANNOTATION_FIELDS]
-    _csv(rows.filter(~odd).select("file", *cols), path + "/even", "file")
-    _csv(rows.filter(odd).select("file", *reversed(cols), F.col("source_file").alias("source_file_with_dep")), path + "/odd", "file")
+    _csv(rows.filter(~odd).select("file", *cols), path + "/even", "file", "gzip")
+    _csv(rows.filter(odd).select("file", *reversed(cols), F.col("source_file").alias("source_file_with_dep")), path + "/odd", "file", "gzip")
     name = F.regexp_extract("_metadata.file_path", r"file=([^/]+)/", 1)
-    long = RD.strip_labels(RD.read_annotations(spark, path, "*.csv", file=name))
-    out, _ = process_annotations(widen_tags(long.drop("source_file_with_dep")), "file", ["project", "source_file"])
+    long = RD.strip_labels(RD.read_annotations(spark, path, "*.csv.gz", file=name))
+    wide = widen_tags(long.drop("source_file_with_dep")).select("file", "source_file", "id", "species", "value_rectanglelabels", "notes")
+    # the flow below uses the rows several times: files are read and widened once
+    out, _ = process_annotations(written(wide, "wide-annotations"), "file", ["project", "source_file"])
     return out.select("project", "source_file", "id", "species", "value_rectanglelabels", "notes")
 
 
@@ -336,24 +338,27 @@ _BEHAVIOR_SQL = "['Feeding', 'Lying', 'Standing', 'Travelling'][1:CAST(l_partkey
 
 def _task_rows(spark, sf):
     """Annotation tasks, one per image, with a rectangle, a single choice, a multiple choice and a comment."""
-    a = S.annotation_ids(spark, sf)
-    k = F.col("l_partkey")
+    # only the keys of a task's regions are gathered; its results are built from them afterwards
+    g = S.annotation_ids(spark, sf).groupBy("l_orderkey").agg(F.collect_list(F.struct("id", "l_partkey")).alias("regions"))
     nothing = {"x": "double", "y": "double", "width": "double", "height": "double", "rectanglelabels": "array<string>",
                "choices": "array<string>", "text": "array<string>"}
 
-    def result(name, kind, **value):
+    def result(id_, name, kind, **value):
         v = F.struct(*[(value.get(c, F.lit(None)).cast(t)).alias(c) for c, t in nothing.items()])
-        return F.struct(F.col("id"), F.lit(kind).alias("type"), F.lit("manual").alias("origin"), F.lit("image").alias("to_name"),
+        return F.struct(id_.alias("id"), F.lit(kind).alias("type"), F.lit("manual").alias("origin"), F.lit("image").alias("to_name"),
                         F.lit(name).alias("from_name"), F.lit(1920.0).alias("original_width"), F.lit(1080.0).alias("original_height"),
                         v.alias("value"))
 
-    behaviors = F.slice(F.array(*map(F.lit, ("Feeding", "Lying", "Standing", "Travelling"))), 1, (k % 3 + 1).cast("int"))
-    res = F.array_compact(F.array(
-        result("label", "rectanglelabels", x=k % 90, y=k % 80, width=F.lit(5), height=F.lit(6), rectanglelabels=F.array(F.lit("animal"))),
-        F.when(k % 4 != 0, result("species", "choices", choices=F.array(F.lit("Moose")))),
-        F.when(k % 4 != 0, result("behavior", "choices", choices=behaviors)),
-        F.when(k % 7 == 0, result("comment", "textarea", text=F.array(F.lit("one"), F.lit("two"))))))
-    g = a.select("l_orderkey", "id", res.alias("res")).groupBy("l_orderkey").agg(F.flatten(F.collect_list("res")).alias("result"))
+    def results(region):
+        id_, k = region["id"], region["l_partkey"]
+        behaviors = F.slice(F.array(*map(F.lit, ("Feeding", "Lying", "Standing", "Travelling"))), 1, (k % 3 + 1).cast("int"))
+        return F.array_compact(F.array(
+            result(id_, "label", "rectanglelabels", x=k % 90, y=k % 80, width=F.lit(5), height=F.lit(6), rectanglelabels=F.array(F.lit("animal"))),
+            F.when(k % 4 != 0, result(id_, "species", "choices", choices=F.array(F.lit("Moose")))),
+            F.when(k % 4 != 0, result(id_, "behavior", "choices", choices=behaviors)),
+            F.when(k % 7 == 0, result(id_, "comment", "textarea", text=F.array(F.lit("one"), F.lit("two"))))))
+
+    g = g.select("l_orderkey", F.flatten(F.transform("regions", results)).alias("result"))
     return g.select(F.to_json(F.struct(
         F.struct(F.concat(F.lit("img_"), F.col("l_orderkey").cast("string"), F.lit(".JPG")).alias("image")).alias("data"),
         F.array(F.struct("result")).alias("annotations"))).alias("value"))
@@ -369,7 +374,7 @@ SELECT 'img_' || CAST(l_orderkey AS VARCHAR) || '.JPG' AS source_file, id, varia
 
 def _task_long(spark, sf):
     path = shared_path(spark, "tasks")
-    _task_rows(spark, sf).write.text(path)
+    _task_rows(spark, sf).write.option("compression", "gzip").text(path)
     return RD.tasks_to_long(spark.read.schema(TASK_SCHEMA).json(path))
 
 

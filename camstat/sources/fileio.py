@@ -29,9 +29,11 @@ def write_bytes(path: str, data: bytes) -> None:
 
 
 def first_line(path: str, chunk: int = 65536) -> str:
-    """The first line of a text file, whatever its length, without the line end."""
+    """The first line of a text file, whatever its length, without the line end.  Files with the
+    ending of a compression (``.gz``) are read through it."""
     head = b""
-    with open_input(path) as f:
+    store, inner = _resolve(path)
+    with store.open_input_stream(inner, compression="detect") as f:
         while b"\n" not in head and (more := f.read(chunk)):
             head += more
     return head.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8-sig")

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import csv
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,6 +44,7 @@ def read_annotations(spark: SparkSession, path: str, pattern: str = "*output.csv
 
     headed = written(files.mapInPandas(heads, "path string, uri string, header string"), "headers")
     kinds = [r["header"] for r in headed.select("header").distinct().orderBy("header").collect()]  # one row per kind of header
+    few = headed.count() <= 100_000
     known = dict(ANNOTATION_FIELDS)
     name = F.col("_metadata.file_name") if file is None else file
     parts = []
@@ -57,6 +58,8 @@ def read_annotations(spark: SparkSession, path: str, pattern: str = "*output.csv
         df = df.select("*", name.alias("__name"), F.col("_metadata.file_path").alias("__uri"))
         if len(kinds) > 1:
             own = headed.where(F.col("header") == head).select(F.col("uri").alias("__own"))
+            if few:  # paths stay a table; a small one goes to the rows
+                own = F.broadcast(own)
             df = df.join(own, F.col("__uri") == F.col("__own"), "left_semi")
         cols = [F.col(f"`{c}`").cast(known[c]).alias(c) if c in known else F.col(f"`{c}`") for c in names]
         missing = [F.lit(None).cast(t).alias(c) for c, t in ANNOTATION_FIELDS if c not in names]
@@ -232,24 +235,27 @@ def tasks_to_long(tasks: DataFrame, source: str = "annotations") -> DataFrame:
     Region geometry comes from the rectangle result sharing the region id."""
     t = tasks.select(F.col("data.image").alias("source_file"), F.explode(source).alias("ann"))
     r = t.select("source_file", F.explode("ann.result").alias("r")).select("source_file", "r.*")
-    geo = (r.filter(F.col("value.x").isNotNull())
-           .groupBy("source_file", "id")
-           .agg(F.first("original_width", True).alias("original_width"),
-                F.first("original_height", True).alias("original_height"),
-                F.first("value.x", True).alias("value_x"), F.first("value.y", True).alias("value_y"),
-                F.first("value.width", True).alias("value_width"), F.first("value.height", True).alias("value_height"),
-                F.first(F.concat(F.lit("['"), F.array_join("value.rectanglelabels", "', '"), F.lit("']")), True)
-                .alias("value_rectanglelabels")))
-    head = ["source_file", "id", "type", "origin", "to_name", F.col("from_name").alias("variable")]
+    is_box = F.col("value.x").isNotNull()
+    label = F.concat(F.lit("['"), F.array_join("value.rectanglelabels", "', '"), F.lit("']"))
+    shape = {"original_width": F.col("original_width"), "original_height": F.col("original_height"),
+             **{f"value_{c}": F.col(f"value.{c}") for c in ("x", "y", "width", "height")}, "value_rectanglelabels": label}
+    # The results move once, to their region, with the values that they hold; rows are made there.
+    n_values = F.coalesce(F.array_size("value.choices"), F.lit(0)) + F.coalesce(F.array_size("value.text"), F.lit(0))
+    r = r.select("source_file", "id", "type", "origin", "to_name", F.col("from_name").alias("variable"), is_box.alias("_box"),
+                 F.when(is_box, F.struct(*[v.alias(c) for c, v in shape.items()])).alias("_shape"),
+                 F.col("value.choices").alias("_choices"), F.col("value.text").alias("_texts"), n_values.alias("_n"))
+    region = Window.partitionBy("source_file", "id")
+    r = r.withColumns({"_tagged": F.sum("_n").over(region) > 0,
+                       **{c: F.first(F.col(f"_shape.{c}"), True).over(region) for c in shape}})
+    row = "struct<variable: string, tag: string, value_text: string>"
     none = F.lit(None).cast("string")
-    choices = r.select(*head, F.explode("value.choices").alias("tag"), none.alias("value_text"))
-    texts = r.select(*head, none.alias("tag"), F.explode("value.text").alias("value_text"))
-    tags = choices.unionByName(texts)
-    boxes_only = (r.filter(F.col("value.x").isNotNull()).select("source_file", "id", "type", "origin", "to_name")
-                  .join(tags.select("source_file", "id"), ["source_file", "id"], "left_anti")
-                  .select("source_file", "id", "type", "origin", "to_name", none.alias("variable"),
-                          none.alias("tag"), none.alias("value_text")))
-    long = join_back(tags.unionByName(boxes_only), geo, ["source_file", "id"])
+    # A null id belongs to no region, so a box without an id is untagged.
+    alone = F.col("_box") & (~F.col("_tagged") | F.col("source_file").isNull() | F.col("id").isNull())
+    rows = F.concat(
+        F.coalesce(F.transform("_choices", lambda c: F.struct(F.col("variable"), c.alias("tag"), none.alias("value_text"))), F.array().cast(f"array<{row}>")),
+        F.coalesce(F.transform("_texts", lambda c: F.struct(F.col("variable"), none.alias("tag"), c.alias("value_text"))), F.array().cast(f"array<{row}>")),
+        F.when(alone, F.array(F.struct(none.alias("variable"), none.alias("tag"), none.alias("value_text")))).otherwise(F.array().cast(f"array<{row}>")))
+    long = r.withColumn("_row", F.explode(rows)).drop("variable").select("*", "_row.*")
     return long.select(*[c for c, _ in ANNOTATION_FIELDS])
 
 
