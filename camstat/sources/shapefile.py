@@ -18,6 +18,8 @@ from camstat.sources.fileio import open_input, write_bytes
 
 #: Records that one row of the range table stands for.
 RANGE = 256
+#: Vertices handed on at once when records are read.
+VERTEX_ROWS = 65_536
 VERTICES = "path string, record long, ring int, seq int, x double, y double"
 
 
@@ -64,21 +66,36 @@ def read_shapes(spark: SparkSession, path: str, projection: TransverseMercator |
     """Vertex rows (path, record from 0, ring, seq, x, y) of all shapefiles under ``path``.  A ring's closing vertex, which
     repeats its first one, is left out.  ``projection``: the files' coordinates are turned into longitude and latitude."""
 
-    def read(batches):
+    def vertices(p, records, rings, parts):
         import pandas as pd
 
+        sizes, xy = [len(v) for v in parts], np.concatenate(parts)
+        ends = np.cumsum(sizes)
+        return pd.DataFrame({"path": p, "record": np.repeat(records, sizes), "ring": np.repeat(rings, sizes),
+                             "seq": np.arange(len(xy)) - np.repeat(ends - sizes, sizes), "x": xy[:, 0], "y": xy[:, 1]})
+
+    def read(batches):
         for batch in batches:
             for p, first, n in zip(batch["path"], batch["first"], batch["n"]):
                 with open_input(_beside(p, ".shx")) as f:
                     f.seek(100 + 8 * int(first))
                     places = np.frombuffer(f.read(8 * int(n)), ">i4").reshape(-1, 2) * 2
+                records, rings, parts, held = [], [], [], 0
                 with open_input(p) as f:
                     for k, (offset, size) in enumerate(places):
                         f.seek(int(offset) + 8)
                         for ring, xy in enumerate(parse_shape(f.read(int(size)))):
-                            if len(xy) > 1 and (xy[0] == xy[-1]).all():
+                            if len(xy) > 1 and xy[0, 0] == xy[-1, 0] and xy[0, 1] == xy[-1, 1]:
                                 xy = xy[:-1]
-                            yield pd.DataFrame({"path": p, "record": int(first) + k, "ring": ring, "seq": np.arange(len(xy)), "x": xy[:, 0], "y": xy[:, 1]})
+                            records.append(int(first) + k)
+                            rings.append(ring)
+                            parts.append(xy)
+                            held += len(xy)
+                            if held >= VERTEX_ROWS:
+                                yield vertices(p, records, rings, parts)
+                                records, rings, parts, held = [], [], [], 0
+                if parts:
+                    yield vertices(p, records, rings, parts)
 
     out = _ranges(spark, path).mapInPandas(read, VERTICES)
     if projection is not None:
@@ -160,7 +177,7 @@ def encode_shapes(shapes: list[list[np.ndarray]]) -> tuple[bytes, bytes]:
     every = np.vstack([r for s in shapes for r in s]) if any(shapes) else np.zeros((1, 2))
     for k, rings in enumerate(shapes):
         if rings:
-            xy = np.vstack(rings)
+            xy = rings[0] if len(rings) == 1 else np.vstack(rings)
             starts = np.cumsum([0] + [len(r) for r in rings[:-1]]).astype("<i4")
             body = struct.pack("<i4dii", 5, *xy.min(axis=0), *xy.max(axis=0), len(rings), len(xy)) + starts.tobytes() + xy.astype("<f8").tobytes()
         else:
@@ -199,15 +216,23 @@ def write_shapes(vertices: DataFrame, folder: str, by: str, record: str, attribu
     def save(key, rows):
         import pandas as pd
 
-        rows = rows.sort_values([record, ring, seq])
-        shapes, table = [], []
-        for rec, own in rows.groupby(record, sort=True):
-            rings = []
-            for _, r in own.groupby(ring, sort=True):
-                xy = r[[x, y]].to_numpy(float)
-                rings.append(np.vstack([xy, xy[:1]]))
-            shapes.append(rings)
-            table.append([rec, *[own[a].iloc[0] for a in attributes]])
+        rows = rows.sort_values([record, ring, seq], ignore_index=True)
+        rows = rows[rows[record].notna()]
+        # rings and records are runs of the sorted rows: they are cut, not looked up one by one
+        rec, part, xy = rows[record].to_numpy(), rows[ring].to_numpy(), rows[[x, y]].to_numpy(float)
+        new_record = np.ones(len(rows), bool)
+        new_record[1:] = rec[1:] != rec[:-1]
+        new_ring = new_record.copy()
+        new_ring[1:] |= part[1:] != part[:-1]
+        known = rows[ring].notna().to_numpy()
+        starts = np.flatnonzero(new_ring)
+        ends, of = np.append(starts[1:], len(rows)), np.cumsum(new_record) - 1
+        shapes = [[] for _ in range(int(new_record.sum()))]
+        for i, j in zip(starts.tolist(), ends.tolist()):
+            if known[i]:
+                shapes[of[i]].append(np.concatenate([xy[i:j], xy[i:i + 1]]))
+        heads = rows[new_record]
+        table = list(map(list, zip(*[heads[c].tolist() for c in [record, *attributes]])))
         table = [[v.item() if isinstance(v, np.generic) else v for v in r] for r in table]
         base = f"{folder}/{by}_{key[0]}"
         shp, shx = encode_shapes(shapes)
