@@ -13,6 +13,7 @@ from camstat.operators import spatial as SP
 from camstat.plans import classify_q as C
 from camstat.plans import spatial_q as SQ
 from camstat.plans.registry import register
+from camstat.session import written
 from camstat.sources import adapters as S
 
 COVER_CLASSES = ["WAT", "MixTRE", "ConTRE", "Dist", "SWA", "Anth"]
@@ -27,7 +28,8 @@ def _site_table(spark, sf):
     from camstat.operators.filters import merge_classes
     cover = merge_classes(cover, SQ.MERGES, ["camera_id"], "category_code", "props")
     x = A.pivot_wide(cover, "camera_id", "category_code", "props", COVER_CLASSES)
-    return y.join(x, "camera_id", "inner").join(cams, "camera_id", "inner")
+    # models pass over the sites many times: the joins above are done once
+    return written(y.join(x, "camera_id", "inner").join(cams, "camera_id", "inner"), "sites")
 
 
 @register("rda_axes")

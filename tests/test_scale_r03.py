@@ -3,8 +3,6 @@
 import gzip
 import json
 
-from pyspark.sql import functions as F
-
 from camstat.operators.reshape import widen_tags
 from camstat.schemas import TASK_SCHEMA
 from camstat.sources import readers as RD
@@ -43,9 +41,9 @@ def test_tasks_move_once_and_keep_every_value(spark, tmp_path):
 
 
 def test_rows_to_widen_move_as_they_come(spark):
-    long = spark.createDataFrame([("P1_C_1", "f", "species", "Moose"), ("P1_C_1", "f", "behavior", "b"), ("P1_C_1", "f", "behavior", "a"),
-                                  ("P1_C_1", "f", "behavior", "a"), ("P2_C_1", "f", "sex", None), (None, None, "age", "Adult")],
-                                 "id string, source_file string, variable string, tag string").withColumn("value_text", F.lit(None).cast("string"))
+    long = spark.createDataFrame([("P1_C_1", "f", "species", "Moose", None), ("P1_C_1", "f", "behavior", "b", None), ("P1_C_1", "f", "behavior", "a", None),
+                                  ("P1_C_1", "f", "behavior", "a", None), ("P2_C_1", "f", "sex", None, None), (None, None, "age", "Adult", None)],
+                                 "id string, source_file string, variable string, tag string, value_text string")
     plain, dealt = widen_tags(long), widen_tags(long, rows=long.count())
     assert shuffles(dealt) == 1 and "REPARTITION_BY_NUM" in dealt._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
@@ -56,3 +54,15 @@ def test_header_behind_a_compression(tmp_path):
     with gzip.open(tmp_path / "x.csv.gz", "wb") as f:
         f.write(b"id,tag\r\n1,2\r\n")
     assert first_line(str(tmp_path / "x.csv.gz")) == "id,tag"
+
+
+def test_annotations_wide_moves_rows_once(spark, sf):
+    from camstat.plans import QUERIES, load_all
+    load_all()
+    assert shuffles(QUERIES["annotations_wide"](spark, sf)) == 1
+
+
+def test_sites_are_joined_once(spark, sf):
+    from camstat.plans import learning_q
+    plan = learning_q._site_table(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
