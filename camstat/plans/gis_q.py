@@ -259,6 +259,8 @@ def tree_pruned(spark, sf):
 
 
 _CORRECTED = 7
+# fixed value: folders that the camera folders are dealt to; one holds corrected camera folders only, or none
+_INGEST_FOLDERS = 36 * _CORRECTED
 
 
 @register("ingest_replaced_files", with_views(["boxes"], f"""
@@ -266,13 +268,13 @@ SELECT CASE WHEN folder % {_CORRECTED} = 0 THEN category_id + 10 ELSE category_i
 FROM boxes GROUP BY 1"""))
 def ingest_replaced_files(spark, sf):
     """T1 + S18: detector files ingested, some folders' files replaced by corrected ones, ingested again; each
-    detection is there once, as last written."""
+    detection is there once, as last written.  A folder holds the files of a group of camera folders."""
     from camstat.streaming.ingest import coco_documents
     base = shared_path(spark, "ingest-replace")
     boxes = S.boxes(spark, sf)
 
     def put(rows, mode):
-        docs = coco_documents(rows).withColumn("part", F.concat(F.lit("f"), F.col("folder")))
+        docs = coco_documents(rows).withColumn("part", F.concat(F.lit("f"), F.pmod("folder", F.lit(_INGEST_FOLDERS))))
         docs.hint("rebalance", "part").select("part", "value").write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("part").text(f"{base}/in")
 
     put(boxes, "append")

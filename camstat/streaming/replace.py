@@ -60,7 +60,7 @@ def ingest_current(spark: SparkSession, root: str, sink: str, ledger: str, patte
         path = F.col("_metadata.file_path")
         rows = raw.select(F.explode("annotations").alias("a"), path.alias("file")).select("a.*", "file")
         rows = clean_names(rows).withColumn("folder", F.split(F.substring_index("file", base + "/", -1), "/")[0])
-        rows.repartition("folder").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("folder").parquet(sink)
+        rows.hint("rebalance", "folder").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("folder").parquet(sink)
     vanished = [f for f in touched if f not in alive]
     if vanished:
         from camstat.session import drop_path
