@@ -66,3 +66,29 @@ def test_sites_are_joined_once(spark, sf):
     from camstat.plans import learning_q
     plan = learning_q._site_table(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_folders_of_an_export_do_not_follow_the_cameras(spark, tmp_path, monkeypatch):
+    """Each camera folder is in one folder of the export, of a bounded number; corrected ones stay apart."""
+    import os
+
+    from camstat.plans import gis_q, quality_q
+    from camstat.session import shared_path
+    from camstat.sources import adapters as S
+    boxes = spark.range(0, 600).selectExpr(
+        "cast(id as string) AS box_id", "id AS image_id", "id AS folder", "1.0D AS x", "1.0D AS y", "1.0D AS w", "1.0D AS h",
+        "0.5D AS confidence", "id % 4 AS category_id")
+    monkeypatch.setattr(S, "boxes", lambda *_: boxes)
+    made = []
+    for module in (gis_q, quality_q):
+        monkeypatch.setattr(module, "shared_path", lambda s, label: made.append(shared_path(s, label)) or made[-1])
+    n = {r.category_id: r.n for r in quality_q.stream_ingest_detections(spark, "").collect()}
+    assert n == {k: 150 for k in range(4)}
+    want = {}
+    for i in range(600):
+        c = i % 4 + (10 if i % 7 == 0 else 0)
+        want[c] = want.get(c, 0) + 1
+    assert {r.category_id: r.n for r in gis_q.ingest_replaced_files(spark, "").collect()} == want
+    for base, most in zip(made, (quality_q.EXPORT_FOLDERS, gis_q._INGEST_FOLDERS)):
+        folders = [f for f in os.listdir(f"{base}/in".removeprefix("file:")) if f.startswith("part=")]
+        assert 0 < len(folders) <= most < 600
