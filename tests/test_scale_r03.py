@@ -2,7 +2,12 @@
 
 import gzip
 import json
+from collections import Counter
 
+import numpy as np
+import pytest
+
+from camstat.operators import repeats as RP
 from camstat.operators.reshape import widen_tags
 from camstat.schemas import TASK_SCHEMA
 from camstat.sources import readers as RD
@@ -92,3 +97,65 @@ def test_folders_of_an_export_do_not_follow_the_cameras(spark, tmp_path, monkeyp
     for base, most in zip(made, (quality_q.EXPORT_FOLDERS, gis_q._INGEST_FOLDERS)):
         folders = [f for f in os.listdir(f"{base}/in".removeprefix("file:")) if f.startswith("part=")]
         assert 0 < len(folders) <= most < 600
+
+
+def _boxes(spark, n, seed):
+    rng = np.random.default_rng(seed)
+    side = np.exp(rng.uniform(-6, 6, (n, 2)))
+    at = rng.uniform(-300, 300, (n, 2))
+    like = rng.integers(0, 15, n)
+    near = (rng.random(n) < 0.7) & (np.arange(n) >= 15)
+    side[near] = side[like][near] * rng.uniform(0.92, 1.08, (n, 2))[near]
+    at[near] = at[like][near] + side[near] * rng.uniform(-0.1, 0.1, (n, 2))[near]
+    rows = [(f"b{i:04d}", None if i % 97 == 0 else int(rng.integers(0, 2)), *map(float, (*at[i], *side[i])), 0.5) for i in range(n)]
+    # grid boxes at the very threshold: 17 of 20 wide, and moved by the whole reach
+    rows += [("g0", 7, 3.0, 1.0, 17.0, 2.0, 0.5), ("g1", 7, 3.0, 1.0, 20.0, 2.0, 0.5), ("g2", 7, 6.0, 1.0, 17.0, 2.0, 0.5), ("g3", 8, 3.0, 1.0, 20.0, 2.0, 0.5)]
+    rows += [("z0", 0, 1.0, 1.0, 0.0, 2.0, 0.5), ("z1", 0, 1.0, 1.0, 0.0, 2.5, 0.5), ("z2", 0, 1.0, 1.0, None, 2.5, 0.5), ("z3", 0, 1.0, 1.0, -3.0, -2.5, 0.5)]
+    return rows, spark.createDataFrame(rows, "box_id string, folder int, x double, y double, w double, h double, confidence double")
+
+
+def _overlaps(rows, t):
+    pairs = {}
+    for i, (a, f, ax, ay, aw, ah, _) in enumerate(rows):
+        for b, g, bx, by, bw, bh, _ in rows[i + 1:]:
+            if f is not None and f == g and None not in (aw, bw):
+                inter = max(0.0, min(ax + aw, bx + bw) - max(ax, bx)) * max(0.0, min(ay + ah, by + bh) - max(ay, by))
+                union = aw * ah + bw * bh - inter
+                if union > 0 and inter / union >= t:
+                    pairs[a, b] = round(inter / union, 9)
+    return pairs
+
+
+@pytest.mark.parametrize("t, block", [(0.85, 1024), (0.85, 8), (0.5, 1024), (0.5, 20), (0.2, 50)])
+def test_repeat_pairs_of_any_size_and_place(spark, monkeypatch, t, block):
+    """Each pair once, over tiles, classes and the blocks of crowded tiles; groups are their components."""
+    monkeypatch.setattr(RP, "BLOCK", block)
+    rows, df = _boxes(spark, 700, 5)
+    want = _overlaps(rows, t)
+    got = [((r.a, r.b), round(r.iou, 9)) for r in RP.repeat_pairs(df, t).collect()]
+    assert len(got) == len(set(got)) and dict(got) == want and len(want) > 200
+    low = {}
+    for a, b in RP.components(spark.createDataFrame(list(want), "a string, b string")).collect():
+        low[a] = b
+    size = Counter(low.values())
+    groups = {r.box_id: (r.repeat_group, r.group_size) for r in RP.suppress_repeats(df, 3, t).collect() if r.repeat_group}
+    assert groups == {a: (b, size[b]) for a, b in low.items() if size[b] >= 3}
+
+
+def test_a_box_to_join_is_about_two_rows(spark):
+    """It was inserted once and probed eight cells, and the names of pairs were joined to it twice."""
+    rows, df = _boxes(spark, 700, 6)
+    nodes = RP.box_nodes(df, "folder", "box_id", "x", "y", "w", "h")
+    pairs = RP.repeat_pairs(df)
+    assert shuffles(pairs) == 2
+    assert nodes.count() < RP._tiles(nodes, 0.85, [], "folder", "x", "y", "w", "h").count() < 3 * nodes.count()
+
+
+def test_single_boxes_are_no_nodes_of_groups(spark):
+    """Equal boxes without a partner, also with a null, are a group; boxes of a smaller one keep their confidence."""
+    rows = [(f"n{i}", 1, 4.0, None, 2.0, 2.0, 0.5) for i in range(3)] + [(f"p{i}", 2, 4.0, 1.0, 2.0, 2.0, 0.5) for i in range(2)]
+    rows += [("q0", 2, 4.0, 1.0, 2.1, 2.0, 0.5), ("r0", 2, 40.0, 1.0, 2.1, 2.0, 0.5), ("r1", 2, 40.0, 1.0, 2.0, 2.0, 0.5)]
+    df = spark.createDataFrame(rows, "box_id string, folder int, x double, y double, w double, h double, confidence double")
+    got = {r.box_id: (r.confidence, r.repeat_group, r.group_size) for r in RP.suppress_repeats(df, 3).collect()}
+    assert got == {**{f"n{i}": (-0.5, "n0", 3) for i in range(3)}, **{k: (-0.5, "p0", 3) for k in ("p0", "p1", "q0")},
+                   "r0": (0.5, None, None), "r1": (0.5, None, None)}
