@@ -21,10 +21,14 @@ def open_input(path: str):
 
 
 def write_bytes(path: str, data: bytes) -> None:
-    """Write one file, making its folders."""
+    """Write one file, making its folders if they are missing."""
     store, inner = _resolve(path)
-    store.create_dir(os.path.dirname(inner), recursive=True)
-    with store.open_output_stream(inner) as out:
+    try:
+        out = store.open_output_stream(inner)
+    except FileNotFoundError:
+        store.create_dir(os.path.dirname(inner), recursive=True)
+        out = store.open_output_stream(inner)
+    with out:
         out.write(data)
 
 

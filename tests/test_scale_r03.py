@@ -159,3 +159,10 @@ def test_single_boxes_are_no_nodes_of_groups(spark):
     got = {r.box_id: (r.confidence, r.repeat_group, r.group_size) for r in RP.suppress_repeats(df, 3).collect()}
     assert got == {**{f"n{i}": (-0.5, "n0", 3) for i in range(3)}, **{k: (-0.5, "p0", 3) for k in ("p0", "p1", "q0")},
                    "r0": (0.5, None, None), "r1": (0.5, None, None)}
+
+
+def test_image_files_are_decoded_once(spark, sf):
+    from camstat.plans import QUERIES, load_all
+    load_all()
+    plan = QUERIES["image_crops"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan image" not in plan and "/decoded-" in plan
