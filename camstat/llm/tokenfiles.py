@@ -24,14 +24,14 @@ import os
 import re
 import struct
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from camstat.llm.bpe import WORD_MEMO, Memo, byte_alphabet, packed
+from camstat.llm.bpe import Memo, byte_alphabet, packed
 from camstat.llm.common import shared_path, written
 
 MAGIC = b"TOKBITS1"
@@ -142,21 +142,74 @@ class Reader:
 
 # ---------------------------------------------------------------- ids
 
-#: White space on which splitting at blanks would not be safe, and the bytes that UTF-8 texts with
-#: such characters hold (a quick first test).
+#: White space beyond blank, tab and line ends, and the bytes that UTF-8 texts with such characters
+#: hold (a quick first test).
 _ODD_WHITE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _ODD_BYTES = b"\x0b\x0c\x1c\x1d\x1e\x1f\xc2\xe1\xe2\xe3"
 _NOT_LATIN = re.compile("[^\x00-\u017f]")
 #: Fixed value: the word pattern of byte-level BPE files with ``use_regex``.
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
+#: Kinds of bytes.  UNSURE: of characters whose kind takes more than a look at the byte.
+BLANK, WHITE, LETTER, DIGIT, MARK, QUOTE, UNSURE, FOLLOWS = range(8)
+
+
+def _kind(b: int) -> int:
+    if b == 32:
+        return BLANK
+    if b in b"\t\n\r":
+        return WHITE
+    if b < 128:
+        return LETTER if chr(b).isalpha() else DIGIT if chr(b).isdigit() else QUOTE if b == 39 else MARK
+    return FOLLOWS if b < 192 else LETTER if 0xC3 <= b <= 0xC5 else UNSURE
+
+
+def _cut(before: int, now: int) -> int:
+    """1: the word pattern always ends a word between two such bytes, 2: if no white space follows."""
+    white = (BLANK, WHITE)
+    if now in white:
+        return 2 if before in white else 1
+    if before in white:
+        return int(before == WHITE)
+    if UNSURE in (before, now) or now == QUOTE or (before, now) == (QUOTE, LETTER):  # 's and the like
+        return 0
+    return int(before != now and (before, now) != (QUOTE, MARK))
+
+
+_KINDS = bytes(map(_kind, range(256)))
+_CUTS = bytes([_cut(x >> 3, x & 7) if x < 64 else 0 for x in range(256)])
+#: Bytes of text cut into words at a time, and a place where any longer text can be cut.
+CHUNK, _WORD_START = 1 << 21, re.compile(rb" (?=[A-Za-z])")
+
+
+def word_starts(data: bytes, texts: np.ndarray) -> np.ndarray:
+    """Ascending positions in UTF-8 ``data`` at which words certainly start, among them all of
+    ``texts``, where texts start.  Between two of them stands one word, or a few around quotes
+    and characters beyond Latin letters."""
+    kinds = np.frombuffer(bytearray(data.translate(_KINDS)), np.uint8)
+    if not data.isascii():
+        raw = np.frombuffer(data, np.uint8)
+        follows = kinds == FOLLOWS
+        kinds[follows] = UNSURE
+        kinds[1:][follows[1:] & (kinds[:-1] == LETTER) & (raw[:-1] >= 0xC3)] = LETTER  # U+00C0 to U+017F
+        if b"\xc3\x97" in data or b"\xc3\xb7" in data:  # the two that are no letters
+            signs = np.flatnonzero((raw[:-1] == 0xC3) & ((raw[1:] == 0x97) | (raw[1:] == 0xB7)))
+            kinds[signs] = kinds[signs + 1] = UNSURE
+    cuts = np.frombuffer(bytearray(b"\1" + (kinds[:-1] << 3 | kinds[1:]).tobytes().translate(_CUTS)), np.uint8)
+    cuts[texts] = 1
+    later = np.flatnonzero(cuts == 2)
+    if len(later):
+        ended = np.append(np.isin(later[:-1] + 1, texts), True) if later[-1] + 1 == len(data) else np.isin(later + 1, texts)
+        cuts[later] = ~ended & (kinds[np.minimum(later + 1, len(data) - 1)] > WHITE)
+    return np.flatnonzero(cuts)
+
 
 class ByteLevel:
-    """Byte-level BPE by the tokenizers library, each piece of text encoded once per worker.
+    """Byte-level BPE by the tokenizers library, each word encoded once per worker.
 
-    A blank that is followed by a non-blank always starts a word, so the text is cut there; pieces
-    and words are kept in bounded memos.  Texts with special tokens or unusual white space go to
-    the library whole."""
+    Texts are cut where a word starts for certain, a few MB at a time; of equal pieces one is looked
+    up in a bounded memo, and the ids of all are gathered by position.  Texts with special tokens or
+    unusual white space go to the library whole."""
 
     def __init__(self, source: str):
         import json
@@ -173,67 +226,83 @@ class ByteLevel:
         self.by_piece = bool(plain and not spec["normalizer"] and spec["model"]["type"] == "BPE")
         self.special = [t["content"].encode() for t in spec["added_tokens"]]
         self.vocabulary = self.library.get_vocab_size(with_added_tokens=True)
-        self.chars = {b: c for c, b in byte_alphabet().items()}
-        self.words, self.first = Memo(self._word, WORD_MEMO), Memo(self._piece, WORD_MEMO)
-        self.after_blank = Memo(self._after_blank)
-        self.line_end = self._word("\n")
+        chars = {b: c for c, b in byte_alphabet().items()}
+        self.spelt, self.blank = "".join([chars[b] for b in range(256)]), chars[32]
+        self.pieces = Memo(self._piece)
 
     def _word(self, word: str) -> bytes:
         if word.isascii() and word.isprintable():  # the byte alphabet leaves these as they are, but for blanks
-            own = word.replace(" ", self.chars[32])
+            own = word.replace(" ", self.blank)
         else:
-            own = "".join([self.chars[b] for b in word.encode()])
+            own = word.encode().decode("latin-1").translate(self.spelt)
         return packed([t.id for t in self.model.tokenize(own)])
 
-    def _whole(self, text: bytes) -> bytes:
-        return np.array(self.library.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _after_blank(self, piece: bytes) -> bytes | None:
-        """Ids of a blank and a piece that starts with a non-blank; null for other pieces."""
-        return self._piece(b" " + piece) if _STARTS_WORD(piece) else None
+    def _whole(self, text: bytes) -> np.ndarray:
+        return np.array(self.library.encode(text.decode(), add_special_tokens=False).ids, "<u4")
 
     def _piece(self, piece: bytes) -> bytes:
-        if not piece:
-            return b""
-        if b"\n" in piece:  # single line ends between non-blanks are words of their own
-            parts = piece.split(b"\n")
-            if all(map(_WHOLE, parts)):
-                return self._piece(parts[0]) + b"".join([self.line_end + self.first[p] for p in parts[1:]])
         text = piece.decode()
         if not text.isascii() and _NOT_LATIN.search(text):
-            return self._whole(piece)
+            return self._whole(piece).tobytes()
         if text[1:].isalpha() and (text[0] == " " or text[0].isalpha()):  # one word by the pattern
             return self._word(text)
-        if text[-1] in ".,;:!?" and text[1:-1].isalpha() and (text[0] == " " or text[0].isalpha()):
-            return self.words[text[:-1]] + self.words[text[-1]]
-        return b"".join([self.words[w] for w in _WORDS.findall(text)])
+        words = _WORDS.findall(text)
+        return self._word(text) if len(words) == 1 else b"".join([self.pieces[w.encode()] for w in words])
 
-    def encode(self, text: bytes | None) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
+    def _plain(self, text: bytes) -> bool:
         if not self.by_piece or any(s in text for s in self.special):
-            return self._whole(text)
-        if len(text.translate(None, _ODD_BYTES)) != len(text) and _ODD_WHITE.search(text.decode()):
-            return self._whole(text)
-        pieces = text.split(b" ")
-        try:
-            return self.first[pieces[0]] + b"".join(map(self.after_blank.__getitem__, pieces[1:]))
-        except TypeError:  # a blank before white space or at the end, which starts no word
-            pass
-        out, now = [], pieces[0]
-        for p in pieces[1:]:
-            if _STARTS_WORD(p):
-                out.append(self.first[now])
-                now = b" " + p
+            return False
+        return len(text.translate(None, _ODD_BYTES)) == len(text) or not _ODD_WHITE.search(text.decode())
+
+    def _chunk(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of plain texts."""
+        import pyarrow as pa
+
+        data = b"".join(texts)
+        if not data:
+            return [np.empty(0, "<u4")] * len(texts)
+        ends = np.cumsum([len(t) for t in texts])
+        starts = word_starts(data, ends[ends < len(data)])
+        offsets = np.append(starts, len(data)).astype(np.int32)
+        pieces = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        known = [*map(self.pieces.__getitem__, pieces.dictionary.to_numpy(zero_copy_only=False))]
+        flat, length = np.frombuffer(b"".join(known), "<u4"), np.fromiter(map(len, known), np.int64, len(known)) // 4
+        which = pieces.indices.to_numpy()
+        n = length[which]
+        to = np.cumsum(n)
+        ids = flat[np.repeat((np.cumsum(length) - length)[which] - (to - n), n) + np.arange(to[-1])]
+        return np.split(ids, np.append(0, to)[np.searchsorted(starts, ends[:-1])])
+
+    def _long(self, text: bytes) -> np.ndarray:
+        """Ids of a plain text of any length."""
+        at, own = 0, []
+        while at < len(text):
+            next_word = _WORD_START.search(text, at + CHUNK)
+            end = next_word.start() if next_word else len(text)
+            own += self._chunk([text[at:end]])
+            at = end
+        return np.concatenate(own)
+
+    def encode_all(self, texts: Iterable[bytes | None]) -> Iterator[np.ndarray]:
+        """Ids of each text in turn."""
+        held, size = [], 0
+        for text in texts:
+            text = text or b""
+            plain = self._plain(text)
+            apart = not plain or len(text) > CHUNK
+            if apart or size + len(text) > CHUNK:
+                yield from self._chunk(held)
+                held, size = [], 0
+            if apart:
+                yield self._long(text) if plain else self._whole(text)
             else:
-                now += b" " + p
-        return b"".join([*out, self.first[now]])
-
+                held.append(text)
+                size += len(text)
+        yield from self._chunk(held)
 
-_STARTS_WORD = re.compile(rb"[^ \t\n\r]").match
-#: A piece of a line that neither starts nor ends with white space, but for a blank before its word.
-_WHOLE = re.compile(rb" ?[^ \t\n\r](?:.*[^ \t\n\r])?$", re.S).match
+    def encode(self, text: bytes | None) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers."""
+        return next(self.encode_all([text])).tobytes()
 
 
 @functools.lru_cache(maxsize=4)
@@ -241,14 +310,18 @@ def byte_level(source: str) -> ByteLevel:
     return ByteLevel(source)
 
 
-def library_ids(spark: SparkSession, path: str) -> tuple[Callable[[bytes | None], bytes], int]:
-    """(function from a UTF-8 text to its ids, vocabulary size) for a tokenizer file, which is
+#: From UTF-8 texts (null: empty) to the ids of each in turn.
+Encode = Callable[[Iterable[bytes | None]], Iterable[np.ndarray]]
+
+
+def library_ids(spark: SparkSession, path: str) -> tuple[Encode, int]:
+    """(function from UTF-8 texts to their ids, vocabulary size) for a tokenizer file, which is
     read on the driver and broadcast."""
     with open(path, encoding="utf-8") as f:
         source = f.read()
     size = byte_level(source).vocabulary
     sent = spark.sparkContext.broadcast(source)
-    return (lambda text: byte_level(sent.value).encode(text)), size
+    return (lambda texts: byte_level(sent.value).encode_all(texts)), size
 
 
 # ---------------------------------------------------------------- Spark
@@ -270,7 +343,7 @@ def _open(path: str, mode: str):
     return store.open_input_file(inner)
 
 
-def write_files(df: DataFrame, encode: Callable[[bytes | None], bytes], vocabulary: int, end_id: int | None,
+def write_files(df: DataFrame, encode: Encode, vocabulary: int, end_id: int | None,
                 folder: str | None = None, key: str = "doc_id", text: str = "text",
                 file_docs: int = FILE_DOCS) -> DataFrame:
     """Write the ids of all documents in ascending key order; returns the manifest: part, path,
@@ -282,7 +355,7 @@ def write_files(df: DataFrame, encode: Callable[[bytes | None], bytes], vocabula
     the smallest long.  An empty table gives an empty manifest."""
     spark = df.sparkSession
     folder = folder or shared_path(spark, "token-files")
-    bits, tail = width(vocabulary), b"" if end_id is None else struct.pack("<I", end_id)
+    bits, tail = width(vocabulary), np.array([] if end_id is None else [end_id], "<u4")
     rows = df.select(F.col(key).cast("long").alias("key"), F.col(text).cast("binary").alias("text")).withColumn("tie", F.xxhash64("text"))
     n = max(rows.count() // file_docs + 1, spark.sparkContext.defaultParallelism)
     ordered = rows.repartitionByRange(n, "key", "tie").sortWithinPartitions("key", "tie")
@@ -296,8 +369,8 @@ def write_files(df: DataFrame, encode: Callable[[bytes | None], bytes], vocabula
             if w is None:
                 out = _open(path, "w")
                 w = Writer(out, bits)
-            for k, t in zip(batch["key"], batch["text"]):
-                w.add(-(2**63) if pd.isna(k) else int(k), np.frombuffer(encode(t) + tail, "<u4"))
+            for k, ids in zip(batch["key"], encode(batch["text"])):
+                w.add(-(2**63) if pd.isna(k) else int(k), np.concatenate([ids, tail]))
         if w is not None:
             w.close()
             out.close()

@@ -52,6 +52,48 @@ def test_any_text(own, text):
     assert np.frombuffer(own.encode(text.encode()), "<u4").tolist() == own.library.encode(text, add_special_tokens=False).ids
 
 
+class Counting:
+    def __init__(self, model):
+        self.model, self.words = model, []
+
+    def tokenize(self, word):
+        self.words.append(word)
+        return self.model.tokenize(word)
+
+
+def test_library_sees_a_new_word_once():
+    """Whatever stands around it: marks, line ends, a start of another text."""
+    with open(BYTE_BPE, encoding="utf-8") as f:
+        own = tokenfiles.ByteLevel(f.read())
+    own.model = counting = Counting(own.model)
+    for text in ("a bordeonly, a bordeonly. a bordeonly\nthe end", "a bordeonly a bordeonly! the end\nthe end 12 bordeonly\n\na bordeonly"):
+        assert np.frombuffer(own.encode(text.encode()), "<u4").tolist() == own.library.encode(text, add_special_tokens=False).ids
+    assert sorted(counting.words) == sorted(set(counting.words))
+
+
+TEXTS = st.text(alphabet=st.one_of(
+    st.sampled_from("aestlvrmdAZ09  \n\n\t\r''.,!#_-éßÀÿžĀſ×÷«»²ªµ“”—中é\u0301😀\x0b\x85\xa0\x00\x7f"), st.characters(codec="utf-8")), max_size=40)
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.one_of(st.none(), TEXTS, st.just("x<|endoftext|> y")), max_size=8), st.integers(1, 60))
+def test_texts_cut_together(own, texts, chunk):
+    """Several texts in chunks of any size, longer texts cut on the way."""
+    was, tokenfiles.CHUNK = tokenfiles.CHUNK, chunk
+    try:
+        got = [ids.tolist() for ids in own.encode_all([None if t is None else t.encode() for t in texts])]
+    finally:
+        tokenfiles.CHUNK = was
+    assert got == [own.library.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_word_starts():
+    texts = ["I'm «là», don't 3×4 a ".encode(), b" b\n\nc12."]
+    data = b"".join(texts)
+    pieces = np.split(np.frombuffer(data, np.uint8), tokenfiles.word_starts(data, np.array([len(texts[0])]))[1:])
+    assert [p.tobytes().decode() for p in pieces] == ["I'm", " «là»,", " don't", " 3×4", " a", " ", " b", "\n", "\n", "c", "12", "."]
+
+
 def check(spark, df, **kw):
     encode, size = tokenfiles.library_ids(spark, BYTE_BPE)
     got = tokenfiles.read_files(tokenfiles.write_files(df, encode, size, end_id=0, **kw)).orderBy("start").collect()
