@@ -269,18 +269,20 @@ FROM boxes GROUP BY 1"""))
 def ingest_replaced_files(spark, sf):
     """T1 + S18: detector files ingested, some folders' files replaced by corrected ones, ingested again; each
     detection is there once, as last written.  A folder holds the files of a group of camera folders."""
-    from camstat.streaming.ingest import coco_documents
+    from camstat.streaming.ingest import export_documents
     base = shared_path(spark, "ingest-replace")
     boxes = S.boxes(spark, sf)
 
     def put(rows, mode):
-        docs = coco_documents(rows).withColumn("part", F.concat(F.lit("f"), F.pmod("folder", F.lit(_INGEST_FOLDERS))))
-        docs.hint("rebalance", "part").select("part", "value").write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("part").text(f"{base}/in")
+        export_documents(rows, F.concat(F.lit("f"), F.pmod("folder", F.lit(_INGEST_FOLDERS))), f"{base}/in", mode)
+
+    def ingest():
+        ingest_current(spark, f"{base}/in", f"{base}/out", f"{base}/ledger", "*.txt.snappy", multi_line=False)
 
     put(boxes, "append")
     for _ in range(2):
-        ingest_current(spark, f"{base}/in", f"{base}/out", f"{base}/ledger", "*.txt", multi_line=False)
+        ingest()
         put(boxes.where(F.col("folder") % _CORRECTED == 0).withColumn("category_id", F.col("category_id") + 10), "overwrite")
-    ingest_current(spark, f"{base}/in", f"{base}/out", f"{base}/ledger", "*.txt", multi_line=False)
+    ingest()
     return spark.read.parquet(f"{base}/out").groupBy("category_id").agg(F.count("*").alias("n"), F.count_distinct("image_id").alias("n_images"))
 

@@ -17,6 +17,9 @@ from camstat.operators.filters import clean_names
 from camstat.schemas import COCO_SCHEMA
 from camstat.session import written
 
+# fixed value: files of so many bytes on average are written as they are read
+LARGE_FILES = 1 << 20
+
 _VERSIONS = "folder string, path string, changed timestamp, length long, gone boolean, run long"
 
 
@@ -52,15 +55,20 @@ def ingest_current(spark: SparkSession, root: str, sink: str, ledger: str, patte
     if not touched:
         return 0
     run = (known.agg(F.max("run")).first()[0] or 0) + 1
-    alive = {r["folder"] for r in now.where(F.col("folder").isin(touched)).select("folder").distinct().collect()}
+    held = now.where(F.col("folder").isin(touched)).groupBy("folder").agg(F.count("*").alias("files"), F.sum("length").alias("bytes")).collect()
+    alive = {r["folder"] for r in held}
     if alive:
         raw = (spark.read.schema(COCO_SCHEMA).option("multiLine", multi_line).option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
                .json([f"{root.rstrip('/')}/{f}" for f in sorted(alive)]))
         base = root.rstrip("/").split("://")[-1].removeprefix("file:")
         path = F.col("_metadata.file_path")
         rows = raw.select(F.explode("annotations").alias("a"), path.alias("file")).select("a.*", "file")
-        rows = clean_names(rows).withColumn("folder", F.split(F.substring_index("file", base + "/", -1), "/")[0])
-        rows.hint("rebalance", "folder").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("folder").parquet(sink)
+        rows = clean_names(rows).withColumn("folder", F.substring_index(F.substring_index("file", base + "/", -1), "/", 1))
+        # Small files meet by folder before they are written.  Of large ones no more are written than read, so their rows stay where they are.
+        if sum(r["bytes"] for r in held) < LARGE_FILES * sum(r["files"] for r in held):
+            rows = rows.hint("rebalance", "folder")
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+         .partitionBy("folder").parquet(sink))
     vanished = [f for f in touched if f not in alive]
     if vanished:
         from camstat.session import drop_path
