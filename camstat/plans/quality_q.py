@@ -100,16 +100,13 @@ EXPORT_FOLDERS = 240
 @register("stream_ingest_detections", with_views(["boxes"], """
 SELECT category_id, count(*) AS n, count(DISTINCT image_id) AS n_images FROM boxes GROUP BY category_id"""))
 def stream_ingest_detections(spark, sf):
-    """T1 + S2 + S17: boxes exported as per-image COCO documents (JSON lines, the camera
+    """T1 + S2 + S17: boxes exported as per-image COCO documents (compressed JSON lines, the camera
     folders dealt to a fixed number of folders) under the cluster's checkpoint folder, ingested
     by an exactly-once file stream (availableNow), counted from the sink."""
-    from camstat.streaming.ingest import coco_documents, ingest_detections
+    from camstat.streaming.ingest import export_documents, ingest_detections
     base = shared_path(spark, "stream-ingest")
-    docs = coco_documents(S.boxes(spark, sf))
-    # one file per group of camera folders, more where it is large: sizes are measured at run time, and the
-    # listing and the commits of the driver grow with the bytes, not with the cameras
-    part = F.pmod(F.xxhash64("folder"), F.lit(EXPORT_FOLDERS))
-    docs.select(part.alias("part"), "value").hint("rebalance", "part").write.partitionBy("part").text(base + "/in")
-    ingest_detections(spark, base + "/in", base + "/out", base + "/ck", pattern="*.txt", multi_line=False)
+    # the listing and the commits of the driver grow with the bytes, not with the cameras
+    export_documents(S.boxes(spark, sf), F.pmod(F.xxhash64("folder"), F.lit(EXPORT_FOLDERS)), base + "/in")
+    ingest_detections(spark, base + "/in", base + "/out", base + "/ck", pattern="*.txt.snappy", multi_line=False)
     out = spark.read.parquet(base + "/out")
     return out.groupBy("category_id").agg(F.count("*").alias("n"), F.count_distinct("image_id").alias("n_images"))

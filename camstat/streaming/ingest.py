@@ -30,7 +30,7 @@ def ingest_detections(spark: SparkSession, root: str, sink: str, checkpoint: str
                       pattern: str = "*output_coco.json", multi_line: bool = True, max_files: int = 10_000):
     """Run once over all files not yet ingested; returns the finished query."""
     q = (detection_stream(spark, root, pattern, max_files, multi_line).writeStream.format("parquet")
-         .option("checkpointLocation", checkpoint).option("path", sink)
+         .option("checkpointLocation", checkpoint).option("path", sink).option("compression", "zstd")
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     return q

@@ -88,7 +88,7 @@ def test_large_files_are_not_shuffled(spark, tmp_path, monkeypatch, large):
     assert spark.read.parquet(sink).count() == want
 
 
-@pytest.mark.parametrize("module, query", [("gis_q", "ingest_replaced_files")])
+@pytest.mark.parametrize("module, query", [("quality_q", "stream_ingest_detections"), ("gis_q", "ingest_replaced_files")])
 def test_disk_of_the_ingest_queries(spark, monkeypatch, module, query):
     """What a query leaves in its folder is less than the text of its documents."""
     import importlib
